@@ -27,18 +27,35 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Input for which one task is plenty.
+_TASK_BYTES = 32 << 20
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Small inputs over all cores; others as they are.
+
+    A file with one row group is read by one task, and everything up to the first shuffle would
+    run there. Worth a shuffle only while the input, by Spark's own estimate, has fewer
+    task-sized pieces than there are cores; a large table is never shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, *keys) if size < cores * _TASK_BYTES else df
+
+
 def _expressions() -> dict[str, Column]:
     c = F.col
 
     def every(column: str, n: int, r: int = 0) -> Column:
         return c(column) % n == r
 
-    cents = F.floor(F.round(c("l_extendedprice") * 100) / 20)
-    allowed = F.floor(F.round(c("l_extendedprice") * 100) * (1 - c("l_discount")) / 20)
+    price = F.rint(c("l_extendedprice") * 100)
+    cents = F.floor(price / 20)
+    allowed = F.floor(price * (1 - c("l_discount")) / 20)
     paid = allowed + F.when(every("l_partkey", 89), cents).otherwise(F.lit(0))
 
     def text(amount: Column) -> Column:
-        whole = ((amount - amount % 100) / 100).cast("bigint").cast("string")
+        whole = F.floor(amount / 100).cast("string")
         return F.concat(whole, F.lit("."), F.lpad((amount % 100).cast("string"), 2, "0"))
 
     sign = F.when(every("l_partkey", 83), "-")
@@ -87,7 +104,7 @@ def claims_raw(
 ) -> DataFrame:
     """One raw claim per line item, with the columns asked for."""
     wanted = set(columns)
-    df = load(spark, sf_dir, "lineitem")
+    df = spread(load(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
     if wanted & _FROM_PART:
         part = load(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
         df = df.join(part, F.col("l_partkey") == F.col("p_partkey"))

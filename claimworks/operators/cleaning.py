@@ -26,14 +26,16 @@ def cleaned_columns() -> dict[str, Column]:
     }
 
 
-def clean(df: DataFrame) -> DataFrame:
-    """Typed columns plus payment rate, adjustment and service year, month and year-month.
-
-    Two projections and no shuffle; a derived column nobody reads is pruned away.
-    """
+def to_typed(df: DataFrame) -> DataFrame:
+    """Raw text columns replaced by typed ones; other columns stay. One projection."""
     typed = cleaned_columns()
     length = F.coalesce(F.length(F.trim("provider_npi")), F.lit(0)).alias(NPI_LENGTH)
-    df = df.select(*[typed[c].alias(c) if c in typed else c for c in df.columns], length)
+    return df.select(*[typed[c].alias(c) if c in typed else c for c in df.columns], length)
+
+
+def add_derived(df: DataFrame) -> DataFrame:
+    """Payment rate, adjustment and service year, month and year-month of typed claims; one that
+    nobody reads is pruned away."""
     paid, billed, day = F.col("paid_amount"), F.col("billed_amount"), F.col("service_date")
     return df.withColumns({
         "payment_rate_pct": rate_pct(paid, billed),
@@ -42,3 +44,7 @@ def clean(df: DataFrame) -> DataFrame:
         "service_month": F.month(day),
         "service_ym": F.date_format(day, "yyyy-MM"),
     })
+
+
+def clean(df: DataFrame) -> DataFrame:
+    return add_derived(to_typed(df))

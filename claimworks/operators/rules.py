@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
@@ -65,12 +66,15 @@ def apply_rules(
         for condition in conditions:
             known = known & condition.isNotNull()
         broken = F.when(known, broken)
-    names = F.array_compact(F.array(*[
-        F.when(c, F.lit(name)) for name, c in zip(rules, conditions, strict=True)]))
-    added = {"is_valid": ~broken, "dq_flags": F.to_json(names)}
+    # concat_ws drops NULLs inside generated code; array_compact is a lambda and would send the
+    # whole row through interpreted evaluation.
+    names = F.concat_ws(",", *[
+        F.when(c, F.lit(json.dumps(name))) for name, c in zip(rules, conditions, strict=True)])
+    df = df.withColumns({
+        "is_valid": ~broken, "dq_flags": F.concat(F.lit("["), names, F.lit("]"))})
     if keep_array:
-        added["dq_flag_names"] = names
-    return df.withColumns(added)
+        df = df.withColumn("dq_flag_names", F.from_json("dq_flags", "array<string>"))
+    return df
 
 
 def valid_rows(df: DataFrame) -> DataFrame:

@@ -207,10 +207,15 @@ def _in_partitions(parts: list[str], values: list) -> Column:
 
 
 def staged(df: DataFrame, parts: Sequence[str] = ()) -> DataFrame:
-    """Written to a new path of the shared folder and read back."""
+    """Written to a new path of the shared folder and read back.
+
+    For rows that are read more than once: lineage is cut, nothing is computed twice, and a lost
+    executor loses no result. A shuffle is added only to lay out partitions.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, "stage")
-    df.hint("rebalance", *parts).write.format(FORMAT).partitionBy(*parts).save(path)
+    rows = df.hint("rebalance", *parts) if parts else df
+    rows.write.format(FORMAT).partitionBy(*parts).save(path)
     return spark.read.schema(df.schema).format(FORMAT).load(path).select(*df.columns)
 
 
@@ -291,9 +296,7 @@ def _rewrite(spark: SparkSession, name: str, where: Sequence[dict], arrange) ->
         for partition in where:
             test = test | _in_partitions(list(partition), [partition])
         df = df.filter(test)
-    # A copy without a shuffle; the one shuffle is that of the final arrangement.
-    path = scratch_path(spark, "stage")
-    df.write.format(FORMAT).save(path)
-    rows = arrange(spark.read.schema(df.schema).format(FORMAT).load(path), parts)
+    # The copy needs no shuffle; the only one is that of the final arrangement.
+    rows = arrange(staged(df), parts)
     with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
         rows.write.mode("overwrite").insertInto(name)

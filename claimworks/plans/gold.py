@@ -23,6 +23,11 @@ from claimworks.functions import amount_sum, mean_amount, rate_pct, to_amount
 _UNITS = {"billed_amount": "_billed", "allowed_amount": "_allowed", "paid_amount": "_paid"}
 
 
+#: Columns the daily KPI reads; with another report date, that one instead of the update time.
+KPI_COLUMNS = ("silver_updated_at", "payer_id", "claim_status", "line_of_business", "network_flag",
+               "claim_id", "member_id", "provider_npi", *_UNITS)
+
+
 def _sums(*amounts: str) -> list[Column]:
     return [amount_sum(a).alias(_UNITS[a]) for a in amounts]
 

@@ -280,7 +280,9 @@ def silver_claims(spark, sf):
 # -- aggregate tables and views ---------------------------------------------------------------
 
 def _kpi(spark, sf, **options):
-    return gold.daily_kpi(_valid(spark, sf), **options)
+    """The builder passes over the claims twice, so they are written once, as in a load."""
+    claims = _valid(spark, sf).select(*gold.KPI_COLUMNS, "service_date")
+    return gold.daily_kpi(tables.staged(claims), **options)
 
 
 @query
