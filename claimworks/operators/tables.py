@@ -95,8 +95,15 @@ def replace_partitions(
     aligned = _align(df, name)
     if rebalance:
         aligned = aligned.hint("rebalance", *partition_by)
+    _insert_over(aligned, name)
+
+
+def _insert_over(df: DataFrame, name: str) -> None:
+    """Overwrite the partitions of ``df``, or an unpartitioned table. Inserts go by position and
+    joins put their keys first, so columns are put in table order here."""
+    spark = df.sparkSession
     with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
-        aligned.write.mode("overwrite").insertInto(name)
+        df.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
 
 
 def partition_columns(spark: SparkSession, name: str) -> list[str]:
@@ -158,6 +165,7 @@ def upsert(
     if not table_exists(spark, name):
         create(source, name, partition_by, location)
         return []
+    spark.catalog.refreshTable(name)  # another session may have rewritten files
     source = _align(source, name)
     target = spark.table(name)
     parts = partition_columns(spark, name)
@@ -166,7 +174,7 @@ def upsert(
         source = staged(_drop_stale(source, target, keys, newer_than))
     if not parts:
         kept = target.join(source.select(*keys), keys, "left_anti")
-        staged(kept.unionByName(source)).write.mode("overwrite").insertInto(name)
+        _insert_over(staged(kept.unionByName(source)), name)
         return []
 
     old = target.select(*keys, *parts).join(source.select(*keys), keys, "left_semi")
@@ -228,8 +236,7 @@ def _swap_partitions(df: DataFrame, name: str, parts: list[str], touched: list)
     spark = df.sparkSession
     rows = staged(df, parts)
     filled = {tuple(row) for row in rows.select(*parts).distinct().collect()}
-    with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
-        rows.write.mode("overwrite").insertInto(name)
+    _insert_over(rows, name)
     for row in touched:
         if tuple(row) not in filled:
             drop_partition(spark, name, row.asDict())
@@ -237,12 +244,12 @@ def _swap_partitions(df: DataFrame, name: str, parts: list[str], touched: list)
 
 def drop_partition(spark: SparkSession, name: str, partition: dict) -> None:
     """Remove a partition and its files, from external tables too."""
-    types = {f.name: f.dataType for f in spark.table(name).schema}
-    spec = ", ".join(f"`{c}` = {_sql_literal(v, types[c])}" for c, v in partition.items())
-    rest = [f"`{f.name}`" for f in spark.table(name).schema if f.name not in partition]
+    fields = {f.name: f.dataType for f in spark.table(name).schema}
+    spec = ", ".join(f"`{c}` = {_sql_literal(v, fields[c])}" for c, v in partition.items())
+    no_row = ", ".join(f"CAST(NULL AS {kind.simpleString()}) AS `{c}`"
+                       for c, kind in fields.items() if c not in partition)
     with session_conf(spark, spark__sql__sources__partitionOverwriteMode="static"):
-        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) "
-                  f"SELECT {', '.join(rest)} FROM {name} WHERE false")
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) SELECT {no_row} WHERE false")
     spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
 
 
@@ -290,6 +297,7 @@ def _rewrite(spark: SparkSession, name: str, where: Sequence[dict], arrange) ->
     for partition in where:
         if set(partition) - set(parts):
             raise ValueError(f"{sorted(partition)} are not all partition columns of {name}")
+    spark.catalog.refreshTable(name)
     df = spark.table(name)
     if where:
         test = F.lit(False)
@@ -297,6 +305,4 @@ def _rewrite(spark: SparkSession, name: str, where: Sequence[dict], arrange) ->
             test = test | _in_partitions(list(partition), [partition])
         df = df.filter(test)
     # The copy needs no shuffle; the only one is that of the final arrangement.
-    rows = arrange(staged(df), parts)
-    with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
-        rows.write.mode("overwrite").insertInto(name)
+    _insert_over(arrange(staged(df), parts), name)

@@ -77,7 +77,8 @@ def start_latest_state(
     """Keep the newest event of each claim in a table.
 
     Each micro-batch is an upsert that never replaces a newer event, so a batch that is run
-    again after a failure, or comes out of order, leaves the same table.
+    again after a failure, or comes out of order, leaves the same table. Other sessions refresh
+    the table (``spark.catalog.refreshTable``) before they read it.
     """
     def merge(rows: DataFrame, _batch_id: int) -> None:
         newest = tables.staged(latest_events(rows))

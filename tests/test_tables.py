@@ -1,0 +1,181 @@
+import glob
+import os
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from claimworks.operators import tables
+
+DDL = "id string, v int, part int, version int"
+
+
+def frame(spark, *rows):
+    return spark.createDataFrame(list(rows), DDL)
+
+
+def contents(spark, name):
+    return sorted(tuple(r) for r in spark.table(name).select("id", "v", "part", "version").collect())
+
+
+@pytest.fixture
+def loaded(spark, new_table):
+    name, location = new_table()
+    tables.upsert(frame(spark, ("a", 1, 1, 1), ("b", 1, 1, 1), ("c", 1, 2, 1), ("d", 1, 3, 1)),
+                  name, ["id"], ["part"], location)
+    return name, location
+
+
+def test_upsert_updates_inserts_moves_and_leaves_the_rest(spark, loaded):
+    name, _ = loaded
+    before = {f: os.path.getmtime(f) for f in glob.glob(f"{loaded[1]}/part=3/*.parquet")}
+    touched = tables.upsert(
+        frame(spark, ("b", 2, 1, 2), ("c", 2, 1, 2), ("e", 2, 4, 2)), name, ["id"])
+    assert contents(spark, name) == [
+        ("a", 1, 1, 1), ("b", 2, 1, 2), ("c", 2, 1, 2), ("d", 1, 3, 1), ("e", 2, 4, 2)]
+    assert sorted(t["part"] for t in touched) == [1, 2, 4]
+    assert before == {f: os.path.getmtime(f) for f in glob.glob(f"{loaded[1]}/part=3/*.parquet")}
+
+
+def test_upsert_empties_a_partition_whose_rows_moved_away(spark, loaded):
+    name, location = loaded
+    tables.upsert(frame(spark, ("c", 2, 9, 2)), name, ["id"])
+    assert ("c", 2, 9, 2) in contents(spark, name) and len(contents(spark, name)) == 4
+    assert not glob.glob(f"{location}/part=2/*.parquet")
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()] == ["part=1", "part=3", "part=9"]
+
+
+def test_upsert_twice_is_upsert_once(spark, loaded):
+    source = frame(spark, ("b", 2, 2, 2), ("e", 2, 4, 2))
+    tables.upsert(source, loaded[0], ["id"])
+    once = contents(spark, loaded[0])
+    tables.upsert(source, loaded[0], ["id"])
+    assert contents(spark, loaded[0]) == once
+
+
+def test_upsert_of_nothing(spark, loaded):
+    before = contents(spark, loaded[0])
+    assert tables.upsert(frame(spark), loaded[0], ["id"]) == []
+    assert contents(spark, loaded[0]) == before
+
+
+def test_upsert_keeps_newer_rows(spark, loaded):
+    name, _ = loaded
+    tables.upsert(frame(spark, ("a", 5, 1, 5)), name, ["id"], newer_than="version")
+    tables.upsert(frame(spark, ("a", 3, 2, 3), ("b", 3, 2, 3)), name, ["id"], newer_than="version")
+    assert contents(spark, name)[:2] == [("a", 5, 1, 5), ("b", 3, 2, 3)]
+    tables.upsert(frame(spark, ("a", 6, 2, 5)), name, ["id"], newer_than="version")
+    assert contents(spark, name)[0] == ("a", 6, 2, 5)
+
+
+def test_upsert_rejects_two_source_rows_for_one_key(spark, loaded):
+    with pytest.raises(tables.DuplicateKeyError):
+        tables.upsert(frame(spark, ("a", 2, 1, 2), ("a", 3, 1, 2)), loaded[0], ["id"])
+
+
+def test_upsert_null_keys_never_match(spark, loaded):
+    tables.upsert(frame(spark, (None, 2, 1, 2), (None, 3, 1, 2)), loaded[0], ["id"])
+    tables.upsert(frame(spark, (None, 2, 1, 2)), loaded[0], ["id"])
+    assert spark.table(loaded[0]).filter("id IS NULL").count() == 3
+
+
+def test_upsert_with_null_partition_values(spark, loaded):
+    name, _ = loaded
+    tables.upsert(frame(spark, ("a", 2, None, 2)), name, ["id"])
+    tables.upsert(frame(spark, ("a", 3, 1, 3)), name, ["id"])
+    assert ("a", 3, 1, 3) in contents(spark, name) and len(contents(spark, name)) == 4
+
+
+def test_upsert_unpartitioned_and_composite_key(spark, new_table):
+    name, location = new_table()
+    tables.upsert(frame(spark, ("a", 1, 1, 1), ("a", 1, 2, 1)), name, ["id", "part"], location=location)
+    tables.upsert(frame(spark, ("a", 9, 2, 1), ("b", 9, 2, 1)), name, ["id", "part"])
+    assert contents(spark, name) == [("a", 1, 1, 1), ("a", 9, 2, 1), ("b", 9, 2, 1)]
+
+
+def test_upsert_adds_columns(spark, loaded):
+    name, _ = loaded
+    tables.upsert(frame(spark, ("a", 2, 1, 2)).withColumn("note", F.lit("n")), name, ["id"])
+    notes = {r["id"]: r["note"] for r in spark.table(name).collect()}
+    assert notes == {"a": "n", "b": None, "c": None, "d": None}
+
+
+def test_append_evolves_and_rejects_type_changes(spark, new_table):
+    name, location = new_table()
+    tables.append(frame(spark, ("a", 1, 1, 1)), name, ["part"], location)
+    tables.append(frame(spark, ("b", 1, 1, 1)).withColumn("extra", F.lit(7)), name, ["part"])
+    tables.append(frame(spark, ("c", 1, 2, 1)).drop("version"), name, ["part"])
+    rows = {r["id"]: (r["version"], r["extra"]) for r in spark.table(name).collect()}
+    assert rows == {"a": (1, None), "b": (1, 7), "c": (None, None)}
+    with pytest.raises(TypeError, match="v: int -> string"):
+        tables.append(frame(spark, ("d", 1, 1, 1)).withColumn("v", F.lit("x")), name)
+
+
+def test_replace_partitions_touches_only_its_own(spark, new_table):
+    name, location = new_table()
+    for rows in ([("a", 1, 1, 1), ("b", 1, 2, 1)], [("c", 1, 2, 1)], [("c", 1, 2, 1)]):
+        tables.replace_partitions(frame(spark, *rows), name, ["part"], location)
+    assert contents(spark, name) == [("a", 1, 1, 1), ("c", 1, 2, 1)]
+
+
+def test_overwrite_changes_the_schema(spark, new_table):
+    name, location = new_table()
+    tables.overwrite(frame(spark, ("a", 1, 1, 1)), name, location)
+    tables.overwrite(spark.range(3), name, location)
+    assert spark.table(name).columns == ["id"] and spark.table(name).count() == 3
+
+
+def test_clone_schema(spark, new_table):
+    name, location = new_table()
+    tables.clone_schema(frame(spark, ("a", 1, 1, 1)), name, location)
+    assert spark.table(name).schema == frame(spark).schema and spark.table(name).count() == 0
+
+
+def test_compact_rewrites_into_fewer_files(spark, new_table):
+    name, location = new_table()
+    spread = spark.range(400).select(
+        F.col("id").cast("string"), F.lit(1).alias("v"), (F.col("id") % 2).cast("int").alias("part"),
+        F.lit(1).alias("version")).repartition(8)
+    tables.create(spread, name, ["part"], location, rebalance=False)
+    def files(p):
+        return len(glob.glob(f"{location}/part={p}/*.parquet"))
+
+    assert files(0) == files(1) == 8
+    before = contents(spark, name)
+    tables.compact(spark, name, [{"part": 0}])
+    assert (files(0), files(1)) == (1, 8)
+    tables.compact(spark, name)
+    assert (files(0), files(1)) == (1, 1)
+    assert contents(spark, name) == before
+
+
+def test_cluster_sorts_within_files(spark, new_table):
+    name, location = new_table()
+    rows = spark.range(1000).select(
+        F.col("id").cast("string"), (F.col("id") * 7919 % 1000).cast("int").alias("v"),
+        (F.col("id") % 2).cast("int").alias("part"), F.lit(1).alias("version")).repartition(5)
+    tables.create(rows, name, ["part"], location)
+    before = contents(spark, name)
+    tables.cluster(spark, name, ["v"], num_ranges=4)
+    assert contents(spark, name) == before
+    spans = []
+    for file in glob.glob(f"{location}/part=0/*.parquet"):
+        values = [r["v"] for r in spark.read.parquet(file).select("v").collect()]
+        assert values == sorted(values)
+        spans.append((values[0], values[-1]))
+    spans.sort()
+    assert len(spans) > 1 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_layout_takes_partition_columns_only(spark, loaded):
+    with pytest.raises(ValueError, match="partition columns"):
+        tables.compact(spark, loaded[0], [{"v": 1}])
+
+
+def test_drop_partition_by_date(spark, new_table):
+    name, location = new_table()
+    df = spark.createDataFrame([("a", date(2025, 1, 1)), ("b", date(2025, 1, 2))], "id string, d date")
+    tables.create(df, name, ["d"], location)
+    tables.drop_partition(spark, name, {"d": "2025-01-01"})
+    assert [r["id"] for r in spark.table(name).collect()] == ["b"]
+    assert spark.read.parquet(location).count() == 1
