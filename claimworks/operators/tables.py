@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -156,8 +157,9 @@ def upsert(
     a source row or the old copy of one. Finding the old copies reads just the key, partition and
     version columns of the target. The list of partitions comes to the driver, as the catalog's
     own list does; rows never do. New contents are written to the shared folder first and then
-    moved in, because a table cannot be overwritten while it is read. The move is repeatable, but
-    not atomic across partitions: after a crash run the same upsert again.
+    moved in, because a table cannot be overwritten while it is read. The move is not atomic
+    across partitions, but it can be repeated: the table names the staged copy until it is done,
+    and the next upsert or rewrite finishes a move that was cut short.
     """
     spark = source.sparkSession
     keys = list(keys)
@@ -165,7 +167,7 @@ def upsert(
     if not table_exists(spark, name):
         create(source, name, partition_by, location)
         return []
-    spark.catalog.refreshTable(name)  # another session may have rewritten files
+    _finish_move(spark, name)
     source = _align(source, name)
     target = spark.table(name)
     parts = partition_columns(spark, name)
@@ -174,7 +176,7 @@ def upsert(
         source = staged(_drop_stale(source, target, keys, newer_than))
     if not parts:
         kept = target.join(source.select(*keys), keys, "left_anti")
-        _insert_over(staged(kept.unionByName(source)), name)
+        _move_in(kept.unionByName(source), name)
         return []
 
     old = target.select(*keys, *parts).join(source.select(*keys), keys, "left_semi")
@@ -183,7 +185,7 @@ def upsert(
     if not touched:
         return []
     kept = target.filter(_in_partitions(parts, touched)).join(source.select(*keys), keys, "left_anti")
-    _swap_partitions(kept.unionByName(source), name, parts, touched)
+    _move_in(kept.unionByName(source), name, touched)
     return [row.asDict() for row in touched]
 
 
@@ -214,42 +216,90 @@ def _in_partitions(parts: list[str], values: list) -> Column:
     return test
 
 
-def staged(df: DataFrame, parts: Sequence[str] = ()) -> DataFrame:
+def staged(df: DataFrame) -> DataFrame:
     """Written to a new path of the shared folder and read back.
 
     For rows that are read more than once: lineage is cut, nothing is computed twice, and a lost
-    executor loses no result. A shuffle is added only to lay out partitions.
+    executor loses no result. No shuffle is added.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, "stage")
+    path = _stage(df)
+    return df.sparkSession.read.schema(df.schema).format(FORMAT).load(path)
+
+
+def _stage(df: DataFrame, parts: Sequence[str] = ()) -> str:
+    path = scratch_path(df.sparkSession, "stage")
     rows = df.hint("rebalance", *parts) if parts else df
     rows.write.format(FORMAT).partitionBy(*parts).save(path)
-    return spark.read.schema(df.schema).format(FORMAT).load(path).select(*df.columns)
+    return path
 
 
-def _swap_partitions(df: DataFrame, name: str, parts: list[str], touched: list) -> None:
-    """Put new rows in place of the touched partitions, and empty those without rows left.
+#: Table property that names the staged copy of a move that is not finished.
+_PENDING = "claimworks.pending"
 
-    The staged copy already has the final layout, so moving it in is a scan and a write without
-    a second shuffle.
+
+def _move_in(df: DataFrame, name: str, touched: Sequence[Row] = (), lay_out: bool = True) -> None:
+    """Put ``df`` in place of the touched partitions, or of all rows of an unpartitioned table.
+
+    With ``lay_out`` the staged copy gets the final layout, so moving it in is a scan and a write
+    without a second shuffle.
     """
     spark = df.sparkSession
-    rows = staged(df, parts)
-    filled = {tuple(row) for row in rows.select(*parts).distinct().collect()}
-    _insert_over(rows, name)
-    for row in touched:
-        if tuple(row) not in filled:
-            drop_partition(spark, name, row.asDict())
+    path = _stage(df, partition_columns(spark, name) if lay_out else ())
+    if touched:
+        emptied = spark.createDataFrame(list(touched), spark.table(name).select(*touched[0].__fields__).schema)
+        emptied.coalesce(1).write.format(FORMAT).save(f"{path}-touched")
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_PENDING}' = '{path}')")
+    if lay_out:
+        _finish_move(spark, name)
+
+
+def _pending(spark: SparkSession, name: str) -> str | None:
+    found = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key") == _PENDING).collect()
+    return found[0]["value"] if found else None
+
+
+def _finish_move(spark: SparkSession, name: str, arrange=None) -> None:
+    """Move in the staged copy the table names, if any; ``arrange`` sets the order of its rows."""
+    spark.catalog.refreshTable(name)  # another session may have rewritten files
+    path = _pending(spark, name)
+    if path is None:
+        return
+    table = spark.table(name)
+    parts = partition_columns(spark, name)
+    rows = spark.read.schema(table.schema).format(FORMAT).load(path)
+    _insert_over(arrange(rows, parts) if arrange else rows, name)
+    if parts and _readable(spark, f"{path}-touched"):
+        touched = spark.read.schema(table.select(*parts).schema).format(FORMAT).load(f"{path}-touched")
+        filled = {tuple(row) for row in rows.select(*parts).distinct().collect()}
+        for row in touched.collect():
+            if tuple(row) not in filled:
+                drop_partition(spark, name, row.asDict())
+    spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ('{_PENDING}')")
+
+
+def _readable(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format(FORMAT).load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def drop_partition(spark: SparkSession, name: str, partition: dict) -> None:
-    """Remove a partition and its files, from external tables too."""
+    """Remove a partition and its files, from external tables too.
+
+    Files of a NULL partition of an external table stay until the partition is written again: an
+    insert cannot name it. The table no longer has their rows.
+    """
     fields = {f.name: f.dataType for f in spark.table(name).schema}
     spec = ", ".join(f"`{c}` = {_sql_literal(v, fields[c])}" for c, v in partition.items())
     no_row = ", ".join(f"CAST(NULL AS {kind.simpleString()}) AS `{c}`"
                        for c, kind in fields.items() if c not in partition)
-    with session_conf(spark, spark__sql__sources__partitionOverwriteMode="static"):
-        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) SELECT {no_row} WHERE false")
+    if None not in partition.values():
+        with session_conf(spark, spark__sql__sources__partitionOverwriteMode="static"):
+            spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) SELECT {no_row} WHERE false")
     spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
 
 
@@ -297,12 +347,13 @@ def _rewrite(spark: SparkSession, name: str, where: Sequence[dict], arrange) ->
     for partition in where:
         if set(partition) - set(parts):
             raise ValueError(f"{sorted(partition)} are not all partition columns of {name}")
-    spark.catalog.refreshTable(name)
+    _finish_move(spark, name)
     df = spark.table(name)
     if where:
         test = F.lit(False)
         for partition in where:
             test = test | _in_partitions(list(partition), [partition])
         df = df.filter(test)
-    # The copy needs no shuffle; the only one is that of the final arrangement.
-    _insert_over(arrange(staged(df), parts), name)
+    # The staged copy needs no shuffle; the only one is that of the final arrangement.
+    _move_in(df, name, lay_out=False)
+    _finish_move(spark, name, arrange)

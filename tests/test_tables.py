@@ -179,3 +179,23 @@ def test_drop_partition_by_date(spark, new_table):
     tables.drop_partition(spark, name, {"d": "2025-01-01"})
     assert [r["id"] for r in spark.table(name).collect()] == ["b"]
     assert spark.read.parquet(location).count() == 1
+
+
+def test_a_move_that_was_cut_short_is_finished(spark, loaded, monkeypatch):
+    """The job dies when one partition is gone and nothing is in its place yet."""
+    name, _ = loaded
+    insert = tables._insert_over
+
+    def dies(df, table):
+        tables.drop_partition(spark, table, {"part": 1})
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(tables, "_insert_over", dies)
+    with pytest.raises(RuntimeError, match="lost"):
+        tables.upsert(frame(spark, ("b", 2, 1, 2), ("c", 2, 1, 2)), name, ["id"])
+    assert [r[0] for r in contents(spark, name)] == ["c", "d"]
+    monkeypatch.setattr(tables, "_insert_over", insert)
+    tables.upsert(frame(spark, ("e", 3, 5, 3)), name, ["id"])
+    assert contents(spark, name) == [
+        ("a", 1, 1, 1), ("b", 2, 1, 2), ("c", 2, 1, 2), ("d", 1, 3, 1), ("e", 3, 5, 3)]
+    assert not glob.glob(f"{loaded[1]}/part=2/*.parquet")
