@@ -148,11 +148,11 @@ def freshness(
 
 
 def open_tables(spark: SparkSession, names: list[str]) -> dict[str, DataFrame | None]:
-    """Tables by name; None for one that cannot be read."""
+    """Update times of tables by name; None for a table that cannot be read."""
     opened: dict[str, DataFrame | None] = {}
     for name in names:
         try:
-            opened[name] = spark.table(name)
+            opened[name] = spark.table(name).select("gold_updated_at")
         except AnalysisException:
             opened[name] = None
     return opened

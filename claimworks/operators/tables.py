@@ -38,7 +38,7 @@ def create(
     max_records_per_file: int | None = None,
 ) -> None:
     """First load; with ``mode="overwrite"`` a full refresh that may change the schema."""
-    if rebalance:
+    if rebalance and partition_by:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.format(FORMAT).mode(mode)
     if partition_by:
@@ -144,6 +144,7 @@ def upsert(
     partition_by: Sequence[str] = (),
     location: str | None = None,
     newer_than: str | None = None,
+    unique: bool = False,
 ) -> list[dict]:
     """Rows with a known key replace the old ones, the others are added.
 
@@ -151,19 +152,22 @@ def upsert(
 
     ``source`` is read several times: pass a table that has been written, not a long plan.
     ``newer_than`` names a column: a source row whose value is smaller than that of the row it
-    would replace is left out, so that running an old batch again keeps newer rows.
+    would replace is left out, so that running an old batch again keeps newer rows. ``unique``
+    says that no key occurs twice in the source, which is checked otherwise.
 
     Plain files have no row-level update, so partitions are rewritten, and only those that hold
-    a source row or the old copy of one. Finding the old copies reads just the key, partition and
-    version columns of the target. The list of partitions comes to the driver, as the catalog's
-    own list does; rows never do. New contents are written to the shared folder first and then
-    moved in, because a table cannot be overwritten while it is read. The move is not atomic
-    across partitions, but it can be repeated: the table names the staged copy until it is done,
-    and the next upsert or rewrite finishes a move that was cut short.
+    a source row or the old copy of one. Old copies are looked up once, in the key, partition and
+    version columns of the target, and kept as a small table of their own. The list of partitions
+    comes to the driver, as the catalog's own list does; rows never do. New contents are written
+    to the shared folder first and then moved in, because a table cannot be overwritten while it
+    is read. The move is not atomic across partitions, but it can be repeated: the table names
+    the staged copy until it is done, and the next upsert or rewrite finishes a move that was cut
+    short.
     """
     spark = source.sparkSession
     keys = list(keys)
-    _reject_duplicates(source, keys)
+    if not unique:
+        _reject_duplicates(source, keys)
     if not table_exists(spark, name):
         create(source, name, partition_by, location)
         return []
@@ -172,20 +176,25 @@ def upsert(
     target = spark.table(name)
     parts = partition_columns(spark, name)
 
+    wanted = dict.fromkeys([*keys, *parts, *([newer_than] if newer_than else [])])
+    held = staged(target.select(*wanted).join(source.select(*keys), keys, "left_semi"))
     if newer_than:
-        source = staged(_drop_stale(source, target, keys, newer_than))
-    if not parts:
-        kept = target.join(source.select(*keys), keys, "left_anti")
-        _move_in(kept.unionByName(source), name)
-        return []
-
-    old = target.select(*keys, *parts).join(source.select(*keys), keys, "left_semi")
-    touched = (source.select(*parts).distinct()
-               .union(old.select(*parts).distinct()).distinct().collect())
-    if not touched:
-        return []
-    kept = target.filter(_in_partitions(parts, touched)).join(source.select(*keys), keys, "left_anti")
-    _move_in(kept.unionByName(source), name, touched)
+        source = staged(_without_stale(source, held, keys, newer_than))
+        held = held.join(source.select(*keys), keys, "left_semi")
+    touched: list[Row] = []
+    if parts:
+        touched = (source.select(*parts).distinct()
+                   .union(held.select(*parts).distinct()).distinct().collect())
+        if not touched:
+            return []
+        target = target.filter(_in_partitions(parts, touched))
+    kept = target.join(held.select(*keys), keys, "left_anti")
+    if parts and _is_broadcast(held.select(*keys)):
+        # No shuffle comes before: kept rows still sit with their partition and stay there.
+        rows, lay_out = kept.unionByName(source.hint("rebalance", *parts)), False
+    else:
+        rows, lay_out = kept.unionByName(source), True
+    _move_in(rows, name, touched, lay_out)
     return [row.asDict() for row in touched]
 
 
@@ -196,14 +205,19 @@ def _reject_duplicates(source: DataFrame, keys: list[str]) -> None:
         raise DuplicateKeyError(f"several source rows for {double[0].asDict()}")
 
 
-def _drop_stale(source: DataFrame, target: DataFrame, keys: list[str], version: str) -> DataFrame:
-    held = target.select(*keys, F.col(version).alias("_held_version")).join(
-        source.select(*keys), keys, "left_semi")
-    return (source.join(held, keys, "left")
+def _without_stale(source: DataFrame, held: DataFrame, keys: list[str], version: str) -> DataFrame:
+    old = held.select(*keys, F.col(version).alias("_held_version"))
+    return (source.join(old, keys, "left")
             .filter(F.col("_held_version").isNull() | (F.col(version) >= F.col("_held_version")))
             .select(*source.columns))
 
 
+def _is_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own size estimate is under its own broadcast limit."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+
+
 def _in_partitions(parts: list[str], values: list) -> Column:
     """Test on the bare partition columns, resolved from the catalog before any file is opened."""
     test = F.lit(False)
@@ -226,9 +240,9 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).format(FORMAT).load(path)
 
 
-def _stage(df: DataFrame, parts: Sequence[str] = ()) -> str:
+def _stage(df: DataFrame, parts: Sequence[str] = (), lay_out: bool = False) -> str:
     path = scratch_path(df.sparkSession, "stage")
-    rows = df.hint("rebalance", *parts) if parts else df
+    rows = df.hint("rebalance", *parts) if lay_out and parts else df
     rows.write.format(FORMAT).partitionBy(*parts).save(path)
     return path
 
@@ -237,20 +251,21 @@ def _stage(df: DataFrame, parts: Sequence[str] = ()) -> str:
 _PENDING = "claimworks.pending"
 
 
-def _move_in(df: DataFrame, name: str, touched: Sequence[Row] = (), lay_out: bool = True) -> None:
+def _move_in(df: DataFrame, name: str, touched: Sequence[Row] = (), lay_out: bool = True,
+             arrange=None) -> None:
     """Put ``df`` in place of the touched partitions, or of all rows of an unpartitioned table.
 
-    With ``lay_out`` the staged copy gets the final layout, so moving it in is a scan and a write
-    without a second shuffle.
+    The staged copy is in the layout of the table, so moving it in is a scan and a write without
+    a shuffle. ``lay_out`` adds the shuffle that brings rows of a partition together; it is left
+    out for rows that are together already. ``arrange`` sets the order of rows while they move.
     """
     spark = df.sparkSession
-    path = _stage(df, partition_columns(spark, name) if lay_out else ())
+    path = _stage(df, partition_columns(spark, name), lay_out)
     if touched:
         emptied = spark.createDataFrame(list(touched), spark.table(name).select(*touched[0].__fields__).schema)
         emptied.coalesce(1).write.format(FORMAT).save(f"{path}-touched")
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_PENDING}' = '{path}')")
-    if lay_out:
-        _finish_move(spark, name)
+    _finish_move(spark, name, arrange)
 
 
 def _pending(spark: SparkSession, name: str) -> str | None:
@@ -259,7 +274,7 @@ def _pending(spark: SparkSession, name: str) -> str | None:
 
 
 def _finish_move(spark: SparkSession, name: str, arrange=None) -> None:
-    """Move in the staged copy the table names, if any; ``arrange`` sets the order of its rows."""
+    """Move in the staged copy the table names, if any."""
     spark.catalog.refreshTable(name)  # another session may have rewritten files
     path = _pending(spark, name)
     if path is None:
@@ -355,5 +370,4 @@ def _rewrite(spark: SparkSession, name: str, where: Sequence[dict], arrange) ->
             test = test | _in_partitions(list(partition), [partition])
         df = df.filter(test)
     # The staged copy needs no shuffle; the only one is that of the final arrangement.
-    _move_in(df, name, lay_out=False)
-    _finish_move(spark, name, arrange)
+    _move_in(df, name, lay_out=False, arrange=arrange)

@@ -345,7 +345,7 @@ ORACLE: dict[str, str] = {
         SELECT true AS from_batch, claim_status, payer_id, paid_amount FROM typed
         UNION ALL SELECT false, claim_status, payer_id, paid_amount FROM parsed)
       GROUP BY ALL""",
-    "dedup_newest": f"WITH {RAW}, {newest()} SELECT {RAW_NAMES} FROM newest",
+    "dedup_latest": f"WITH {RAW}, {newest()} SELECT {RAW_NAMES} FROM newest",
     "dedup_null_collapsed": f"WITH {RAW}, {newest(null_keys='collapse')} SELECT {RAW_NAMES} FROM newest",
     "dedup_removed_count": f"""WITH {RAW}, {newest()} SELECT a AS rows_before, b AS rows_after, a - b AS rows_removed
       FROM (SELECT (SELECT count(*) FROM raw) AS a, (SELECT count(*) FROM newest) AS b)""",
@@ -444,6 +444,10 @@ ORACLE: dict[str, str] = {
     "event_upsert_latest": LATEST_EVENTS,
     "stream_ingest": ALL_EVENTS,
     "stream_latest_state": LATEST_EVENTS,
+    "run_log": f"""WITH {RAW} SELECT batch_date, count(*) AS records_ingested,
+        count(*) FILTER (WHERE {_SHORT} OR {_LONG}) AS corrupt_records, 'SUCCESS' AS status
+      FROM (SELECT *, CASE WHEN ingestion_date <= {FIRST} THEN '1998-06-01' ELSE '2001-12-01' END AS batch_date FROM raw)
+      GROUP BY ALL""",
     "csv_roundtrip_corrupt": f"""WITH {RAW} SELECT * REPLACE (
         CASE WHEN {_SHORT} THEN NULL ELSE line_of_business END AS line_of_business,
         CASE WHEN {_SHORT} THEN NULL ELSE network_flag END AS network_flag)

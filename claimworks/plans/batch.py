@@ -15,9 +15,10 @@ from claimworks.operators.rules import NULL_SAFE, quarantine_rows, validity
 from claimworks.plans.gold import BUILDERS
 from claimworks.plans.silver import silver_rows, validated_claims
 from claimworks.plans.views import refresh_kpi_snapshot
-from claimworks.sources.raw import add_provenance, read_batch, read_raw
+from claimworks.sources.raw import add_provenance, bronze_union, read_batch, read_raw
 
 _SILVER_PARTITIONS = ("service_year", "service_month")
+_STREAM_ONLY = ("event_time", "partition_id", "eh_offset", "event_type", "submission_ts")
 _CLUSTER_BY = ("payer_id", "service_date", "claim_status", "member_id")
 
 
@@ -27,6 +28,7 @@ class BatchConfig:
 
     ``raw_root`` has one folder per batch date. ``prefix`` goes before every table name, for
     example ``"claims."`` for a database. With ``root`` tables are external, one folder each.
+    ``with_stream`` adds the day's rows of the event table to the batch before cleaning.
     """
 
     raw_root: str
@@ -38,6 +40,7 @@ class BatchConfig:
     coverage: str = "distinct"
     report_date: str = "silver_updated_at"
     cluster_silver: bool = False
+    with_stream: bool = False
 
     def name(self, table: str) -> str:
         return f"{self.prefix}{table}"
@@ -82,6 +85,10 @@ def load_silver(spark: SparkSession, cfg: BatchConfig, batch_date: str) -> Stage
     upsert all read that copy.
     """
     bronze = read_batch(spark.table(cfg.name(C.BRONZE)), batch_date)
+    if cfg.with_stream:
+        stream = spark.table(cfg.name(C.BRONZE_STREAM)).filter(
+            F.col("ingestion_date") == F.lit(batch_date).cast("date"))
+        bronze = bronze_union(bronze, stream).drop(*_STREAM_ONLY)
     checked = tables.staged(validated_claims(bronze, cfg.as_of, cfg.policy))
     counts = validity(checked).first().asDict()
     status = counts.pop("status")
@@ -96,7 +103,7 @@ def load_silver(spark: SparkSession, cfg: BatchConfig, batch_date: str) -> Stage
     silver = cfg.name(C.SILVER)
     touched = tables.upsert(
         tables.staged(silver_rows(checked, batch_date, cfg.run_ts)), silver, ["claim_id"],
-        _SILVER_PARTITIONS, cfg.location(C.SILVER), newer_than="silver_batch_date")
+        _SILVER_PARTITIONS, cfg.location(C.SILVER), newer_than="silver_batch_date", unique=True)
     if cfg.cluster_silver:
         tables.cluster(spark, silver, _CLUSTER_BY, touched)
     removed = bronze.count() - counts["total"]

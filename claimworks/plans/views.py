@@ -149,5 +149,5 @@ def refresh_kpi_snapshot(
 ) -> int:
     """Upsert the rows of one date on (date, payer); returns the number of rows written."""
     rows = tables.staged(kpi_snapshot_rows(kpi, snapshot_date, run_ts))
-    tables.upsert(rows, name, ["snapshot_date", "payer_id"], location=location)
+    tables.upsert(rows, name, ["snapshot_date", "payer_id"], location=location, unique=True)
     return rows.count()

@@ -13,13 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimworks import fixture as fx
-from claimworks.constants import AMOUNT_COLUMNS, RAW_COLUMNS
+from claimworks.constants import AMOUNT_COLUMNS, BRONZE, BRONZE_LOG, RAW_COLUMNS
 from claimworks.operators import access, checks, rules, tables
 from claimworks.operators.cleaning import NPI_LENGTH, clean, cleaned_columns
 from claimworks.operators.dedup import dedup_latest
 from claimworks.plans import batch, gold, views
 from claimworks.plans.silver import silver_rows, validated_claims
-from claimworks.schemas import RAW_WITH_CORRUPT
 from claimworks.session import scratch_path
 from claimworks.sources import events as ev
 from claimworks.sources import raw as src
@@ -32,7 +31,6 @@ QUERIES: dict[str, Query] = {}
 RUN_TS = "2024-12-15 06:00:00"
 FIRST_LOAD, SECOND_LOAD = "1998-06-01", "2001-12-01"
 ORDER_COLUMNS = ("ingestion_ts", "tie_part", "tie_supplier")
-STAMPS = ("silver_updated_at", "gold_updated_at", "quarantine_ts", "refreshed_at", "logged_at")
 
 
 def query(fn: Query) -> Query:
@@ -183,12 +181,14 @@ def bronze_union(spark, sf):
 
 # -- duplicates and rules ---------------------------------------------------------------------
 
-@query
-def dedup_newest(spark, sf):
+def _dedup_latest(spark, sf):
     bronze = fx.claims_raw(spark, sf, [*RAW_COLUMNS, *ORDER_COLUMNS])
     return dedup_latest(bronze, ["claim_id"], fx.newest_first()).select(*RAW_COLUMNS)
 
 
+QUERIES["dedup_latest"] = _dedup_latest
+
+
 @query
 def dedup_null_collapsed(spark, sf):
     bronze = fx.claims_raw(spark, sf, [*RAW_COLUMNS, *ORDER_COLUMNS])
@@ -624,31 +624,50 @@ def stream_latest_state(spark, sf):
 # -- files and whole loads --------------------------------------------------------------------
 
 def _write_csv(claims: DataFrame, path: str) -> None:
-    claims.write.options(header=True, ignoreLeadingWhiteSpace=False,
+    """Adds CSV files to a folder, texts as they are."""
+    claims.write.mode("append").options(header=True, ignoreLeadingWhiteSpace=False,
                          ignoreTrailingWhiteSpace=False).csv(path)
 
 
-def _write_batch(claims: DataFrame, path: str) -> None:
-    """Claims of one batch as CSV. Returned lines ('R') of voided claims come without their last
-    fields and those of adjusted claims with one too many, as broken feeds send them."""
+def _with_broken_lines(claims: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sound, short and long lines. Out-of-network voided claims come without their last fields
+    and out-of-network adjusted ones with one too many, as broken feeds send them."""
     short = F.col("claim_status").eqNullSafe("voided") & (F.col("network_flag") == "out")
     long = F.col("claim_status").eqNullSafe("Adjusted") & (F.col("network_flag") == "out")
-    _write_csv(claims.filter(~short & ~long), f"{path}/sound")
-    _write_csv(claims.filter(short).drop("line_of_business", "network_flag"), f"{path}/short")
-    _write_csv(claims.filter(long).withColumn("surplus", F.lit("x")), f"{path}/long")
+    return (claims.filter(~short & ~long),
+            claims.filter(short).drop("line_of_business", "network_flag"),
+            claims.filter(long).withColumn("surplus", F.lit("x")))
 
 
 @query
 def csv_roundtrip_corrupt(spark, sf):
     """All claims through CSV files, some of whose lines have too few or too many fields."""
     path = scratch_path(spark, "raw")
-    _write_batch(_claims(spark, sf), path)
-    read = src.read_raw(spark, f"{path}/*")
+    for rows in _with_broken_lines(_claims(spark, sf)):
+        _write_csv(rows, path)
+    read = src.read_raw(spark, path)
     name, location = _table(spark, "csv")
     tables.replace_partitions(src.add_provenance(read, fx.AS_OF), name, ["ingestion_date"], location)
     return _contents(spark, name, location).select(*RAW_COLUMNS, "is_corrupt", "batch_id")
 
 
+@query
+def run_log(spark, sf):
+    """The ingestion log after the files of two batches, with broken lines, were loaded."""
+    root = scratch_path(spark, "log")
+    cfg = batch.BatchConfig(raw_root=f"{root}/raw", prefix=f"log_{uuid.uuid4().hex}_",
+                            root=f"{root}/tables")
+    claims = fx.claims_raw(spark, sf, [*RAW_COLUMNS, "ingestion_date"])
+    first = F.col("ingestion_date") <= F.lit(FIRST_LOAD).cast("date")
+    for day, part in ((FIRST_LOAD, first), (SECOND_LOAD, ~first)):
+        for rows in _with_broken_lines(claims.filter(part).drop("ingestion_date")):
+            _write_csv(rows, f"{cfg.raw_root}/{day}")
+        batch.load_bronze(spark, cfg, day)
+    spark.sql(f"DROP TABLE {cfg.name(BRONZE)}")
+    log = _contents(spark, cfg.name(BRONZE_LOG), cfg.location(BRONZE_LOG))
+    return log.drop("source_path", "logged_at")
+
+
 def _run(spark, sf) -> tuple[list[batch.StageResult], batch.BatchConfig]:
     root = scratch_path(spark, "load")
     cfg = batch.BatchConfig(

@@ -82,7 +82,8 @@ def start_latest_state(
     """
     def merge(rows: DataFrame, _batch_id: int) -> None:
         newest = tables.staged(latest_events(rows))
-        tables.upsert(newest, table, ["claim_id"], location=location, newer_than="event_time")
+        tables.upsert(newest, table, ["claim_id"], location=location, newer_than="event_time",
+                      unique=True)
 
     writer = parsed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)

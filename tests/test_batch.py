@@ -109,6 +109,30 @@ def test_empty_batch_fails_the_checks(spark, tmp_path, new_table):
     assert got["checks"].status == "FAIL" and got["checks"].metrics["validity_pct"] == 0.0
 
 
+def test_stream_rows_join_the_batch(spark, tmp_path, new_table):
+    from test_stream import body, envelopes
+
+    from claimworks.operators import tables
+    from claimworks.sources.events import select_envelope
+    from claimworks.streaming.ingest import parse_events
+
+    day = datetime(2025, 3, 1, 5)
+    cfg = config(tmp_path, new_table, with_stream=True)
+    full = {"member_id": "M", "billed_amount": 20.0, "payer_id": "P"}
+    events = envelopes(spark, [(0, body("S1", **full)), (1, body("S2", **{**full, "billed_amount": 1.0})),
+                               (2, "no json"), (3, body("G001", **full))])
+    tables.append(parse_events(select_envelope(events), day), cfg.name(C.BRONZE_STREAM),
+                  ["ingestion_date"], cfg.location(C.BRONZE_STREAM))
+    write_raw(spark, cfg, "2025-03-01", [good(1), good(2)])
+    batch.run_batch(spark, cfg, "2025-03-01")
+    silver = {r["claim_id"]: r["billed_amount"] for r in spark.table(cfg.name(C.SILVER)).collect()}
+    assert set(silver) == {"G001", "G002", "S1"} and silver["S1"] == 20.0
+    assert silver["G001"] == 1500.0  # loaded later than the event
+    reasons = sorted(r["quarantine_reason"] for r in spark.table(cfg.name(C.QUARANTINE)).collect())
+    assert reasons[1] == '["PAID_EXCEEDS_BILLED"]' and reasons[0].startswith('["NULL_CLAIM_ID"')
+    assert "eh_offset" not in spark.table(cfg.name(C.SILVER)).columns
+
+
 def test_results_as_rows(spark):
     frame = batch.results_frame(spark, [batch.StageResult("bronze", "SUCCESS", {"a": 1, "b": None})])
     assert [tuple(r) for r in frame.collect()] == [

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from claims import SILVER_DDL
 from claimworks import fixture as fx
-from claimworks import queries as q
 from claimworks.operators import checks, tables
 from claimworks.operators.dedup import dedup_latest
 from claimworks.plans import gold
@@ -23,16 +22,6 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-WRITING = {"run_batch_summary", "upsert_claims", "upsert_claims_old_batch", "stream_latest_state"}
-
-
-@pytest.mark.parametrize("name", sorted(set(q.QUERIES) - WRITING))
-def test_no_cross_join_and_no_python(spark, name):
-    text = plan(q.QUERIES[name](spark, SF))
-    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "SinglePartition Sort"):
-        assert node not in text
-
-
 def test_hot_key_is_cut_before_the_shuffle(spark):
     bronze = fx.bronze_claims(spark, SF)
     text = plan(validated_claims(bronze, fx.AS_OF, order_by=fx.newest_first()))
