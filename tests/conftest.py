@@ -12,7 +12,7 @@ from claimworks.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     base = tmp_path_factory.mktemp("spark")
-    session = local_session(8, 4, **{
+    session = local_session(8, 2, **{
         "spark.sql.warehouse.dir": str(base / "warehouse"),
         "spark.checkpoint.dir": str(base / "shared"),
         "spark.driver.memory": "6g",
