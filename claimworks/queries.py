@@ -317,8 +317,8 @@ def gold_diagnosis_trending(spark, sf):
 
 @query
 def mom_calendar(spark, sf):
-    """Growth over the calendar month before, on weekly-thin data: one diagnosis and provider
-    payer pair has gaps between its months."""
+    """Growth over the calendar month before. Codes are split by provider, so that pairs of code
+    and payer have months without claims."""
     claims = _valid(spark, sf).withColumn(
         "icd10_code", F.concat("icd10_code", F.lit("/"), "provider_npi"))
     return gold.diagnosis_trending(claims, calendar=True).drop("gold_updated_at")
