@@ -64,9 +64,11 @@ def load_bronze(spark: SparkSession, cfg: BatchConfig, batch_date: str) -> Stage
     """
     path = f"{cfg.raw_root.rstrip('/')}/{batch_date}/"
     name = cfg.name(C.BRONZE)
-    tables.replace_partitions(
-        add_provenance(read_raw(spark, path), batch_date, cfg.run_ts),
-        name, ["ingestion_date"], cfg.location(C.BRONZE))
+    rows = add_provenance(read_raw(spark, path), batch_date, cfg.run_ts)
+    if tables.table_exists(spark, name) and rows.isEmpty():
+        tables.drop_partition(spark, name, {"ingestion_date": batch_date})  # no row names it
+    else:
+        tables.replace_partitions(rows, name, ["ingestion_date"], cfg.location(C.BRONZE))
     day = F.lit(batch_date).cast("date")
     counted = spark.table(name).filter(F.col("ingestion_date") == day).agg(
         F.count("*").alias("records_ingested"),

@@ -107,6 +107,10 @@ def test_empty_batch_fails_the_checks(spark, tmp_path, new_table):
     got = stages(batch.run_batch(spark, cfg, "2025-03-02"))
     assert got["bronze"].metrics["records_ingested"] == 0
     assert got["checks"].status == "FAIL" and got["checks"].metrics["validity_pct"] == 0.0
+    assert spark.table(cfg.name(C.BRONZE)).count() == 1
+    write_raw(spark, cfg, "2025-03-01", [])
+    assert batch.load_bronze(spark, cfg, "2025-03-01").metrics["records_ingested"] == 0
+    assert spark.table(cfg.name(C.BRONZE)).count() == 0
 
 
 def test_stream_rows_join_the_batch(spark, tmp_path, new_table):
