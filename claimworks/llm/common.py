@@ -2,17 +2,30 @@
 
 from __future__ import annotations
 
+import os
 import re
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
 
 from claimworks.session import scratch_path
 
 _SPACE = re.compile(r"(?<=[^ \t\n\r\f\v])(?=[ \t\n\r\f\v])")
 
 
+def ready(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, wherever the session
+    was started. A cluster gets the package with ``--py-files`` or installed."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ready(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -23,6 +36,11 @@ def written(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def extended(schema: StructType, **types: str) -> StructType:
+    """A copy of a schema with further fields; ``StructType.add`` would change the frame's own."""
+    return StructType([*schema.fields, *(StructField(n, StructType.fromDDL(f"x {t}")[0].dataType) for n, t in types.items())])
+
+
 def segments(text: str, size: int = 1 << 18):
     """The whole text in pieces of about ``size`` characters, cut only before white space that
     follows another character, so that memory stays bounded for very long texts."""

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimworks.llm.common import segments
+from claimworks.llm.common import extended, segments
 
 DIMENSIONS = 1024
 SEED = 20240
@@ -164,7 +164,7 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], key: str = "doc_id
 
     base = docs if keep else docs.select(key, F.col(text).alias("__text"))
     schema = base.schema if keep else base.select(key).schema
-    out = base.mapInArrow(judge, schema.add("__lang", "string").add("__score", "double"))
+    out = base.mapInArrow(judge, extended(schema, __lang="string", __score="double"))
     return out if keep else out.withColumnsRenamed({"__lang": "lang_pred", "__score": "score"})
 
 
