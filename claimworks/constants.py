@@ -39,6 +39,7 @@ AGE_UNREADABLE = -1.0
 BRONZE = "bronze_claims_raw"
 BRONZE_STREAM = "bronze_claims_realtime"
 BRONZE_LOG = "bronze_ingestion_log"
+STREAM_LOG = "bronze_stream_log"
 SILVER = "silver_claims"
 QUARANTINE = "quarantine_invalid_claims"
 DAILY_KPI = "gold_daily_claims_kpi"

@@ -1,10 +1,9 @@
 """Amount aggregates whose result does not depend on row order.
 
 Sums of doubles change with the order rows arrive in, so two runs of one job differ. Amounts are
-therefore summed as whole ten-thousandths in a bigint, which stays inside whole-stage codegen and
-has a fixed-width buffer for the map-side combine (a decimal sum would be kept as an object).
-Exact for amounts of up to four decimals. A group may sum up to 9.2e14; past that ANSI mode
-raises an error and never gives a wrong figure.
+therefore summed as decimals with ten places. An amount of 1e18 or more has no place among these:
+its doubles lie 128 apart and more. Such amounts are summed as doubles and added at the end, so one
+absurd line in a feed neither stops a load nor gets lost.
 """
 
 from __future__ import annotations
@@ -12,25 +11,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-UNITS = 10_000
-
-
-def _units(c: Column | str) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return F.rint(c * F.lit(float(UNITS))).cast("bigint")
+_EXACT = "decimal(28,10)"
+_EXACT_BELOW = 1e18
 
 
 def amount_sum(c: Column | str) -> Column:
-    """Aggregate: exact sum in units; NULL when there is no amount."""
-    return F.sum(_units(c))
-
-
-def to_amount(units: Column) -> Column:
-    return units.cast("double") / F.lit(float(UNITS))
+    """Aggregate: the sum as a double, exact to ten decimals; NULL when there is no amount."""
+    c = F.col(c) if isinstance(c, str) else c
+    small = F.abs(c) < _EXACT_BELOW
+    exact = F.sum(F.when(small, c).cast(_EXACT)).cast("double")
+    large = F.sum(F.when(~small, c))
+    return F.coalesce(exact + large, exact, large)
 
 
-def mean_amount(units: Column, count: Column) -> Column:
-    return to_amount(units) / F.nullif(count, F.lit(0)).cast("double")
+def mean_amount(total: Column, count: Column) -> Column:
+    return total / F.nullif(count, F.lit(0)).cast("double")
 
 
 def rate_pct(part: Column, whole: Column, digits: int = 2) -> Column:

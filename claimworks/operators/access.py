@@ -21,12 +21,15 @@ def mask_columns(
     df: DataFrame,
     columns: Sequence[str] = ("member_id", "provider_npi"),
     method: str = "pattern",
-    salt: str = "",
+    salt: str | None = None,
 ) -> DataFrame:
-    """``"pattern"`` hides letters and digits, ``"hash"`` gives a SHA-256 that still joins."""
+    """``"pattern"`` hides letters and digits, ``"hash"`` gives a SHA-256 that still joins. A hash
+    needs a salt that is kept secret: identifiers are short enough to try them all."""
     if method == "pattern":
         masked = {c: F.mask(F.col(c)) for c in columns}
     elif method == "hash":
+        if not salt:
+            raise ValueError("a hash needs a salt")
         masked = {c: F.sha2(F.concat(F.lit(salt), F.col(c)), 256) for c in columns}
     else:
         raise ValueError(f"method: {method!r}")

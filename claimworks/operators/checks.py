@@ -92,7 +92,9 @@ def verdict(measures: DataFrame, coverage: str = "rows") -> DataFrame:
         "distinct_coverage_pct": covered("bronze_distinct"),
         "validity_pct": F.coalesce(rate_pct(F.col("valid_count"), seen), F.lit(0.0)),
     })
-    judged = F.col("silver_coverage_pct" if coverage == "rows" else "distinct_coverage_pct")
+    wide = wide.withColumn(
+        "judged_coverage_pct", F.col("silver_coverage_pct" if coverage == "rows" else "distinct_coverage_pct"))
+    judged = F.col("judged_coverage_pct")
     limits = [
         (F.col("validity_pct") < MIN_VALIDITY_PCT, "VALIDITY_BELOW_95: ", F.col("validity_pct"), "%"),
         (F.col("future_dates_count") > 0, "FUTURE_DATES: ", F.col("future_dates_count"), ""),
@@ -116,7 +118,7 @@ def check_rows(judged: DataFrame) -> DataFrame:
                         passed.alias("passed"))
     c = F.col
     rows = F.array(
-        row("coverage", c("silver_coverage_pct"), c("silver_coverage_pct") >= MIN_COVERAGE_PCT),
+        row("coverage", c("judged_coverage_pct"), c("judged_coverage_pct") >= MIN_COVERAGE_PCT),
         row("validity", c("validity_pct"), c("validity_pct") >= MIN_VALIDITY_PCT),
         row("future_dates", c("future_dates_count"), c("future_dates_count") == 0),
         row("duplicates", c("duplicate_claim_ids"), c("duplicate_claim_ids") == 0),
@@ -126,7 +128,7 @@ def check_rows(judged: DataFrame) -> DataFrame:
 
 
 def freshness(
-    tables: dict[str, DataFrame | None], run_ts: datetime | Column | None = None
+    spark: SparkSession, tables: dict[str, DataFrame | None], run_ts: datetime | Column | None = None
 ) -> DataFrame:
     """Minutes since the last update of each table; fixed values for empty and missing ones."""
     now = run_ts if isinstance(run_ts, Column) else (
@@ -141,7 +143,6 @@ def freshness(
         result = row if result is None else result.unionByName(row)
     missing = [(name, AGE_UNREADABLE) for name, df in tables.items() if df is None]
     if missing:
-        spark = SparkSession.getActiveSession()
         row = spark.createDataFrame(missing, "table_name string, age_minutes double")
         result = row if result is None else result.unionByName(row)
     return result
@@ -161,12 +162,12 @@ def open_tables(spark: SparkSession, names: list[str]) -> dict[str, DataFrame |
 def audit_row(
     judged: DataFrame, batch_date: str | date, run_ts: datetime | Column | None = None
 ) -> DataFrame:
-    """The row kept for each run."""
+    """The row kept for each run; its coverage is the one that was judged."""
     now = run_ts if isinstance(run_ts, Column) else (
         F.current_timestamp() if run_ts is None else F.lit(run_ts))
     return judged.select(
         F.lit(str(batch_date)).alias("batch_date"), "overall_status", "validity_pct",
-        "silver_coverage_pct", "future_dates_count",
+        F.col("judged_coverage_pct").alias("silver_coverage_pct"), "future_dates_count",
         F.col("duplicate_claim_ids").alias("duplicate_count"), "sla_violations",
         now.alias("logged_at"),
     )

@@ -16,9 +16,10 @@ def dedup_latest(
 ) -> DataFrame:
     """One row per key: the first under ``order_by``.
 
-    All remaining columns break ties, so the kept row never depends on row order. Rows with a
-    NULL key are no duplicates of each other: ``"keep"`` passes them on without a shuffle,
-    ``"collapse"`` treats NULL as one key.
+    A hash of all remaining columns breaks ties, so the kept row never depends on row order. Rows
+    with a NULL key are no duplicates of each other: ``"keep"`` numbers them, which makes each its
+    own group and spreads them evenly; ``"collapse"`` treats NULL as one key. The input is read
+    once.
 
     The filter on the rank lets Spark cut every map-side partition down to one row per key
     before the shuffle (WindowGroupLimit), so a key with a third of all rows sends one row per
@@ -26,16 +27,13 @@ def dedup_latest(
     """
     if null_keys not in ("keep", "collapse"):
         raise ValueError(f"null_keys: {null_keys!r}")
-    ties = [F.col(c).desc_nulls_last() for c in sorted(set(df.columns) - set(keys))]
-    newest_first = Window.partitionBy(*keys).orderBy(*order_by, *ties)
-
-    def ranked(part: DataFrame) -> DataFrame:
-        return (part.withColumn("_rank", F.row_number().over(newest_first))
-                .filter(F.col("_rank") == 1).drop("_rank"))
-
-    if null_keys == "collapse":
-        return ranked(df)
+    rest = sorted(set(df.columns) - set(keys))
     any_null = F.lit(False)
-    for key in keys:
+    for key in keys if null_keys == "keep" else ():
         any_null = any_null | F.col(key).isNull()
-    return ranked(df.filter(~any_null)).unionByName(df.filter(any_null))
+    numbered = df.withColumns({
+        "_tie": F.xxhash64(*rest) if rest else F.lit(0),
+        "_apart": F.when(any_null, F.monotonically_increasing_id())})
+    newest_first = Window.partitionBy(*keys, "_apart").orderBy(*order_by, F.desc("_tie"))
+    return (numbered.withColumn("_rank", F.row_number().over(newest_first))
+            .filter(F.col("_rank") == 1).drop("_rank", "_tie", "_apart"))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimworks.session import scratch_path, session_conf
+from claimworks.session import remove_scratch, scratch_path, session_conf
 
 FORMAT = "parquet"
 
@@ -24,10 +24,6 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name)
-
-
 def create(
     df: DataFrame,
     name: str,
@@ -107,6 +103,19 @@ def _insert_over(df: DataFrame, name: str) -> None:
         df.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
 
 
+def remove_rows(spark: SparkSession, name: str, test: Column) -> None:
+    """Delete the rows of a partitioned table for which ``test`` holds; without any, nothing is
+    written. Only partitions with such rows are rewritten."""
+    if not table_exists(spark, name):
+        return
+    spark.catalog.refreshTable(name)
+    parts = partition_columns(spark, name)
+    touched = spark.table(name).filter(test).select(*parts).distinct().collect()
+    if touched:
+        kept = spark.table(name).filter(_in_partitions(parts, touched)).filter(~F.coalesce(test, F.lit(False)))
+        _move_in(kept, name, touched)
+
+
 def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
@@ -145,6 +154,7 @@ def upsert(
     location: str | None = None,
     newer_than: str | None = None,
     unique: bool = False,
+    stale: Column | None = None,
 ) -> list[dict]:
     """Rows with a known key replace the old ones, the others are added.
 
@@ -153,7 +163,9 @@ def upsert(
     ``source`` is read several times: pass a table that has been written, not a long plan.
     ``newer_than`` names a column: a source row whose value is smaller than that of the row it
     would replace is left out, so that running an old batch again keeps newer rows. ``unique``
-    says that no key occurs twice in the source, which is checked otherwise.
+    says that no key occurs twice in the source, which is checked otherwise. ``stale`` is a test
+    on target rows that must not outlive this upsert: those for which it holds and whose key the
+    source lacks are removed, for example rows an earlier run of the same batch had written.
 
     Plain files have no row-level update, so partitions are rewritten, and only those that hold
     a source row or the old copy of one. Old copies are looked up once, in the key, partition and
@@ -177,24 +189,27 @@ def upsert(
     parts = partition_columns(spark, name)
 
     wanted = dict.fromkeys([*keys, *parts, *([newer_than] if newer_than else [])])
-    held = staged(target.select(*wanted).join(source.select(*keys), keys, "left_semi"))
+    scratch = [_stage(target.select(*wanted).join(source.select(*keys), keys, "left_semi"))]
+    held = spark.read.schema(target.select(*wanted).schema).format(FORMAT).load(scratch[0])
     if newer_than:
-        source = staged(_without_stale(source, held, keys, newer_than))
+        scratch.append(_stage(_without_stale(source, held, keys, newer_than)))
+        source = spark.read.schema(source.schema).format(FORMAT).load(scratch[1])
         held = held.join(source.select(*keys), keys, "left_semi")
     touched: list[Row] = []
     if parts:
-        touched = (source.select(*parts).distinct()
-                   .union(held.select(*parts).distinct()).distinct().collect())
+        places = source.select(*parts).distinct().union(held.select(*parts).distinct())
+        if stale is not None:
+            places = places.union(target.filter(stale).select(*parts).distinct())
+        touched = places.distinct().collect()
         if not touched:
+            remove_scratch(spark, *scratch)
             return []
         target = target.filter(_in_partitions(parts, touched))
     kept = target.join(held.select(*keys), keys, "left_anti")
-    if parts and _is_broadcast(held.select(*keys)):
-        # No shuffle comes before: kept rows still sit with their partition and stay there.
-        rows, lay_out = kept.unionByName(source.hint("rebalance", *parts)), False
-    else:
-        rows, lay_out = kept.unionByName(source), True
-    _move_in(rows, name, touched, lay_out)
+    if stale is not None:
+        kept = kept.filter(~F.coalesce(stale, F.lit(False)))
+    _move_in(kept.unionByName(source), name, touched)
+    remove_scratch(spark, *scratch)
     return [row.asDict() for row in touched]
 
 
@@ -212,34 +227,51 @@ def _without_stale(source: DataFrame, held: DataFrame, keys: list[str], version:
             .select(*source.columns))
 
 
-def _is_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate is under its own broadcast limit."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
-
-
 def _in_partitions(parts: list[str], values: list) -> Column:
-    """Test on the bare partition columns, resolved from the catalog before any file is opened."""
-    test = F.lit(False)
+    """Test on the bare partition columns, resolved from the catalog before any file is opened.
+
+    One list of last values per combination of leading ones, joined as a balanced tree: deep
+    chains of conditions overflow the stack of the planner.
+    """
+    *leading, last = parts
+    groups: dict[tuple, list] = {}
     for row in values:
-        same = F.lit(True)
-        for part in parts:
-            same = same & (F.col(part).isNull() if row[part] is None
-                           else F.col(part) == F.lit(row[part]))
-        test = test | same
-    return test
+        groups.setdefault(tuple(row[p] for p in leading), []).append(row[last])
+    tests = []
+    for key, found in groups.items():
+        known = [v for v in found if v is not None]
+        test = F.col(last).isin(known) if known else F.lit(False)
+        if len(known) < len(found):
+            test = test | F.col(last).isNull()
+        for part, value in zip(leading, key):
+            test = test & (F.col(part).isNull() if value is None else F.col(part) == F.lit(value))
+        tests.append(test)
+    return _any(tests)
+
+
+def _any(tests: list[Column]) -> Column:
+    if len(tests) < 2:
+        return tests[0] if tests else F.lit(False)
+    return _any(tests[:len(tests) // 2]) | _any(tests[len(tests) // 2:])
 
 
 def staged(df: DataFrame) -> DataFrame:
     """Written to a new path of the shared folder and read back.
 
     For rows that are read more than once: lineage is cut, nothing is computed twice, and a lost
-    executor loses no result. No shuffle is added.
+    executor loses no result. No shuffle is added. The caller owns the files: they stay until it
+    removes them (``release``) or the folder is cleared.
     """
     path = _stage(df)
     return df.sparkSession.read.schema(df.schema).format(FORMAT).load(path)
 
 
+def release(*frames: DataFrame) -> None:
+    """Remove the files behind frames that ``staged`` gave, once nothing reads them any more."""
+    for df in frames:
+        remove_scratch(df.sparkSession, *{f.rsplit("/", 1)[0] for f in df.inputFiles()[:1]})
+
+
 def _stage(df: DataFrame, parts: Sequence[str] = (), lay_out: bool = False) -> str:
     path = scratch_path(df.sparkSession, "stage")
     rows = df.hint("rebalance", *parts) if lay_out and parts else df
@@ -290,6 +322,7 @@ def _finish_move(spark: SparkSession, name: str, arrange=None) -> None:
             if tuple(row) not in filled:
                 drop_partition(spark, name, row.asDict())
     spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ('{_PENDING}')")
+    remove_scratch(spark, path, f"{path}-touched")
 
 
 def _readable(spark: SparkSession, path: str) -> bool:

@@ -15,12 +15,8 @@ def rnd(x: str, digits: int = 2) -> str:
     return f"round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,15)), {digits})::DOUBLE"
 
 
-def units(x: str) -> str:
-    return f"sum(round({x} * 10000)::BIGINT)::BIGINT"
-
-
 def total(x: str) -> str:
-    return f"({units(x)}::DOUBLE / 10000.0)"
+    return f"CAST(CAST(sum(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,10))) AS VARCHAR) AS DOUBLE)"
 
 
 def mean(x: str) -> str:
@@ -163,7 +159,7 @@ TO_VALID = f"{TO_CHECKED}, {VALID}"
 TO_CHECKED3 = ", ".join([RAW, newest(null_keys="collapse"), typed(), CHECKED3])
 
 DENIED = "count(*) FILTER (WHERE claim_status = 'DENIED')"
-MEAN_PAID = f"({units('paid_amount')}::DOUBLE / 10000.0) / nullif(count(paid_amount), 0)::DOUBLE"
+MEAN_PAID = f"{total('paid_amount')} / nullif(count(paid_amount), 0)::DOUBLE"
 
 
 def kpi(report_date: str = AS_OF, name: str = "kpi") -> str:

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimworks import constants as C
@@ -18,7 +18,8 @@ from claimworks.plans.views import refresh_kpi_snapshot
 from claimworks.sources.raw import add_provenance, bronze_union, read_batch, read_raw
 
 _SILVER_PARTITIONS = ("service_year", "service_month")
-_STREAM_ONLY = ("event_time", "partition_id", "eh_offset", "event_type", "submission_ts")
+_STREAM_ONLY = ("event_time", "partition_id", "eh_offset", "event_type", "submission_ts", "micro_batch")
+_NEWEST_EVENT = ("event_time DESC NULLS LAST", "try_cast(eh_offset AS BIGINT) DESC NULLS LAST")
 _CLUSTER_BY = ("payer_id", "service_date", "claim_status", "member_id")
 
 
@@ -28,7 +29,12 @@ class BatchConfig:
 
     ``raw_root`` has one folder per batch date. ``prefix`` goes before every table name, for
     example ``"claims."`` for a database. With ``root`` tables are external, one folder each.
-    ``with_stream`` adds the day's rows of the event table to the batch before cleaning.
+    ``with_stream`` adds the rows of the event table that were loaded since the batch before, up to
+    ``run_ts``; a batch that runs again takes the same rows. Of the copies of a claim the last
+    loaded wins, then the newest event, then the first by ``order_by`` (SQL), then by file.
+    ``coverage="distinct"`` judges coverage by distinct claims, so that dropped copies are no loss;
+    ``"rows"`` counts them as one. Tables are compacted and silver is clustered unless ``layout``
+    is off.
     """
 
     raw_root: str
@@ -39,7 +45,8 @@ class BatchConfig:
     policy: str = NULL_SAFE
     coverage: str = "distinct"
     report_date: str = "silver_updated_at"
-    cluster_silver: bool = False
+    layout: bool = True
+    order_by: tuple[str, ...] = ()
     with_stream: bool = False
 
     def name(self, table: str) -> str:
@@ -77,6 +84,8 @@ def load_bronze(spark: SparkSession, cfg: BatchConfig, batch_date: str) -> Stage
         [(batch_date, counted["records_ingested"], counted["corrupt_records"], path, "SUCCESS",
           cfg.run_ts or datetime.now())], schemas.INGESTION_LOG)
     tables.append(log, cfg.name(C.BRONZE_LOG), location=cfg.location(C.BRONZE_LOG))
+    if cfg.layout and counted["records_ingested"]:
+        tables.compact(spark, name, [{"ingestion_date": date.fromisoformat(batch_date)}])
     return StageResult("bronze", "SUCCESS", {"batch_date": batch_date, **counted})
 
 
@@ -87,11 +96,13 @@ def load_silver(spark: SparkSession, cfg: BatchConfig, batch_date: str) -> Stage
     upsert all read that copy.
     """
     bronze = read_batch(spark.table(cfg.name(C.BRONZE)), batch_date)
+    order = ["ingestion_ts DESC NULLS LAST", *cfg.order_by, "source_file DESC NULLS LAST"]
     if cfg.with_stream:
-        stream = spark.table(cfg.name(C.BRONZE_STREAM)).filter(
-            F.col("ingestion_date") == F.lit(batch_date).cast("date"))
-        bronze = bronze_union(bronze, stream).drop(*_STREAM_ONLY)
-    checked = tables.staged(validated_claims(bronze, cfg.as_of, cfg.policy))
+        bronze = bronze_union(bronze, stream_rows(spark, cfg, batch_date))
+        order[1:1] = _NEWEST_EVENT
+    checked = tables.staged(validated_claims(
+        bronze, cfg.as_of, cfg.policy, order_by=[_ordered(o) for o in order]).drop(*_STREAM_ONLY).withColumn(
+            "ingestion_date", F.lit(batch_date).cast("date")))
     counts = validity(checked).first().asDict()
     status = counts.pop("status")
 
@@ -103,15 +114,55 @@ def load_silver(spark: SparkSession, cfg: BatchConfig, batch_date: str) -> Stage
         tables.drop_partition(spark, quarantine, {"ingestion_date": batch_date})
 
     silver = cfg.name(C.SILVER)
+    known = tables.table_exists(spark, silver)
+    valid = tables.staged(silver_rows(checked, batch_date, cfg.run_ts))
     touched = tables.upsert(
-        tables.staged(silver_rows(checked, batch_date, cfg.run_ts)), silver, ["claim_id"],
-        _SILVER_PARTITIONS, cfg.location(C.SILVER), newer_than="silver_batch_date", unique=True)
-    if cfg.cluster_silver:
+        valid, silver, ["claim_id"], _SILVER_PARTITIONS, cfg.location(C.SILVER),
+        newer_than="silver_batch_date", unique=True,
+        stale=F.col("silver_batch_date") == F.lit(batch_date).cast("date"))
+    if cfg.layout and (touched or not known):
         tables.cluster(spark, silver, _CLUSTER_BY, touched)
     removed = bronze.count() - counts["total"]
+    tables.release(checked, valid)
     return StageResult("silver", status, {"batch_date": batch_date, **counts, "dupes_removed": removed})
 
 
+def _ordered(text: str) -> Column:
+    """``expression [ASC|DESC] [NULLS FIRST|LAST]`` as a sort order."""
+    words = text.split()
+    last = words[-1].upper() if len(words) > 2 and words[-2].upper() == "NULLS" else None
+    words = words[:-2] if last else words
+    down = words[-1].upper() == "DESC"
+    c = F.expr(" ".join(words[:-1] if words[-1].upper() in ("ASC", "DESC") else words))
+    if down:
+        return c.desc_nulls_first() if last == "FIRST" else c.desc_nulls_last()
+    return c.asc_nulls_last() if last == "LAST" else c.asc_nulls_first()
+
+
+def stream_rows(spark: SparkSession, cfg: BatchConfig, batch_date: str) -> DataFrame:
+    """Rows of the real-time table for this batch: loaded after what the batch before took, up to
+    this run. The interval is logged, and a batch that runs again takes its own interval."""
+    name, up_to = cfg.name(C.STREAM_LOG), cfg.run_ts or datetime.now()
+    after = None
+    if tables.table_exists(spark, name):
+        spark.catalog.refreshTable(name)
+        own = spark.table(name).filter(F.col("batch_date") == batch_date).orderBy("up_to_ts").first()
+        if own:
+            after, up_to = own["after_ts"], own["up_to_ts"]
+        else:
+            after = spark.table(name).agg(F.max("up_to_ts")).first()[0]
+    else:
+        own = None
+    if own is None:
+        row = spark.createDataFrame([(batch_date, after, up_to)], schemas.STREAM_LOG)
+        tables.append(row, name, location=cfg.location(C.STREAM_LOG))
+    rows = spark.table(cfg.name(C.BRONZE_STREAM)).filter(
+        (F.col("ingestion_ts") <= F.lit(up_to)) & (F.col("ingestion_date") <= F.to_date(F.lit(up_to))))
+    if after is None:
+        return rows
+    return rows.filter((F.col("ingestion_ts") > F.lit(after)) & (F.col("ingestion_date") >= F.to_date(F.lit(after))))
+
+
 def load_gold(spark: SparkSession, cfg: BatchConfig, batch_date: str) -> StageResult:
     """Rebuild the aggregate tables from all valid claims."""
     claims = spark.table(cfg.name(C.SILVER)).filter("is_valid")
@@ -120,6 +171,8 @@ def load_gold(spark: SparkSession, cfg: BatchConfig, batch_date: str) -> StageRe
         options = {"report_date": cfg.report_date} if table == C.DAILY_KPI else {}
         tables.overwrite(build(claims, run_ts=cfg.run_ts, **options), cfg.name(table),
                          cfg.location(table))
+        if cfg.layout:
+            tables.compact(spark, cfg.name(table))
         rows[table] = spark.table(cfg.name(table)).count()
     return StageResult("gold", "SUCCESS", {"batch_date": batch_date, **rows})
 
@@ -145,7 +198,8 @@ def run_checks(spark: SparkSession, cfg: BatchConfig, batch_date: str) -> StageR
                   location=cfg.location(C.CHECK_LOG))
     figures = judged.first().asDict()
     names = [cfg.name(t) for t in C.GOLD_TABLES]
-    ages = checks.freshness(checks.open_tables(spark, names), cfg.run_ts).collect()
+    ages = checks.freshness(spark, checks.open_tables(spark, names), cfg.run_ts).collect()
+    tables.release(judged)
     figures["gold_freshness_mins"] = {row["table_name"]: row["age_minutes"] for row in ages}
     return StageResult("checks", figures.pop("overall_status"), {"batch_date": batch_date, **figures})
 

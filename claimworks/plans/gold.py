@@ -17,19 +17,19 @@ from claimworks.constants import (
     DENIED, HIGH_CLAIMS, HIGH_PAID, MEDIUM_CLAIMS, MEDIUM_PAID, PREFERRED_BELOW_PCT,
     STANDARD_BELOW_PCT,
 )
-from claimworks.functions import amount_sum, mean_amount, rate_pct, to_amount
+from claimworks.functions import amount_sum, mean_amount, rate_pct
 
-#: Amount sums in whole units, turned into amounts after the aggregate.
-_UNITS = {"billed_amount": "_billed", "allowed_amount": "_allowed", "paid_amount": "_paid"}
+#: Names of amount sums inside the aggregates.
+_SUMS = {"billed_amount": "_billed", "allowed_amount": "_allowed", "paid_amount": "_paid"}
 
 
 #: Columns the daily KPI reads; with another report date, that one instead of the update time.
 KPI_COLUMNS = ("silver_updated_at", "payer_id", "claim_status", "line_of_business", "network_flag",
-               "claim_id", "member_id", "provider_npi", *_UNITS)
+               "claim_id", "member_id", "provider_npi", *_SUMS)
 
 
 def _sums(*amounts: str) -> list[Column]:
-    return [amount_sum(a).alias(_UNITS[a]) for a in amounts]
+    return [amount_sum(a).alias(_SUMS[a]) for a in amounts]
 
 
 def _denied() -> Column:
@@ -79,15 +79,15 @@ def daily_kpi(
     paid, billed = F.col("_paid"), F.col("_billed")
     return counted.join(right, same_group).select(
         *keys, "claim_count", "unique_members", "unique_providers",
-        to_amount(billed).alias("total_billed"),
-        to_amount(F.col("_allowed")).alias("total_allowed"),
-        to_amount(paid).alias("total_paid"),
+        billed.alias("total_billed"),
+        F.col("_allowed").alias("total_allowed"),
+        paid.alias("total_paid"),
         mean_amount(paid, F.col("_paid_claims")).alias("avg_paid_per_claim"),
         F.col("_q")[0].alias("median_paid"),
         F.col("_q")[1].alias("p95_paid"),
         "denied_count",
         rate_pct(F.col("denied_count"), F.col("claim_count")).alias("denial_rate_pct"),
-        rate_pct(to_amount(paid), to_amount(billed)).alias("payment_rate_pct"),
+        rate_pct(paid, billed).alias("payment_rate_pct"),
         _updated(run_ts),
     )
 
@@ -109,12 +109,12 @@ def provider_scorecard(claims: DataFrame, run_ts: datetime | None = None) -> Dat
     denial = rate_pct(F.col("_denied"), F.col("total_claims"))
     return scored.select(
         *keys, "total_claims", "patients_served",
-        to_amount(billed).alias("total_billed"),
-        to_amount(paid).alias("total_paid"),
+        billed.alias("total_billed"),
+        paid.alias("total_paid"),
         mean_amount(paid, F.col("_paid_claims")).alias("avg_claim_value"),
         denial.alias("denial_rate_pct"),
         "unique_diagnoses", "unique_procedures", "icd10_codes_used",
-        rate_pct(to_amount(paid), to_amount(billed), 1).alias("cost_efficiency_score"),
+        rate_pct(paid, billed, 1).alias("cost_efficiency_score"),
         provider_tier(denial).alias("provider_tier"),
         _updated(run_ts),
     )
@@ -138,10 +138,10 @@ def member_360(claims: DataFrame, run_ts: datetime | None = None) -> DataFrame:
         _denied().alias("denied_claims"),
         _distinct_list("network_flag").alias("network_usage"),
     )
-    claims_n, paid = F.col("lifetime_claims"), to_amount(F.col("_paid"))
+    claims_n, paid = F.col("lifetime_claims"), F.col("_paid")
     return lived.select(
         *keys, "lifetime_claims",
-        to_amount(F.col("_billed")).alias("lifetime_billed"),
+        F.col("_billed").alias("lifetime_billed"),
         paid.alias("lifetime_paid"),
         "first_service_date", "last_service_date", "unique_providers_seen", "unique_diagnoses",
         "denied_claims", "network_usage",
@@ -181,7 +181,7 @@ def diagnosis_trending(
     before = F.lag("claim_count").over(history)
     if calendar:
         before = F.when(F.lag(index).over(history) == index - 1, before)
-    paid, n, prev = to_amount(F.col("_paid")), F.col("claim_count"), F.col("prev_month_claims")
+    paid, n, prev = F.col("_paid"), F.col("claim_count"), F.col("prev_month_claims")
     return monthly.withColumn("prev_month_claims", before).select(
         *keys, "claim_count", "patients_affected",
         paid.alias("total_paid"),

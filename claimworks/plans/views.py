@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimworks.constants import KPI_SNAPSHOT, RISK_VIEW_MIN_CLAIMS, TOP_DIAGNOSES
-from claimworks.functions import amount_sum, share_pct, to_amount
+from claimworks.functions import amount_sum, share_pct
 from claimworks.operators import tables
 
 
 def _total(column: str) -> Column:
     """Sum of an amount column, the same in every run."""
-    return to_amount(amount_sum(column))
+    return amount_sum(column)
 
 
 def _mean(column: str) -> Column:

@@ -176,7 +176,7 @@ def bronze_union(spark, sf):
     both = clean(src.bronze_union(_bronze(spark, sf), stream))
     return both.groupBy(
         F.col("partition_id").isNull().alias("from_batch"), "claim_status", "payer_id").agg(
-        F.count("*").alias("n"), gold.to_amount(gold.amount_sum("paid_amount")).alias("paid"))
+        F.count("*").alias("n"), gold.amount_sum("paid_amount").alias("paid"))
 
 
 # -- duplicates and rules ---------------------------------------------------------------------
@@ -543,7 +543,7 @@ def check_freshness(spark, sf):
         k: events.filter(F.col("event_type") == k) for k in ("click", "purchase", "view")}
     kinds["empty"] = events.filter(F.col("value") < 0)
     kinds["missing"] = None
-    return checks.freshness(kinds, _run_ts())
+    return checks.freshness(spark, kinds, _run_ts())
 
 
 @query

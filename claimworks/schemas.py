@@ -1,48 +1,22 @@
-"""Declared schemas: nothing in this package infers one."""
+"""Declared schemas as DDL text: nothing in this package infers one."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 from claimworks.constants import RAW_COLUMNS
 
 CORRUPT = "_corrupt_record"
 
-_TYPES = {
-    "string": T.StringType(), "double": T.DoubleType(), "bigint": T.LongType(),
-    "date": T.DateType(), "timestamp": T.TimestampType(), "binary": T.BinaryType(),
-}
-
-
-def _schema(fields: str) -> T.StructType:
-    """Fields as "name type, ..."; needs no session, unlike the DDL parser."""
-    pairs = [item.split() for item in fields.split(",")]
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
-
-
-RAW = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
-RAW_WITH_CORRUPT = T.StructType(RAW.fields + [T.StructField(CORRUPT, T.StringType())])
+RAW = ", ".join(f"{c} string" for c in RAW_COLUMNS)
+RAW_WITH_CORRUPT = f"{RAW}, {CORRUPT} string"
 
-EVENT = _schema(
-    "claim_id string, member_id string, provider_npi string, service_date string, "
-    "icd10_code string, cpt_code string, billed_amount double, allowed_amount double, "
-    "paid_amount double, claim_status string, payer_id string, event_type string, "
-    "submission_ts string"
-)
-ENVELOPE = _schema(
-    "enqueuedTime timestamp, body binary, partition string, offset string"
-)
+# Fixed names: the fields of an event body and of its envelope.
+EVENT = """claim_id string, member_id string, provider_npi string, service_date string,
+    icd10_code string, cpt_code string, billed_amount double, allowed_amount double,
+    paid_amount double, claim_status string, payer_id string, event_type string,
+    submission_ts string"""
+ENVELOPE = "enqueuedTime timestamp, body binary, partition string, offset string"
 
-INGESTION_LOG = _schema(
-    "batch_date string, records_ingested bigint, corrupt_records bigint, source_path string, "
-    "status string, logged_at timestamp"
-)
-CHECK_LOG = _schema(
-    "batch_date string, overall_status string, validity_pct double, "
-    "silver_coverage_pct double, future_dates_count bigint, duplicate_count bigint, "
-    "sla_violations string, logged_at timestamp"
-)
-KPI_SNAPSHOT = _schema(
-    "snapshot_date date, payer_id string, total_claims bigint, total_billed double, "
-    "total_paid double, avg_denial_rate double, refreshed_at timestamp"
-)
+# Fixed names: the log of loads. The stream log keeps which load times each batch has taken.
+INGESTION_LOG = """batch_date string, records_ingested bigint, corrupt_records bigint,
+    source_path string, status string, logged_at timestamp"""
+STREAM_LOG = "batch_date string, after_ts timestamp, up_to_ts timestamp"

@@ -58,6 +58,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_scratch(spark: SparkSession, *paths: str) -> None:
+    """Delete folders that ``scratch_path`` named; anything outside the shared folder is left."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = hadoop.Path(shared_folder(spark)).toUri().getPath()
+    for path in paths:
+        folder = hadoop.Path(path)
+        if folder.toUri().getPath().startswith(f"{root}/"):
+            folder.getFileSystem(conf).delete(folder, True)
+
+
 @contextmanager
 def session_conf(spark: SparkSession, **settings: str):
     """Set SQL settings (``__`` stands for a dot) for one action and put the old ones back."""

@@ -58,8 +58,10 @@ def bronze_union(batch: DataFrame, stream: DataFrame) -> DataFrame:
     """Batch and stream rows in one frame, matched by name; columns only one side has are NULL.
 
     Stream values are typed already and the cleaning step takes text, so they go back to text,
-    in a form that parses to the same value.
+    in a form that parses to the same value; the identifier as it was sent.
     """
+    if "provider_npi_text" in stream.columns:
+        stream = stream.withColumn("provider_npi", F.col("provider_npi_text")).drop("provider_npi_text")
     texts = [F.col(c).cast("string").alias(c) if c in RAW_COLUMNS else F.col(c)
              for c in stream.columns]
     return batch.unionByName(

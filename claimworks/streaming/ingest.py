@@ -1,11 +1,13 @@
 """Claim events: parse, clean with the batch functions, append to a table, keep latest states.
 
 The chain from source to table is stateless and has no shuffle; its rate is set by the source
-(``maxFilesPerTrigger`` or ``maxOffsetsPerTrigger``) and by the trigger.
+(``maxFilesPerTrigger`` or ``maxOffsetsPerTrigger``) and by the trigger. Micro-batches go into an
+ordinary partitioned table, so compaction and batch loads treat it like any other.
 """
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -17,11 +19,16 @@ from claimworks.operators import tables
 from claimworks.operators.dedup import dedup_latest
 from claimworks.schemas import EVENT
 
+#: Column that names the micro-batch a row of the real-time table came in.
+MICRO_BATCH = "micro_batch"
+
 
 def parse_events(envelope: DataFrame, ingestion_ts: datetime | None = None) -> DataFrame:
     """JSON bodies as typed, cleaned columns; a body that is no JSON gives NULL fields.
 
-    Works on streams and on tables alike. The offset stays, so that events can be told apart.
+    Works on streams and on tables alike. The offset stays, so that events can be told apart, and so
+    does the identifier as it was sent: after padding its length says nothing, and the row rules of
+    a batch test the length.
     """
     now = F.current_timestamp() if ingestion_ts is None else F.lit(ingestion_ts)
     fields = envelope.withColumn("data", F.from_json("payload", EVENT)).select(
@@ -32,6 +39,7 @@ def parse_events(envelope: DataFrame, ingestion_ts: datetime | None = None) -> D
         "service_date": parse_date("service_date"),
         "claim_status": norm_code("claim_status"),
         "provider_npi": pad_npi("provider_npi"),
+        "provider_npi_text": F.trim("provider_npi"),
     })
 
 
@@ -44,17 +52,26 @@ def start_ingest(
 ) -> StreamingQuery:
     """Append to a table partitioned by load date; ``every=None`` takes what is there and stops.
 
-    The checkpoint makes a restart go on where the last run ended. The caller decides how long
-    to wait for the query.
+    The checkpoint makes a restart go on where the last run ended. A batch that runs again after a
+    failure replaces what its first run had written: rows carry the name of their micro-batch.
+    The caller decides how long to wait for the query.
     """
-    writer = (
-        parsed.writeStream.format(tables.FORMAT).outputMode("append")
-        .option("checkpointLocation", checkpoint).partitionBy("ingestion_date")
-    )
-    if location:
-        writer = writer.option("path", location)
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        if rows.isEmpty() and tables.table_exists(rows.sparkSession, table):
+            return
+        name = f"{stream}-{batch_id}"
+        tables.remove_rows(rows.sparkSession, table, F.col(MICRO_BATCH) == name)
+        tables.append(rows.withColumn(MICRO_BATCH, F.lit(name)), table, ["ingestion_date"], location)
+
+    return _start(parsed, write, checkpoint, every)
+
+
+def _start(parsed: DataFrame, write, checkpoint: str, every: str | None) -> StreamingQuery:
+    writer = parsed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return writer.toTable(table)
+    return writer.start()
 
 
 def latest_events(events: DataFrame) -> DataFrame:
@@ -73,18 +90,21 @@ def start_latest_state(
     checkpoint: str,
     location: str | None = None,
     every: str | None = "10 seconds",
+    buckets: int = 64,
 ) -> StreamingQuery:
-    """Keep the newest event of each claim in a table.
+    """Keep the newest event of each claim in a table, partitioned by a hash of the claim.
 
+    A micro-batch rewrites the buckets its claims fall into; one without claims rewrites nothing.
     Each micro-batch is an upsert that never replaces a newer event, so a batch that is run
     again after a failure, or comes out of order, leaves the same table. Other sessions refresh
     the table (``spark.catalog.refreshTable``) before they read it.
     """
     def merge(rows: DataFrame, _batch_id: int) -> None:
-        newest = tables.staged(latest_events(rows))
-        tables.upsert(newest, table, ["claim_id"], location=location, newer_than="event_time",
-                      unique=True)
-
-    writer = parsed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)
-    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return writer.start()
+        bucket = F.pmod(F.xxhash64("claim_id"), F.lit(buckets)).cast("int")
+        newest = tables.staged(latest_events(rows).withColumn("claim_bucket", bucket))
+        if not newest.isEmpty() or not tables.table_exists(rows.sparkSession, table):
+            tables.upsert(newest, table, ["claim_id"], ["claim_bucket"], location,
+                          newer_than="event_time", unique=True)
+        tables.release(newest)
+
+    return _start(parsed, merge, checkpoint, every)

@@ -4,6 +4,7 @@ import pytest
 
 from claims import AS_OF, RAW
 from claimworks import constants as C
+from claimworks.constants import RAW_COLUMNS
 from claimworks.plans import batch
 from claimworks.schemas import RAW as RAW_SCHEMA
 
@@ -19,12 +20,12 @@ def write_raw(spark, cfg, day, rows, extra_lines=()):
         f"{cfg.raw_root}/{day}", header=True)
     if extra_lines:
         with open(f"{cfg.raw_root}/{day}/extra.csv", "w") as f:
-            f.write("\n".join([",".join(RAW_SCHEMA.names), *extra_lines]) + "\n")
+            f.write("\n".join([",".join(RAW_COLUMNS), *extra_lines]) + "\n")
 
 
 def good(i, **fields):
-    values = dict(zip(RAW_SCHEMA.names, RAW[0])) | {"claim_id": f"G{i:03}"} | fields
-    return tuple(values[n] for n in RAW_SCHEMA.names)
+    values = dict(zip(RAW_COLUMNS, RAW[0])) | {"claim_id": f"G{i:03}"} | fields
+    return tuple(values[n] for n in RAW_COLUMNS)
 
 
 def stages(results):
@@ -34,7 +35,7 @@ def stages(results):
 def test_whole_load(spark, tmp_path, new_table):
     now = datetime.now().replace(microsecond=0)
     day = now.date().isoformat()
-    cfg = config(tmp_path, new_table, run_ts=now, cluster_silver=True)
+    cfg = config(tmp_path, new_table, run_ts=now)
     write_raw(spark, cfg, day, [good(i) for i in range(40)] + [good(0)] + [good(99, member_id=None)],
               ["SHORT,MBR", ",".join(["LONG"] + ["x"] * 20)])
     got = stages(batch.run_batch(spark, cfg, day))
@@ -48,7 +49,7 @@ def test_whole_load(spark, tmp_path, new_table):
     assert set(got["checks"].metrics["gold_freshness_mins"].values()) == {0.0}
     assert got["snapshot"].metrics["rows_affected"] == 1
     snapshot = spark.table(cfg.name(C.KPI_SNAPSHOT)).first()
-    assert (snapshot["payer_id"], snapshot["total_claims"], snapshot["total_paid"]) == ("PYR001", 40, 48000.0)
+    assert (snapshot["payer_id"], snapshot["total_claims"], snapshot["total_paid"]) == ("NORTH", 40, 60000.0)
     bronze = spark.table(cfg.name(C.BRONZE))
     assert bronze.filter("source_file LIKE '%extra.csv' AND is_corrupt").count() == 2
     assert bronze.first()["batch_id"] == "batch_" + day.replace("-", "")
@@ -87,7 +88,7 @@ def test_loading_again_changes_nothing_and_old_batches_do_not_win(spark, tmp_pat
 
     for day in ("2025-03-01", "2025-03-02"):
         batch.run_batch(spark, cfg, day)
-    expected = [("G001", 7.0, 2, "2025-03-02"), ("G002", 1200.0, 1, "2025-03-01")]
+    expected = [("G001", 7.0, 2, "2025-03-02"), ("G002", 1500.0, 4, "2025-03-01")]
     assert silver() == expected
     batch.run_batch(spark, cfg, "2025-03-01")
     assert silver() == expected
@@ -131,12 +132,112 @@ def test_stream_rows_join_the_batch(spark, tmp_path, new_table):
     batch.run_batch(spark, cfg, "2025-03-01")
     silver = {r["claim_id"]: r["billed_amount"] for r in spark.table(cfg.name(C.SILVER)).collect()}
     assert set(silver) == {"G001", "G002", "S1"} and silver["S1"] == 20.0
-    assert silver["G001"] == 1500.0  # loaded later than the event
+    assert silver["G001"] == 2000.0  # loaded later than the event
     reasons = sorted(r["quarantine_reason"] for r in spark.table(cfg.name(C.QUARANTINE)).collect())
     assert reasons[1] == '["PAID_EXCEEDS_BILLED"]' and reasons[0].startswith('["NULL_CLAIM_ID"')
     assert "eh_offset" not in spark.table(cfg.name(C.SILVER)).columns
 
 
+def stream_table(spark, cfg, *batches):
+    """Events in the real-time table: (load time, rows) each."""
+    from test_stream import envelopes
+
+    from claimworks.operators import tables
+    from claimworks.sources.events import select_envelope
+    from claimworks.streaming.ingest import parse_events
+    for loaded, rows in batches:
+        tables.append(parse_events(select_envelope(envelopes(spark, rows)), loaded), cfg.name(C.BRONZE_STREAM),
+                      ["ingestion_date"], cfg.location(C.BRONZE_STREAM))
+
+
+def test_stream_the_newest_event_wins_and_identifiers_are_judged_as_sent(spark, tmp_path, new_table):
+    from test_stream import body
+
+    cfg = config(tmp_path, new_table, with_stream=True, run_ts=datetime(2025, 3, 1, 6))
+    full = {"member_id": "M", "billed_amount": 900.0, "payer_id": "P", "provider_npi": "1234567890"}
+    stream_table(spark, cfg, (datetime(2025, 3, 1, 5), [
+        (0, body("S1", **{**full, "allowed_amount": 800.0, "claim_status": "PENDING"})),
+        (30, body("S1", **{**full, "allowed_amount": 100.0, "claim_status": "DENIED"})),
+        (1, body("LONG", **{**full, "provider_npi": "12345678901"})), (1, body("BLANK", **{**full, "provider_npi": " "}))]))
+    write_raw(spark, cfg, "2025-03-01", [good(1)])
+    batch.run_batch(spark, cfg, "2025-03-01")
+    silver = {r["claim_id"]: r for r in spark.table(cfg.name(C.SILVER)).collect()}
+    assert set(silver) == {"G001", "S1"} and silver["S1"]["claim_status"] == "DENIED"
+    bad = spark.table(cfg.name(C.QUARANTINE)).collect()
+    assert {(r["claim_id"], r["quarantine_reason"]) for r in bad} == {
+        ("LONG", '["INVALID_NPI_LENGTH"]'), ("BLANK", '["INVALID_NPI_LENGTH"]')}
+
+
+def test_late_stream_rows_come_with_the_next_batch(spark, tmp_path, new_table):
+    from dataclasses import replace
+
+    from test_stream import body
+
+    cfg = config(tmp_path, new_table, with_stream=True, run_ts=datetime(2025, 3, 1, 2))
+    full = {"member_id": "M", "billed_amount": 900.0, "payer_id": "P"}
+    stream_table(spark, cfg, (datetime(2025, 3, 1, 1), [(0, body("EARLY", **full))]),
+                 (datetime(2025, 3, 1, 20), [(0, body("LATE", **full))]), (datetime(2025, 3, 2, 1), [(0, body("NEXT", **full))]))
+    for day in ("2025-03-01", "2025-03-02"):
+        write_raw(spark, cfg, day, [good(int(day[-1]))])
+
+    def silver():
+        spark.catalog.refreshTable(cfg.name(C.SILVER))
+        return {(r["claim_id"], str(r["silver_batch_date"])) for r in spark.table(cfg.name(C.SILVER)).collect()}
+
+    batch.run_batch(spark, cfg, "2025-03-01")
+    first = {("G001", "2025-03-01"), ("EARLY", "2025-03-01")}
+    assert silver() == first
+    batch.run_batch(spark, replace(cfg, run_ts=datetime(2025, 3, 2, 2)), "2025-03-02")
+    second = first | {("G002", "2025-03-02"), ("LATE", "2025-03-02"), ("NEXT", "2025-03-02")}
+    assert silver() == second
+    batch.run_batch(spark, replace(cfg, run_ts=datetime(2025, 3, 5)), "2025-03-01")  # its own rows again
+    assert silver() == second
+
+
+def test_a_corrected_batch_takes_its_old_rows_away(spark, tmp_path, new_table):
+    cfg = config(tmp_path, new_table)
+    write_raw(spark, cfg, "2025-03-01", [good(1, service_date="2025-01-05"), good(2)])
+    batch.run_batch(spark, cfg, "2025-03-01")
+    write_raw(spark, cfg, "2025-03-01", [good(1, member_id=None), good(2)])
+    batch.run_batch(spark, cfg, "2025-03-01")
+    assert [r["claim_id"] for r in spark.table(cfg.name(C.SILVER)).collect()] == ["G002"]
+    assert [r["claim_id"] for r in spark.table(cfg.name(C.QUARANTINE)).collect()] == ["G001"]
+
+
+def test_an_absurd_amount_harms_no_load(spark, tmp_path, new_table):
+    cfg = config(tmp_path, new_table)
+    write_raw(spark, cfg, "2025-03-01", [good(1, billed_amount="1e16", paid_amount="1e16"), good(2),
+                                         good(3, billed_amount="1e300", paid_amount="0.00004")])
+    got = stages(batch.run_batch(spark, cfg, "2025-03-01"))
+    assert got["gold"].status == "SUCCESS"
+    row = spark.table(cfg.name(C.MEMBER_360)).first()
+    assert row["lifetime_billed"] == 1e300 and row["lifetime_paid"] == 1e16 + 1500
+
+
+def test_order_by_decides_between_copies(spark, tmp_path, new_table):
+    cfg = config(tmp_path, new_table, order_by=("paid_amount ASC",))
+    write_raw(spark, cfg, "2025-03-01", [good(1, paid_amount="70"), good(1, paid_amount="8"), good(1, paid_amount="90")])
+    batch.run_batch(spark, cfg, "2025-03-01")
+    assert [r["paid_amount"] for r in spark.table(cfg.name(C.SILVER)).collect()] == [8.0]
+
+
+def test_a_load_leaves_no_scratch(spark, tmp_path, new_table):
+    import os
+
+    from claimworks.session import shared_folder
+    folder = shared_folder(spark).removeprefix("file://").removeprefix("file:")
+
+    def held():
+        return {f for f in os.listdir(folder) if f.startswith("stage-")} if os.path.isdir(folder) else set()
+
+    before = held()
+    cfg = config(tmp_path, new_table)
+    write_raw(spark, cfg, "2025-03-01", [good(1), good(2, member_id=None)])
+    for _ in range(2):
+        batch.run_batch(spark, cfg, "2025-03-01")
+    assert held() == before
+
+
 def test_results_as_rows(spark):
     frame = batch.results_frame(spark, [batch.StageResult("bronze", "SUCCESS", {"a": 1, "b": None})])
     assert [tuple(r) for r in frame.collect()] == [

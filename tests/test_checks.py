@@ -38,6 +38,15 @@ def test_coverage_of_distinct_claims(spark):
     assert (row["silver_coverage_pct"], row["distinct_coverage_pct"]) == (47.5, 95.0)
 
 
+def test_rows_and_audit_report_the_coverage_that_was_judged(spark):
+    rows = [(k, v) for k, v in {**MEASURES, "bronze_count": 200}.items()]
+    for coverage, value in (("rows", 47.5), ("distinct", 95.0)):
+        judged = checks.verdict(spark.createDataFrame(rows, "measure string, n bigint"), coverage)
+        row = checks.check_rows(judged).filter("check = 'coverage'").first()
+        assert (row["value"], row["passed"]) == (value, coverage == "distinct")
+        assert checks.audit_row(judged, "2025-01-01").first()["silver_coverage_pct"] == value
+
+
 def test_measures_not_taken_count_as_zero(spark):
     only = spark.createDataFrame([("bronze_count", 3)], "measure string, n bigint")
     assert checks.verdict(only).first()["quarantined_count"] == 0
@@ -70,7 +79,7 @@ def test_freshness(spark, new_table):
     empty = f"{name}_empty"
     spark.table(name).limit(0).write.saveAsTable(empty)
     opened = checks.open_tables(spark, [name, empty, "no_such_table"])
-    ages = dict(checks.freshness(opened, datetime(2025, 1, 1, 1, 30, 3)).collect())
+    ages = dict(checks.freshness(spark, opened, datetime(2025, 1, 1, 1, 30, 3)).collect())
     assert ages == {name: 90.1, empty: 9999.0, "no_such_table": -1.0}
 
 
@@ -85,8 +94,10 @@ def test_masks(spark):
     df = spark.createDataFrame([("MBR-001", "1234567890"), (None, None)], "member_id string, provider_npi string")
     shown = access.mask_columns(df).collect()
     assert tuple(shown[0]) == ("XXX-nnn", "nnnnnnnnnn") and tuple(shown[1]) == (None, None)
-    hashed = access.mask_columns(df, method="hash").first()
+    hashed = access.mask_columns(df, method="hash", salt="y").first()
     assert len(hashed["member_id"]) == 64
     assert access.mask_columns(df, method="hash", salt="x").first() != hashed
+    with pytest.raises(ValueError):
+        access.mask_columns(df, method="hash")
     with pytest.raises(ValueError):
         access.mask_columns(df, method="none")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from claimworks.constants import DATE_FORMATS
 from claimworks.functions import (
-    amount_sum, norm_code, pad_npi, parse_date, parse_money, rate_pct, share_pct, to_amount,
+    amount_sum, norm_code, pad_npi, parse_date, parse_money, rate_pct, share_pct,
 )
 
 
@@ -54,10 +54,19 @@ def test_rates_without_a_whole_are_null(spark):
 
 def test_amount_sum_is_exact(spark):
     df = spark.range(1000).select(F.lit(0.1).alias("a"))
-    assert df.agg(to_amount(amount_sum("a"))).first()[0] == 100.0
+    assert df.agg(amount_sum("a")).first()[0] == 100.0
     assert df.agg(F.sum("a")).first()[0] != 100.0
 
 
 def test_amount_sum_of_nothing_is_null(spark):
     df = spark.createDataFrame([(None,)], "a double")
     assert df.agg(amount_sum("a")).first()[0] is None
+
+
+def test_amount_sum_keeps_small_parts_and_takes_any_size(spark):
+    df = spark.createDataFrame([(0.00004,), (0.00004,), (0.00004,), (None,)], "a double")
+    assert df.agg(amount_sum("a")).first()[0] == 0.00012
+    df = spark.createDataFrame([(1e16,), (0.1,), (0.2,)], "a double")
+    assert df.agg(amount_sum("a")).first()[0] == 1e16
+    df = spark.createDataFrame([(1e300,), (-1e300,), (0.1,)] + [(9.9e17,)] * 50, "a double")
+    assert df.agg(amount_sum("a")).first()[0] == 4.95e19

@@ -14,11 +14,11 @@ def silver(spark):
 
 def test_daily_kpi(silver):
     rows = gold.daily_kpi(silver).collect()
-    assert sum(r["claim_count"] for r in rows if r["payer_id"] == "P1") == 2
-    one = next(r for r in rows if r["claim_status"] == "APPROVED" and r["payer_id"] == "P1")
-    assert (one["total_billed"], one["total_paid"], one["payment_rate_pct"]) == (1000.0, 800.0, 80.0)
-    assert (one["median_paid"], one["p95_paid"], one["denial_rate_pct"]) == (800.0, 800.0, 0.0)
-    assert one["report_date"] == date(2025, 3, 1)
+    assert sum(r["claim_count"] for r in rows if r["payer_id"] == "NORTH") == 2
+    one = next(r for r in rows if r["claim_status"] == "APPROVED" and r["payer_id"] == "NORTH")
+    assert (one["total_billed"], one["total_paid"], one["payment_rate_pct"]) == (1600.0, 1200.0, 75.0)
+    assert (one["median_paid"], one["p95_paid"], one["denial_rate_pct"]) == (1200.0, 1200.0, 0.0)
+    assert one["report_date"] == date(2025, 5, 2)
 
 
 def test_daily_kpi_groups_with_null_keys_survive(spark, silver):
@@ -42,11 +42,11 @@ def test_quantiles_are_elements(spark):
 
 def test_provider_scorecard(silver):
     rows = {r["provider_npi"]: r for r in gold.provider_scorecard(silver).collect()}
-    one = rows["NPI1111111"]
+    one = rows["DOC0000001"]
     assert (one["denial_rate_pct"], one["provider_tier"]) == (50.0, "REVIEW")
-    assert one["icd10_codes_used"] == ["E11.9", "J06.9"] and one["unique_diagnoses"] == 2
-    assert one["cost_efficiency_score"] == 53.3
-    assert rows["NPI2222222"]["provider_tier"] == "PREFERRED"
+    assert one["icd10_codes_used"] == ["K21.0", "M54.5"] and one["unique_diagnoses"] == 2
+    assert one["cost_efficiency_score"] == 60.0
+    assert rows["DOC0000002"]["provider_tier"] == "PREFERRED"
 
 
 @pytest.mark.parametrize("rate, tier", [
@@ -64,14 +64,14 @@ def test_risk_tier_edges(spark, n, paid, tier):
 
 def test_member_360(silver):
     rows = {(r["member_id"], r["payer_id"]): r for r in gold.member_360(silver).collect()}
-    one = rows["M1", "P1"]
+    one = rows["PA", "NORTH"]
     assert (one["risk_tier"], one["days_as_patient"], one["network_usage"]) == ("LOW", 0, ["IN"])
-    assert one["avg_cost_per_episode"] == 800.0
+    assert one["avg_cost_per_episode"] == 1200.0
 
 
 def monthly(spark, months):
     rows = [(f"C{y}{m}{i}", "M1", "N", date(y, m, 1), 10.0, 10.0, 5.0, "APPROVED", "P", "D", "1",
-             "L", "IN", y, m, date(2025, 3, 1)) for y, m, n in months for i in range(n)]
+             "L", "IN", y, m, date(2025, 5, 2)) for y, m, n in months for i in range(n)]
     return spark.createDataFrame(rows, SILVER_DDL)
 
 
@@ -102,13 +102,13 @@ def test_top_diagnoses_breaks_ties_by_code_then_payer(spark):
 
 
 def test_tier_summary_and_latest_tier(spark, silver):
-    later = silver.filter("claim_id = 'C1'").withColumn("service_month", F.lit(2))
+    later = silver.filter("claim_id = 'S-1'").withColumn("service_month", F.lit(5))
     scored = gold.provider_scorecard(silver.unionByName(later))
     summary = {r["provider_npi"]: r for r in views.provider_tier_summary(scored).collect()}
-    assert summary["NPI1111111"]["current_tier"] == "REVIEW"
-    assert summary["NPI1111111"]["avg_denial_rate_pct"] == 25.0
+    assert summary["DOC0000001"]["current_tier"] == "REVIEW"
+    assert summary["DOC0000001"]["avg_denial_rate_pct"] == 25.0
     latest = {r["provider_npi"]: r for r in views.provider_latest_tier(scored).collect()}
-    assert (latest["NPI1111111"]["latest_month"], latest["NPI1111111"]["latest_tier"]) == (2, "PREFERRED")
+    assert (latest["DOC0000001"]["latest_month"], latest["DOC0000001"]["latest_tier"]) == (5, "PREFERRED")
 
 
 def test_dashboard_adds_up_and_exact_does_not_double_count(silver):
@@ -130,12 +130,12 @@ def test_high_risk_members(spark, silver):
 def test_snapshot_creates_then_updates(spark, silver, new_table):
     name, location = new_table("snap")
     kpi = gold.daily_kpi(silver)
-    assert views.refresh_kpi_snapshot(kpi, "2025-03-01", name, location) == 2
-    more = gold.daily_kpi(silver.unionByName(silver.filter("payer_id = 'P1'")))
-    assert views.refresh_kpi_snapshot(more, "2025-03-01", name, location) == 2
+    assert views.refresh_kpi_snapshot(kpi, "2025-05-02", name, location) == 2
+    more = gold.daily_kpi(silver.unionByName(silver.filter("payer_id = 'NORTH'")))
+    assert views.refresh_kpi_snapshot(more, "2025-05-02", name, location) == 2
     assert views.refresh_kpi_snapshot(kpi, "2024-01-01", name, location) == 0
     got = {r["payer_id"]: r["total_claims"] for r in spark.table(name).collect()}
-    assert got == {"P1": 4, "P2": 1}
+    assert got == {"NORTH": 4, "SOUTH": 1}
 
 
 def test_views_over_catalog_tables(spark, silver, new_table):

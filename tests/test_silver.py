@@ -7,6 +7,7 @@ from claimworks.operators.rules import (
     THREE_VALUED, apply_rules, claim_rules, quarantine_rows, rule_counts, valid_rows, validity,
 )
 from claimworks.plans.silver import validated_claims
+from claimworks.constants import RAW_COLUMNS
 from claimworks.schemas import RAW as RAW_SCHEMA
 
 
@@ -16,7 +17,7 @@ def raw(spark, rows=RAW):
 
 
 def changed(**fields):
-    names = RAW_SCHEMA.names
+    names = RAW_COLUMNS
     return tuple(fields.get(n, v) for n, v in zip(names, RAW[0]))
 
 
@@ -26,12 +27,12 @@ def flags(spark, row, policy="null_safe"):
 
 
 def test_clean_types_and_derives(spark):
-    row = clean(raw(spark)).filter("claim_id = 'CLM001'").first()
-    assert str(row["service_date"]) == "2025-01-10"
-    assert (row["billed_amount"], row["paid_amount"]) == (1500.0, 1200.0)
+    row = clean(raw(spark)).filter("claim_id = 'T-1'").first()
+    assert str(row["service_date"]) == "2025-04-15"
+    assert (row["billed_amount"], row["paid_amount"]) == (2000.0, 1500.0)
     assert row["claim_status"] == "APPROVED"
-    assert (row["payment_rate_pct"], row["adjustment_amount"]) == (80.0, 300.0)
-    assert (row["service_year"], row["service_month"], row["service_ym"]) == (2025, 1, "2025-01")
+    assert (row["payment_rate_pct"], row["adjustment_amount"]) == (75.0, 500.0)
+    assert (row["service_year"], row["service_month"], row["service_ym"]) == (2025, 4, "2025-04")
 
 
 def test_zero_billed_has_no_rate(spark):
@@ -40,17 +41,28 @@ def test_zero_billed_has_no_rate(spark):
 
 def test_dedup_keeps_one_row_per_claim(spark):
     out = dedup_latest(raw(spark), ["claim_id"], [F.desc("ingestion_ts")])
-    assert sorted(r["claim_id"] for r in out.collect()) == ["CLM001", "CLM002", "CLM003", "CLM004"]
+    assert sorted(r["claim_id"] for r in out.collect()) == ["T-1", "T-2", "T-3", "T-4"]
 
 
 def test_dedup_takes_the_newest_and_breaks_ties_alike_in_any_row_order(spark):
     df = spark.createDataFrame(
         [("k", 1, "a"), ("k", 2, "b"), ("k", 2, "c"), ("l", 1, "x")], "id string, v int, t string")
+    first = None
     for parts in (1, 3, 7):
         for order in ("t", "v"):
             shuffled = df.orderBy(F.desc(order)).repartition(parts)
             got = {r["id"]: r["t"] for r in dedup_latest(shuffled, ["id"], [F.desc("v")]).collect()}
-            assert got == {"k": "c", "l": "x"}
+            first = first or got
+            assert got == first and got["k"] in "bc" and got["l"] == "x"
+    newest = dedup_latest(df, ["id"], [F.desc("v"), F.desc("t")]).collect()
+    assert {r["id"]: r["t"] for r in newest} == {"k": "c", "l": "x"}
+    assert newest[0].asDict().keys() == {"id", "v", "t"}
+
+
+def test_dedup_reads_its_input_once(spark, tmp_path):
+    raw(spark).write.parquet(str(tmp_path / "r"))
+    plan = dedup_latest(spark.read.parquet(str(tmp_path / "r")), ["claim_id"], [F.desc("ingestion_ts")])
+    assert plan._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
 
 
 def test_null_keys_are_kept_or_collapsed(spark):
@@ -63,9 +75,9 @@ def test_rules_on_the_five_rows(spark):
     out = validated_claims(raw(spark), AS_OF)
     got = {r["claim_id"]: (r["is_valid"], r["dq_flags"]) for r in out.collect()}
     assert got == {
-        "CLM001": (True, "[]"), "CLM002": (True, "[]"),
-        "CLM003": (False, '["NULL_MEMBER_ID"]'),
-        "CLM004": (False, '["NEGATIVE_AMOUNT","PAID_EXCEEDS_BILLED"]'),
+        "T-1": (True, "[]"), "T-2": (True, "[]"),
+        "T-3": (False, '["NULL_MEMBER_ID"]'),
+        "T-4": (False, '["NEGATIVE_AMOUNT","PAID_EXCEEDS_BILLED"]'),
     }
     summary = validity(out).first()
     assert (summary["total"], summary["valid"], summary["invalid"]) == (4, 2, 2)
@@ -78,12 +90,12 @@ def test_each_rule(spark):
         ({"claim_status": "ODD"}, "INVALID_STATUS"), ({"claim_status": None}, "INVALID_STATUS"),
         ({"billed_amount": "-2000", "paid_amount": "-3000"}, "NEGATIVE_AMOUNT"),
         ({"service_date": "2026-01-01"}, "FUTURE_DATE"), ({"service_date": "x"}, "NULL_SERVICE_DATE"),
-        ({"service_date": None}, "NULL_SERVICE_DATE"), ({"paid_amount": "1501"}, "PAID_EXCEEDS_BILLED"),
+        ({"service_date": None}, "NULL_SERVICE_DATE"), ({"paid_amount": "2001"}, "PAID_EXCEEDS_BILLED"),
         ({"provider_npi": "12345678901"}, "INVALID_NPI_LENGTH"),
         ({"provider_npi": None}, "INVALID_NPI_LENGTH"), ({"provider_npi": "  "}, "INVALID_NPI_LENGTH"),
     ]:
         assert flags(spark, changed(**fields)) == (False, f'["{flag}"]'), fields
-    for fields in ({"provider_npi": "12345"}, {"service_date": AS_OF}, {"paid_amount": "$1,500.00"},
+    for fields in ({"provider_npi": "12345"}, {"service_date": AS_OF}, {"paid_amount": "$2,000.00"},
                    {"member_id": ""}, {"billed_amount": "?"}):
         assert flags(spark, changed(**fields)) == (True, "[]"), fields
 
@@ -96,7 +108,7 @@ def test_three_valued_policy_loses_rows_with_unknown_flags(spark):
 
 
 def test_every_row_is_valid_or_quarantined(spark):
-    rows = RAW + [changed(claim_id=None, **{c: None}) for c in RAW_SCHEMA.names[1:]]
+    rows = RAW + [changed(claim_id=None, **{c: None}) for c in RAW_COLUMNS[1:]]
     out = validated_claims(raw(spark, rows), AS_OF)
     assert valid_rows(out).count() + quarantine_rows(out).count() == out.count() == 4 + 12
 
@@ -106,7 +118,7 @@ def test_rule_counts_and_array(spark):
     got = dict(rule_counts(cleaned, claim_rules(AS_OF)).collect())
     assert got["NULL_MEMBER_ID"] == 1 and got["NULL_CLAIM_ID"] == 0 and len(got) == 8
     named = apply_rules(cleaned, claim_rules(AS_OF), keep_array=True)
-    assert named.filter("claim_id = 'CLM003'").first()["dq_flag_names"] == ["NULL_MEMBER_ID"]
+    assert named.filter("claim_id = 'T-3'").first()["dq_flag_names"] == ["NULL_MEMBER_ID"]
 
 
 def test_validity_of_nothing(spark):

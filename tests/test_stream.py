@@ -114,3 +114,34 @@ def test_processing_time_trigger(spark, tmp_path, new_table, every):
         assert spark.table(name).count() == 1
     finally:
         query.stop()
+
+
+def test_the_real_time_table_can_be_compacted(spark, tmp_path, new_table):
+    from claimworks.operators import tables
+
+    name, location = new_table("compact")
+    path, state = str(tmp_path / "in"), str(tmp_path / "state")
+
+    def run():
+        stream = parse_events(select_envelope(envelope_stream(spark, path, max_files_per_trigger=1)))
+        start_ingest(stream, name, state, location, every=None).awaitTermination(120)
+        spark.catalog.refreshTable(name)
+        return sorted(r["eh_offset"] + (r["claim_id"] or "") for r in spark.table(name).collect())
+
+    write_files(spark, path, [(0, body("C1")), (1, body("C2"))])
+    assert run() == ["0C1", "0C2"]
+    tables.compact(spark, name)
+    write_files(spark, path, [(2, body("C3"))])
+    assert run() == ["0C1", "0C2", "0C3"]
+
+
+def test_a_batch_that_runs_again_replaces_itself(spark, tmp_path, new_table):
+    from claimworks.operators import tables
+    from claimworks.streaming.ingest import MICRO_BATCH
+
+    name, location = new_table("again")
+    rows = parse_events(select_envelope(envelopes(spark, [(0, body("C1")), (1, body("C2"))])), START)
+    for batch in ("x-0", "x-1", "x-1"):
+        tables.remove_rows(spark, name, F.col(MICRO_BATCH) == batch)
+        tables.append(rows.withColumn(MICRO_BATCH, F.lit(batch)), name, ["ingestion_date"], location)
+    assert sorted(r[MICRO_BATCH] for r in spark.table(name).collect()) == ["x-0", "x-0", "x-1", "x-1"]

@@ -199,3 +199,19 @@ def test_a_move_that_was_cut_short_is_finished(spark, loaded, monkeypatch):
     assert contents(spark, name) == [
         ("a", 1, 1, 1), ("b", 2, 1, 2), ("c", 2, 1, 2), ("d", 1, 3, 1), ("e", 3, 5, 3)]
     assert not glob.glob(f"{loaded[1]}/part=2/*.parquet")
+
+
+def test_many_partitions_fit_one_condition(spark):
+    df = spark.range(3).select(F.col("id").alias("a"), F.col("id").alias("b"), F.col("id").alias("c"))
+    rows = [{"a": i, "b": None if i == 1 else i} for i in range(5000)]
+    test = tables._in_partitions(["a", "b"], rows)
+    assert [r["a"] for r in df.filter(test).collect()] == [0, 2]
+    flat = tables._in_partitions(["a"], [{"a": i} for i in [*range(2, 5000), None]])
+    assert [r["a"] for r in df.filter(flat).collect()] == [2]
+
+
+def test_upsert_removes_stale_rows(spark, loaded):
+    name, _ = loaded
+    touched = tables.upsert(frame(spark, ("a", 7, 1, 1)), name, ["id"], stale=F.col("version") == 1)
+    assert contents(spark, name) == [("a", 7, 1, 1)]
+    assert len(touched) == 3
