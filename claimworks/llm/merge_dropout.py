@@ -31,10 +31,14 @@ from claimworks.llm.common import extended
 
 _SPACE = "▁"
 _UNITS = re.compile(r" *[^ ]+| +")
-#: Entries per cache; characters of a word that is cached and whose agenda is a plain list.
-_KEPT = 250_000
+#: Entries per cache; characters of a word that is cached and whose agenda is a plain list; rows
+#: that leave a worker together, since texts, ids and decoded texts add up.
+_KEPT_UNITS, _KEPT_PARTS = 60_000, 200_000
+_ROWS = 512
 _LONG = 64
 _NONE = 1 << 40
+#: Odd multipliers of the keyed hash; it has 16 bits, so a dropout counts in steps of 1/65536.
+_LEFT, _RANK, _MIX = 0x9E3779B1, 0x85EBCA6B, 0xC2B2AE3D
 
 
 class Vocabulary:
@@ -82,10 +86,7 @@ class Vocabulary:
 
 def skips(key: int, left: int, rank: int, limit: int) -> bool:
     """Whether the keyed hash skips the candidate of this rank whose first character is ``left``."""
-    h = (key ^ left * 0x9E3779B1 ^ rank * 0x85EBCA6B) & 0xFFFFFFFF
-    h = (h ^ h >> 16) * 0x7FEB352D & 0xFFFFFFFF
-    h = (h ^ h >> 15) * 0x846CA68B & 0xFFFFFFFF
-    return (h ^ h >> 16) < limit
+    return ((key ^ left * _LEFT ^ rank * _RANK) * _MIX >> 20) & 0xFFFF < limit
 
 
 def segment(word: str, rank: dict, key: int = 0, limit: int = 0) -> list[str]:
@@ -99,7 +100,7 @@ def segment(word: str, rank: dict, key: int = 0, limit: int = 0) -> list[str]:
         if first == _NONE:
             break
         i = agenda.index(first)
-        if limit and skips(key, at[i], first, limit):
+        if limit and ((key ^ at[i] * _LEFT ^ first * _RANK) * _MIX >> 20) & 0xFFFF < limit:  # skips()
             agenda[i] = _NONE
             continue
         symbols[i] = joined = symbols[i] + symbols[i + 1]
@@ -162,8 +163,8 @@ class Words:
         self.vocabulary, self.limit = vocabulary, limit
         self.base = zlib.crc32(f"{seed}/{variant}".encode())
         self.literal = struct.pack("<3I", *(vocabulary.byte_ids[b] for b in _SPACE.encode()))
-        self.parts = _Cache(self._part, _KEPT)
-        self.units = _Cache(self._unit, _KEPT)
+        self.parts = _Cache(self._part, _KEPT_PARTS)
+        self.units = _Cache(self._unit, _KEPT_UNITS)
 
     def _part(self, part: str) -> bytes:
         key = zlib.crc32(part.encode("utf-8", "replace"), self.base)
@@ -177,7 +178,7 @@ class Words:
 
 class Encoder:
     def __init__(self, path: str, seed: int, dropout: float, variants: int, run_words: int):
-        vocabulary, limit = Vocabulary(path), int(dropout * 2 ** 32)
+        vocabulary, limit = Vocabulary(path), round(dropout * 2 ** 16)
         self.vocabulary, self.seed, self.run_words = vocabulary, seed, run_words
         self.words = [Words(vocabulary, seed, v, limit) for v in range(variants if limit else 1)]
 
@@ -191,28 +192,39 @@ class Encoder:
             out.extend(map(self.words[variant].units.__getitem__, units[at:at + self.run_words]))
         return b"".join(out)
 
-    def decode(self, ids: bytes) -> str:
-        pieces = self.vocabulary.bytes_of
-        out = b"".join(map(pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-        return (out[1:] if out[:1] == b" " else out).decode("utf-8", "replace")
-
 
 _encoders: dict[tuple, Encoder] = {}
 
 
+_vocabularies: dict[str, list[bytes]] = {}
+
+
 def encoder(*settings) -> Encoder:
+    """The worker's encoder; another setting takes its place."""
     if settings not in _encoders:
         _encoders.clear()
         _encoders[settings] = Encoder(*settings)
     return _encoders[settings]
 
 
+def text_of(ids: bytes, pieces: list[bytes]) -> str:
+    """The text of ids: the bytes of its pieces, without the space the encoder puts in front."""
+    out = b"".join(map(pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+    return (out[1:] if out[:1] == b" " else out).decode("utf-8", "replace")
+
+
+def _slices(batches):
+    for batch in batches:
+        for start in range(0, batch.num_rows, _ROWS):
+            yield batch.slice(start, _ROWS)
+
+
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", *, seed: int = 7,
-           dropout: float = 0.1, variants: int = 3, run_words: int = 64) -> DataFrame:
+           dropout: float = 0.1, variants: int = 2, run_words: int = 64) -> DataFrame:
     """``key, text, ids`` per row: ids as little-endian unsigned 32-bit words."""
     def run(batches):
         coder = encoder(path, seed, dropout, variants, run_words)
-        for batch in batches:
+        for batch in _slices(batches):
             ids = [coder.encode(t.as_py(), k) for k, t in zip(batch.column(0).to_pylist(), batch.column(1))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], names=[key, "text", "ids"])
 
@@ -225,10 +237,11 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     schema = encoded.schema
 
     def run(batches):
-        coder = encoder(path, 0, 0.0, 1, 64)
+        if path not in _vocabularies:
+            _vocabularies[path] = Vocabulary(path).bytes_of
         at = schema.names.index(ids)
-        for batch in batches:
-            texts = [None if b is None else coder.decode(b) for b in batch.column(at).to_pylist()]
+        for batch in _slices(batches):
+            texts = [None if b is None else text_of(b, _vocabularies[path]) for b in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
                                              names=[*schema.names, "decoded"])
 
