@@ -12,12 +12,17 @@ from pyspark.sql.types import StructField, StructType
 
 from claimworks.session import scratch_path
 
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _SPACE = re.compile(r"(?<=[^ \t\n\r\f\v])(?=[ \t\n\r\f\v])")
 
 
 def ready(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it, wherever the session
-    was started. A cluster gets the package with ``--py-files`` or installed."""
+    was started. A cluster gets the package with ``--py-files`` or installed. Texts are long, so a
+    session that leaves the Arrow batch at Spark's 10,000 rows gets batches of ``BATCH_ROWS``."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, BATCH_ROWS)
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):

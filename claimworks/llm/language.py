@@ -117,7 +117,7 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", dimension
                 mine = grams.setdefault(name, {})
                 for c, n in zip(codes.tolist(), counts.tolist()):
                     mine[c] = mine.get(c, 0) + n
-                if len(mine) > 200_000:
+                if len(mine) > 50_000:
                     flush(name)
         for name in list(grams):
             flush(name)

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from claimworks.llm.common import mix64, written
 from claimworks.llm.components import components
+from claimworks.session import session_conf
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -385,7 +386,7 @@ def similar_sets(sets: DataFrame, bits: int, percent: int, fragments: int, block
 
 
 def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: int = 5, percent: int = 80,
-               fragments: int = 4, block: int = 256, bucket_grams: int = 1 << 18, flush: int = 1 << 22,
+               fragments: int = 4, block: int = 256, bucket_grams: int = 1 << 18, flush: int = 1 << 21,
                hot: int = 64) -> DataFrame:
     """``key, n_shingles, component_id, n_links`` for each row of ``docs``."""
     plain = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
@@ -403,7 +404,9 @@ def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: i
             .groupBy("owner", "n", "copies").agg(F.array_sort(F.collect_list(F.struct("held", "gram"))).alias("s"))
             .withColumn("first", (F.size("s") - need + 1).cast("int")).filter("first > 0")
             .select("owner", "n", "copies", F.col("s.held").alias("held"), F.col("s.gram").alias("grams"), "first"))
-    links = written(similar_sets(written(sets, "prefixes"), bits, percent, fragments, block), "roots")
+    similar = similar_sets(written(sets, "prefixes"), bits, percent, fragments, block)
+    with session_conf(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="64"):
+        links = written(similar, "roots")  # a row holds the sets of two blocks
     groups = components(links, "owner", "root").withColumnRenamed("vertex", "owner")
     counts = links.groupBy("owner").agg(F.sum("links").alias("links"))
     named = distinct.select("owner", "least").join(groups, "owner")
