@@ -248,6 +248,20 @@ ALL_EVENTS = f"WITH {EVENTS} SELECT {EVENT_NAMES} FROM parsed"
 LATEST_EVENTS = f"""WITH {EVENTS} SELECT {EVENT_NAMES} FROM parsed WHERE claim_id IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY claim_id ORDER BY ts DESC, event_id DESC) = 1"""
 
+#: Raw claims and events as text, with what puts copies of a claim in order.
+BOTH = """mixed AS (
+  SELECT * FROM raw UNION ALL BY NAME
+  SELECT CASE WHEN ok THEN CASE WHEN user_id % 3 = 0 THEN 'CLM' || lpad(user_id::VARCHAR, 8, '0') || '-1'
+                           ELSE 'CLM' || user_id END END AS claim_id,
+    CASE WHEN ok THEN 'MBR' || user_id % 97 END AS member_id,
+    CASE WHEN ok THEN CASE user_id % 10 WHEN 3 THEN (user_id + 10000000000)::VARCHAR WHEN 5 THEN '  '
+                      ELSE (user_id + 12345)::VARCHAR END END AS provider_npi,
+    CASE WHEN ok THEN strftime(ts, '%Y-%m-%d') END AS service_date,
+    CASE WHEN ok THEN (value * 2)::VARCHAR END AS billed_amount, CASE WHEN ok THEN value::VARCHAR END AS paid_amount,
+    CASE WHEN ok THEN 'APPROVED' END AS claim_status, CASE WHEN ok THEN 'PYR' || user_id % 5 END AS payer_id,
+    TIMESTAMP '2024-12-15 03:00:00' AS ingestion_ts, epoch_us(ts) AS l_partkey, event_id AS l_suppkey
+  FROM (SELECT *, event_type <> 'error' AS ok FROM events)
+)"""
 SILVER_NAMES = ("claim_id, member_id, provider_npi, service_date, icd10_code, cpt_code, "
                 "billed_amount, allowed_amount, paid_amount, claim_status, payer_id, "
                 "line_of_business, network_flag, payment_rate_pct, adjustment_amount, service_year, "
@@ -309,7 +323,7 @@ _VERDICT_COLUMNS = """silver_coverage_pct, distinct_coverage_pct, validity_pct,
   duplicate_claim_ids, orphan_provider_records, CAST(to_json(broken) AS VARCHAR) AS sla_violations,
   CASE WHEN len(broken) = 0 THEN 'PASS' ELSE 'FAIL' END AS overall_status"""
 _AUDIT_COLUMNS = """CASE WHEN len(broken) = 0 THEN 'PASS' ELSE 'FAIL' END AS overall_status,
-  validity_pct, silver_coverage_pct, future_dates_count, duplicate_claim_ids AS duplicate_count,
+  validity_pct, {} AS silver_coverage_pct, future_dates_count, duplicate_claim_ids AS duplicate_count,
   CAST(to_json(broken) AS VARCHAR) AS sla_violations"""
 
 _SHORT = "(claim_status IS NOT DISTINCT FROM 'voided' AND network_flag = 'out')"
@@ -395,6 +409,7 @@ ORACLE: dict[str, str] = {
       FROM trending QUALIFY rank_by_volume <= 50""",
     "upsert_claims": TWO_LOADS,
     "upsert_claims_old_batch": TWO_LOADS,
+    "upsert_corrected_batch": TWO_LOADS.replace("FROM checked_a a WHERE is_valid", "FROM checked_a a WHERE is_valid AND payer_id <> 'PYR003'"),
     "upsert_kpi_snapshot": f"""WITH {TO_VALID}, {kpi('service_date')}
       SELECT report_date AS snapshot_date, payer_id, sum(claim_count)::BIGINT AS total_claims, {total('total_billed')} AS total_billed,
         {total('total_paid')} AS total_paid, {mean('denial_rate_pct')} AS avg_denial_rate
@@ -404,6 +419,10 @@ ORACLE: dict[str, str] = {
     "replace_batches": f"WITH {RAW} SELECT claim_id, member_id, paid_amount, ingestion_date FROM raw",
     "overwrite_refresh": f"WITH {TO_VALID}, {trending()} SELECT {_TRENDING} FROM trending",
     "compact": f"WITH {TO_VALID} SELECT {_SILVER_PART} FROM valid",
+    "sized_write": f"WITH {TO_VALID} SELECT {_SILVER_PART}, true AS several_files FROM valid",
+    "schema_only_clone": """SELECT c AS "column", t AS type, 0::BIGINT AS n_rows FROM (VALUES ('claim_id', 'string'),
+      ('payer_id', 'string'), ('service_date', 'date'), ('claim_status', 'string'), ('member_id', 'string'),
+      ('paid_amount', 'double'), ('service_year', 'int'), ('service_month', 'int')) AS v(c, t)""",
     "cluster_rewrite": f"WITH {TO_VALID} SELECT {_SILVER_PART} FROM valid",
     "check_coverage": f"""WITH {ALL_LOADED}, m AS (
         SELECT count(*) AS bronze_count, {_DISTINCT_RAW} AS bronze_distinct, count(*) FILTER (WHERE is_valid) AS silver_count FROM loaded)
@@ -427,10 +446,10 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT 'orphan_providers', orphan_provider_records::DOUBLE, orphan_provider_records = 0 FROM verdict""",
     "check_freshness": f"""SELECT event_type AS table_name,
         {rnd("(epoch_us(TIMESTAMP '2024-12-15 06:00:00') - epoch_us(max(ts)))::DOUBLE / 60000000.0", 1)} AS age_minutes
-      FROM events WHERE event_type IN ('click', 'purchase', 'view') GROUP BY 1
+      FROM events GROUP BY 1
       UNION ALL SELECT 'empty', 9999.0 UNION ALL SELECT 'missing', -1.0""",
-    "audit_log": f"""SELECT '1998-06-01' AS batch_date, * FROM ({_verdict(False)} SELECT {_AUDIT_COLUMNS} FROM verdict)
-      UNION ALL SELECT '2001-12-01', * FROM ({_verdict(True)} SELECT {_AUDIT_COLUMNS} FROM verdict)""",
+    "audit_log": f"""SELECT '1998-06-01' AS batch_date, * FROM ({_verdict(False)} SELECT {_AUDIT_COLUMNS.format('silver_coverage_pct')} FROM verdict)
+      UNION ALL SELECT '2001-12-01', * FROM ({_verdict(True)} SELECT {_AUDIT_COLUMNS.format('distinct_coverage_pct')} FROM verdict)""",
     "restrict_payer": f"WITH {TO_VALID}, {kpi()} SELECT {_KPI_BY_PAYER} FROM kpi WHERE payer_id = 'PYR002'",
     "restrict_admin": f"WITH {TO_VALID}, {kpi()} SELECT {_KPI_BY_PAYER} FROM kpi",
     "mask_ids": f"""WITH {RAW} SELECT regexp_replace(regexp_replace(member_id, '[A-Z]', 'X', 'g'), '[0-9]', 'n', 'g') AS member_id,
@@ -439,7 +458,16 @@ ORACLE: dict[str, str] = {
     "event_parse": ALL_EVENTS,
     "event_upsert_latest": LATEST_EVENTS,
     "stream_ingest": ALL_EVENTS,
+    "compact_stream_table": ALL_EVENTS,
+    "stream_restart": ALL_EVENTS,
     "stream_latest_state": LATEST_EVENTS,
+    "silver_with_stream": f"""WITH {RAW}, {BOTH}, {newest("mixed")}, {typed()}, {checked()}, {VALID}
+      SELECT {SILVER_NAMES}, {AS_OF} AS silver_batch_date FROM valid""",
+    "gold_extreme_amounts": f"""WITH {TO_VALID}, v AS (SELECT * REPLACE (
+        CASE WHEN payer_id = 'PYR001' THEN floor(billed_amount) * 1e12 ELSE billed_amount + 0.000004::DOUBLE END AS billed_amount,
+        CASE WHEN payer_id = 'PYR001' THEN floor(paid_amount) * 1e12 ELSE paid_amount + 0.000004::DOUBLE END AS paid_amount) FROM valid)
+      SELECT member_id, payer_id, line_of_business, count(claim_id) AS lifetime_claims,
+        {total('billed_amount')} AS lifetime_billed, {total('paid_amount')} AS lifetime_paid FROM v GROUP BY ALL""",
     "run_log": f"""WITH {RAW} SELECT batch_date, count(*) AS records_ingested,
         count(*) FILTER (WHERE {_SHORT} OR {_LONG}) AS corrupt_records, 'SUCCESS' AS status
       FROM (SELECT *, CASE WHEN ingestion_date <= {FIRST} THEN '1998-06-01' ELSE '2001-12-01' END AS batch_date FROM raw)

@@ -8,12 +8,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimworks import fixture as fx
-from claimworks.constants import AMOUNT_COLUMNS, BRONZE, BRONZE_LOG, RAW_COLUMNS
+from claimworks.constants import (
+    AMOUNT_COLUMNS, BRONZE, BRONZE_LOG, BRONZE_STREAM, RAW_COLUMNS, SILVER,
+)
 from claimworks.operators import access, checks, rules, tables
 from claimworks.operators.cleaning import NPI_LENGTH, clean, cleaned_columns
 from claimworks.operators.dedup import dedup_latest
@@ -132,17 +135,24 @@ def incremental_batch(spark, sf):
     return src.read_batch(rows, FIRST_LOAD).select(*RAW_COLUMNS, "ingestion_date")
 
 
-def _events(spark, sf) -> DataFrame:
-    """Envelopes around the events table; an error event has a body that is no JSON."""
+def _events(spark, sf, mixed: bool = False) -> DataFrame:
+    """Envelopes around the events table; an error event has a body that is no JSON. ``mixed``
+    gives some events the claims of line items and identifiers that are too long or blank."""
     e = fx.load(spark, sf, "events")
     c = F.col
     kind = (F.when(c("event_type") == "signup", "SUBMIT")
             .when(c("event_type") == "purchase", "ADJUDICATE").otherwise("UPDATE"))
     day = F.to_date("ts")
+    user = c("user_id").cast("string")
+    claim, npi = F.concat(F.lit("CLM"), user), (c("user_id") + 12345).cast("string")
+    if mixed:
+        claim = F.when(c("user_id") % 3 == 0, F.concat(F.lit("CLM"), F.lpad(user, 8, "0"), F.lit("-1"))).otherwise(claim)
+        npi = (F.when(c("user_id") % 10 == 3, (c("user_id") + 10_000_000_000).cast("string"))
+               .when(c("user_id") % 10 == 5, "  ").otherwise(npi))
     body = F.to_json(F.struct(
-        F.concat(F.lit("CLM"), c("user_id").cast("string")).alias("claim_id"),
+        claim.alias("claim_id"),
         F.concat(F.lit("MBR"), (c("user_id") % 97).cast("string")).alias("member_id"),
-        (c("user_id") + 12345).cast("string").alias("provider_npi"),
+        npi.alias("provider_npi"),
         F.when(c("event_id") % 2 == 0, F.date_format(day, "yyyy-MM-dd"))
         .otherwise(F.date_format(day, "MM/dd/yyyy")).alias("service_date"),
         (c("value") * 2).alias("billed_amount"),
@@ -329,6 +339,18 @@ def view_exec_dashboard(spark, sf):
     return views.exec_dashboard(_kpi(spark, sf, report_date="service_date"))
 
 
+@query
+def gold_extreme_amounts(spark, sf):
+    """Lifetime amounts when one payer's are a trillion times larger and the others' have parts of
+    a millionth."""
+    valid = _valid(spark, sf)
+    for c in ("billed_amount", "paid_amount"):
+        valid = valid.withColumn(c, F.when(F.col("payer_id") == "PYR001", F.floor(c).cast("double") * 1e12)
+                                 .otherwise(F.col(c) + 0.000004))
+    return gold.member_360(valid).select(
+        "member_id", "payer_id", "line_of_business", "lifetime_claims", "lifetime_billed", "lifetime_paid")
+
+
 @query
 def view_exec_exact_members(spark, sf):
     return views.exec_exact(_valid(spark, sf), "service_date")
@@ -386,6 +408,18 @@ def upsert_claims_old_batch(spark, sf):
     return _contents(spark, name, location).drop("silver_updated_at", "ingestion_date")
 
 
+@query
+def upsert_corrected_batch(spark, sf):
+    """Two loads, then the first again without one payer's claims: its old rows go."""
+    name, location = _table(spark, "corrected")
+    first, second = tables.staged(_load(spark, sf, True)), tables.staged(_load(spark, sf, False))
+    for rows, day in ((first, FIRST_LOAD), (second, SECOND_LOAD),
+                      (first.filter("payer_id != 'PYR003'"), FIRST_LOAD)):
+        tables.upsert(rows, name, ["claim_id"], ["service_year", "service_month"], location,
+                      newer_than="silver_batch_date", stale=F.col("silver_batch_date") == F.lit(day).cast("date"))
+    return _contents(spark, name, location).drop("silver_updated_at", "ingestion_date")
+
+
 @query
 def upsert_kpi_snapshot(spark, sf):
     """Snapshots of the days of service of one week, one of them refreshed twice."""
@@ -444,7 +478,27 @@ def _silver_part(spark, sf) -> DataFrame:
 @query
 def compact(spark, sf):
     return _written(_silver_part(spark, sf), "compact", ["service_year", "service_month"],
-                    lambda name: tables.compact(spark, name, [{"service_year": 2024}]))
+                    lambda name: tables.compact(
+                        spark, name, [{"service_year": 2024, "service_month": m} for m in range(1, 7)]))
+
+
+@query
+def sized_write(spark, sf):
+    """All claims in files of at most 5,000 rows; there have to be several."""
+    name, location = _table(spark, "sized")
+    tables.create(_silver_part(spark, sf).coalesce(1), name, location=location, max_records_per_file=5_000)
+    rows = _contents(spark, name, location)
+    return rows.withColumn("several_files", F.lit(len(rows.inputFiles()) > 1))
+
+
+@query
+def schema_only_clone(spark, sf):
+    """Columns and types of an empty table cloned from the silver rows, and its number of rows."""
+    name, location = _table(spark, "clone")
+    tables.clone_schema(_silver_part(spark, sf), name, location)
+    types, rows = spark.table(name).dtypes, spark.table(name).count()
+    spark.sql(f"DROP TABLE {name}")
+    return spark.createDataFrame([(c, t, rows) for c, t in types], "column string, type string, n_rows bigint")
 
 
 @query
@@ -540,7 +594,8 @@ def check_freshness(spark, sf):
     events = fx.load(spark, sf, "events").select(
         "event_type", "value", F.col("ts").cast("timestamp").alias("gold_updated_at"))
     kinds: dict[str, DataFrame | None] = {
-        k: events.filter(F.col("event_type") == k) for k in ("click", "purchase", "view")}
+        k: events.filter(F.col("event_type") == k)
+        for k in ("click", "error", "purchase", "signup", "view")}
     kinds["empty"] = events.filter(F.col("value") < 0)
     kinds["missing"] = None
     return checks.freshness(spark, kinds, _run_ts())
@@ -610,6 +665,36 @@ def stream_ingest(spark, sf):
     return _event_time_text(_contents(spark, name, location).select(*EVENT_COLUMNS))
 
 
+@query
+def compact_stream_table(spark, sf):
+    """The real-time table after micro-batches and a compaction."""
+    name, location = _table(spark, "stream")
+    stream = ev.envelope_stream(spark, _event_files(spark, sf), max_files_per_trigger=3)
+    ingest.start_ingest(
+        ingest.parse_events(ev.select_envelope(stream)), name,
+        scratch_path(spark, "stream-state"), location, every=None).awaitTermination()
+    tables.compact(spark, name)
+    return _event_time_text(_contents(spark, name, location).select(*EVENT_COLUMNS))
+
+
+@query
+def stream_restart(spark, sf):
+    """Half of the events, then the rest by a second run over the same checkpoint, with a timer."""
+    name, location = _table(spark, "restart")
+    path, state = scratch_path(spark, "envelopes"), scratch_path(spark, "restart-state")
+    half = F.col("offset").cast("bigint") % 2
+    for part, every in ((0, None), (1, "1 second")):
+        _events(spark, sf).filter(half == part).write.mode("append").parquet(path)
+        run = ingest.start_ingest(
+            ingest.parse_events(ev.select_envelope(ev.envelope_stream(spark, path))), name, state, location, every)
+        if every is None:
+            run.awaitTermination()
+        else:
+            run.processAllAvailable()
+            run.stop()
+    return _event_time_text(_contents(spark, name, location).select(*EVENT_COLUMNS))
+
+
 @query
 def stream_latest_state(spark, sf):
     """Newest event of each claim, kept by an upsert per micro-batch."""
@@ -683,6 +768,23 @@ def _run(spark, sf) -> tuple[list[batch.StageResult], batch.BatchConfig]:
     return results, cfg
 
 
+@query
+def silver_with_stream(spark, sf):
+    """Valid claims of one batch of all line items and all events, some of the same claims."""
+    cfg = batch.BatchConfig(
+        raw_root="", prefix=f"both_{uuid.uuid4().hex}_", root=scratch_path(spark, "both"), as_of=fx.AS_OF,
+        run_ts=datetime.fromisoformat(RUN_TS), with_stream=True, layout=False,
+        order_by=("tie_part DESC", "tie_supplier DESC"))
+    tables.create(_bronze(spark, sf, fx.AS_OF), cfg.name(BRONZE), ["ingestion_date"], cfg.location(BRONZE))
+    events = ingest.parse_events(ev.select_envelope(_events(spark, sf, mixed=True)), datetime(2024, 12, 15, 3))
+    tables.append(events, cfg.name(BRONZE_STREAM), ["ingestion_date"], cfg.location(BRONZE_STREAM))
+    batch.load_silver(spark, cfg, fx.AS_OF)
+    rows = _contents(spark, cfg.name(SILVER), cfg.location(SILVER))
+    for table in spark.catalog.listTables(pattern=f"{cfg.prefix}*"):
+        spark.sql(f"DROP TABLE {table.name}")
+    return rows.drop("silver_updated_at", "ingestion_date", "ingestion_ts", "source_file", "tie_part", "tie_supplier")
+
+
 @query
 def run_batch_summary(spark, sf):
     """Two whole loads, files to verdict. The second load's gate stays shut when validity is
