@@ -478,6 +478,59 @@ ORACLE: dict[str, str] = {
       FROM (SELECT {RAW_NAMES}, {_SHORT} OR {_LONG} AS is_corrupt, 'batch_20241215' AS batch_id FROM raw)""",
 }
 
+_LOAD_ORDER = ", ".join(f"{c} DESC NULLS LAST" for c in (
+    "billed_amount", "allowed_amount", "paid_amount", "service_date", "claim_status", "member_id", "provider_npi",
+    "icd10_code", "cpt_code", "payer_id", "line_of_business", "network_flag"))
+
+
+def _one_load(x: str, where: str) -> str:
+    """One load's raw rows, newest claims and outcome, under names that end in ``x``."""
+    return f"""raw_{x} AS (SELECT * FROM raw WHERE {where}), {typed(f"raw_{x}", f"typed_{x}")},
+newest_{x} AS (SELECT * FROM typed_{x}
+  QUALIFY row_number() OVER (PARTITION BY claim_id ORDER BY {_LOAD_ORDER}) = 1 OR claim_id IS NULL),
+{checked(f"newest_{x}", f"checked_{x}")}, valid_{x} AS (SELECT * FROM checked_{x} WHERE is_valid)"""
+
+
+def _summary(step: int, day: str, x: str, silver: str) -> str:
+    """The rows of one load's stages; ``silver`` has all valid claims after it."""
+    groups = {"gold_daily_claims_kpi": "payer_id, claim_status, line_of_business, network_flag",
+              "gold_provider_scorecard": "provider_npi, service_year, service_month, payer_id",
+              "gold_member_360": "member_id, payer_id, line_of_business",
+              "gold_diagnosis_trending": "icd10_code, service_year, service_month, payer_id"}
+    gold = ", ".join(f"(SELECT count(*) FROM (SELECT DISTINCT {g} FROM {silver})) AS {t}" for t, g in groups.items())
+    figures = f"""(SELECT *, {rate('silver_count', 'greatest(bronze_count, 1)')} AS silver_coverage_pct,
+        {rate('silver_count', 'greatest(bronze_distinct, 1)')} AS distinct_coverage_pct,
+        {rate('valid', 'total')} AS validity_pct FROM (SELECT
+        (SELECT count(*) FROM raw_{x}) AS bronze_count, (SELECT {_DISTINCT_RAW} FROM raw_{x}) AS bronze_distinct,
+        (SELECT count(*) FROM valid_{x}) AS silver_count, (SELECT count(*) FROM checked_{x}) AS total,
+        (SELECT count(*) FROM valid_{x}) AS valid, {gold}))"""
+    low_v = "CASE WHEN validity_pct < 95 THEN 'VALIDITY_BELOW_95: ' || validity_pct || '%' END"
+    low_c = "CASE WHEN distinct_coverage_pct < 90 THEN 'LOW_COVERAGE: ' || distinct_coverage_pct || '%' END"
+    broken = f"CAST(to_json(list_filter([{low_v}, {low_c}], lambda y: y IS NOT NULL)) AS VARCHAR)"
+    day_row = ("batch_date", f"'{day}'")
+    stages = [
+        ("bronze", "'SUCCESS'", [day_row, ("records_ingested", "bronze_count"), ("corrupt_records", "0")]),
+        ("silver", "CASE WHEN validity_pct < 95 THEN 'DQ_WARNING' ELSE 'SUCCESS' END", [
+            day_row, ("total", "total"), ("valid", "valid"), ("invalid", "total - valid"),
+            ("validity_pct", "validity_pct"), ("dupes_removed", "bronze_count - total")]),
+        ("gold", "'SUCCESS'", [day_row, *((t, t) for t in groups)]),
+        ("checks", f"CASE WHEN {broken} = '[]' THEN 'PASS' ELSE 'FAIL' END", [
+            day_row, *((c, c) for c in ("bronze_count", "bronze_distinct", "silver_count", "silver_coverage_pct",
+                                        "distinct_coverage_pct", "validity_pct")),
+            ("valid_count", "valid"), ("quarantined_count", "total - valid"), ("judged_coverage_pct", "distinct_coverage_pct"),
+            *((c, "0") for c in ("future_dates_count", "duplicate_claim_ids", "orphan_provider_records")),
+            ("sla_violations", broken)])]
+    return " UNION ALL ".join(
+        f"SELECT {step + i} AS step, '{stage}' AS stage, {status} AS status, '{metric}' AS metric, ({value})::VARCHAR AS value "
+        f"FROM {figures}" for i, (stage, status, metrics) in enumerate(stages) for metric, value in metrics)
+
+
+ORACLE["run_batch_summary"] = f"""WITH {RAW}, {_one_load("a", f"ingestion_date <= {FIRST}")},
+{_one_load("b", f"ingestion_date > {FIRST}")},
+after_b AS (SELECT * FROM valid_b UNION ALL
+  SELECT * FROM valid_a a WHERE NOT EXISTS (SELECT 1 FROM valid_b b WHERE b.claim_id = a.claim_id))
+{_summary(0, "1998-06-01", "a", "valid_a")} UNION ALL {_summary(4, "2001-12-01", "b", "after_b")}"""
+
 _RULE_COLUMNS = {
     "NULL_CLAIM_ID": "claim_id",
     "NULL_MEMBER_ID": "claim_id, member_id",

@@ -34,6 +34,9 @@ QUERIES: dict[str, Query] = {}
 RUN_TS = "2024-12-15 06:00:00"
 FIRST_LOAD, SECOND_LOAD = "1998-06-01", "2001-12-01"
 ORDER_COLUMNS = ("ingestion_ts", "tie_part", "tie_supplier")
+#: Order among copies of a claim in files, which have no load time of their own.
+LOAD_ORDER = ("billed_amount", "allowed_amount", "paid_amount", "service_date", "claim_status", "member_id",
+              "provider_npi", "icd10_code", "cpt_code", "payer_id", "line_of_business", "network_flag")
 
 
 def query(fn: Query) -> Query:
@@ -757,7 +760,7 @@ def _run(spark, sf) -> tuple[list[batch.StageResult], batch.BatchConfig]:
     root = scratch_path(spark, "load")
     cfg = batch.BatchConfig(
         raw_root=f"{root}/raw", prefix=f"load_{uuid.uuid4().hex}_", root=f"{root}/tables",
-        as_of=fx.AS_OF)
+        as_of=fx.AS_OF, order_by=tuple(f"{c} DESC" for c in LOAD_ORDER))
     claims = fx.claims_raw(spark, sf, [*RAW_COLUMNS, "ingestion_date"])
     cut = F.lit(FIRST_LOAD).cast("date")
     results = []
