@@ -33,7 +33,7 @@ _SPACE = "▁"
 _UNITS = re.compile(r" *[^ ]+| +")
 #: Entries per cache; characters of a word that is cached and whose agenda is a plain list; rows
 #: that leave a worker together, since texts, ids and decoded texts add up.
-_KEPT_UNITS, _KEPT_PARTS = 60_000, 200_000
+_KEPT_UNITS, _KEPT_PARTS = 80_000, 400_000
 _ROWS = 512
 _LONG = 64
 _NONE = 1 << 40
