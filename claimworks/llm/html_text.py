@@ -40,10 +40,11 @@ _INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins
 _DROPPED = set("nav footer aside form button dialog menu head input option fieldset audio video canvas".split())
 _ROLES = set("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 #: Words in class and id names that mark what is around an article.
-_AROUND = set("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner comment comments "
-              "commentlist disqus sidebar aside nav navbar navigation menu breadcrumb breadcrumbs footer masthead cookie "
+_AROUND = set("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner "
+              "sidebar aside nav navbar navigation menu breadcrumb breadcrumbs footer masthead cookie "
               "cookies consent notice notices gdpr popup modal newsletter subscribe subscription share sharing social "
-              "related recommended widget login signup search pagination pager toolbar skip replies reply alert respond".split())
+              "related recommended widget login signup search pagination pager toolbar skip alert".split())
+_COMMENTS = set("comment comments commentlist disqus replies reply respond responses discussion".split())
 _HEADS = set("header topbar hero logo".split())
 _CLOSES_P = set("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr "
                 "main menu nav ol p pre section table ul".split())
@@ -56,29 +57,32 @@ _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
 class Node:
     __slots__ = ("tag", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density", "sum", "drop")
 
-    def __init__(self, tag: str, parent: Node | None, drop: bool = False):
+    def __init__(self, tag: str, parent: Node | None, drop: str = ""):
         self.tag, self.parent, self.parts, self.drop = tag, parent, [], drop
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
 
 
-def _surrounds(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is around an article rather than part of it."""
+def _surrounds(tag: str, attributes: str, inside: bool) -> str:
+    """Why an element is around an article rather than part of it: its element, what readers wrote,
+    or a name that may also be that of a layout around everything. Empty if it is not."""
     if tag in _DROPPED or (tag == "header" and not inside):
-        return True
-    if tag in ("html", "body", "article", "main") or not attributes:
-        return False
+        return "element"
+    if not attributes:
+        return ""
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return "element"
         if name == "role" and value in _ROLES:
-            return True
+            return "element"
         if name in ("class", "id"):
             words = {*re.split(r"[^a-z]+", value), *(re.sub(r"[^a-z]", "", w) for w in value.split())}
-            if _AROUND & words or (not inside and _HEADS & words):
-                return True
-    return False
+            if _COMMENTS & words:
+                return "comments"
+            if tag not in ("article", "main") and (_AROUND & words or (not inside and _HEADS & words)):
+                return "layout"
+    return ""
 
 
 def parse(page: str) -> Node:
@@ -116,7 +120,7 @@ def parse(page: str) -> Node:
             continue
         if tag in ("html", "body", "head"):
             if tag == "head":
-                node = Node("head", node, True)
+                node = Node("head", node, "element")
                 node.parent.parts.append(node)
             else:
                 while node.parent is not None and tag == "body":
@@ -137,6 +141,10 @@ def parse(page: str) -> Node:
                 node = up.parent or root
         child = Node(tag, node, _surrounds(tag, m[3] or m[6] or "", articles > 0))
         node.parts.append(child)
+        if tag in ("article", "main") and not articles and not child.drop:
+            for up in _path(node):  # a layout named after its side bar holds the article too
+                if up.drop == "layout":
+                    up.drop = ""
         if tag not in _VOID and not (m[3] or "").endswith("/"):
             articles += tag in ("article", "main")
             node = child

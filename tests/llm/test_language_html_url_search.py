@@ -83,6 +83,17 @@ def test_main_text_of_parts_and_broken_pages():
     assert html_text.main_text("<p>" + prose(1, 30_000) + "</p>") == prose(1, 30_000)
 
 
+def test_layouts_and_comments():
+    story = f"<article><h1>T</h1><p>{prose(1, 30)}</p></article>"
+    want = "T " + prose(1, 30)
+    assert html_text.main_text(f'<div class="page with-sidebar">{story}<div class="sidebar">{prose(2, 90)}</div></div>') == want
+    talk = "".join(f'<article class="comment"><p>{prose(i, 40)}</p></article>' for i in range(5))
+    assert html_text.main_text(f'{story}<section class="comments">{talk}</section>') == want
+    inner = f'<article><h1>T</h1><p>{prose(1, 30)}</p><div id="comments"><article><p>{prose(3, 80)}</p></article></div></article>'
+    assert html_text.main_text(inner) == want
+    assert html_text.main_text(f'<div class="site-header">Name</div>{story}') == want
+
+
 def test_extract_rows(llm):
     rows = [(1, "u", None), (None, None, "<p>x y</p>"), (2, "u", ""), (2, "u", "")]
     pages = llm.createDataFrame(rows, "page_id long, url string, html string").withColumns({"text": F.lit(1), "n_chars": F.lit("q")})
