@@ -71,6 +71,21 @@ QUERIES = {f.__name__: f for f in (
     op9_token_counts, op10_pivot_search)}
 
 ORACLE = {
+    "op6_ngram_join": r"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+            ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS g
+          FROM w),
+        e AS (SELECT doc_id, unnest(g) AS g FROM s),
+        i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM e a JOIN e b ON a.g = b.g AND a.doc_id <> b.doc_id
+          GROUP BY ALL),
+        l AS (SELECT a, b FROM i JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b
+          WHERE 100 * c >= 80 * (len(x.g) + len(y.g) - c)),
+        r AS (SELECT doc_id AS d, doc_id AS m FROM documents UNION SELECT l.a, r.m FROM r JOIN l ON l.b = r.d)
+        SELECT doc_id, len(g)::BIGINT AS n_shingles, (SELECT min(m) FROM r WHERE d = doc_id) AS component_id,
+               (SELECT count(*) FROM l WHERE a = doc_id) AS n_links FROM s""",
     "op7_sharding": f"""
         WITH a AS (SELECT doc_id, coalesce(octet_length(encode(text)), 0) AS n_bytes,
                           ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS w FROM documents),
