@@ -386,7 +386,7 @@ def similar_sets(sets: DataFrame, bits: int, percent: int, fragments: int, block
 
 
 def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: int = 5, percent: int = 80,
-               fragments: int = 4, block: int = 256, bucket_grams: int = 1 << 18, flush: int = 1 << 21,
+               fragments: int = 4, block: int = 256, bucket_grams: int = 1 << 18, flush: int = 1 << 20,
                hot: int = 64) -> DataFrame:
     """``key, n_shingles, component_id, n_links`` for each row of ``docs``."""
     plain = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
