@@ -487,9 +487,9 @@ def compact(spark, sf):
 
 @query
 def sized_write(spark, sf):
-    """All claims in files of at most 5,000 rows; there have to be several."""
+    """All claims in files of at most 1,000 rows; there have to be several."""
     name, location = _table(spark, "sized")
-    tables.create(_silver_part(spark, sf).coalesce(1), name, location=location, max_records_per_file=5_000)
+    tables.create(_silver_part(spark, sf).coalesce(1), name, location=location, max_records_per_file=1_000)
     rows = _contents(spark, name, location)
     return rows.withColumn("several_files", F.lit(len(rows.inputFiles()) > 1))
 
