@@ -10,6 +10,11 @@ Learning reads every training row; each task sends one vector per language, adde
 driver holds the profiles only: languages x dimensions. Defined results: a null text, or one
 without letters, is ``und`` with score 0; ties go to the smaller name; without training rows every
 text is ``und``; an empty table gives an empty result. Other columns are not read.
+
+``resembling`` judges whether a text is in any of the languages. Centred profiles cannot tell: they
+sum to zero, so some cosine is never negative. Plain profiles can, but short texts have few of a
+language's trigrams and a small cosine, so it is held against the median of labelled texts of that
+language with about as many distinct trigrams.
 """
 
 from __future__ import annotations
@@ -24,6 +29,8 @@ from claimworks.llm.common import extended, segments
 DIMENSIONS = 1024
 SEED = 20240
 UNKNOWN = "und"
+#: Part of a language's median cosine that a text needs, and labelled texts that make a median.
+LEAST_PART, LEAST_TEXTS = 0.5, 8
 #: Trigram vectors a worker keeps.
 _KEPT = 40_000
 _letters: np.ndarray | None = None
@@ -97,9 +104,9 @@ def vectors(dimensions: int, seed: int) -> Vectors:
     return _vectors[dimensions, seed]
 
 
-def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", dimensions: int = DIMENSIONS,
-          seed: int = SEED) -> dict[str, np.ndarray]:
-    """Profiles of all languages from every labelled row with a text."""
+def learn_plain(labelled: DataFrame, text: str = "text", lang: str = "lang", dimensions: int = DIMENSIONS,
+                seed: int = SEED) -> dict[str, np.ndarray]:
+    """Profiles of length 1, not centred, of all languages from every labelled row with a text."""
     def bundles(batches):
         grams: dict[str, dict[int, int]] = {}
         out: dict[str, np.ndarray] = {}
@@ -131,7 +138,13 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", dimension
     total = rows.groupBy("lang", "i").agg(F.sum("v").alias("v"))
     per_lang = total.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("a"))
     sums = {r[0]: np.array([x[1] for x in r[1]], float) for r in per_lang.orderBy("lang").collect()}
-    units = {k: v / (np.linalg.norm(v) or 1.0) for k, v in sums.items()}
+    return {k: v / (np.linalg.norm(v) or 1.0) for k, v in sums.items()}
+
+
+def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", dimensions: int = DIMENSIONS,
+          seed: int = SEED) -> dict[str, np.ndarray]:
+    """Centred profiles of all languages."""
+    units = learn_plain(labelled, text, lang, dimensions, seed)
     shared = np.mean(list(units.values()), axis=0) if len(units) > 1 else 0.0
     centred = {k: v - shared for k, v in units.items()}
     return {k: v / (np.linalg.norm(v) or 1.0) for k, v in centred.items()}
@@ -168,6 +181,66 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], key: str = "doc_id
     return out if keep else out.withColumnsRenamed({"__lang": "lang_pred", "__score": "score"})
 
 
+def _cosines(body: str | None, matrix: np.ndarray, dimensions: int, seed: int) -> tuple[int, np.ndarray] | None:
+    """Bits of the number of distinct trigrams, and the cosine with each profile. None without letters."""
+    codes, counts = trigrams(body or "")
+    if not len(codes):
+        return None
+    v = vectors(dimensions, seed).bundle(codes, counts)
+    return len(codes).bit_length(), matrix @ (v / (np.linalg.norm(v) or 1.0))
+
+
+def typical(labelled: DataFrame, plain: dict[str, np.ndarray], text: str = "text", lang: str = "lang",
+            dimensions: int = DIMENSIONS, seed: int = SEED) -> dict[str, dict[int, float]]:
+    """Per language and bits of the number of distinct trigrams, the median cosine of its labelled rows
+    with its plain profile. A median of fewer than ``LEAST_TEXTS`` rows is left out."""
+    def measure(batches):
+        for batch in batches:
+            out = []
+            for body, name in zip(batch.column(0), batch.column(1).to_pylist()):
+                found = _cosines(body.as_py(), plain[name][None], dimensions, seed)
+                if found:
+                    out.append((name, found[0], float(found[1][0])))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.int32()),
+                pa.array([x[2] for x in out], pa.float64())], names=["lang", "bits", "cosine"])
+
+    rows = (labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).dropna()
+            .mapInArrow(measure, "lang string, bits int, cosine double"))
+    medians = rows.groupBy("lang", "bits").agg(F.percentile_approx("cosine", 0.5).alias("middle"),
+                                               F.count(F.lit(1)).alias("n"))
+    out: dict[str, dict[int, float]] = {name: {} for name in plain}
+    for r in medians.filter(F.col("n") >= LEAST_TEXTS).collect():
+        out[r["lang"]][r["bits"]] = r["middle"]
+    return out
+
+
+def resembling(docs: DataFrame, plain: dict[str, np.ndarray], medians: dict[str, dict[int, float]],
+               text: str = "text", dimensions: int = DIMENSIONS, seed: int = SEED) -> DataFrame:
+    """The rows whose text has letters and comes up to ``LEAST_PART`` of a language's median. Without a
+    median of its number of trigrams that of the next smaller number counts; a text with fewer than
+    any median tells too little and stays."""
+    names = sorted(plain)
+    matrix = np.array([plain[n] for n in names]) if names else np.zeros((0, dimensions))
+
+    def least(bits: int) -> np.ndarray:
+        return np.array([LEAST_PART * m[max(b for b in m if b <= bits)] if any(b <= bits for b in m) else -1.0
+                         for m in (medians[n] for n in names)])
+
+    needed = [least(bits) for bits in range(64)]
+
+    def fits(body: str | None) -> bool:
+        found = _cosines(body, matrix, dimensions, seed)
+        return found is not None and bool((found[1] >= needed[found[0]]).any())
+
+    def judge(batches):
+        for batch in batches:
+            at = batch.schema.get_field_index(text)
+            yield batch.filter(pa.array([fits(body.as_py()) for body in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(judge, docs.schema)
+
+
 def held_out(key) -> F.Column:
     """Rows kept from learning: checksum of the key as text, remainder 2 of 4."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 4 == 2

@@ -16,17 +16,14 @@ from pyspark.sql import functions as F
 from claimworks.llm import exact_dedup, language, ngram_join, packing
 from claimworks.llm.common import ready, table, written
 
-#: Below this score a text points away from every language's profile.
-LEAST_SCORE = 0.5
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without letters or unlike every language. Learns from labelled documents
     that are not held out; a document's own label is never an input of its judgement."""
     ready(spark)
-    profiles = language.learn(docs.filter(~language.held_out(F.col("doc_id"))))
-    judged = language.predict(docs, profiles, keep=True)
-    return judged.filter((F.col("__lang") != language.UNKNOWN) & (F.col("__score") >= LEAST_SCORE)).select(*docs.columns)
+    taught = docs.filter(~language.held_out(F.col("doc_id")))
+    profiles = language.learn_plain(taught)
+    return language.resembling(docs, profiles, language.typical(taught, profiles))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,3 +46,21 @@ def test_stages_of_nothing(llm):
     for name, stage in corpus_pipeline.STAGES:
         docs = written(stage(llm, docs, ""), name)
         assert docs.count() == 0
+
+
+def test_lettered_texts_in_no_language_go(llm):
+    french = "le la les des une dans pour avec sont mais nous vous cette être était comme plus tout bien aussi deux".split()
+    rows = [(i, prose(i, 20 + i), "en", "s", 0) for i in range(80)]
+    rows += [(100 + i, " ".join(french[(j * (i + 3) + i) % 21] for j in range(20 + i)), "fr", "s", 0) for i in range(80)]
+    rows += [(300, prose(7, 70), None, "s", 0), (301, "The of and", "en", "s", 0)]
+    x, letters = 1, []
+    for _ in range(2000):
+        x = (x * 1103515245 + 12345) % 2 ** 31
+        letters.append("abcdefghijklmnopqrstuvwxyz    "[x // 65536 % 30])
+    finnish = "tänä aamuna naapurin kissa oli piiloutunut puutarhan suuren tammen alle eikä kukaan löytänyt sitä "
+    russian = "сегодня утром соседская кошка спряталась под большим дубом и никто не мог её найти "
+    bad = [(400, "".join(letters), "en", "s", 0), (401, "".join(letters[:400]), None, "s", 0), (402, finnish * 3, None, "s", 0),
+           (403, russian, "fr", "s", 0)]
+    docs = llm.createDataFrame(rows + bad, DOCS)
+    kept = corpus_pipeline.STAGES[0][1](llm, docs, "").collect()
+    assert Counter(map(tuple, kept)) == Counter(rows)
