@@ -8,9 +8,9 @@ the density
     C / T * log_b(C * T / (LC * LT)),   b = ln(C * LC / (C - LC) + C * LCb / Cb + e)
 
 with LCb, Cb those of the body. A node's sum is that of its children's densities. The node with the
-largest sum is the core; the least density on its path up to the body is the threshold. The core
-grows to the article element around it. Without one, other branches at or over the threshold add
-their own largest-sum node.
+largest sum is the core; the least density on its path up to the body is the threshold. A core inside
+an article (or else main) element grows to it; one outside stays as it is. Other branches at or over
+the threshold are added, unless half of their text is links.
 
 Each page is judged by itself, so nothing is shuffled. Defined results: a null, empty or textless
 page gives an empty text; broken markup is closed at the end; null and repeated keys give one row
@@ -199,13 +199,10 @@ def _path(node: Node) -> list[Node]:
 def choose(root: Node) -> list[Node]:
     """The subtrees that hold the article, in page order."""
     nodes = measure(root)
-    articles = [n for n in nodes if n.tag == "article" and n.chars] or [n for n in nodes if n.tag == "main" and n.chars]
     core = max(nodes, key=lambda n: n.sum)
-    if articles:
-        around = [n for n in _path(core) if n in articles]
-        inside = around or [max(articles, key=lambda n: (n.sum, n.chars))]
-        return [inside[-1]]
     threshold = min(n.density for n in _path(core))
+    around = [n for n in _path(core) if n.tag == "article"] or [n for n in _path(core) if n.tag == "main"]
+    core = around[-1] if around else core
     marked, todo, order = {id(core)}, [root], {id(n): i for i, n in enumerate(nodes)}
     picked = [core]
     while todo:

@@ -94,6 +94,20 @@ def test_layouts_and_comments():
     assert html_text.main_text(f'<div class="site-header">Name</div>{story}') == want
 
 
+def test_articles_only_widen_the_core():
+    cards = "".join(f'<article><h3><a href="/{i}">Card {i}</a></h3><p>{prose(i, 8)} <a href="/{i}">{prose(i + 9, 12)}</a></p></article>'
+                    for i in range(3))
+    real = "".join(f"<p>{prose(i + 20, 60)}</p>" for i in range(5))
+    want = " ".join(prose(i + 20, 60) for i in range(5))
+    assert html_text.main_text(PAGE % f"{cards}<div class=story>{real}</div>{cards}") == want
+    assert html_text.main_text(PAGE % f"<main><div>{cards}</div></main><div class=story>{real}</div>") == want
+    split = "".join(f"<article><p>{prose(i + 20, 60)}</p></article>" for i in range(5))
+    assert html_text.main_text(PAGE % f"<div class=story>{split}</div>") == want
+    uneven = f"<article><p>{prose(20, 60)}</p><p>{prose(21, 60)}</p><p>{prose(22, 60)}</p></article>" \
+             f"<article><p>{prose(23, 60)}</p><p>{prose(24, 60)}</p></article>"
+    assert html_text.main_text(PAGE % f"<div class=story>{uneven}</div>") == want
+
+
 def test_extract_rows(llm):
     rows = [(1, "u", None), (None, None, "<p>x y</p>"), (2, "u", ""), (2, "u", "")]
     pages = llm.createDataFrame(rows, "page_id long, url string, html string").withColumns({"text": F.lit(1), "n_chars": F.lit("q")})
