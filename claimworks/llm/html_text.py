@@ -34,10 +34,14 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = set("script style noscript template iframe object svg math textarea title select".split())
+#: Elements whose content is no markup. Without a close tag of their own, scripts and styles run to the
+#: end of the page, as in browsers; of the others only the tag is left out.
+_RAW = set("script style noscript template iframe textarea title xmp noembed noframes".split())
+_FOREIGN = set("svg math select".split())
 _INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
-              "small span strike strong sub sup time tt u var wbr img".split())
-_DROPPED = set("nav footer aside form button dialog menu head input option fieldset audio video canvas".split())
+              "small span strike strong sub sup time tt u var wbr img math mi mn mo ms mtext mrow mfrac msup msub msubsup msqrt mroot munder "
+              "mover munderover mstyle semantics annotation".split())
+_DROPPED = set("nav footer aside form button dialog menu head input option fieldset audio video canvas svg select".split())
 _ROLES = set("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
 #: Words in class and id names that mark what is around an article.
 _AROUND = set("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner "
@@ -54,6 +58,12 @@ _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
           "thead": {"table"}, "tbody": {"table"}}
 
 
+_CODE_END = {tag: re.compile(rf"(</){tag}[\s/>]", re.I) for tag in ("script", "style")}
+_RAW_NEXT = {tag: re.compile(rf"<(/?){tag}[\s/>]", re.I) for tag in _RAW}
+#: Start tags that end an unclosed drawing, formula or list of choices.
+_BREAKS_OUT = (_CLOSES_P | set("b center code dd dt em i img li small span strong sub sup select".split())) - {"hr", "header"}
+
+
 class Node:
     __slots__ = ("tag", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density", "sum", "drop")
 
@@ -85,6 +95,17 @@ def _surrounds(tag: str, attributes: str, inside: bool) -> str:
     return ""
 
 
+def _outside(node: Node, tag: str) -> Node:
+    """The node around the drawing, formula or list of choices that holds ``node``; html inside a
+    drawing's or a formula's own element for it belongs there."""
+    up = node
+    while up is not None and up.tag not in ("foreignobject", "annotation-xml", "mtext", "desc", "article", "main"):
+        if up.tag in _FOREIGN:
+            return node if up.tag == "select" and tag in _INLINE else up.parent
+        up = up.parent
+    return node
+
+
 def parse(page: str) -> Node:
     """The page as a tree; ``parts`` holds texts and child nodes in order."""
     root = Node("body", None)
@@ -114,8 +135,12 @@ def parse(page: str) -> Node:
                     node = node.parent
             continue
         if tag in _RAW:
-            end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, at)
-            at = page.find(">", end.start()) + 1 or len(page) if end else len(page)
+            code = tag in ("script", "style")
+            end = (_CODE_END if code else _RAW_NEXT)[tag].search(page, at)
+            if end and (code or end[1]):
+                at = page.find(">", end.start()) + 1 or len(page)
+            elif code:
+                at = len(page)
             node.parts.append(" ")
             continue
         if tag in ("html", "body", "head"):
@@ -126,6 +151,8 @@ def parse(page: str) -> Node:
                 while node.parent is not None and tag == "body":
                     node = node.parent
             continue
+        if tag in _BREAKS_OUT:
+            node = _outside(node, tag)
         up = node
         if tag in _CLOSES_P:
             while up is not None and up.tag not in ("p", "button", "td", "th", "li", "article", "div", "section", "body"):

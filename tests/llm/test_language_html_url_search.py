@@ -108,6 +108,24 @@ def test_articles_only_widen_the_core():
     assert html_text.main_text(PAGE % f"<div class=story>{uneven}</div>") == want
 
 
+def test_tags_without_a_close_tag_lose_nothing():
+    first, rest = prose(1, 40), prose(2, 40)
+    page = "<article><p>" + first + "</p>%s<p>" + rest + "</p></article>"
+    both = f"{first} {rest}"
+    for odd in ('<svg width="1"/>', "<math/>", '<svg width="1"><path d="M0"/>', "<svg><g>", "<select><option>One<option>Two",
+                "<math>", '<iframe src="x">', '<iframe src="x"/>', "<object data='x'>", "<object data='x'/>", "<textarea>",
+                "<noscript>", "<template>", "<title>", "<svg><text>no</text></svg>", "<select><option>One</option></select>",
+                "<script>var a = '<p>';</script>", "<style>p{}</style>", "<textarea><p>no</p></textarea>",
+                "<iframe><p>no</p></iframe>", "<template><p>no</p></template>"):
+        assert html_text.main_text(page % odd) == both, odd
+        later = odd + "<p>" + prose(3, 20) + "</p><iframe>no</iframe><svg><text>no</text></svg><select><option>no</select>"
+        assert html_text.main_text(page % later) == f"{first} {prose(3, 20)} {rest}", odd
+    assert html_text.main_text(page % "<p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p>") == f"{first} so x=1 holds {rest}"
+    assert html_text.main_text(page % "<p>so <math><mi>x</mi> holds</p>") == f"{first} so x holds {rest}"
+    assert html_text.main_text(page % "<object data='x'><p>instead</p></object>") == f"{first} instead {rest}"
+    assert html_text.main_text(page % "<svg><foreignObject><p>no</p></foreignObject></svg>") == both
+
+
 def test_extract_rows(llm):
     rows = [(1, "u", None), (None, None, "<p>x y</p>"), (2, "u", ""), (2, "u", "")]
     pages = llm.createDataFrame(rows, "page_id long, url string, html string").withColumns({"text": F.lit(1), "n_chars": F.lit("q")})
