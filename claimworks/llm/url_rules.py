@@ -7,10 +7,10 @@ with fewer tokens is at least as sure. A rule is listed in the index under its r
 urls meet the index by token, and a hit counts when the url has all tokens of the rule. Rules that
 are listed by hand win over mined ones; among those the longest wins.
 
-Urls are judged once each and joined back by url; Spark splits a hot one (adaptive skew join). Only
-what must be in memory at once is bounded: a labelled url gives at most ``max_items`` tokens to the
-mining (a parameter of the fit; matching uses all tokens), so the sets are at most
-2^max_items times the labelled urls, and the mined rules at most that many over the least support.
+Urls are judged once each and joined back by url; Spark splits a hot one (adaptive skew join). Mining
+reads every token of a labelled url that is in enough blocked urls for a rule, wherever it stands.
+Tokens of exactly the same labelled urls (a domain and its host label, say) are mined as one, since
+token sets double with each, and every rule is then listed with each of them.
 
 Defined results: a null url, or one without ``://``, has an empty host and path and no tokens, and
 is allowed; without labels no rule is mined; repeated rows and null keys give one row each; an
@@ -71,13 +71,33 @@ def listed(h, p, rules=LISTED) -> F.Column:
     return out
 
 
+def baskets(labelled: DataFrame, url: str, blocked: str, min_support: float) -> tuple[DataFrame, DataFrame]:
+    """What is mined: ``items`` per labelled url with a token, and ``item, same``, the tokens an item
+    stands for. Tokens in too few blocked urls for any rule are left out, and tokens of exactly the
+    same urls are one item, so no rule is lost; ``mine`` names the tokens again."""
+    rows = labelled.select(F.monotonically_increasing_id().alias("row"), F.col(blocked).alias("blocked"),
+                           tokens(F.col(url)).alias("tokens")).filter(F.size("tokens") > 0)
+    rows = written(rows, "labelled")
+    each = rows.select("row", "blocked", F.explode("tokens").alias("token"))
+    least = F.broadcast(rows.agg(F.ceil(F.count(F.lit(1)) * F.lit(min_support)).alias("least")))
+    seen = each.groupBy("token").agg(
+        F.count_if("blocked").alias("n"), F.bit_xor(F.xxhash64("row")).alias("h1"),
+        F.bit_xor(F.xxhash64("row", F.lit(1))).alias("h2"), F.count(F.lit(1)).alias("all"))
+    frequent = seen.join(least, F.col("n") >= F.col("least"), "left_semi")
+    items = written(frequent.groupBy("all", "n", "h1", "h2").agg(F.array_sort(F.collect_list("token")).alias("same"))
+                    .select(F.element_at("same", 1).alias("item"), "same"), "items")
+    mined = each.join(items.select("item"), F.col("token") == F.col("item")).groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    none = F.array().cast("array<string>")
+    mined = rows.join(mined, "row", "left").select(F.concat(
+        F.coalesce("items", none), F.when(F.col("blocked"), F.array(F.lit(BLOCK))).otherwise(none)).alias("items"))
+    return mined, items
+
+
 def mine(labelled: DataFrame, url: str = "url", blocked: str = "blocked", *, min_support: float = 0.005,
-         min_confidence: float = 0.6, min_lift: float = 1.5, max_items: int = 10) -> DataFrame:
+         min_confidence: float = 0.6, min_lift: float = 1.5) -> DataFrame:
     """``rule_id, rule_tokens, confidence, support``: pruned rules for blocking."""
-    items = F.slice(tokens(F.col(url)), 1, max_items)
-    baskets = labelled.select(F.when(F.col(blocked), F.concat(items, F.array(F.lit(BLOCK)))).otherwise(items)
-                              .alias("items")).filter(F.size("items") > 0)
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
+    mined, items = baskets(labelled, url, blocked, min_support)
+    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(mined)
     rules = model.associationRules.filter(
         (F.element_at("consequent", 1) == BLOCK) & (F.col("lift") >= min_lift)).select(
         F.array_sort("antecedent").alias("rule_tokens"), "confidence", "support")
@@ -88,7 +108,14 @@ def mine(labelled: DataFrame, url: str = "url", blocked: str = "blocked", *, min
     beaten = (part.join(fewer, "token")
               .filter((F.size("less") < F.size("rule_tokens")) & (F.col("less_confidence") >= F.col("confidence"))
                       & (F.size(F.array_except("less", "rule_tokens")) == 0)).select("rule_id").distinct())
-    return rules.join(beaten, "rule_id", "left_anti")
+    kept = rules.join(beaten, "rule_id", "left_anti").withColumn("item", F.explode("rule_tokens"))
+    named = kept.join(items, "item").groupBy("rule_id", "confidence", "support").agg(F.collect_list("same").alias("each"))
+    start = F.array(F.array().cast("array<string>"))
+    every = F.aggregate("each", start, lambda made, same: F.flatten(F.transform(
+        made, lambda left: F.transform(same, lambda t: F.concat(left, F.array(t))))))
+    named = named.select(F.explode(every).alias("rule_tokens"), "confidence", "support").withColumn(
+        "rule_tokens", F.array_sort("rule_tokens"))
+    return named.select(F.xxhash64("rule_tokens").alias("rule_id"), "rule_tokens", "confidence", "support")
 
 
 def inverted_index(rules: DataFrame, urls: DataFrame, url: str = "url") -> DataFrame:

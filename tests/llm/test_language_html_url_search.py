@@ -195,6 +195,30 @@ def test_mined_rules_match_brute_force(llm):
         assert r.confidence == (max(x.confidence for x in hit) if hit else None)
 
 
+def test_rules_on_the_last_tokens_of_long_urls(llm):
+    """All rules, against every token set of up to three tokens."""
+    from itertools import combinations
+    rows = [(i, f"http://w{i % 2}.blog.s{i % 3}.example.net/a/b{i % 4}/c/d/page{i % 5}.{'html' if i % 7 else 'php'}?id={i}"
+             + ("&utm=1" if i % 6 == 0 else "") + ("&ref=2" if i % 4 < 2 else ""), i % 6 == 0 and i % 4 < 2 or i % 35 == 0)
+            for i in range(240)]
+    known = llm.createDataFrame(rows, "page_id long, url string, blocked boolean")
+    have = {r.page_id: set(r.t) for r in known.select("page_id", url_rules.tokens(F.col("url")).alias("t")).collect()}
+    bad = {r[0] for r in rows if r[2]}
+    least, sure, lift = 0.02, 0.6, 1.5
+    want = {}
+    for n in (1, 2, 3):
+        for s in combinations(sorted(set().union(*have.values())), n):
+            where = {i for i in have if have[i] >= set(s)}
+            hits = len(where & bad)
+            if where and hits >= least * 240 and hits / len(where) >= sure and hits / len(where) / (len(bad) / 240) >= lift:
+                want[s] = hits / len(where)
+    want = {s: c for s, c in want.items() if not any(set(x) < set(s) and want[x] >= c for x in want)}
+    got = {tuple(r.rule_tokens): r.confidence for r in url_rules.mine(known, min_support=least, min_confidence=sure,
+                                                                      min_lift=lift).collect()}
+    assert {s: c for s, c in got.items() if len(s) <= 3} == pytest.approx(want)
+    assert any("query:utm" in s for s in got)
+
+
 def brute(rows, k=5):
     usable = [(i, vid, v) for i, (vid, v) in enumerate(rows) if v is not None and all(x is not None and math.isfinite(x) for x in v)]
     ints = {i: [math.floor(256 * x) for x in v] for i, _, v in usable}
