@@ -2,11 +2,14 @@
 
 A word starts as its characters. An agenda holds every pair of neighbours that a piece of the
 vocabulary joins, best score first, then leftmost. When a pair comes up, a hash keyed by the seed,
-a variant, the word and the candidate decides whether it is skipped (with probability
-``dropout``); otherwise it is merged and its new neighbours join the agenda. Each run of
-``run_words`` words of a document draws one of ``variants`` variants by a hash of seed, document
-and place, so a word is cut differently in different places, alike in every run of the job. A
-dropout of 0 gives the library's own segmentation.
+the document, the word's place in it and the candidate decides whether it is skipped (with
+probability ``dropout``); otherwise it is merged and its new neighbours join the agenda. So each
+occurrence of a word is cut for itself, alike in every run of the job. A dropout of 0 gives the
+library's own segmentation.
+
+What is kept of a word is a tree: the candidates that come up while none is skipped, the ids that
+result, and a branch for each candidate that some occurrence skipped. It is only a memory: the cuts
+are those of the agenda with the occurrence's key.
 
 Decoding joins the pieces; no segmentation loses anything: characters without a piece, and a
 literal U+2581 (which the library takes for a space), are written as byte pieces. No shuffle.
@@ -17,23 +20,26 @@ ids; null keys are hashed as empty; an empty table gives an empty result. Whole
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import re
 import struct
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimworks.llm.common import extended
+from claimworks.llm.common import extended, mix64
 
 _SPACE = "▁"
 _UNITS = re.compile(r" *[^ ]+| +")
-#: Entries per cache; characters of a word that is cached and whose agenda is a plain list; rows
-#: that leave a worker together, since texts, ids and decoded texts add up.
-_KEPT_UNITS, _KEPT_PARTS = 80_000, 400_000
+#: Tree nodes and units kept; units encoded together; characters of a word that is kept and whose
+#: agenda is a plain list; rows that leave a worker together, since texts, ids and decoded texts add up.
+_KEPT_NODES, _KEPT_UNITS = 300_000, 80_000
+_UNITS_AT_ONCE = 8192
 _ROWS = 512
 _LONG = 64
 _NONE = 1 << 40
@@ -142,56 +148,133 @@ def segment_long(word: str, rank: dict, key: int = 0, limit: int = 0) -> list[st
     return [s for s in symbols if s is not None]
 
 
-class _Cache(dict):
-    def __init__(self, make, most: int):
-        self.make, self.most = make, most
-
-    def __missing__(self, text: str) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-        out = self.make(text)
-        if len(text) <= _LONG:
-            self[text] = out
-        return out
-
-
-class Words:
-    """Unit of text -> bytes of its ids, for one variant. Units are cut where no piece can reach
-    across: before a space that follows another character."""
+def trace(word: str, rank: dict, skipped: tuple[int, ...]) -> tuple[list[str], list[int]]:
+    """The symbols of a word if the candidates with these numbers are skipped, and all candidates in the
+    order in which they came up, as their part of the hash."""
+    get, symbols, at, codes = rank.get, list(word), list(range(len(word))), []
+    agenda = [get(a + b, _NONE) for a, b in zip(symbols, symbols[1:])]
+    while agenda:
+        first = min(agenda)
+        if first == _NONE:
+            break
+        i = agenda.index(first)
+        codes.append(at[i] * _LEFT ^ first * _RANK)
+        if len(codes) - 1 in skipped:
+            agenda[i] = _NONE
+            continue
+        symbols[i] = joined = symbols[i] + symbols[i + 1]
+        del symbols[i + 1], at[i + 1], agenda[i]
+        if i < len(agenda):
+            agenda[i] = get(joined + symbols[i + 1], _NONE)
+        if i:
+            agenda[i - 1] = get(symbols[i - 1] + joined, _NONE)
+    return symbols, codes
 
-    def __init__(self, vocabulary: Vocabulary, seed: int, variant: int, limit: int):
-        self.vocabulary, self.limit = vocabulary, limit
-        self.base = zlib.crc32(f"{seed}/{variant}".encode())
-        self.literal = struct.pack("<3I", *(vocabulary.byte_ids[b] for b in _SPACE.encode()))
-        self.parts = _Cache(self._part, _KEPT_PARTS)
-        self.units = _Cache(self._unit, _KEPT_UNITS)
 
-    def _part(self, part: str) -> bytes:
-        key = zlib.crc32(part.encode("utf-8", "replace"), self.base)
-        return self.vocabulary.ids(segment(part, self.vocabulary.rank, key, self.limit))
+class Node:
+    """A word part after some skips: the candidates to come if there are no more, and the ids then."""
+    __slots__ = ("part", "skipped", "codes", "n", "ids", "branches")
 
-    def _unit(self, unit: str) -> bytes:
-        if _SPACE in unit:  # a literal one is written in bytes and stops every merge
-            return self.literal.join(self._unit(p) if p else b"" for p in unit.split(_SPACE))
-        return b"".join(map(self.parts.__getitem__, self.vocabulary.parts(unit.replace(" ", _SPACE))))
+    def __init__(self, part: str, skipped: tuple[int, ...], codes: list[int], ids: bytes):
+        self.part, self.skipped, self.ids, self.n, self.branches = part, skipped, ids, len(codes), None
+        self.codes = struct.pack(f"<{len(codes)}Q", *codes)
 
 
 class Encoder:
-    def __init__(self, path: str, seed: int, dropout: float, variants: int, run_words: int):
-        vocabulary, limit = Vocabulary(path), round(dropout * 2 ** 16)
-        self.vocabulary, self.seed, self.run_words = vocabulary, seed, run_words
-        self.words = [Words(vocabulary, seed, v, limit) for v in range(variants if limit else 1)]
+    """Texts to ids. Units of text are cut where no piece can reach across: before a space that follows
+    another character."""
+
+    def __init__(self, path: str, seed: int, dropout: float, kept_nodes: int = _KEPT_NODES, kept_units: int = _KEPT_UNITS):
+        self.vocabulary, self.seed, self.limit = Vocabulary(path), seed, round(dropout * 2 ** 16)
+        self.most_nodes, self.most_units, self.nodes = kept_nodes, kept_units, 0
+        self.units: dict[str, tuple[Node, ...]] = {}
+        self.parts: dict[str, Node] = {}
+        self.literal = Node("", (), [], struct.pack("<3I", *(self.vocabulary.byte_ids[b] for b in _SPACE.encode())))
+
+    def _node(self, part: str, skipped: tuple[int, ...]) -> Node:
+        symbols, codes = trace(part, self.vocabulary.rank, skipped)
+        return Node(part, skipped, codes[skipped[-1] + 1:] if skipped else codes, self.vocabulary.ids(symbols))
+
+    def _part(self, part: str) -> Node:
+        if len(part) > _LONG:  # cut when it comes up: no tree, not kept
+            plain = b"" if self.limit else self.vocabulary.ids(segment_long(part, self.vocabulary.rank))
+            return Node(part, (), [], plain)
+        node = self.parts.get(part)
+        if node is None:
+            node = self.parts[part] = self._node(part, ())
+            self.nodes += 1
+        return node
+
+    def _unit(self, unit: str) -> tuple[Node, ...]:
+        found = self.units.get(unit)
+        if found is not None:
+            return found
+        if self.nodes >= self.most_nodes or len(self.units) >= self.most_units:
+            self.units.clear()
+            if self.nodes >= self.most_nodes:
+                self.parts.clear()
+                self.nodes = 0
+        out: list[Node] = []
+        for i, piece in enumerate(unit.split(_SPACE)):  # a literal one is written in bytes and stops every merge
+            out.extend([self.literal] * (i > 0))
+            out.extend(map(self._part, self.vocabulary.parts(piece.replace(" ", _SPACE)) if piece else ()))
+        if len(unit) <= _LONG:
+            self.units[unit] = tuple(out)
+        return tuple(out)
+
+    def _after(self, node: Node, candidate: int, key: int) -> bytes:
+        """The ids of an occurrence that skips this candidate of a node first."""
+        limit = self.limit
+        while True:
+            if node.branches is None:
+                node.branches = {}
+            branch = node.branches.get(candidate)
+            if branch is None:
+                start = node.skipped[-1] + 1 if node.skipped else 0
+                branch = node.branches[candidate] = self._node(node.part, (*node.skipped, start + candidate))
+                self.nodes += 1
+            node = branch
+            for candidate, code in enumerate(struct.unpack(f"<{node.n}Q", node.codes)):
+                if ((key ^ code) * _MIX >> 20) & 0xFFFF < limit:  # skips()
+                    break
+            else:
+                return node.ids
+
+    def key(self, start: int, places: np.ndarray) -> np.ndarray:
+        """The keys of the word parts at these places of a document: the 36 bits that the hash uses."""
+        return mix64(places.astype(np.uint64) + np.uint64(start)) >> np.uint64(28)
 
     def encode(self, text: str, document) -> bytes:
         if not text:
             return b""
-        units, out = _UNITS.findall(" " + text), []
-        start = zlib.crc32(f"{self.seed}/{'' if document is None else document}".encode())
-        for at in range(0, len(units), self.run_words):
-            variant = zlib.crc32(at.to_bytes(8, "little"), start) % len(self.words)
-            out.extend(map(self.words[variant].units.__getitem__, units[at:at + self.run_words]))
+        units, out, place = _UNITS.findall(" " + text), [], 0
+        name = f"{self.seed}/{'' if document is None else document}/{zlib.crc32(text.encode('utf-8', 'replace'))}"
+        start = int.from_bytes(hashlib.blake2b(name.encode("utf-8", "replace"), digest_size=8).digest(), "little")
+        for at in range(0, len(units), _UNITS_AT_ONCE):
+            nodes = list(chain.from_iterable(map(self._unit, units[at:at + _UNITS_AT_ONCE])))
+            ids = [n.ids for n in nodes]
+            if self.limit:
+                self._drop(nodes, ids, self.key(start, np.arange(place, place + len(nodes))))
+            place += len(nodes)
+            out.extend(ids)
         return b"".join(out)
 
+    def _drop(self, nodes: list[Node], ids: list[bytes], keys: np.ndarray) -> None:
+        """Puts the ids of occurrences with a skip in place."""
+        counts = np.fromiter((n.n for n in nodes), np.int64, len(nodes))
+        codes = np.frombuffer(b"".join([n.codes for n in nodes]), "<u8")
+        hashes = (np.repeat(keys, counts) ^ codes) * np.uint64(_MIX) >> np.uint64(20) & np.uint64(0xFFFF)
+        hits = np.flatnonzero(hashes < np.uint64(self.limit))
+        ends = np.cumsum(counts)
+        owners, first = np.unique(np.searchsorted(ends, hits, "right"), return_index=True)
+        candidates = hits[first] - (ends - counts)[owners]
+        for i, candidate, key in zip(owners.tolist(), candidates.tolist(), keys[owners].tolist()):
+            ids[i] = self._after(nodes[i], candidate, key)
+        for i in np.flatnonzero(counts == 0).tolist():
+            if len(nodes[i].part) > _LONG:
+                symbols = segment_long(nodes[i].part, self.vocabulary.rank, int(keys[i]), self.limit)
+                ids[i] = self.vocabulary.ids(symbols)
+
 
 _encoders: dict[tuple, Encoder] = {}
 
@@ -220,10 +303,10 @@ def _slices(batches):
 
 
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", *, seed: int = 7,
-           dropout: float = 0.1, variants: int = 2, run_words: int = 64) -> DataFrame:
+           dropout: float = 0.1) -> DataFrame:
     """``key, text, ids`` per row: ids as little-endian unsigned 32-bit words."""
     def run(batches):
-        coder = encoder(path, seed, dropout, variants, run_words)
+        coder = encoder(path, seed, dropout)
         for batch in _slices(batches):
             ids = [coder.encode(t.as_py(), k) for k, t in zip(batch.column(0).to_pylist(), batch.column(1))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], names=[key, "text", "ids"])

@@ -126,3 +126,35 @@ def test_both_agendas_agree():
         word = "▁" + prose(i, 8).replace(" ", "")[:60]
         for key in (1, 99):
             assert segment(word, rank, key, 2 ** 13) == segment_long(word, rank, key, 2 ** 13)
+
+
+def test_each_occurrence_is_cut_by_its_own_key():
+    coder = Encoder(PIECE, 1, 0.3)
+    rank, ids_of = coder.vocabulary.rank, coder.vocabulary.ids
+    cuts = Counter()
+    for doc in range(40):
+        ids = np.frombuffer(coder.encode("international " * 50, doc), "<u4").tolist()
+        words, now = [], []
+        for i in ids:
+            if coder.vocabulary.bytes_of[i].startswith(b" ") and now:
+                words.append(tuple(now))
+                now = []
+            now.append(i)
+        cuts.update([*words, tuple(now)])
+    assert len(cuts) > 20
+    near = Counter(coder.encode("international " * 50, doc) for doc in range(40))
+    assert len(near) == 40
+
+    long_word = "x" + prose(3, 60).replace(" ", "").replace(".", "")
+    for limit, dropout in ((2 ** 13, 0.125), (2 ** 15, 0.5)):
+        for kept in ({}, {"kept_nodes": 2, "kept_units": 2}):
+            coder = Encoder(PIECE, 1, dropout, **kept)
+            for words in (prose(8, 300), f"{long_word} and {long_word}"):
+                keys, seen = [], coder.key
+                coder.key = lambda start, places: keys.append(seen(start, places)) or keys[-1]
+                got = coder.encode(words, 5)
+                coder.key = seen
+                parts = [p for u in merge_dropout._UNITS.findall(" " + words)
+                         for p in coder.vocabulary.parts(u.replace(" ", "\u2581"))]
+                assert len(keys[0]) == len(parts)
+                assert got == b"".join(ids_of(segment(p, rank, int(k), limit)) for p, k in zip(parts, keys[0]))
