@@ -414,6 +414,10 @@ ORACLE: dict[str, str] = {
       SELECT report_date AS snapshot_date, payer_id, sum(claim_count)::BIGINT AS total_claims, {total('total_billed')} AS total_billed,
         {total('total_paid')} AS total_paid, {mean('denial_rate_pct')} AS avg_denial_rate
       FROM kpi WHERE report_date BETWEEN DATE '2024-03-01' AND DATE '2024-03-03' GROUP BY ALL""",
+    "upsert_kpi_all_days": f"""WITH {TO_VALID}, {kpi('service_date')}
+      SELECT report_date AS snapshot_date, payer_id, sum(claim_count)::BIGINT AS total_claims, {total('total_billed')} AS total_billed,
+        {total('total_paid')} AS total_paid, {mean('denial_rate_pct')} AS avg_denial_rate
+      FROM kpi WHERE report_date IS NOT NULL GROUP BY ALL""",
     "append_partitioned": f"""WITH {RAW} SELECT claim_id, member_id, paid_amount, ingestion_date,
       CASE WHEN ingestion_date > {FIRST} THEN 'batch_' || strftime(ingestion_date, '%Y%m%d') END AS batch_id FROM raw""",
     "replace_batches": f"WITH {RAW} SELECT claim_id, member_id, paid_amount, ingestion_date FROM raw",

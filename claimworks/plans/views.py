@@ -122,18 +122,19 @@ def register_views(spark: SparkSession, prefix: str = "") -> None:
 
 
 def kpi_snapshot_rows(
-    kpi: DataFrame, snapshot_date: str | date, run_ts: datetime | None = None
+    kpi: DataFrame, snapshot_date: str | date | None = None, run_ts: datetime | None = None
 ) -> DataFrame:
-    """One row per payer for one report date."""
-    day = F.lit(str(snapshot_date)).cast("date")
+    """One row per payer for one report date, or for each of all dates."""
+    if snapshot_date is not None:
+        kpi = kpi.filter(F.col("report_date") == F.lit(str(snapshot_date)).cast("date"))
     return (
-        kpi.filter(F.col("report_date") == day).groupBy("payer_id").agg(
+        kpi.filter(F.col("report_date").isNotNull()).groupBy("report_date", "payer_id").agg(
             F.sum("claim_count").alias("total_claims"),
             _total("total_billed").alias("total_billed"),
             _total("total_paid").alias("total_paid"),
             _mean("denial_rate_pct").alias("avg_denial_rate"),
         ).select(
-            day.alias("snapshot_date"), "payer_id", "total_claims", "total_billed", "total_paid",
+            F.col("report_date").alias("snapshot_date"), "payer_id", "total_claims", "total_billed", "total_paid",
             "avg_denial_rate",
             (F.current_timestamp() if run_ts is None else F.lit(run_ts)).alias("refreshed_at"),
         )
@@ -142,12 +143,12 @@ def kpi_snapshot_rows(
 
 def refresh_kpi_snapshot(
     kpi: DataFrame,
-    snapshot_date: str | date,
+    snapshot_date: str | date | None,
     name: str = KPI_SNAPSHOT,
     location: str | None = None,
     run_ts: datetime | None = None,
 ) -> int:
-    """Upsert the rows of one date on (date, payer); returns the number of rows written."""
+    """Upsert the rows of one date, or of all if it is None, on (date, payer); returns the number of rows written."""
     rows = tables.staged(kpi_snapshot_rows(kpi, snapshot_date, run_ts))
     tables.upsert(rows, name, ["snapshot_date", "payer_id"], location=location, unique=True)
     return rows.count()

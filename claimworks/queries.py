@@ -425,7 +425,7 @@ def upsert_corrected_batch(spark, sf):
 
 @query
 def upsert_kpi_snapshot(spark, sf):
-    """Snapshots of the days of service of one week, one of them refreshed twice."""
+    """Snapshots of three days of service, one of them refreshed twice."""
     name, location = _table(spark, "snapshot")
     kpi = tables.staged(_kpi(spark, sf, report_date="service_date"))
     for day in ("2024-03-01", "2024-03-02", "2024-03-03", "2024-03-01"):
@@ -433,6 +433,16 @@ def upsert_kpi_snapshot(spark, sf):
     return _contents(spark, name, location).drop("refreshed_at")
 
 
+@query
+def upsert_kpi_all_days(spark, sf):
+    """Snapshots of all days of service in one upsert, and one of them once more."""
+    name, location = _table(spark, "snapshots")
+    kpi = tables.staged(_kpi(spark, sf, report_date="service_date"))
+    for day in (None, "2024-03-01"):
+        views.refresh_kpi_snapshot(kpi, day, name, location)
+    return _contents(spark, name, location).drop("refreshed_at")
+
+
 def _written(df: DataFrame, label: str, partition_by: list[str], write) -> DataFrame:
     spark = df.sparkSession
     name, location = _table(spark, label)

@@ -127,6 +127,15 @@ def test_high_risk_members(spark, silver):
     assert views.high_risk_members(members.withColumn("risk_tier", F.lit("LOW"))).count() == 0
 
 
+def test_snapshot_of_all_days(spark, silver, new_table):
+    name, location = new_table("snaps")
+    kpi = gold.daily_kpi(silver)
+    want = {(r[0], r[1]) for r in kpi.select("report_date", "payer_id").collect() if r[0] is not None}
+    assert views.refresh_kpi_snapshot(kpi, None, name, location) == len(want)
+    assert views.refresh_kpi_snapshot(kpi, "2025-05-02", name, location) == 2
+    assert {(r["snapshot_date"], r["payer_id"]) for r in spark.table(name).collect()} == want
+
+
 def test_snapshot_creates_then_updates(spark, silver, new_table):
     name, location = new_table("snap")
     kpi = gold.daily_kpi(silver)
