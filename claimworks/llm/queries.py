@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimworks.llm import (exact_dedup, html_text, language, merge_dropout, ngram_join, packing, pivot_search,
-                            sharding, token_counts, url_rules)
+from claimworks.llm import (decontaminate, exact_dedup, html_text, language, merge_dropout, merkle, more_sql, ngram_join,
+                            packing, pivot_search, sharding, spelling, token_counts, url_rules)
 from claimworks.llm.common import table
 
 SHARD_BYTES = 1 << 20
@@ -66,11 +66,27 @@ def op10_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_search.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows are found with lower-cased text where 5 divides the checksum of their id."""
+    picked = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    found = F.when(picked, F.translate("text", more_sql.UPPER, more_sql.LOWER)).otherwise(F.col("text"))
+    return merkle.prove(table(spark, sf_dir, "documents"), more_sql.LEAF_FIELDS, "doc_id", "source", {"text": found})
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_forms(table(spark, sf_dir, "documents"))
+
+
+def op13_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_language, op3_merge_dropout, op4_url_rules, op5_exact_dedup, op6_ngram_join, op7_sharding, op8_html_text,
-    op9_token_counts, op10_pivot_search)}
+    op9_token_counts, op10_pivot_search, op11_merkle, op12_spelling, op13_winnowing)}
 
 ORACLE = {
+    **more_sql.ORACLE,
     "op6_ngram_join": r"""
         WITH RECURSIVE w AS (
           SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
