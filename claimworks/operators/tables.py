@@ -4,18 +4,24 @@ A table is known by its name in the session catalog; ``location`` makes it exter
 a partitioned table go through a REBALANCE on the partition columns, so adaptive execution merges
 small shuffle blocks into files near the advisory size and splits a partition that holds much of
 the data over many tasks, which a plain repartition on those columns would not.
+
+Rows that replace others are written once, to a folder of their own, and then put in place through
+the catalog: each partition, or an unpartitioned table, gets its new folder as location and the old
+files are deleted. A reader finds a partition either old or new. Read tables by name: the catalog
+knows where their partitions lie.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimworks.session import remove_scratch, scratch_path, session_conf
+from claimworks.session import remove_scratch, scratch_path
 
 FORMAT = "parquet"
 
@@ -79,8 +85,10 @@ def replace_partitions(
     partition_by: Sequence[str],
     location: str | None = None,
     rebalance: bool = False,
+    emptied: Sequence[dict] = (),
 ) -> None:
-    """Overwrite just the partitions that occur in ``df``; running it twice changes nothing.
+    """Overwrite just the partitions that occur in ``df``; running it twice changes nothing. Those
+    of ``emptied`` that get no row are dropped.
 
     ``rebalance`` adds a shuffle. Leave it off where the rows of one task belong to one
     partition anyhow, as in a load of one batch.
@@ -90,17 +98,7 @@ def replace_partitions(
         create(df, name, partition_by, location, rebalance=rebalance)
         return
     aligned = _align(df, name)
-    if rebalance:
-        aligned = aligned.hint("rebalance", *partition_by)
-    _insert_over(aligned, name)
-
-
-def _insert_over(df: DataFrame, name: str) -> None:
-    """Overwrite the partitions of ``df``, or an unpartitioned table. Inserts go by position and
-    joins put their keys first, so columns are put in table order here."""
-    spark = df.sparkSession
-    with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
-        df.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+    _switch(aligned.hint("rebalance", *partition_by) if rebalance else aligned, name, emptied)
 
 
 def remove_rows(spark: SparkSession, name: str, test: Column) -> None:
@@ -110,10 +108,10 @@ def remove_rows(spark: SparkSession, name: str, test: Column) -> None:
         return
     spark.catalog.refreshTable(name)
     parts = partition_columns(spark, name)
-    touched = spark.table(name).filter(test).select(*parts).distinct().collect()
+    touched = [row.asDict() for row in spark.table(name).filter(test).select(*parts).distinct().collect()]
     if touched:
-        kept = spark.table(name).filter(_in_partitions(parts, touched)).filter(~F.coalesce(test, F.lit(False)))
-        _move_in(kept, name, touched)
+        kept = spark.table(name).filter(in_partitions(parts, touched)).filter(~F.coalesce(test, F.lit(False)))
+        _switch(kept.hint("rebalance", *parts), name, touched)
 
 
 def partition_columns(spark: SparkSession, name: str) -> list[str]:
@@ -155,6 +153,8 @@ def upsert(
     newer_than: str | None = None,
     unique: bool = False,
     stale: Column | None = None,
+    cluster_by: Sequence[str] = (),
+    announce: Callable[[list[dict]], None] | None = None,
 ) -> list[dict]:
     """Rows with a known key replace the old ones, the others are added.
 
@@ -166,51 +166,60 @@ def upsert(
     says that no key occurs twice in the source, which is checked otherwise. ``stale`` is a test
     on target rows that must not outlive this upsert: those for which it holds and whose key the
     source lacks are removed, for example rows an earlier run of the same batch had written.
+    ``cluster_by`` sorts rows as ``cluster`` does. ``announce`` is told the partitions, those of a
+    new table too, before the first one changes.
 
     Plain files have no row-level update, so partitions are rewritten, and only those that hold
     a source row or the old copy of one. Old copies are looked up once, in the key, partition and
     version columns of the target, and kept as a small table of their own. The list of partitions
-    comes to the driver, as the catalog's own list does; rows never do. New contents are written
-    to the shared folder first and then moved in, because a table cannot be overwritten while it
-    is read. The move is not atomic across partitions, but it can be repeated: the table names
-    the staged copy until it is done, and the next upsert or rewrite finishes a move that was cut
-    short.
+    comes to the driver, as the catalog's own list does; rows never do. Each row of a touched
+    partition is written once. The switch is not atomic across partitions: after a crash between
+    two of them the same upsert, run again, finds what is left to do.
     """
     spark = source.sparkSession
     keys = list(keys)
     if not unique:
         _reject_duplicates(source, keys)
     if not table_exists(spark, name):
-        create(source, name, partition_by, location)
+        if announce and partition_by:
+            announce([row.asDict() for row in source.select(*partition_by).distinct().collect()])
+        rows = _sorted(source, partition_by, cluster_by) if cluster_by else source
+        create(rows, name, partition_by, location, rebalance=not cluster_by)
         return []
-    _finish_move(spark, name)
+    spark.catalog.refreshTable(name)  # another session may have rewritten files
     source = _align(source, name)
     target = spark.table(name)
     parts = partition_columns(spark, name)
 
     wanted = dict.fromkeys([*keys, *parts, *([newer_than] if newer_than else [])])
-    scratch = [_stage(target.select(*wanted).join(source.select(*keys), keys, "left_semi"))]
-    held = spark.read.schema(target.select(*wanted).schema).format(FORMAT).load(scratch[0])
+    looked_up = staged(target.select(*wanted).join(source.select(*keys), keys, "left_semi"))
+    held = looked_up
     if newer_than:
-        scratch.append(_stage(_without_stale(source, held, keys, newer_than)))
-        source = spark.read.schema(source.schema).format(FORMAT).load(scratch[1])
-        held = held.join(source.select(*keys), keys, "left_semi")
-    touched: list[Row] = []
+        new = source.select(*keys, F.col(newer_than).alias("_new_version"))
+        held = looked_up.join(new, keys).filter(
+            F.col(newer_than).isNull() | (F.col("_new_version") >= F.col(newer_than))).select(*wanted)
+        source = _without_stale(source, looked_up, keys, newer_than)
+    touched: list[dict] = []
     if parts:
         places = source.select(*parts).distinct().union(held.select(*parts).distinct())
         if stale is not None:
             places = places.union(target.filter(stale).select(*parts).distinct())
-        touched = places.distinct().collect()
+        touched = [row.asDict() for row in places.distinct().collect()]
         if not touched:
-            remove_scratch(spark, *scratch)
+            release(looked_up)
             return []
-        target = target.filter(_in_partitions(parts, touched))
+        target = target.filter(in_partitions(parts, touched))
+        if announce:
+            announce(touched)
     kept = target.join(held.select(*keys), keys, "left_anti")
     if stale is not None:
         kept = kept.filter(~F.coalesce(stale, F.lit(False)))
-    _move_in(kept.unionByName(source), name, touched)
-    remove_scratch(spark, *scratch)
-    return [row.asDict() for row in touched]
+    rows = kept.unionByName(source)
+    if parts:
+        rows = _sorted(rows, parts, cluster_by) if cluster_by else rows.hint("rebalance", *parts)
+    _switch(rows, name, touched)
+    release(looked_up)
+    return touched
 
 
 def _reject_duplicates(source: DataFrame, keys: list[str]) -> None:
@@ -227,7 +236,7 @@ def _without_stale(source: DataFrame, held: DataFrame, keys: list[str], version:
             .select(*source.columns))
 
 
-def _in_partitions(parts: list[str], values: list) -> Column:
+def in_partitions(parts: list[str], values: list) -> Column:
     """Test on the bare partition columns, resolved from the catalog before any file is opened.
 
     One list of last values per combination of leading ones, joined as a balanced tree: deep
@@ -262,7 +271,8 @@ def staged(df: DataFrame) -> DataFrame:
     executor loses no result. No shuffle is added. The caller owns the files: they stay until it
     removes them (``release``) or the folder is cleared.
     """
-    path = _stage(df)
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.format(FORMAT).save(path)
     return df.sparkSession.read.schema(df.schema).format(FORMAT).load(path)
 
 
@@ -272,83 +282,101 @@ def release(*frames: DataFrame) -> None:
         remove_scratch(df.sparkSession, *{f.rsplit("/", 1)[0] for f in df.inputFiles()[:1]})
 
 
-def _stage(df: DataFrame, parts: Sequence[str] = (), lay_out: bool = False) -> str:
-    path = scratch_path(df.sparkSession, "stage")
-    rows = df.hint("rebalance", *parts) if lay_out and parts else df
-    rows.write.format(FORMAT).partitionBy(*parts).save(path)
-    return path
-
+# ---------------------------------------------------------------------------------------------
+# Switch
+# ---------------------------------------------------------------------------------------------
 
-#: Table property that names the staged copy of a move that is not finished.
-_PENDING = "claimworks.pending"
+_VERSION = "version-"
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed: folder of rows without a partition value
 
 
-def _move_in(df: DataFrame, name: str, touched: Sequence[Row] = (), lay_out: bool = True,
-             arrange=None) -> None:
-    """Put ``df`` in place of the touched partitions, or of all rows of an unpartitioned table.
+def _switch(rows: DataFrame, name: str, touched: Sequence[dict] = ()) -> None:
+    """Put ``rows`` in place of the partitions they fall into, or of all rows of an unpartitioned
+    table; partitions of ``touched`` that get no row are dropped. ``rows`` may read the table.
 
-    The staged copy is in the layout of the table, so moving it in is a scan and a write without
-    a shuffle. ``lay_out`` adds the shuffle that brings rows of a partition together; it is left
-    out for rows that are together already. ``arrange`` sets the order of rows while they move.
+    A crash before the end leaves each partition whole, old or new, and files that nothing names.
     """
-    spark = df.sparkSession
-    path = _stage(df, partition_columns(spark, name), lay_out)
-    if touched:
-        emptied = spark.createDataFrame(list(touched), spark.table(name).select(*touched[0].__fields__).schema)
-        emptied.coalesce(1).write.format(FORMAT).save(f"{path}-touched")
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{_PENDING}' = '{path}')")
-    _finish_move(spark, name, arrange)
+    spark = rows.sparkSession
+    table, parts, root = spark.table(name), partition_columns(spark, name), _folder(spark, name)
+    path = f"{root}/{_VERSION}{uuid.uuid4().hex}"
+    rows.select(*table.columns).write.format(FORMAT).partitionBy(*parts).save(path)
+    if parts:
+        fields = {f.name: f.dataType for f in table.schema}
+        filled = _partition_folders(spark, path, parts)
+        new = {_spec(values, fields): folder for values, folder in filled}
+        gone = [t for t in touched if _spec(t, fields) not in new]
+        changed = [values for values, _ in filled] + gone
+        old = table.filter(in_partitions(parts, changed)).inputFiles() if changed else []
+        for spec, folder in new.items():
+            _place(spark, name, spec, folder)
+        for values in gone:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({_spec(values, fields)})")
+    else:
+        old = table.inputFiles()
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+    _delete_files(spark, old, root)
 
 
-def _pending(spark: SparkSession, name: str) -> str | None:
-    found = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key") == _PENDING).collect()
-    return found[0]["value"] if found else None
+def _place(spark: SparkSession, name: str, spec: str, folder: str) -> None:
+    """Make a folder the place of a partition, new or not."""
+    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{folder}'")
+    spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION '{folder}'")
 
 
-def _finish_move(spark: SparkSession, name: str, arrange=None) -> None:
-    """Move in the staged copy the table names, if any."""
-    spark.catalog.refreshTable(name)  # another session may have rewritten files
-    path = _pending(spark, name)
-    if path is None:
-        return
-    table = spark.table(name)
-    parts = partition_columns(spark, name)
-    rows = spark.read.schema(table.schema).format(FORMAT).load(path)
-    _insert_over(arrange(rows, parts) if arrange else rows, name)
-    if parts and _readable(spark, f"{path}-touched"):
-        touched = spark.read.schema(table.select(*parts).schema).format(FORMAT).load(f"{path}-touched")
-        filled = {tuple(row) for row in rows.select(*parts).distinct().collect()}
-        for row in touched.collect():
-            if tuple(row) not in filled:
-                drop_partition(spark, name, row.asDict())
-    spark.sql(f"ALTER TABLE {name} UNSET TBLPROPERTIES IF EXISTS ('{_PENDING}')")
-    remove_scratch(spark, path, f"{path}-touched")
-
-
-def _readable(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format(FORMAT).load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+def _folder(spark: SparkSession, name: str) -> str:
+    """The folder of a table, also when one of its versions is its location."""
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()["data_type"].rstrip("/")
+    above, last = found.rsplit("/", 1)
+    return above if last.startswith(_VERSION) else found
 
 
-def drop_partition(spark: SparkSession, name: str, partition: dict) -> None:
-    """Remove a partition and its files, from external tables too.
+def _hadoop(spark: SparkSession):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
 
-    Files of a NULL partition of an external table stay until the partition is written again: an
-    insert cannot name it. The table no longer has their rows.
-    """
-    fields = {f.name: f.dataType for f in spark.table(name).schema}
-    spec = ", ".join(f"`{c}` = {_sql_literal(v, fields[c])}" for c, v in partition.items())
-    no_row = ", ".join(f"CAST(NULL AS {kind.simpleString()}) AS `{c}`"
-                       for c, kind in fields.items() if c not in partition)
-    if None not in partition.values():
-        with session_conf(spark, spark__sql__sources__partitionOverwriteMode="static"):
-            spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) SELECT {no_row} WHERE false")
+
+def _partition_folders(spark: SparkSession, path: str, parts: Sequence[str]) -> list[tuple[dict, str]]:
+    """Partition values, as text, and folders under a path that was written by partitions."""
+    hadoop, conf = _hadoop(spark)
+    top = hadoop.Path(path)
+    files, found = top.getFileSystem(conf), [({}, top)]
+    for part in parts:
+        below = [(values, f.getPath()) for values, folder in found for f in files.listStatus(folder) if f.isDirectory()]
+        texts = [(values, f, f.getName().split("=", 1)[1]) for values, f in below]
+        found = [({**values, part: None if text == _NO_VALUE else unquote(text)}, f) for values, f, text in texts]
+    return [(values, f.toString().replace("'", "\\'")) for values, f in found]
+
+
+def _delete_files(spark: SparkSession, uris: Sequence[str], root: str) -> None:
+    """Delete data files of a table, with folders that hold nothing else; nothing outside its folder."""
+    hadoop, conf = _hadoop(spark)
+    top = hadoop.Path(root)
+    files, inside = top.getFileSystem(conf), top.toUri().getPath()
+    folders = {}
+    for uri in uris:
+        file = hadoop.Path(spark.sparkContext._jvm.java.net.URI(uri))
+        if file.toUri().getPath().startswith(f"{inside}/"):
+            files.delete(file, False)
+            folders[file.getParent().toString()] = file.getParent()
+    for folder in folders.values():
+        while folder.toUri().getPath() != inside and files.exists(folder) and all(
+                f.getPath().getName().startswith("_") and f.isFile() for f in files.listStatus(folder)):
+            files.delete(folder, True)
+            folder = folder.getParent()
+
+
+def drop_partition(spark: SparkSession, name: str, partition: dict) -> None:
+    """Remove a partition and its files, from external tables too."""
+    table = spark.table(name)
+    old = table.filter(in_partitions(list(partition), [partition])).inputFiles()
+    spec = _spec(partition, {f.name: f.dataType for f in table.schema})
     spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+    spark.catalog.refreshTable(name)
+    _delete_files(spark, old, _folder(spark, name))
+
+
+def _spec(values: dict, fields: dict[str, T.DataType]) -> str:
+    return ", ".join(f"`{c}` = {_sql_literal(v, fields[c])}" for c, v in values.items())
 
 
 def _sql_literal(value, kind: T.DataType) -> str:
@@ -381,13 +409,13 @@ def cluster(
     Rows are ranged over the partition columns first: one hot partition is cut into many ranges
     and a file holds few partitions. A linear sort: it helps most on the first column.
     """
-    def ordered(df: DataFrame, parts: list[str]) -> DataFrame:
-        order = [*parts, *[c for c in by if c not in parts]]
-        ranged = df.repartitionByRange(num_ranges, *order) if num_ranges else \
-            df.repartitionByRange(*order)
-        return ranged.sortWithinPartitions(*order)
+    _rewrite(spark, name, where, lambda df, parts: _sorted(df, parts, by, num_ranges))
 
-    _rewrite(spark, name, where, ordered)
+
+def _sorted(df: DataFrame, parts: Sequence[str], by: Sequence[str], num_ranges: int | None = None) -> DataFrame:
+    order = [*parts, *[c for c in by if c not in parts]]
+    ranged = df.repartitionByRange(num_ranges, *order) if num_ranges else df.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order)
 
 
 def _rewrite(spark: SparkSession, name: str, where: Sequence[dict], arrange) -> None:
@@ -395,12 +423,8 @@ def _rewrite(spark: SparkSession, name: str, where: Sequence[dict], arrange) ->
     for partition in where:
         if set(partition) - set(parts):
             raise ValueError(f"{sorted(partition)} are not all partition columns of {name}")
-    _finish_move(spark, name)
+    spark.catalog.refreshTable(name)
     df = spark.table(name)
     if where:
-        test = F.lit(False)
-        for partition in where:
-            test = test | _in_partitions(list(partition), [partition])
-        df = df.filter(test)
-    # The staged copy needs no shuffle; the only one is that of the final arrangement.
-    _move_in(df, name, lay_out=False, arrange=arrange)
+        df = df.filter(_any([in_partitions(list(partition), [partition]) for partition in where]))
+    _switch(arrange(df, parts), name)

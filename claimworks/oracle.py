@@ -249,6 +249,13 @@ LATEST_EVENTS = f"""WITH {EVENTS} SELECT {EVENT_NAMES} FROM parsed WHERE claim_i
 QUALIFY row_number() OVER (PARTITION BY claim_id ORDER BY ts DESC, event_id DESC) = 1"""
 
 #: Raw claims and events as text, with what puts copies of a claim in order.
+
+
+def both(name: str = "mixed", raw: str = "true", events: str = "true", hour: str = "03") -> str:
+    return BOTH.replace("mixed AS", f"{name} AS").replace("FROM raw UNION", f"FROM raw WHERE {raw} UNION").replace(
+        "WHERE true)", f"WHERE {events})").replace("12-15 03:", f"12-15 {hour}:")
+
+
 BOTH = """mixed AS (
   SELECT * FROM raw UNION ALL BY NAME
   SELECT CASE WHEN ok THEN CASE WHEN user_id % 3 = 0 THEN 'CLM' || lpad(user_id::VARCHAR, 8, '0') || '-1'
@@ -260,7 +267,7 @@ BOTH = """mixed AS (
     CASE WHEN ok THEN (value * 2)::VARCHAR END AS billed_amount, CASE WHEN ok THEN value::VARCHAR END AS paid_amount,
     CASE WHEN ok THEN 'APPROVED' END AS claim_status, CASE WHEN ok THEN 'PYR' || user_id % 5 END AS payer_id,
     TIMESTAMP '2024-12-15 03:00:00' AS ingestion_ts, epoch_us(ts) AS l_partkey, event_id AS l_suppkey
-  FROM (SELECT *, event_type <> 'error' AS ok FROM events)
+  FROM (SELECT *, event_type <> 'error' AS ok FROM events WHERE true)
 )"""
 SILVER_NAMES = ("claim_id, member_id, provider_npi, service_date, icd10_code, cpt_code, "
                 "billed_amount, allowed_amount, paid_amount, claim_status, payer_id, "
@@ -465,6 +472,18 @@ ORACLE: dict[str, str] = {
     "compact_stream_table": ALL_EVENTS,
     "stream_restart": ALL_EVENTS,
     "stream_latest_state": LATEST_EVENTS,
+    "stream_state_compaction": LATEST_EVENTS,
+    "stream_resent_events": ALL_EVENTS,
+    "stream_dead_letters": f"""WITH {EVENTS} SELECT partition_id, eh_offset, claim_id,
+      CASE WHEN NOT ok THEN '{{broken' END AS payload FROM parsed""",
+    "silver_late_stream": f"""WITH {RAW},
+{both("mixed_a", f"ingestion_date <= {FIRST}", "event_id % 3 = 0")}, {newest("mixed_a", "newest_a")}, {typed("newest_a", "typed_a")},
+{checked("typed_a", "checked_a")}, {both("mixed_b", f"ingestion_date > {FIRST}", "event_id % 3 = 1", "02")},
+{both("mixed_c", "false", "event_id % 3 = 2", "05")}, later AS (SELECT * FROM mixed_b UNION ALL BY NAME SELECT * FROM mixed_c),
+{newest("later", "newest_b")}, {typed("newest_b", "typed_b")}, {checked("typed_b", "checked_b")}
+SELECT {SILVER_NAMES}, {SECOND} AS silver_batch_date FROM checked_b WHERE is_valid
+UNION ALL SELECT {SILVER_NAMES}, {FIRST} FROM checked_a a WHERE is_valid
+  AND NOT EXISTS (SELECT 1 FROM checked_b b WHERE b.is_valid AND b.claim_id = a.claim_id)""",
     "silver_with_stream": f"""WITH {RAW}, {BOTH}, {newest("mixed")}, {typed()}, {checked()}, {VALID}
       SELECT {SILVER_NAMES}, {AS_OF} AS silver_batch_date FROM valid""",
     "gold_extreme_amounts": f"""WITH {TO_VALID}, v AS (SELECT * REPLACE (

@@ -16,6 +16,7 @@ from claimworks.plans.gold import BUILDERS
 from claimworks.plans.silver import silver_rows, validated_claims
 from claimworks.plans.views import refresh_kpi_snapshot
 from claimworks.sources.raw import add_provenance, bronze_union, read_batch, read_raw
+from claimworks.streaming.ingest import commits_of
 
 _SILVER_PARTITIONS = ("service_year", "service_month")
 _STREAM_ONLY = ("event_time", "partition_id", "eh_offset", "event_type", "submission_ts", "micro_batch")
@@ -29,8 +30,8 @@ class BatchConfig:
 
     ``raw_root`` has one folder per batch date. ``prefix`` goes before every table name, for
     example ``"claims."`` for a database. With ``root`` tables are external, one folder each.
-    ``with_stream`` adds the rows of the event table that were loaded since the batch before, up to
-    ``run_ts``; a batch that runs again takes the same rows. Of the copies of a claim the last
+    ``with_stream`` adds the rows of the event table that no batch has taken yet; a batch that runs
+    again takes the same rows. Loads with it run one after the other. Of the copies of a claim the last
     loaded wins, then the newest event, then the first by ``order_by`` (SQL), then by file.
     ``coverage="distinct"`` judges coverage by distinct claims, so that dropped copies are no loss;
     ``"rows"`` counts them as one. Tables are compacted and silver is clustered unless ``layout``
@@ -113,15 +114,12 @@ def load_silver(spark: SparkSession, cfg: BatchConfig, batch_date: str) -> Stage
     elif tables.table_exists(spark, quarantine):
         tables.drop_partition(spark, quarantine, {"ingestion_date": batch_date})
 
-    silver = cfg.name(C.SILVER)
-    known = tables.table_exists(spark, silver)
     valid = tables.staged(silver_rows(checked, batch_date, cfg.run_ts))
-    touched = tables.upsert(
-        valid, silver, ["claim_id"], _SILVER_PARTITIONS, cfg.location(C.SILVER),
+    tables.upsert(
+        valid, cfg.name(C.SILVER), ["claim_id"], _SILVER_PARTITIONS, cfg.location(C.SILVER),
         newer_than="silver_batch_date", unique=True,
-        stale=F.col("silver_batch_date") == F.lit(batch_date).cast("date"))
-    if cfg.layout and (touched or not known):
-        tables.cluster(spark, silver, _CLUSTER_BY, touched)
+        stale=F.col("silver_batch_date") == F.lit(batch_date).cast("date"),
+        cluster_by=_CLUSTER_BY if cfg.layout else ())
     removed = bronze.count() - counts["total"]
     tables.release(checked, valid)
     return StageResult("silver", status, {"batch_date": batch_date, **counts, "dupes_removed": removed})
@@ -140,27 +138,53 @@ def _ordered(text: str) -> Column:
 
 
 def stream_rows(spark: SparkSession, cfg: BatchConfig, batch_date: str) -> DataFrame:
-    """Rows of the real-time table for this batch: loaded after what the batch before took, up to
-    this run. The interval is logged, and a batch that runs again takes its own interval."""
-    name, up_to = cfg.name(C.STREAM_LOG), cfg.run_ts or datetime.now()
-    after = None
+    """Rows of the real-time table for this batch: of all micro-batches that no batch has taken.
+
+    What a batch takes is written down first, by name and not by time, so a micro-batch that is
+    committed late comes with the next batch, and a batch that runs again takes its own once more.
+    """
+    log, at = cfg.name(C.STREAM_LOG), cfg.run_ts or datetime.now()
+    stream = _refreshed(spark, cfg.name(C.BRONZE_STREAM))
+    known = _committed(spark, cfg, stream)
+    taken = _refreshed(spark, log) if tables.table_exists(spark, log) else spark.createDataFrame([], schemas.STREAM_LOG)
+    if taken.filter(F.col("batch_date") == batch_date).isEmpty():
+        free = known.filter(F.col("committed_at") <= F.lit(at)).join(taken, "micro_batch", "left_anti")
+        mark = spark.range(1).select(F.lit(None).cast("string").alias("micro_batch"))
+        rows = tables.staged(free.select("micro_batch").unionByName(mark).select(
+            F.lit(batch_date).alias("batch_date"), "micro_batch", F.lit(at).alias("taken_at")))
+        tables.append(rows.coalesce(1), log, location=cfg.location(C.STREAM_LOG))
+        tables.release(rows)
+        taken = _refreshed(spark, log)
+    own = taken.filter((F.col("batch_date") == batch_date) & F.col("micro_batch").isNotNull()).select("micro_batch").distinct()
+    spans = known.join(own, "micro_batch", "left_semi")
+    days = spans.select(F.explode(F.sequence("first_date", "last_date")).alias("ingestion_date")).distinct().collect()
+    held = stream.filter(tables.in_partitions(["ingestion_date"], days)).withColumn("micro_batch", _unit(stream))
+    return held.join(own, "micro_batch", "left_semi")
+
+
+def _refreshed(spark: SparkSession, name: str) -> DataFrame:
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
+def _unit(stream: DataFrame) -> Column:
+    """Micro-batch of a row; rows that no stream wrote belong together by load time."""
+    loaded = F.concat(F.lit("loaded-"), F.unix_micros("ingestion_ts").cast("string"))
+    return F.coalesce(F.col("micro_batch"), loaded) if "micro_batch" in stream.columns else loaded
+
+
+def _committed(spark: SparkSession, cfg: BatchConfig, stream: DataFrame) -> DataFrame:
+    """Name, load dates and commit time of what is in the real-time table. With the stream's table of
+    commits nothing else is read; a table that was filled otherwise is looked through, two narrow
+    columns of it, and its load times stand for commits."""
+    name = commits_of(cfg.name(C.BRONZE_STREAM))
     if tables.table_exists(spark, name):
-        spark.catalog.refreshTable(name)
-        own = spark.table(name).filter(F.col("batch_date") == batch_date).orderBy("up_to_ts").first()
-        if own:
-            after, up_to = own["after_ts"], own["up_to_ts"]
-        else:
-            after = spark.table(name).agg(F.max("up_to_ts")).first()[0]
-    else:
-        own = None
-    if own is None:
-        row = spark.createDataFrame([(batch_date, after, up_to)], schemas.STREAM_LOG)
-        tables.append(row, name, location=cfg.location(C.STREAM_LOG))
-    rows = spark.table(cfg.name(C.BRONZE_STREAM)).filter(
-        (F.col("ingestion_ts") <= F.lit(up_to)) & (F.col("ingestion_date") <= F.to_date(F.lit(up_to))))
-    if after is None:
-        return rows
-    return rows.filter((F.col("ingestion_ts") > F.lit(after)) & (F.col("ingestion_date") >= F.to_date(F.lit(after))))
+        long_ago = F.lit("0001-01-01").cast("timestamp")  # it is committed, whenever the run says it is
+        return _refreshed(spark, name).groupBy("micro_batch").agg(
+            F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date")).withColumn("committed_at", long_ago)
+    return stream.groupBy(_unit(stream).alias("micro_batch")).agg(
+        F.min("ingestion_date").alias("first_date"), F.max("ingestion_date").alias("last_date"),
+        F.max("ingestion_ts").alias("committed_at"))
 
 
 def load_gold(spark: SparkSession, cfg: BatchConfig, batch_date: str) -> StageResult:

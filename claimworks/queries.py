@@ -68,10 +68,9 @@ def _table(spark: SparkSession, label: str) -> tuple[str, str]:
 
 
 def _contents(spark: SparkSession, name: str, location: str) -> DataFrame:
-    """The rows of a written table; its name is given up, its files stay for the caller."""
-    rows = spark.read.schema(spark.table(name).schema).parquet(location)
-    spark.sql(f"DROP TABLE {name}")
-    return rows
+    """The rows of a written table. Its name stays too: the catalog knows where its partitions lie."""
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
 
 
 # -- columns ----------------------------------------------------------------------------------
@@ -710,15 +709,57 @@ def stream_restart(spark, sf):
 
 @query
 def stream_latest_state(spark, sf):
-    """Newest event of each claim, kept by an upsert per micro-batch."""
+    """Newest event of each claim, from the changes that micro-batches wrote."""
     name, location = _table(spark, "state")
     stream = ev.envelope_stream(spark, _event_files(spark, sf), max_files_per_trigger=2)
     ingest.start_latest_state(
         ingest.parse_events(ev.select_envelope(stream)), name,
         scratch_path(spark, "state-state"), location, every=None).awaitTermination()
+    return _event_time_text(ingest.latest_state(spark, name).select(*EVENT_COLUMNS))
+
+
+def _event_parts(spark, sf, path: str):
+    """Adds the events to a folder in two parts, odd ones first."""
+    for part in (1, 0):
+        _events(spark, sf).filter(F.col("offset").cast("bigint") % 2 == part).write.mode("append").parquet(path)
+        yield ev.select_envelope(ev.envelope_stream(spark, path))
+
+
+@query
+def stream_state_compaction(spark, sf):
+    """The table of newest events itself, compacted after each of two runs."""
+    name, location = _table(spark, "state")
+    state = scratch_path(spark, "state-state")
+    for envelope in _event_parts(spark, sf, scratch_path(spark, "envelopes")):
+        ingest.start_latest_state(ingest.parse_events(envelope), name, state, location, every=None).awaitTermination()
+        ingest.compact_latest_state(spark, name)
     return _event_time_text(_contents(spark, name, location).select(*EVENT_COLUMNS))
 
 
+@query
+def stream_resent_events(spark, sf):
+    """Every event is sent twice, half of them once more after a restart; each comes once."""
+    name, location = _table(spark, "resent")
+    path, state = scratch_path(spark, "envelopes"), scratch_path(spark, "resent-state")
+    for envelope in _event_parts(spark, sf, path):
+        _events(spark, sf).filter(F.col("offset").cast("bigint") % 2 == 1).write.mode("append").parquet(path)
+        stream = ingest.drop_resent(ingest.parse_events(envelope))
+        ingest.start_ingest(stream, name, state, location, every=None).awaitTermination()
+    return _event_time_text(_contents(spark, name, location).select(*EVENT_COLUMNS))
+
+
+@query
+def stream_dead_letters(spark, sf):
+    """Where each event went: to the real-time table, or with its body to the dead letters."""
+    name, location = _table(spark, "letters")
+    stream = ev.envelope_stream(spark, _event_files(spark, sf), max_files_per_trigger=2)
+    ingest.start_ingest(ingest.parse_events(ev.select_envelope(stream), bodies=True), name,
+                        scratch_path(spark, "letters-state"), location, None, f"{name}_dead").awaitTermination()
+    rows = _contents(spark, name, location).select("partition_id", "eh_offset", "claim_id", F.lit(None).cast("string").alias("payload"))
+    dead = _contents(spark, f"{name}_dead", location).select("partition_id", "eh_offset", F.lit(None).alias("claim_id"), "payload")
+    return rows.unionByName(dead)
+
+
 # -- files and whole loads --------------------------------------------------------------------
 
 def _write_csv(claims: DataFrame, path: str) -> None:
@@ -793,8 +834,35 @@ def silver_with_stream(spark, sf):
     tables.append(events, cfg.name(BRONZE_STREAM), ["ingestion_date"], cfg.location(BRONZE_STREAM))
     batch.load_silver(spark, cfg, fx.AS_OF)
     rows = _contents(spark, cfg.name(SILVER), cfg.location(SILVER))
-    for table in spark.catalog.listTables(pattern=f"{cfg.prefix}*"):
-        spark.sql(f"DROP TABLE {table.name}")
+    return rows.drop("silver_updated_at", "ingestion_date", "ingestion_ts", "source_file", "tie_part", "tie_supplier")
+
+
+@query
+def silver_late_stream(spark, sf):
+    """Two batches, each with half of the line items. A third of the events is in the real-time table
+    before the first. A third that was loaded earlier still, but is committed between the batches,
+    and a third that is loaded later come with the second."""
+    cfg = batch.BatchConfig(
+        raw_root="", prefix=f"late_{uuid.uuid4().hex}_", root=scratch_path(spark, "late"), as_of=fx.AS_OF,
+        run_ts=datetime.fromisoformat(RUN_TS), with_stream=True, layout=False,
+        order_by=("tie_part DESC", "tie_supplier DESC"))
+    cut, table = F.lit(FIRST_LOAD).cast("date"), cfg.name(BRONZE_STREAM)
+    day = F.when(F.col("_day") <= cut, cut).otherwise(F.lit(SECOND_LOAD).cast("date"))
+    tables.create(_bronze(spark, sf, day), cfg.name(BRONZE), ["ingestion_date"], cfg.location(BRONZE))
+
+    def commit(part: int, hour: int) -> None:
+        path = scratch_path(spark, "late-envelopes")
+        _events(spark, sf, mixed=True).filter(F.col("offset").cast("bigint") % 3 == part).write.parquet(path)
+        stream = ingest.parse_events(ev.select_envelope(ev.envelope_stream(spark, path)), datetime(2024, 12, 15, hour))
+        ingest.start_ingest(stream, table, scratch_path(spark, "late-state"), cfg.location(BRONZE_STREAM), None).awaitTermination()
+
+    commit(0, 3)
+    batch.load_silver(spark, cfg, FIRST_LOAD)
+    commit(1, 2)
+    commit(2, 5)
+    for again in (SECOND_LOAD, FIRST_LOAD):
+        batch.load_silver(spark, cfg, again)
+    rows = _contents(spark, cfg.name(SILVER), cfg.location(SILVER))
     return rows.drop("silver_updated_at", "ingestion_date", "ingestion_ts", "source_file", "tie_part", "tie_supplier")
 
 

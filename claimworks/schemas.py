@@ -16,7 +16,9 @@ EVENT = """claim_id string, member_id string, provider_npi string, service_date
     submission_ts string"""
 ENVELOPE = "enqueuedTime timestamp, body binary, partition string, offset string"
 
-# Fixed names: the log of loads. The stream log keeps which load times each batch has taken.
+# Fixed names: the log of loads. The stream log keeps which micro-batches each batch has taken, and a
+# row without one for the batch itself; commits are micro-batches that are wholly in the table.
 INGESTION_LOG = """batch_date string, records_ingested bigint, corrupt_records bigint,
     source_path string, status string, logged_at timestamp"""
-STREAM_LOG = "batch_date string, after_ts timestamp, up_to_ts timestamp"
+STREAM_LOG = "batch_date string, micro_batch string, taken_at timestamp"
+STREAM_COMMITS = "micro_batch string, first_date date, last_date date, committed_at timestamp"

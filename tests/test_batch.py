@@ -249,3 +249,54 @@ def test_names_and_locations(prefix, root):
     cfg = batch.BatchConfig("raw", prefix, root)
     assert cfg.name("t") == f"{prefix}t"
     assert cfg.location("t") == (None if root is None else "/x/t")
+
+
+def test_a_micro_batch_committed_late_comes_with_the_next_batch_once(spark, tmp_path, new_table):
+    """Loaded before the first batch ran, committed after it had read the table."""
+    from test_stream import body, envelopes
+
+    from claimworks.sources.events import envelope_stream, select_envelope
+    from claimworks.streaming.ingest import parse_events, start_ingest
+
+    cfg = config(tmp_path, new_table, with_stream=True, run_ts=datetime(2025, 3, 1, 2), layout=False)
+    full = {"member_id": "M", "billed_amount": 900.0, "payer_id": "P"}
+
+    def commit(loaded, *claims):
+        path = str(tmp_path / f"in{loaded:%d%H%M%S}")
+        rows = [(i, body(c, **full)) for i, c in enumerate(claims)]
+        envelopes(spark, rows).coalesce(1).write.parquet(path)
+        stream = parse_events(select_envelope(envelope_stream(spark, path)), loaded)
+        start_ingest(stream, cfg.name(C.BRONZE_STREAM), f"{path}-state", cfg.location(C.BRONZE_STREAM), None).awaitTermination(120)
+
+    def run(day):
+        write_raw(spark, cfg, day, [good(int(day[-1]))])
+        assert stages(batch.run_batch(spark, cfg, day))["silver"].status != "FAILED"
+        spark.catalog.refreshTable(cfg.name(C.SILVER))
+        return {(r["claim_id"], str(r["silver_batch_date"])[-2:]) for r in spark.table(cfg.name(C.SILVER)).collect()}
+
+    commit(datetime(2025, 3, 1, 1), "A")
+    first = {("G001", "01"), ("A", "01")}
+    assert run("2025-03-01") == first
+    commit(datetime(2025, 3, 1, 1, 59, 55), "B")
+    commit(datetime(2025, 2, 20), "OLDER")
+    commit(datetime(2025, 3, 1, 3), "D")
+    second = first | {("G002", "02"), ("B", "02"), ("OLDER", "02"), ("D", "02")}
+    assert run("2025-03-02") == second
+    assert run("2025-03-01") == second  # its own rows again
+    assert run("2025-03-03") == second | {("G003", "03")}
+    log = spark.table(cfg.name(C.STREAM_LOG))
+    assert log.filter("micro_batch IS NOT NULL").groupBy("micro_batch").count().filter("count > 1").isEmpty()
+    assert sorted(r["batch_date"] for r in log.filter("micro_batch IS NULL").collect()) == ["2025-03-01", "2025-03-02", "2025-03-03"]
+
+
+def test_a_batch_reads_only_the_load_dates_of_its_micro_batches(spark, tmp_path, new_table):
+    cfg = config(tmp_path, new_table, with_stream=True, run_ts=datetime(2025, 3, 1, 2))
+    from test_stream import body
+    stream_table(spark, cfg, (datetime(2025, 2, 1), [(0, body("OLD"))]))
+    batch.stream_rows(spark, cfg, "2025-02-01")
+    stream_table(spark, cfg, (datetime(2025, 3, 1), [(0, body("NEW"))]))
+    rows = batch.stream_rows(spark, cfg, "2025-03-01")
+    assert [r["claim_id"] for r in rows.collect()] == ["NEW"]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "ingestion_date" in plan.split("PartitionFilters", 1)[1]
+    assert len([f for f in rows.inputFiles() if "bronze_claims_realtime" in f]) == 1

@@ -138,7 +138,7 @@ def test_compact_rewrites_into_fewer_files(spark, new_table):
         F.lit(1).alias("version")).repartition(8)
     tables.create(spread, name, ["part"], location, rebalance=False)
     def files(p):
-        return len(glob.glob(f"{location}/part={p}/*.parquet"))
+        return len(spark.table(name).filter(F.col("part") == p).inputFiles())
 
     assert files(0) == files(1) == 8
     before = contents(spark, name)
@@ -159,7 +159,7 @@ def test_cluster_sorts_within_files(spark, new_table):
     tables.cluster(spark, name, ["v"], num_ranges=4)
     assert contents(spark, name) == before
     spans = []
-    for file in glob.glob(f"{location}/part=0/*.parquet"):
+    for file in spark.table(name).filter("part = 0").inputFiles():
         values = [r["v"] for r in spark.read.parquet(file).select("v").collect()]
         assert values == sorted(values)
         spans.append((values[0], values[-1]))
@@ -181,32 +181,82 @@ def test_drop_partition_by_date(spark, new_table):
     assert spark.read.parquet(location).count() == 1
 
 
-def test_a_move_that_was_cut_short_is_finished(spark, loaded, monkeypatch):
-    """The job dies when one partition is gone and nothing is in its place yet."""
-    name, _ = loaded
-    insert = tables._insert_over
+def test_an_upsert_that_dies_between_two_switches_can_be_repeated(spark, loaded, monkeypatch):
+    name, location = loaded
+    place, placed = tables._place, []
 
-    def dies(df, table):
-        tables.drop_partition(spark, table, {"part": 1})
-        raise RuntimeError("lost")
+    def dies(spark, table, spec, folder):
+        if placed:
+            raise RuntimeError("lost")
+        placed.append(spec)
+        place(spark, table, spec, folder)
 
-    monkeypatch.setattr(tables, "_insert_over", dies)
+    source = frame(spark, ("b", 2, 1, 2), ("c", 2, 3, 2), ("e", 2, 5, 2))
+    monkeypatch.setattr(tables, "_place", dies)
     with pytest.raises(RuntimeError, match="lost"):
-        tables.upsert(frame(spark, ("b", 2, 1, 2), ("c", 2, 1, 2)), name, ["id"])
-    assert [r[0] for r in contents(spark, name)] == ["c", "d"]
-    monkeypatch.setattr(tables, "_insert_over", insert)
-    tables.upsert(frame(spark, ("e", 3, 5, 3)), name, ["id"])
-    assert contents(spark, name) == [
-        ("a", 1, 1, 1), ("b", 2, 1, 2), ("c", 2, 1, 2), ("d", 1, 3, 1), ("e", 3, 5, 3)]
-    assert not glob.glob(f"{loaded[1]}/part=2/*.parquet")
+        tables.upsert(source, name, ["id"], newer_than="version")
+    spark.catalog.refreshTable(name)
+    assert {r["id"] for r in spark.table(name).collect()} >= {"a", "b", "d"}  # partitions are whole, old or new
+    monkeypatch.setattr(tables, "_place", place)
+    tables.upsert(source, name, ["id"], newer_than="version")
+    assert contents(spark, name) == [("a", 1, 1, 1), ("b", 2, 1, 2), ("c", 2, 3, 2), ("d", 1, 3, 1), ("e", 2, 5, 2)]
+    assert not glob.glob(f"{location}/part=2/*.parquet")
+
+
+def test_rows_of_a_touched_partition_are_written_once_and_old_files_go(spark, loaded):
+    name, location = loaded
+    tables.upsert(frame(spark, ("a", 2, 1, 2)), name, ["id"], newer_than="version")
+    tables.upsert(frame(spark, ("a", 3, 2, 3)), name, ["id"], newer_than="version")
+    on_disk = sorted(glob.glob(f"{location}/**/*.parquet", recursive=True))
+    named = sorted(f.removeprefix("file://") for f in spark.table(name).inputFiles())
+    assert on_disk == named and contents(spark, name) == [("a", 3, 2, 3), ("b", 1, 1, 1), ("c", 1, 2, 1), ("d", 1, 3, 1)]
+
+
+def test_appends_go_to_where_a_partition_lies_now(spark, loaded):
+    name, _ = loaded
+    tables.upsert(frame(spark, ("a", 2, 1, 2)), name, ["id"])
+    tables.append(frame(spark, ("z", 1, 1, 1)), name)
+    tables.compact(spark, name)
+    assert [r[0] for r in contents(spark, name)] == ["a", "b", "c", "d", "z"]
+
+
+def test_odd_partition_values(spark, new_table):
+    name, location = new_table()
+    df = spark.createDataFrame([(1, "a b"), (2, "c/d=e%f"), (3, "it's"), (4, None)], "id int, p string")
+    tables.create(df, name, ["p"], location)
+    tables.upsert(df.withColumn("id", F.col("id") + 10), name, ["p"])
+    tables.compact(spark, name)
+    assert sorted(r["id"] for r in spark.table(name).collect()) == [4, 11, 12, 13, 14]
+    tables.replace_partitions(df.filter("id > 3"), name, ["p"], emptied=[{"p": "it's"}])
+    assert sorted(r["id"] for r in spark.table(name).collect()) == [4, 11, 12]
+
+
+def test_partitions_are_announced_before_they_change(spark, loaded):
+    name, _ = loaded
+    told = []
+    tables.upsert(frame(spark, ("c", 2, 9, 2)), name, ["id"], announce=lambda parts: told.append(
+        (sorted(p["part"] for p in parts), contents(spark, name))))
+    assert told == [([2, 9], [("a", 1, 1, 1), ("b", 1, 1, 1), ("c", 1, 2, 1), ("d", 1, 3, 1)])]
+
+
+def test_upsert_can_cluster_while_it_writes(spark, new_table):
+    name, location = new_table()
+    rows = spark.range(600).select(F.col("id").cast("string"), (F.col("id") * 7919 % 600).cast("int").alias("v"),
+                                   (F.col("id") % 2).cast("int").alias("part"), F.lit(1).alias("version"))
+    for _ in range(2):  # a new table and a known one
+        tables.upsert(rows.repartition(4), name, ["id"], ["part"], location, cluster_by=["v"])
+        for file in spark.table(name).inputFiles():
+            values = [r["v"] for r in spark.read.parquet(file).select("v").collect()]
+            assert values == sorted(values)
+    assert spark.table(name).count() == 600
 
 
 def test_many_partitions_fit_one_condition(spark):
     df = spark.range(3).select(F.col("id").alias("a"), F.col("id").alias("b"), F.col("id").alias("c"))
     rows = [{"a": i, "b": None if i == 1 else i} for i in range(5000)]
-    test = tables._in_partitions(["a", "b"], rows)
+    test = tables.in_partitions(["a", "b"], rows)
     assert [r["a"] for r in df.filter(test).collect()] == [0, 2]
-    flat = tables._in_partitions(["a"], [{"a": i} for i in [*range(2, 5000), None]])
+    flat = tables.in_partitions(["a"], [{"a": i} for i in [*range(2, 5000), None]])
     assert [r["a"] for r in df.filter(flat).collect()] == [2]
 
 
