@@ -35,6 +35,8 @@ from claimworks.llm.common import extended, written
 
 #: Children of a parent.
 FAN = 16
+_FILE_ROWS = 1 << 15
+_STEPS = "array<struct<slot: int, state: binary, children: binary>>"
 _PLACE_BITS = 33  # of monotonically_increasing_id that count within a partition
 _HEX = np.frombuffer(b"0123456789abcdef", np.uint8)
 _RESULT = "key long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
@@ -150,11 +152,14 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=[*batch.schema.names, "states", "digest"])
 
 
-def numbered(rows: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
+def numbered(rows: DataFrame, group: Sequence[str], order: Sequence[str], unique: bool = False) -> DataFrame:
     """``pos`` of each row in its group (never null) and the group's size ``width``, without a task per
-    group: ranges are sorted, counted per group, and the counts before each range are added up."""
-    rows = written(rows.withColumn("salt", F.monotonically_increasing_id()), "unordered")
-    keys = [*group, *order, "salt"]
+    group: ranges are sorted, counted per group, and the counts before each range are added up.
+    Equal rows are spread over ranges too, unless the order is ``unique``."""
+    keys = [*group, *order]
+    if not unique:
+        rows = written(rows.withColumn("salt", F.monotonically_increasing_id()), "unordered")
+        keys.append("salt")
     placed = written(rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
                      .withColumn("place", F.monotonically_increasing_id()), "ordered")
     placed = placed.withColumn("part", F.shiftright("place", _PLACE_BITS))
@@ -179,22 +184,29 @@ def _parents(nodes: DataFrame, carried: Sequence[str]) -> DataFrame:
     return runs.mapInArrow(_hashed, extended(runs.schema, states="binary", digest="binary"))
 
 
-def build(nodes: DataFrame, carried: Sequence[str] = ()) -> list[DataFrame]:
+def _few(rows: DataFrame, count: int | None) -> DataFrame:
+    """A table of known size in as many files as it needs."""
+    return rows if count is None else rows.coalesce(max(1, -(-count // _FILE_ROWS)))
+
+
+def build(nodes: DataFrame, carried: Sequence[str] = ()) -> list[tuple[DataFrame, int]]:
     """The levels of parents over ``tree, pos, width, digest``, lowest first, each a stored table
-    ``tree, pos, width, children, states, digest``; the lowest has its members' ``carried`` columns."""
-    levels: list[DataFrame] = []
-    most = nodes.agg(F.max("width")).first()[0] or 0
+    ``tree, pos, width, children, states, digest`` with its number of rows; the lowest has its
+    members' ``carried`` columns."""
+    levels: list[tuple[DataFrame, int]] = []
+    most, count = nodes.agg(F.max("width")).first()[0] or 0, None
     while most > 1:
-        level = written(_parents(nodes.filter("width > 1"), carried if not levels else ()), "merkle")
-        levels.append(level)
+        level = written(_few(_parents(nodes.filter("width > 1"), carried if not levels else ()), count), "merkle")
+        count = level.count()
+        levels.append((level, count))
         nodes, most = level, -(-most // FAN)
     return levels
 
 
-def tops(nodes: DataFrame, levels: Sequence[DataFrame]) -> DataFrame:
+def tops(nodes: DataFrame, levels: Sequence[tuple[DataFrame, int]]) -> DataFrame:
     """The one node that is left of each tree."""
     out = nodes.filter("width = 1").select("tree", "digest")
-    for level in levels:
+    for level, _ in levels:
         out = out.unionByName(level.filter("width = 1").select("tree", "digest"))
     return out
 
@@ -213,15 +225,15 @@ def _hung(nodes: DataFrame, above: DataFrame) -> DataFrame:
         *columns, F.concat(F.array(_step(F.col("mine.pos"))), "above.path").alias("path"), "above.crown")
 
 
-def with_paths(levels: Sequence[DataFrame], crowns: DataFrame) -> DataFrame | None:
+def with_paths(levels: Sequence[tuple[DataFrame, int]], crowns: DataFrame) -> DataFrame | None:
     """The lowest level with each parent's ``path``: per level above it the slot, its state and all
     children. ``crowns`` (tree, path, crown) is what lies over each tree's top."""
     above = None
-    for level in reversed(levels):
+    for i, (level, count) in reversed(list(enumerate(levels))):
         now = level.filter("width = 1").join(crowns, "tree").select(*level.columns, "path", "crown")
         if above is not None:
             now = now.unionByName(_hung(level.filter("width > 1"), above))
-        above = written(now, "paths")
+        above = written(_few(now, count), "paths") if i else now
     return above
 
 
@@ -290,9 +302,8 @@ def prove(rows: DataFrame, fields: Sequence[str], key: str, group: str, altered:
     nodes = written(numbered(rows.select(tree.alias("tree"), F.col(key).cast("long").alias("key"),
                                          leaf(now).alias("digest"), leaf({**now, **(altered or {})}).alias("found")),
                              ["tree"], ["key", "digest"]), "leaves")
-    groups = written(numbered(nodes.select("tree").distinct(), [], ["tree"]), "groups")
     levels = build(nodes, ("key", "found"))
-    crowns = _crowns(written(tops(nodes, levels), "subroots"), groups)
+    crowns = _crowns(tops(nodes, levels))
     runs = nodes.filter("width = 1").join(crowns, "tree").select(
         F.lit(None).cast("binary").alias("children"), F.lit(None).cast("binary").alias("states"),
         F.array(F.struct("pos", "digest", "key", "found")).alias("members"), "path", "crown")
@@ -302,18 +313,17 @@ def prove(rows: DataFrame, fields: Sequence[str], key: str, group: str, altered:
     return runs.mapInArrow(_proved, _RESULT).withColumnRenamed("key", key)
 
 
-def _crowns(subroots: DataFrame, groups: DataFrame) -> DataFrame:
+def _crowns(subroots: DataFrame) -> DataFrame:
     """What lies over each group's tree: its subroot, the root and the path between them."""
-    heads = written(subroots.join(groups, "tree").select(
-        F.lit("").alias("tree"), "pos", "width", "digest", F.col("tree").alias("of")), "heads")
-    levels = build(heads)
-    steps = "array<struct<slot: int, state: binary, children: binary>>"
-    root = tops(heads, levels).select("tree", F.array().cast(steps).alias("path"),
+    heads = numbered(subroots, [], ["tree"], unique=True)
+    heads = written(heads.select(F.lit("").alias("tree"), "pos", "width", "digest", F.col("tree").alias("of")), "heads")
+    count, levels = heads.count(), build(heads)
+    root = tops(heads, levels).select("tree", F.array().cast(_STEPS).alias("path"),
                                       F.struct(F.col("digest").alias("root")).alias("crown"))
     if levels:
         heads = _hung(heads, with_paths(levels, root))
     else:
         heads = heads.join(root, "tree")
-    return written(heads.select(F.col("of").alias("tree"), F.col("path").cast(steps).alias("path"),
-                                F.struct(F.col("digest").alias("subroot"), F.col("crown.root").alias("root")).alias("crown")),
-                   "crowns")
+    heads = heads.select(F.col("of").alias("tree"), F.col("path").cast(_STEPS).alias("path"),
+                         F.struct(F.col("digest").alias("subroot"), F.col("crown.root").alias("root")).alias("crown"))
+    return written(_few(heads, count), "crowns")

@@ -124,8 +124,8 @@ def test_levels_are_stored_with_their_states(llm):
     nodes = merkle.numbered(rows.select(F.lit("a").alias("tree"), F.col("doc_id").alias("key"),
                                         merkle.leaf({"doc_id": F.col("doc_id")}).alias("digest")), ["tree"], ["key"])
     levels = merkle.build(nodes)
-    assert [x.count() for x in levels] == [19, 2, 1]
-    for r in levels[0].collect():
+    assert [(x.count(), n) for x, n in levels] == [(19, 19), (2, 2), (1, 1)]
+    for r in levels[0][0].collect():
         n = len(r.children) // 32
         assert len(r.states) == len(r.children)
         assert r.digest.hex() == sha(*(r.children[32 * i:32 * i + 32].hex() for i in range(n)))
@@ -252,7 +252,7 @@ def benchmark():
             (7, "a a a a a a a a a a a a a a"), (8, prose(78, 10)), (9, " ".join(prose(79, 7).split())), (None, prose(80, 30))]
 
 
-def tested():
+def sample_texts():
     passage = prose(77, 60).split()
     return [*edge_rows(),
             (100, "Before it. " + " ".join(passage) + " and after", "en", "s", 0),
@@ -267,7 +267,7 @@ def tested():
 
 
 def test_passages(llm):
-    rows, items = tested(), benchmark()
+    rows, items = sample_texts(), benchmark()
     docs = llm.createDataFrame(rows, DOCS).repartition(3).withColumns({c: F.lit("x") for c in ("row_id", "print", "words", "item_id")})
     bench = llm.createDataFrame(items, ITEMS).withColumn("doc_id", F.lit("x"))
     got = decontaminate.decontaminate(docs, bench)
@@ -277,7 +277,7 @@ def test_passages(llm):
 
 @pytest.mark.parametrize("window", [1, 3, 5, 6, 10, 25])
 def test_passages_of_each_window(llm, window):
-    rows, items = tested(), benchmark()
+    rows, items = sample_texts(), benchmark()
     got = decontaminate.decontaminate(llm.createDataFrame(rows, DOCS), llm.createDataFrame(items, ITEMS), window=window)
     assert ranked(got.collect()) == ranked(found_in(rows, items, window))
 
