@@ -2,7 +2,9 @@
 
 A page becomes a tree. What is never part of an article (menus, page headers and footers, side
 bars, notices, adverts, forms, scripts, styles, reader comments) is left out by element, role and
-class. For each node of the rest: characters C, tags T, characters LC and tags LT inside links give
+class. A class counts if all of its words are known for that (``cookie-notice``, not ``share-price``);
+inside an article a word that may mean something else there (``related``) only counts on a part that
+is half links. What holds most of the page's text is not left out for its class. For each node of the rest: characters C, tags T, characters LC and tags LT inside links give
 the density
 
     C / T * log_b(C * T / (LC * LT)),   b = ln(C * LC / (C - LC) + C * LCb / Cb + e)
@@ -12,7 +14,7 @@ largest sum is the core; the least density on its path up to the body is the thr
 an article (or else main) element grows to it; one outside stays as it is. Other branches at or over
 the threshold are added, unless half of their text is links.
 
-Each page is judged by itself, so nothing is shuffled. Defined results: a null, empty or textless
+Each page is judged by itself, in time that grows with its length, so nothing is shuffled. Defined results: a null, empty or textless
 page gives an empty text; broken markup is closed at the end; null and repeated keys give one row
 per input row. The whole page is read.
 """
@@ -22,6 +24,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,7 +34,9 @@ from claimworks.llm.common import extended
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
                   r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>|</?[a-zA-Z][^>]*\Z", re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_LAST = re.compile(r"<!--.*\Z|</?[a-zA-Z][^>]*\Z", re.S)
+_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_TELLING = re.compile(r"class|id|role|hidden", re.I)
 
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no markup. Without a close tag of their own, scripts and styles run to the
@@ -43,19 +48,28 @@ _INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins
               "mover munderover mstyle semantics annotation".split())
 _DROPPED = set("nav footer aside form button dialog menu head input option fieldset audio video canvas svg select".split())
 _ROLES = set("navigation banner contentinfo complementary search dialog alert menu menubar form".split())
-#: Words in class and id names that mark what is around an article.
-_AROUND = set("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner "
-              "sidebar aside nav navbar navigation menu breadcrumb breadcrumbs footer masthead cookie "
-              "cookies consent notice notices gdpr popup modal newsletter subscribe subscription share sharing social "
-              "related recommended widget login signup search pagination pager toolbar skip alert".split())
-_COMMENTS = set("comment comments commentlist disqus replies reply respond responses discussion".split())
-_HEADS = set("header topbar hero logo".split())
+#: Words of class and id names that mark what is around an article: anywhere, outside articles only, and
+#: words that say nothing beside one of them.
+_FURNITURE = set("ad ads advert adverts advertisement advertising sponsor sponsored sidebar nav navbar navigation breadcrumb "
+                 "breadcrumbs footer masthead cookie cookies consent gdpr newsletter subscribe subscription login signup "
+                 "popup modal pagination pager".split())
+_COMMENTS = set("comment comments commentlist disqus replies reply respond".split())
+_MAYBE = set("promo promotion banner aside menu notice notices share sharing social related recommended widget search toolbar "
+             "skip alert header topbar hero logo".split())
+_BESIDE = set("site page main top bottom left right global primary secondary box bar block area wrap wrapper container inner outer "
+              "section list items item links link buttons button icons unit slot space text posts articles stories form the to "
+              "content js".split())
 _CLOSES_P = set("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr "
                 "main menu nav ol p pre section table ul".split())
 _CLOSES_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                 "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead"}}
-_SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"},
-          "thead": {"table"}, "tbody": {"table"}}
+#: Kinds of elements a start tag looks for around it: the nearest of a kind is kept with each node.
+_KINDS = {"fence": {"foreignobject", "annotation-xml", "mtext", "desc", "article", "main", *_FOREIGN},
+          "block": {"p", "button", "td", "th", "li", "article", "div", "section"},
+          "list": {"li", "ul", "ol", "menu"}, "terms": {"dt", "dd", "dl"},
+          "table": {"tr", "td", "th", "thead", "tbody", "table"}, "choice": {"option"}}
+_KIND_OF = {"li": "list", "dt": "terms", "dd": "terms", "tr": "table", "td": "table", "th": "table", "thead": "table",
+            "tbody": "table", "option": "choice"}
 
 
 _CODE_END = {tag: re.compile(rf"(</){tag}[\s/>]", re.I) for tag in ("script", "style")}
@@ -65,116 +79,184 @@ _BREAKS_OUT = (_CLOSES_P | set("b center code dd dt em i img li small span stron
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density", "sum", "drop")
+    __slots__ = ("tag", "parent", "parts", "chars", "tags", "link_chars", "link_tags", "density", "sum", "drop", "near")
 
     def __init__(self, tag: str, parent: Node | None, drop: str = ""):
         self.tag, self.parent, self.parts, self.drop = tag, parent, [], drop
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
+        above = parent.near if parent else dict.fromkeys(_KINDS)
+        kinds = [k for k, tags in _KINDS.items() if tag in tags]
+        self.near = {**above, **dict.fromkeys(kinds, self)} if kinds else above
 
 
 def _surrounds(tag: str, attributes: str, inside: bool) -> str:
-    """Why an element is around an article rather than part of it: its element, what readers wrote,
-    or a name that may also be that of a layout around everything. Empty if it is not."""
+    """Why an element is around an article rather than part of it: its element, what readers wrote, a
+    name that may also be that of a layout around everything, or one that is to be judged by its
+    links. Empty if it is not."""
     if tag in _DROPPED or (tag == "header" and not inside):
         return "element"
-    if not attributes:
+    if not _TELLING.search(attributes):
         return ""
+    found = ""
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
+        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in _ROLES):
             return "element"
-        if name == "role" and value in _ROLES:
-            return "element"
-        if name in ("class", "id"):
-            words = {*re.split(r"[^a-z]+", value), *(re.sub(r"[^a-z]", "", w) for w in value.split())}
-            if _COMMENTS & words:
+        if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
+            kinds = {_named(token) for token in value.split()}
+            if "comments" in kinds:
                 return "comments"
-            if tag not in ("article", "main") and (_AROUND & words or (not inside and _HEADS & words)):
-                return "layout"
+            if "layout" in kinds or ("maybe" in kinds and not inside):
+                found = "layout"
+            elif "maybe" in kinds and not found and tag not in _INLINE:
+                found = "maybe"
+        elif name == "class" and tag in ("article", "main") and "comments" in map(_named, value.split()):
+            return "comments"
+    return "" if found == "layout" and inside and tag in _INLINE | {"p"} else found
+
+
+def _named(token: str) -> str:
+    """What one class says: all of its words have to be known."""
+    words = [w for w in re.split(r"[^a-z]+", token) if w]
+    for kind, known in (("comments", _COMMENTS), ("layout", _FURNITURE), ("maybe", _MAYBE)):
+        if not known.isdisjoint(words) and all(w in known or w in _BESIDE or w in _FURNITURE or w in _MAYBE for w in words):
+            return kind
     return ""
 
 
 def _outside(node: Node, tag: str) -> Node:
     """The node around the drawing, formula or list of choices that holds ``node``; html inside a
     drawing's or a formula's own element for it belongs there."""
-    up = node
-    while up is not None and up.tag not in ("foreignobject", "annotation-xml", "mtext", "desc", "article", "main"):
-        if up.tag in _FOREIGN:
-            return node if up.tag == "select" and tag in _INLINE else up.parent
-        up = up.parent
-    return node
+    fence = node.near["fence"]
+    if fence is None or fence.tag not in _FOREIGN or (fence.tag == "select" and tag in _INLINE):
+        return node
+    return fence.parent
+
+
+class _Open:
+    """The open elements: the innermost, how many there are of each tag, and layouts among them."""
+
+    def __init__(self, root: Node):
+        self.node, self.count, self.layouts = root, Counter(), []
+
+    def push(self, child: Node) -> None:
+        self.node = child
+        self.count[child.tag] += 1
+        if child.drop == "layout":
+            self.layouts.append(child)
+
+    def back_to(self, node: Node) -> None:
+        """Close everything inside ``node``."""
+        while self.node is not node:
+            self.count[self.node.tag] -= 1
+            if self.layouts and self.layouts[-1] is self.node:
+                self.layouts.pop()
+            self.node = self.node.parent
+
+    def close(self, tag: str) -> bool:
+        """Close the innermost element of a tag, with all inside it."""
+        if not self.count[tag]:
+            return False
+        up = self.node
+        while up.tag != tag:
+            up = up.parent
+        self.back_to(up.parent)
+        return True
+
+    def inside(self) -> bool:
+        return self.count["article"] + self.count["main"] > 0
 
 
 def parse(page: str) -> Node:
     """The page as a tree; ``parts`` holds texts and child nodes in order."""
     root = Node("body", None)
-    node, at, articles = root, 0, 0
-    find = _TAG.search
+    stack, at, end = _Open(root), 0, page.rfind(">") + 1
     while True:
-        m = find(page, at)
+        m = _TAG.search(page, at, end) if at < end else _LAST.search(page, at)
+        if m is None and at < end:  # no more whole tags
+            m = _LAST.search(page, end)
         text = page[at:m.start() if m else len(page)]
         if text:
-            node.parts.append(html.unescape(text) if "&" in text else text)
-        if not m:
+            stack.node.parts.append(html.unescape(text) if "&" in text else text)
+        if not m or m.re is _LAST:
             return root
         at = m.end()
+        if m[0].startswith("<!--") and not m[0].endswith("-->"):
+            return root
         tag = m[2] or m[5]
         if tag is None:
             continue
         tag, closing = tag.lower(), bool(m[1] or m[4])
         if closing:
-            up = node
-            while up is not None and up.tag != tag:
-                up = up.parent
-            if tag == "p" and up is None or tag == "br":
-                node.parts.append(" ")
-            elif up is not None and up.parent is not None:
-                while node is not up.parent:
-                    articles -= node.tag in ("article", "main")
-                    node = node.parent
+            if not stack.close(tag) and tag == "p" or tag == "br":
+                stack.node.parts.append(" ")
             continue
         if tag in _RAW:
             code = tag in ("script", "style")
-            end = (_CODE_END if code else _RAW_NEXT)[tag].search(page, at)
-            if end and (code or end[1]):
-                at = page.find(">", end.start()) + 1 or len(page)
+            stop = (_CODE_END if code else _RAW_NEXT)[tag].search(page, at)
+            if stop and (code or stop[1]):
+                at = page.find(">", stop.start()) + 1 or len(page)
             elif code:
                 at = len(page)
-            node.parts.append(" ")
+            stack.node.parts.append(" ")
             continue
         if tag in ("html", "body", "head"):
             if tag == "head":
-                node = Node("head", node, "element")
-                node.parent.parts.append(node)
-            else:
-                while node.parent is not None and tag == "body":
-                    node = node.parent
+                head = Node("head", stack.node, "element")
+                stack.node.parts.append(head)
+                stack.push(head)
+            elif tag == "body":
+                stack.back_to(root)
             continue
-        if tag in _BREAKS_OUT:
-            node = _outside(node, tag)
-        up = node
-        if tag in _CLOSES_P:
-            while up is not None and up.tag not in ("p", "button", "td", "th", "li", "article", "div", "section", "body"):
-                up = up.parent
-            if up is not None and up.tag == "p":
-                node = up.parent
-        elif tag in _CLOSES_SAME:
-            while up is not None and up.tag not in _CLOSES_SAME[tag] and up.tag not in _SCOPE.get(tag, ()):
-                up = up.parent
-            if up is not None and up.tag in _CLOSES_SAME[tag]:
-                while up.parent is not None and up.parent.tag in _CLOSES_SAME[tag]:
-                    up = up.parent
-                node = up.parent or root
-        child = Node(tag, node, _surrounds(tag, m[3] or m[6] or "", articles > 0))
-        node.parts.append(child)
-        if tag in ("article", "main") and not articles and not child.drop:
-            for up in _path(node):  # a layout named after its side bar holds the article too
-                if up.drop == "layout":
-                    up.drop = ""
+        _make_way(stack, tag)
+        child = Node(tag, stack.node, _surrounds(tag, m[3] or m[6] or "", stack.inside()))
+        stack.node.parts.append(child)
+        if tag in ("article", "main") and not stack.inside() and not child.drop:
+            for up in stack.layouts:  # a layout named after its side bar holds the article too
+                up.drop = ""
+            stack.layouts.clear()
         if tag not in _VOID and not (m[3] or "").endswith("/"):
-            articles += tag in ("article", "main")
-            node = child
+            stack.push(child)
+
+
+def _make_way(stack: _Open, tag: str) -> None:
+    """Close what a start tag ends."""
+    if tag in _BREAKS_OUT:
+        stack.back_to(_outside(stack.node, tag))
+    near = stack.node.near
+    if tag in _CLOSES_P and near["block"] is not None and near["block"].tag == "p":
+        stack.back_to(near["block"].parent)
+    elif tag in _CLOSES_SAME:
+        up = near[_KIND_OF[tag]]
+        if up is not None and up.tag in _CLOSES_SAME[tag]:
+            while up.parent is not None and up.parent.tag in _CLOSES_SAME[tag]:
+                up = up.parent
+            stack.back_to(up.parent)
+
+
+def settle(root: Node) -> None:
+    """Decide on what is left out by its name: parts of an article that are half links go, and a layout
+    that holds most of the plain text of a page without an article stays."""
+    todo, nodes = [root], []
+    while todo:
+        node = todo.pop()
+        nodes.append(node)
+        todo.extend(p for p in node.parts if isinstance(p, Node) and p.drop not in ("element", "comments"))
+    size = {}
+    for node in reversed(nodes):
+        chars = sum(_length(p) for p in node.parts if isinstance(p, str))
+        inner = [size[id(p)] for p in node.parts if isinstance(p, Node) and id(p) in size]
+        chars, links = chars + sum(c for c, _ in inner), sum(n for _, n in inner)
+        size[id(node)] = (chars, chars if node.tag == "a" else links)
+    chars, links = size[id(root)]
+    article = any(n.tag in ("article", "main") and size[id(n)][0] for n in _walk(root))
+    for node in nodes:
+        own, own_links = size[id(node)]
+        if node.drop == "layout" and not article and 2 * (own - own_links) > chars - links:
+            node.drop = ""
+        elif node.drop == "maybe" and 2 * own_links < own:
+            node.drop = ""
 
 
 def _walk(root: Node) -> list[Node]:
@@ -227,22 +309,18 @@ def choose(root: Node) -> list[Node]:
     """The subtrees that hold the article, in page order."""
     nodes = measure(root)
     core = max(nodes, key=lambda n: n.sum)
-    threshold = min(n.density for n in _path(core))
-    around = [n for n in _path(core) if n.tag == "article"] or [n for n in _path(core) if n.tag == "main"]
+    path = _path(core)
+    threshold = min(n.density for n in path)
+    around = [n for n in path if n.tag == "article"] or [n for n in path if n.tag == "main"]
     core = around[-1] if around else core
-    marked, todo, order = {id(core)}, [root], {id(n): i for i, n in enumerate(nodes)}
-    picked = [core]
-    while todo:
-        node = todo.pop()
+    picked = set()
+    on_path = {id(n) for n in _path(core)}
+    for node in _path(core)[1:]:
         for p in node.parts:
-            if isinstance(p, Node) and not p.drop and id(p) not in marked and p.density >= threshold and p.density > 0:
-                if core in _path(p):
-                    continue
-                if p in _path(core):
-                    todo.append(p)
-                elif p.link_chars * 2 < p.chars and p.tag not in _INLINE:
-                    picked.append(p)
-    return sorted(picked, key=lambda n: order[id(n)])
+            if isinstance(p, Node) and not p.drop and id(p) not in on_path and 0 < p.density >= threshold \
+                    and p.link_chars * 2 < p.chars and p.tag not in _INLINE:
+                picked.add(id(p))
+    return [n for n in nodes if n is core or id(n) in picked]
 
 
 def text_of(node: Node) -> str:
@@ -261,7 +339,9 @@ def text_of(node: Node) -> str:
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    return " ".join(t for t in map(text_of, choose(parse(page))) if t)
+    root = parse(page)
+    settle(root)
+    return " ".join(t for t in map(text_of, choose(root)) if t)
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:

@@ -1,6 +1,7 @@
 """Language profiles, main text, url rules and pivot search."""
 
 import math
+import time
 from collections import Counter
 
 import numpy as np
@@ -126,6 +127,135 @@ def test_tags_without_a_close_tag_lose_nothing():
     assert html_text.main_text(page % "<svg><foreignObject><p>no</p></foreignObject></svg>") == both
 
 
+STORY = "".join(f"<p>{prose(i + 20, 60)}</p>" for i in range(3))
+TOLD = " ".join(prose(i + 20, 60) for i in range(3))
+
+
+@pytest.mark.parametrize("around", [
+    '<div class="elementor-widget elementor-widget-text-editor">%s</div>', '<div class="widget">%s</div>', '<div class="header">%s</div>',
+    '<div id="share">%s</div>', '<div class="alert">%s</div>', '<div class="toolbar main">%s</div>', '<div class="skip">%s</div>',
+    '<div class="no-sidebar page">%s</div>', '<div class="sidebar">%s</div>', '<div style="overflow:hidden" data-id="comments">%s</div>',
+    '<body class="header-fixed has-nav"><div>%s</div></body>', '<div class="ad"><div class="nav">%s</div></div>'])
+def test_a_name_around_the_story_loses_nothing(around):
+    assert html_text.main_text(PAGE % (around % STORY)) == TOLD
+    assert html_text.main_text(PAGE % (around % f"<article>{STORY}</article>")) == TOLD
+
+
+@pytest.mark.parametrize("part, text", [
+    ('<p>costs <span class="share-price">12.40</span> now</p>', "costs 12.40 now"), ('<p class="related-work">Others did.</p>', "Others did."),
+    ('<section class="discussion"><p>We discuss.</p></section>', "We discuss."), ('<div class="alert">Mind the gap.</div>', "Mind the gap."),
+    ('<div class="share">A share of it.</div>', "A share of it."), ('<h2 id="search">How we search</h2>', "How we search"),
+    ('<table id="notice"><tr><td>x</td></tr></table>', "x"), ('<header><h2>Inner</h2></header>', "Inner"),
+    ('<div class="related"><a href="/1">One</a> <a href="/2">Two</a></div>', ""), ('<ul class="share-buttons"><li><a href="#">Post</a></ul>', ""),
+    ('<div class="ad">Buy</div>', ""), ('<div class="ad-container">Buy</div>', ""), ('<div class="newsletter-signup">Mail us</div>', ""),
+    ('<div id="comments"><p>First!</p></div>', ""), ('<div class="cookie-consent-banner">We use them.</div>', ""),
+    ('<div hidden>no</div>', ""), ('<div aria-hidden=true>no</div>', ""), ('<div role="search">no</div>', "")])
+def test_parts_of_an_article(part, text):
+    want = " ".join(filter(None, [prose(20, 60), text, prose(21, 60), prose(22, 60)]))
+    page = STORY.replace("</p>", "</p>" + part, 1)
+    assert html_text.main_text(f"<article>{page}</article>") == want
+    assert html_text.main_text(PAGE % f"<article>{page}</article>") == want
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 100_000 + "deep" + "</div>" * 100_000, "<div>x<b>" * 50_000, "<div>x</b>" * 50_000, "<b>" * 50_000 + "<p>x" * 50_000,
+    "<b>" * 30_000 + "<hr>x" * 30_000, "<svg><foreignObject>" + "<div>x" * 50_000, "<ul><li>x" * 30_000, "<table><tr><td>x" * 20_000,
+    "<div class=nav>" * 30_000 + "<article>x</article>" * 30_000, "<ul>" + "<b>" * 30_000 + "<li>x</li>" * 30_000,
+    "<!x" * 100_000, "<a" * 100_000, "<p '>x" * 50_000, "</" * 100_000, "<!--" * 50_000, "<tbody>" * 20_000 + "<tr></tr>" * 20_000,
+    "<p " + "class=x " * 50_000 + ">x", "<p id" + " " * 100_000 + "x>y", "<select><option>" * 30_000, "&amp" * 100_000], ids=lambda p: p[:24])
+def test_time_grows_with_the_page(page):
+    start = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - start < 4
+
+
+def generated(seed):
+    """A tree of (tag, parts) and its page; texts are plain words."""
+    x = [seed * 2654435761 % 2 ** 32]
+
+    def roll(n):
+        x[0] = (x[0] * 1103515245 + 12345) % 2 ** 31
+        return x[0] // 65536 % n
+
+    def grow(depth):
+        parts = []
+        for _ in range(1 + roll(4)):
+            kind = roll(6 if depth < 5 else 2)
+            if kind < 2:
+                parts.append(prose(roll(999), 1 + roll(30)))
+            elif kind == 2:
+                parts.append(("a", [prose(roll(999), 1 + roll(9))]))
+            else:
+                parts.append((("div", "section", "blockquote", "article", "span")[roll(4 + (kind == 3))], grow(depth + 1)))
+        return parts
+
+    def page(parts):
+        return " ".join(p if isinstance(p, str) else f"<{p[0]}>{page(p[1])}</{p[0]}>" for p in parts)
+
+    tree = ("body", grow(0))
+    return tree, page(tree[1])
+
+
+def plainly(tree):
+    """Densities, sums, threshold and choice by their definitions, each from scratch."""
+    every = []
+
+    def visit(node, path):
+        every.append((node, path))
+        for p in node[1]:
+            if not isinstance(p, str):
+                visit(p, [*path, node])
+
+    visit(tree, [])
+
+    def below(node):
+        return [p for p in node[1] if not isinstance(p, str)]
+
+    def chars(node):
+        return sum(len(" ".join(p.split())) if isinstance(p, str) else chars(p) for p in node[1])
+
+    def tags(node):
+        return sum(1 + tags(p) for p in below(node))
+
+    def links(node):
+        if node[0] == "a":
+            return chars(node), 1 + sum(links(p)[1] for p in below(node))
+        return sum(links(p)[0] for p in below(node)), sum(links(p)[1] for p in below(node))
+
+    def density(node):
+        c, t, (lc, lt) = chars(node), max(1, tags(node)), links(node)
+        lc, lt = max(1, lc), max(1, lt)
+        if not c:
+            return 0.0
+        base = math.log(c * lc / max(1, c - lc) + links(tree)[0] / max(1, chars(tree)) * c + math.e)
+        return max(0.0, c / t * math.log(max(1.0, c * t / (lc * lt))) / max(base, 1e-9))
+
+    def total(node):
+        return sum(len(" ".join(p.split())) for p in node[1] if isinstance(p, str)) + sum(map(density, below(node)))
+
+    best = max(range(len(every)), key=lambda i: (total(every[i][0]), -i))
+    core, path = every[best]
+    threshold = min(map(density, [core, *path]))
+    around = [i for i, n in enumerate([*path, core]) if n[0] == "article"]
+    if around:
+        core, path = [*path, core][around[0]], [*path, core][:around[0]]
+    on_path = {id(n) for n in [core, *path]}
+    kept = {id(core)} | {id(p) for n in path for p in below(n) if id(p) not in on_path and 0 < density(p) >= threshold
+                         and 2 * links(p)[0] < chars(p) and p[0] not in ("a", "span")}
+
+    def text(node):
+        inner = " ".join(p if isinstance(p, str) else text(p) for p in node[1])
+        return " ".join(inner.split())
+
+    return " ".join(filter(None, (text(n) for n, _ in every if id(n) in kept)))
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_choice_against_a_plain_version(seed):
+    tree, page = generated(seed)
+    assert html_text.main_text(page) == plainly(tree)
+
+
 def test_extract_rows(llm):
     rows = [(1, "u", None), (None, None, "<p>x y</p>"), (2, "u", ""), (2, "u", "")]
     pages = llm.createDataFrame(rows, "page_id long, url string, html string").withColumns({"text": F.lit(1), "n_chars": F.lit("q")})
