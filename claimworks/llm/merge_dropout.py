@@ -7,9 +7,9 @@ probability ``dropout``); otherwise it is merged and its new neighbours join the
 occurrence of a word is cut for itself, alike in every run of the job. A dropout of 0 gives the
 library's own segmentation.
 
-What is kept of a word is a tree: the candidates that come up while none is skipped, the ids that
-result, and a branch for each candidate that some occurrence skipped. It is only a memory: the cuts
-are those of the agenda with the occurrence's key.
+What is kept of a word is its plain cut and the candidates that come up on the way there. Occurrences
+none of whose candidates is skipped take the plain cut; the agendas of the others run side by side,
+one step of all of them at a time, over matrices of symbols. Both give what ``segment`` gives.
 
 Decoding joins the pieces; no segmentation loses anything: characters without a piece, and a
 literal U+2581 (which the library takes for a space), are written as byte pieces. No shuffle.
@@ -25,7 +25,7 @@ import heapq
 import re
 import struct
 import zlib
-from itertools import chain
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +36,16 @@ from claimworks.llm.common import extended, mix64
 
 _SPACE = "▁"
 _UNITS = re.compile(r" *[^ ]+| +")
-#: Tree nodes and units kept; units encoded together; characters of a word that is kept and whose
-#: agenda is a plain list; rows that leave a worker together, since texts, ids and decoded texts add up.
-_KEPT_NODES, _KEPT_UNITS = 300_000, 80_000
-_UNITS_AT_ONCE = 8192
-_ROWS = 512
+_CUT = re.compile(r"(?<=[^ ]) ")
+#: Word parts and units kept, and characters of them; characters of a word whose agendas run side by
+#: side; rows and characters encoded together.
+_KEPT_PARTS, _KEPT_UNITS, _KEPT_CHARS = 600_000, 400_000, 1 << 23
 _LONG = 64
+_WIDTHS = (8, 16, 32, _LONG)
+_ROWS = 512
+_CHARS = 1 << 21
 _NONE = 1 << 40
+_NO_RANK = np.int32(2 ** 31 - 1)
 #: Odd multipliers of the keyed hash; it has 16 bits, so a dropout counts in steps of 1/65536.
 _LEFT, _RANK, _MIX = 0x9E3779B1, 0x85EBCA6B, 0xC2B2AE3D
 
@@ -148,132 +151,284 @@ def segment_long(word: str, rank: dict, key: int = 0, limit: int = 0) -> list[st
     return [s for s in symbols if s is not None]
 
 
-def trace(word: str, rank: dict, skipped: tuple[int, ...]) -> tuple[list[str], list[int]]:
-    """The symbols of a word if the candidates with these numbers are skipped, and all candidates in the
-    order in which they came up, as their part of the hash."""
-    get, symbols, at, codes = rank.get, list(word), list(range(len(word))), []
-    agenda = [get(a + b, _NONE) for a, b in zip(symbols, symbols[1:])]
-    while agenda:
-        first = min(agenda)
-        if first == _NONE:
-            break
-        i = agenda.index(first)
-        codes.append(at[i] * _LEFT ^ first * _RANK)
-        if len(codes) - 1 in skipped:
-            agenda[i] = _NONE
-            continue
-        symbols[i] = joined = symbols[i] + symbols[i + 1]
-        del symbols[i + 1], at[i + 1], agenda[i]
-        if i < len(agenda):
-            agenda[i] = get(joined + symbols[i + 1], _NONE)
-        if i:
-            agenda[i - 1] = get(symbols[i - 1] + joined, _NONE)
-    return symbols, codes
-
-
-class Node:
-    """A word part after some skips: the candidates to come if there are no more, and the ids then."""
-    __slots__ = ("part", "skipped", "codes", "n", "ids", "branches")
-
-    def __init__(self, part: str, skipped: tuple[int, ...], codes: list[int], ids: bytes):
-        self.part, self.skipped, self.ids, self.n, self.branches = part, skipped, ids, len(codes), None
-        self.codes = struct.pack(f"<{len(codes)}Q", *codes)
+def _runs(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``counts`` numbers from each start on."""
+    ends = np.cumsum(counts)
+    return np.repeat(starts - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _ragged(starts: np.ndarray, counts: np.ndarray, pool: np.ndarray) -> np.ndarray:
+    """Pieces of a pool, one after the other."""
+    return pool[_runs(starts, counts)]
+
+
+class Symbols:
+    """Symbols as numbers: a piece has its rank, other characters the numbers after. ``rank`` of two
+    neighbours is that of the piece they join to."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary, self.of_char = vocabulary, np.full(0x110000, -1, np.int32)
+        pieces = sorted(vocabulary.rank, key=vocabulary.rank.__getitem__)
+        self.ids = np.array([vocabulary.id_of[p] for p in pieces], np.uint32)
+        self.at, self.n = np.arange(len(pieces)), np.ones(len(pieces), np.int64)
+        for rank, piece in enumerate(pieces):
+            if len(piece) == 1:
+                self.of_char[ord(piece)] = rank
+        self.learn(np.array(sorted({ord(c) for p in pieces for c in p}), np.int64))
+        pairs = []
+        for rank, piece in enumerate(pieces):
+            for i in range(1, len(piece)):
+                a, b = self._symbol(piece[:i]), self._symbol(piece[i:])
+                if a is not None and b is not None:
+                    pairs.append(((a << 32) | b, rank))
+        pairs.sort()
+        self.neighbours = np.sort(np.array([(ord(p[0]) << 32) | ord(p[1]) for p in vocabulary.pairs], np.int64))
+        self.pairs, self.joined = np.array([p for p, _ in pairs], np.int64), np.array([r for _, r in pairs], np.int32)
+
+    def _symbol(self, text: str) -> int | None:
+        return int(self.of_char[ord(text)]) if len(text) == 1 else self.vocabulary.rank.get(text)
+
+    def learn(self, chars: np.ndarray) -> None:
+        """Numbers for characters that have none yet; they are written in bytes."""
+        for c in chars[self.of_char[chars] < 0].tolist():
+            written = np.array([self.vocabulary.byte_ids[b] for b in chr(c).encode("utf-8", "replace")], np.uint32)
+            self.of_char[c] = len(self.n)
+            self.at, self.n = np.append(self.at, len(self.ids)), np.append(self.n, len(written))
+            self.ids = np.append(self.ids, written)
+
+    def together(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether characters stand next to each other in a piece."""
+        key = (a << 32) | b
+        return self.neighbours[np.minimum(np.searchsorted(self.neighbours, key), len(self.neighbours) - 1)] == key
+
+    def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of pairs; a negative symbol stands for none."""
+        key = (a.astype(np.int64) << 32) | b
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == key) & (b >= 0), self.joined[at], _NO_RANK)
+
+
+def _codes(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    return (at.astype(np.uint64) * np.uint64(_LEFT)) ^ (rank.astype(np.uint64) * np.uint64(_RANK))
+
+
+def _skipped(keys: np.ndarray, codes: np.ndarray, limit: int) -> np.ndarray:
+    """``skips`` for arrays."""
+    return ((keys ^ codes) * np.uint64(_MIX) >> np.uint64(20) & np.uint64(0xFFFF)) < np.uint64(limit)
+
+
+def run_agendas(symbols: np.ndarray, ranks: np.ndarray, table: Symbols, keys: np.ndarray | None = None, limit: int = 0):
+    """The agendas of many words side by side: symbols (n, width), filled up with -1, and the ranks of
+    neighbours. Returns the symbols at the end and the candidates as they came up: owners and codes."""
+    out, width = symbols.copy(), symbols.shape[1]
+    places = np.broadcast_to(np.arange(width, dtype=np.int32), symbols.shape).copy()
+    live, came_up = np.arange(len(symbols)), []
+    column = np.arange(width)
+    while len(live):
+        least = ranks.argmin(1)
+        first = ranks[np.arange(len(live)), least]
+        on = first != _NO_RANK
+        if not on.all():
+            out[live[~on]] = symbols[~on]
+            live, symbols, places, ranks, least, first = (x[on] for x in (live, symbols, places, ranks, least, first))
+            keys = None if keys is None else keys[on]
+            if not len(live):
+                break
+        row = np.arange(len(live))
+        codes = _codes(places[row, least], first)
+        came_up.append((live, codes))
+        go = row
+        if keys is not None:
+            skip = _skipped(keys, codes, limit)
+            ranks[row[skip], least[skip]] = _NO_RANK
+            go = row[~skip]
+        at = least[go]
+        right = np.minimum(column + (column > at[:, None]), width - 1)
+        symbols[go, at] = first[go]
+        for matrix, last in ((symbols, -1), (places, 0)):
+            matrix[go] = np.take_along_axis(matrix[go], right, 1)
+            matrix[go, -1] = last
+        ranks[go] = np.take_along_axis(ranks[go], np.minimum(column + (column >= at[:, None]), width - 1), 1)
+        ranks[go, -1] = _NO_RANK
+        after, before = np.minimum(at + 1, width - 1), np.maximum(at - 1, 0)
+        ranks[go, at] = np.where(at < width - 1, table.rank(first[go], symbols[go, after]), _NO_RANK)
+        left = at > 0
+        ranks[go[left], before[left]] = table.rank(symbols[go[left], before[left]], first[go[left]])
+    owners = np.concatenate([o for o, _ in came_up]) if came_up else np.empty(0, np.int64)
+    return out, owners, np.concatenate([c for _, c in came_up]) if came_up else np.empty(0, np.uint64)
 
 
 class Encoder:
     """Texts to ids. Units of text are cut where no piece can reach across: before a space that follows
-    another character."""
+    another character. A unit is a row of word parts; both are numbered, and what is known of them lies
+    in pools. When they are full, the rarer half of the units goes."""
 
-    def __init__(self, path: str, seed: int, dropout: float, kept_nodes: int = _KEPT_NODES, kept_units: int = _KEPT_UNITS):
+    def __init__(self, path: str, seed: int, dropout: float, kept_nodes: int = _KEPT_PARTS, kept_units: int = _KEPT_UNITS):
         self.vocabulary, self.seed, self.limit = Vocabulary(path), seed, round(dropout * 2 ** 16)
-        self.most_nodes, self.most_units, self.nodes = kept_nodes, kept_units, 0
-        self.units: dict[str, tuple[Node, ...]] = {}
-        self.parts: dict[str, Node] = {}
-        self.literal = Node("", (), [], struct.pack("<3I", *(self.vocabulary.byte_ids[b] for b in _SPACE.encode())))
-
-    def _node(self, part: str, skipped: tuple[int, ...]) -> Node:
-        symbols, codes = trace(part, self.vocabulary.rank, skipped)
-        return Node(part, skipped, codes[skipped[-1] + 1:] if skipped else codes, self.vocabulary.ids(symbols))
-
-    def _part(self, part: str) -> Node:
-        if len(part) > _LONG:  # cut when it comes up: no tree, not kept
-            plain = b"" if self.limit else self.vocabulary.ids(segment_long(part, self.vocabulary.rank))
-            return Node(part, (), [], plain)
-        node = self.parts.get(part)
-        if node is None:
-            node = self.parts[part] = self._node(part, ())
-            self.nodes += 1
-        return node
-
-    def _unit(self, unit: str) -> tuple[Node, ...]:
-        found = self.units.get(unit)
-        if found is not None:
-            return found
-        if self.nodes >= self.most_nodes or len(self.units) >= self.most_units:
-            self.units.clear()
-            if self.nodes >= self.most_nodes:
-                self.parts.clear()
-                self.nodes = 0
-        out: list[Node] = []
-        for i, piece in enumerate(unit.split(_SPACE)):  # a literal one is written in bytes and stops every merge
-            out.extend([self.literal] * (i > 0))
-            out.extend(map(self._part, self.vocabulary.parts(piece.replace(" ", _SPACE)) if piece else ()))
-        if len(unit) <= _LONG:
-            self.units[unit] = tuple(out)
-        return tuple(out)
-
-    def _after(self, node: Node, candidate: int, key: int) -> bytes:
-        """The ids of an occurrence that skips this candidate of a node first."""
-        limit = self.limit
-        while True:
-            if node.branches is None:
-                node.branches = {}
-            branch = node.branches.get(candidate)
-            if branch is None:
-                start = node.skipped[-1] + 1 if node.skipped else 0
-                branch = node.branches[candidate] = self._node(node.part, (*node.skipped, start + candidate))
-                self.nodes += 1
-            node = branch
-            for candidate, code in enumerate(struct.unpack(f"<{node.n}Q", node.codes)):
-                if ((key ^ code) * _MIX >> 20) & 0xFFFF < limit:  # skips()
-                    break
-            else:
-                return node.ids
-
-    def key(self, start: int, places: np.ndarray) -> np.ndarray:
+        self.symbols = Symbols(self.vocabulary)
+        self.most_parts, self.most_units = kept_nodes, kept_units
+        self._forget()
+
+    def _forget(self) -> None:
+        self.units: dict[str, int] = {}
+        self.long: dict[int, str] = {}
+        self.chars = 0
+        none = np.empty(0, np.int64)
+        self.used = self.unit_at = self.unit_n = none
+        self.code_at = self.code_n = self.id_at = self.id_n = self.char_at = self.char_n = none
+        self.codes, self.ids = np.empty(0, np.uint64), np.empty(0, np.uint32)
+        self.char_symbols = self.char_ranks = np.empty(0, np.int32)
+
+    def _make_room(self) -> None:
+        """Keep the more frequent half of the units, if there is too much."""
+        if len(self.code_n) <= self.most_parts and len(self.units) <= self.most_units and self.chars <= _KEPT_CHARS:
+            return
+        used, bar = self.used, np.median(self.used)
+        kept = [u for u, i in self.units.items() if used[i] > bar and len(u) <= _LONG]
+        counts = used[[self.units[u] for u in kept]] // 2
+        self._forget()
+        if kept:
+            self._learn(kept)
+            self.used = counts
+
+    def _learn(self, units: list[str]) -> None:
+        """Take new units in: cut them to parts, where no piece reaches across, and run their agendas."""
+        for unit in units:
+            self.units[unit] = len(self.units)
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        self.chars += int(sizes.sum())
+        text = "".join(units)
+        chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        literal = chars == ord(_SPACE)  # written in bytes; it stops every merge
+        chars = np.where(chars == 32, ord(_SPACE), chars)
+        starts = np.append(True, literal[:-1] | literal[1:] | ~self.symbols.together(chars[:-1], chars[1:]))
+        starts[np.cumsum(sizes) - sizes] = True
+        at = np.flatnonzero(starts)
+        lengths = np.diff(np.append(at, len(chars)))
+        n = np.bincount(np.searchsorted(np.cumsum(sizes), at, "right"), minlength=len(units))
+        known = len(self.code_n)
+        self.unit_at, self.unit_n = np.append(self.unit_at, known + np.cumsum(n) - n), np.append(self.unit_n, n)
+        self.used = np.append(self.used, np.zeros(len(n), np.int64))
+        for i in np.flatnonzero(lengths > _LONG).tolist():  # cut when they come up
+            self.long[known + i] = text[at[i]:at[i] + lengths[i]].replace(" ", _SPACE)
+
+        self.symbols.learn(np.unique(chars))
+        symbols = self.symbols.of_char[chars]
+        ranks = np.append(self.symbols.rank(symbols[:-1], symbols[1:]), _NO_RANK)
+        ranks[at[1:] - 1] = _NO_RANK
+        char_at, lengths = len(self.char_symbols) + at, np.where((lengths > _LONG) | literal[at], 0, lengths)
+        self.char_symbols, self.char_ranks = np.append(self.char_symbols, symbols), np.append(self.char_ranks, ranks)
+        self.char_at, self.char_n = np.append(self.char_at, char_at), np.append(self.char_n, lengths)
+        ids, id_n, owners, codes = self._cut(char_at, lengths)
+        id_at = len(self.ids) + np.cumsum(id_n) - id_n
+        own = np.array([self.vocabulary.byte_ids[b] for b in _SPACE.encode()], np.uint32)
+        id_at[literal[at]], id_n[literal[at]] = len(self.ids) + len(ids), len(own)
+        self.id_at, self.id_n, self.ids = np.append(self.id_at, id_at), np.append(self.id_n, id_n), np.concatenate([self.ids, ids, own])
+        code_n = np.bincount(owners, minlength=len(lengths))
+        self.code_at = np.append(self.code_at, len(self.codes) + np.cumsum(code_n) - code_n)
+        self.code_n, self.codes = np.append(self.code_n, code_n), np.append(self.codes, codes[np.argsort(owners, kind="stable")])
+
+    def _cut(self, char_at: np.ndarray, lengths: np.ndarray, keys: np.ndarray | None = None):
+        """Ids of word parts after their agendas, with the number of ids of each, and the candidates."""
+        owners, codes, rows, ids = [], [], [], []
+        id_n = np.zeros(len(lengths), np.int64)
+        least = 0
+        for width in _WIDTHS:
+            of = np.flatnonzero((lengths > least) & (lengths <= width))
+            least = width
+            if not len(of):
+                continue
+            column = np.arange(width)
+            inside = column < lengths[of, None]
+            place = np.where(inside, char_at[of, None] + column, 0)
+            symbols = np.where(inside, self.char_symbols[place], np.int32(-1))
+            ranks = np.where(column < lengths[of, None] - 1, self.char_ranks[place], _NO_RANK)
+            symbols, owner, code = run_agendas(symbols, ranks, self.symbols, None if keys is None else keys[of], self.limit)
+            owners.append(of[owner])
+            codes.append(code)
+            row, at = np.nonzero(symbols >= 0)
+            found = symbols[row, at]
+            n = self.symbols.n[found]
+            ids.append(_ragged(self.symbols.at[found], n, self.symbols.ids))
+            rows.append(np.repeat(of[row], n))
+            id_n += np.bincount(rows[-1], minlength=len(lengths))
+        if not ids:
+            return np.empty(0, np.uint32), id_n, np.empty(0, np.int64), np.empty(0, np.uint64)
+        order = np.argsort(np.concatenate(rows), kind="stable")
+        return np.concatenate(ids)[order], id_n, np.concatenate(owners), np.concatenate(codes)
+
+    def key(self, start, places: np.ndarray) -> np.ndarray:
         """The keys of the word parts at these places of a document: the 36 bits that the hash uses."""
-        return mix64(places.astype(np.uint64) + np.uint64(start)) >> np.uint64(28)
+        return mix64(places.astype(np.uint64) + np.asarray(start, np.uint64)) >> np.uint64(28)
 
-    def encode(self, text: str, document) -> bytes:
-        if not text:
-            return b""
-        units, out, place = _UNITS.findall(" " + text), [], 0
+    def _start(self, text: str, document) -> int:
         name = f"{self.seed}/{'' if document is None else document}/{zlib.crc32(text.encode('utf-8', 'replace'))}"
-        start = int.from_bytes(hashlib.blake2b(name.encode("utf-8", "replace"), digest_size=8).digest(), "little")
-        for at in range(0, len(units), _UNITS_AT_ONCE):
-            nodes = list(chain.from_iterable(map(self._unit, units[at:at + _UNITS_AT_ONCE])))
-            ids = [n.ids for n in nodes]
-            if self.limit:
-                self._drop(nodes, ids, self.key(start, np.arange(place, place + len(nodes))))
-            place += len(nodes)
-            out.extend(ids)
-        return b"".join(out)
-
-    def _drop(self, nodes: list[Node], ids: list[bytes], keys: np.ndarray) -> None:
-        """Puts the ids of occurrences with a skip in place."""
-        counts = np.fromiter((n.n for n in nodes), np.int64, len(nodes))
-        codes = np.frombuffer(b"".join([n.codes for n in nodes]), "<u8")
-        hashes = (np.repeat(keys, counts) ^ codes) * np.uint64(_MIX) >> np.uint64(20) & np.uint64(0xFFFF)
-        hits = np.flatnonzero(hashes < np.uint64(self.limit))
-        ends = np.cumsum(counts)
-        owners, first = np.unique(np.searchsorted(ends, hits, "right"), return_index=True)
-        candidates = hits[first] - (ends - counts)[owners]
-        for i, candidate, key in zip(owners.tolist(), candidates.tolist(), keys[owners].tolist()):
-            ids[i] = self._after(nodes[i], candidate, key)
-        for i in np.flatnonzero(counts == 0).tolist():
-            if len(nodes[i].part) > _LONG:
-                symbols = segment_long(nodes[i].part, self.vocabulary.rank, int(keys[i]), self.limit)
-                ids[i] = self.vocabulary.ids(symbols)
+        return int.from_bytes(hashlib.blake2b(name.encode("utf-8", "replace"), digest_size=8).digest(), "little")
+
+    def encode(self, text: str, document) -> bytes:
+        return b"".join(ids.tobytes() for ids, _ in self.encoded([text], [document]))
+
+    def encoded(self, texts: Sequence[str | None], documents: Sequence) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of texts, some texts or a part of a long one at a time, and for each id its text's number."""
+        starts = np.array([self._start(t, d) if t else 0 for t, d in zip(texts, documents)], np.uint64)
+        done = np.zeros(len(texts), np.int64)
+        units, counts, owners, size = [], [], [], 0
+        for i, text in enumerate(texts):
+            for piece in _pieces(f" {text}") if text else ():
+                found = _UNITS.findall(piece)
+                units += found
+                counts.append(len(found))
+                owners.append(i)
+                size += len(piece)
+                if size >= _CHARS:
+                    yield self._chunk(units, np.repeat(owners, counts), starts, done)
+                    units, counts, owners, size = [], [], [], 0
+        if units:
+            yield self._chunk(units, np.repeat(owners, counts), starts, done)
+
+    def _chunk(self, units: list[str], texts: np.ndarray, starts: np.ndarray, done: np.ndarray):
+        self._make_room()
+        numbers = list(map(self.units.get, units))
+        if None in numbers:
+            self._learn(sorted({u for u, i in zip(units, numbers) if i is None}))
+            numbers = list(map(self.units.__getitem__, units))
+        numbers = np.array(numbers, np.int64)
+        self.used += np.bincount(numbers, minlength=len(self.used))
+        n = self.unit_n[numbers]
+        parts, of = _runs(self.unit_at[numbers], n), np.repeat(texts, n)
+        # A part's place is counted in its text, from where the chunk before left off.
+        first = np.searchsorted(of, of)
+        places = np.arange(len(of)) - first + done[of]
+        done += np.bincount(of, minlength=len(done))
+        id_at, id_n, pool = self.id_at[parts], self.id_n[parts], self.ids
+        keys = self.key(starts[of], places)
+        if self.limit:
+            n = self.code_n[parts]
+            owner = np.repeat(np.arange(len(parts)), n)
+            hit = _skipped(keys[owner], _ragged(self.code_at[parts], n, self.codes), self.limit)
+            hit = np.unique(owner[hit])
+            ids, counts, _, _ = self._cut(self.char_at[parts[hit]], self.char_n[parts[hit]], keys[hit])
+            id_at[hit], id_n[hit] = len(pool) + np.cumsum(counts) - counts, counts
+            pool = np.append(pool, ids)
+        if self.long:
+            for i in np.flatnonzero(np.isin(parts, list(self.long))).tolist():
+                cut = segment_long(self.long[int(parts[i])], self.vocabulary.rank, int(keys[i]), self.limit)
+                ids = np.frombuffer(self.vocabulary.ids(cut), "<u4")
+                id_at[i], id_n[i] = len(pool), len(ids)
+                pool = np.append(pool, ids)
+        return _ragged(id_at, id_n, pool), np.repeat(of, id_n)
+
+
+def _pieces(text: str) -> Iterator[str]:
+    """A text in parts, cut before a space that follows another character."""
+    start = 0
+    while len(text) - start > _CHARS:
+        cut = _CUT.search(text, start + _CHARS)
+        if cut is None:
+            break
+        yield text[start:cut.start()]
+        start = cut.start()
+    yield text[start:]
 
 
 _encoders: dict[tuple, Encoder] = {}
@@ -308,8 +463,13 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text",
     def run(batches):
         coder = encoder(path, seed, dropout)
         for batch in _slices(batches):
-            ids = [coder.encode(t.as_py(), k) for k, t in zip(batch.column(0).to_pylist(), batch.column(1))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary())], names=[key, "text", "ids"])
+            found = list(coder.encoded(batch.column(1).to_pylist(), batch.column(0).to_pylist()))
+            flat = np.concatenate([ids for ids, _ in found]) if found else np.empty(0, np.uint32)
+            of = np.concatenate([texts for _, texts in found]) if found else np.empty(0, np.int64)
+            ends = np.append(0, np.cumsum(np.bincount(of, minlength=batch.num_rows))) * 4
+            ids = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), batch.num_rows, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(flat)])
+            yield pa.RecordBatch.from_arrays([*batch.columns, ids.cast(pa.binary())], names=[key, "text", "ids"])
 
     plain = docs.select(F.col(key), F.col(text).alias("text"))
     return plain.mapInArrow(run, extended(plain.schema, ids="binary"))
