@@ -39,11 +39,11 @@ _UNITS = re.compile(r" *[^ ]+| +")
 _CUT = re.compile(r"(?<=[^ ]) ")
 #: Word parts and units kept, and characters of them; characters of a word whose agendas run side by
 #: side; rows and characters encoded together.
-_KEPT_PARTS, _KEPT_UNITS, _KEPT_CHARS = 600_000, 400_000, 1 << 23
+_KEPT_PARTS, _KEPT_UNITS, _KEPT_CHARS = 600_000, 300_000, 1 << 23
 _LONG = 64
-_WIDTHS = (8, 16, 32, _LONG)
+_WIDTHS = (2, 4, 6, 8, 12, 16, 32, _LONG)
 _ROWS = 512
-_CHARS = 1 << 21
+_CHARS = 1 << 20
 _NONE = 1 << 40
 _NO_RANK = np.int32(2 ** 31 - 1)
 #: Odd multipliers of the keyed hash; it has 16 bits, so a dropout counts in steps of 1/65536.
@@ -162,6 +162,34 @@ def _ragged(starts: np.ndarray, counts: np.ndarray, pool: np.ndarray) -> np.ndar
     return pool[_runs(starts, counts)]
 
 
+class Lookup:
+    """Values of keys, for arrays of keys: a table with room, where a key lies at its hash or after."""
+
+    def __init__(self, items: list[tuple[int, int]], missing):
+        self.bits = max(4, (8 * len(items)).bit_length())
+        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, missing, np.int32)
+        for key, value in items:
+            at = int(self._at(np.array([key]))[0])
+            while self.keys[at] != -1:
+                at = (at + 1) % len(self.keys)
+            self.keys[at], self.values[at] = key, value
+
+    def _at(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        at = self._at(keys)
+        found = self.keys[at]
+        out = self.values[at]
+        on = np.flatnonzero((found != keys) & (found != -1))
+        while len(on):
+            at[on] = (at[on] + 1) % len(self.keys)
+            found = self.keys[at[on]]
+            out[on] = self.values[at[on]]
+            on = on[(found != keys[on]) & (found != -1)]
+        return out
+
+
 class Symbols:
     """Symbols as numbers: a piece has its rank, other characters the numbers after. ``rank`` of two
     neighbours is that of the piece they join to."""
@@ -181,9 +209,8 @@ class Symbols:
                 a, b = self._symbol(piece[:i]), self._symbol(piece[i:])
                 if a is not None and b is not None:
                     pairs.append(((a << 32) | b, rank))
-        pairs.sort()
-        self.neighbours = np.sort(np.array([(ord(p[0]) << 32) | ord(p[1]) for p in vocabulary.pairs], np.int64))
-        self.pairs, self.joined = np.array([p for p, _ in pairs], np.int64), np.array([r for _, r in pairs], np.int32)
+        self.neighbours = Lookup([((ord(p[0]) << 32) | ord(p[1]), 1) for p in vocabulary.pairs], 0)
+        self.pairs = Lookup(pairs, _NO_RANK)
 
     def _symbol(self, text: str) -> int | None:
         return int(self.of_char[ord(text)]) if len(text) == 1 else self.vocabulary.rank.get(text)
@@ -198,14 +225,11 @@ class Symbols:
 
     def together(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether characters stand next to each other in a piece."""
-        key = (a << 32) | b
-        return self.neighbours[np.minimum(np.searchsorted(self.neighbours, key), len(self.neighbours) - 1)] == key
+        return self.neighbours((a << 32) | b) == 1
 
     def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Ranks of pairs; a negative symbol stands for none."""
-        key = (a.astype(np.int64) << 32) | b
-        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        return np.where((self.pairs[at] == key) & (b >= 0), self.joined[at], _NO_RANK)
+        return self.pairs((a.astype(np.int64) << 32) | b)
 
 
 def _codes(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -214,50 +238,62 @@ def _codes(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
 
 def _skipped(keys: np.ndarray, codes: np.ndarray, limit: int) -> np.ndarray:
     """``skips`` for arrays."""
-    return ((keys ^ codes) * np.uint64(_MIX) >> np.uint64(20) & np.uint64(0xFFFF)) < np.uint64(limit)
+    return _drawn(keys ^ codes, limit)
+
+
+def _drawn(mixed: np.ndarray, limit: int) -> np.ndarray:
+    """The draw of keys mixed with codes, which are overwritten."""
+    mixed *= np.uint64(_MIX)
+    mixed >>= np.uint64(20)
+    mixed &= np.uint64(0xFFFF)
+    return mixed < np.uint64(limit)
 
 
 def run_agendas(symbols: np.ndarray, ranks: np.ndarray, table: Symbols, keys: np.ndarray | None = None, limit: int = 0):
     """The agendas of many words side by side: symbols (n, width), filled up with -1, and the ranks of
     neighbours. Returns the symbols at the end and the candidates as they came up: owners and codes."""
     out, width = symbols.copy(), symbols.shape[1]
-    places = np.broadcast_to(np.arange(width, dtype=np.int32), symbols.shape).copy()
+    column = np.arange(width, dtype=np.int8)
+    places = np.broadcast_to(column, symbols.shape).copy()
     live, came_up = np.arange(len(symbols)), []
-    column = np.arange(width)
     while len(live):
+        row = np.arange(len(live))
         least = ranks.argmin(1)
-        first = ranks[np.arange(len(live)), least]
+        first = ranks[row, least]
         on = first != _NO_RANK
-        if not on.all():
-            out[live[~on]] = symbols[~on]
+        if np.count_nonzero(on) < 0.75 * len(live):  # words that are done leave
+            out[live] = symbols
+            if not on.any():
+                break
             live, symbols, places, ranks, least, first = (x[on] for x in (live, symbols, places, ranks, least, first))
             keys = None if keys is None else keys[on]
-            if not len(live):
-                break
-        row = np.arange(len(live))
+            row, on = np.arange(len(live)), on[on]
         codes = _codes(places[row, least], first)
-        came_up.append((live, codes))
-        go = row
-        if keys is not None:
-            skip = _skipped(keys, codes, limit)
-            ranks[row[skip], least[skip]] = _NO_RANK
-            go = row[~skip]
-        at = least[go]
-        right = np.minimum(column + (column > at[:, None]), width - 1)
-        symbols[go, at] = first[go]
-        for matrix, last in ((symbols, -1), (places, 0)):
-            matrix[go] = np.take_along_axis(matrix[go], right, 1)
-            matrix[go, -1] = last
-        ranks[go] = np.take_along_axis(ranks[go], np.minimum(column + (column >= at[:, None]), width - 1), 1)
-        ranks[go, -1] = _NO_RANK
-        after, before = np.minimum(at + 1, width - 1), np.maximum(at - 1, 0)
-        ranks[go, at] = np.where(at < width - 1, table.rank(first[go], symbols[go, after]), _NO_RANK)
-        left = at > 0
-        ranks[go[left], before[left]] = table.rank(symbols[go[left], before[left]], first[go[left]])
+        came_up.append((live[on], codes[on]))
+        go = on if keys is None else on & ~_skipped(keys, codes, limit)
+        ranks[row, least] = _NO_RANK  # skipped, or about to be replaced
+        at = np.where(go, least, width).astype(np.int8)[:, None]
+        symbols[row[go], least[go]] = first[go]
+        right, here = column > at, column >= at
+        symbols = np.where(right, _shifted(symbols, -1), symbols)
+        places = np.where(right, _shifted(places, 0), places)
+        ranks = np.where(here, _shifted(ranks, _NO_RANK), ranks)
+        row, at, joined = row[go], least[go], first[go]
+        inner = at < width - 1
+        ranks[row[inner], at[inner]] = table.rank(joined[inner], symbols[row[inner], at[inner] + 1])
+        inner = at > 0
+        ranks[row[inner], at[inner] - 1] = table.rank(symbols[row[inner], at[inner] - 1], joined[inner])
     owners = np.concatenate([o for o, _ in came_up]) if came_up else np.empty(0, np.int64)
     return out, owners, np.concatenate([c for _, c in came_up]) if came_up else np.empty(0, np.uint64)
 
 
+def _shifted(matrix: np.ndarray, last) -> np.ndarray:
+    """Each column one to the left."""
+    out = np.empty_like(matrix)
+    out[:, :-1], out[:, -1] = matrix[:, 1:], last
+    return out
+
+
 class Encoder:
     """Texts to ids. Units of text are cut where no piece can reach across: before a space that follows
     another character. A unit is a row of word parts; both are numbered, and what is known of them lies
@@ -404,9 +440,10 @@ class Encoder:
         keys = self.key(starts[of], places)
         if self.limit:
             n = self.code_n[parts]
-            owner = np.repeat(np.arange(len(parts)), n)
-            hit = _skipped(keys[owner], _ragged(self.code_at[parts], n, self.codes), self.limit)
-            hit = np.unique(owner[hit])
+            hashes = _ragged(self.code_at[parts], n, self.codes)
+            hashes ^= np.repeat(keys, n)
+            hit = np.flatnonzero(_drawn(hashes, self.limit))
+            hit = np.unique(np.searchsorted(np.cumsum(n), hit, "right"))
             ids, counts, _, _ = self._cut(self.char_at[parts[hit]], self.char_n[parts[hit]], keys[hit])
             id_at[hit], id_n[hit] = len(pool) + np.cumsum(counts) - counts, counts
             pool = np.append(pool, ids)
