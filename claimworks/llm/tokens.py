@@ -3,7 +3,8 @@
 A tokenizer's pre-tokens never reach across white space, so what a word becomes does not depend on
 its neighbours. Texts repeat most of their words: the library sees a word once per worker, and
 texts are put together from what it said. Words with anything beyond ASCII and Latin-1 letters go
-to the library as they are, which keeps results equal to it.
+to the library as they are, which keeps results equal to it. A text without such words is cut to
+pre-tokens in one go.
 """
 
 from __future__ import annotations
@@ -13,11 +14,12 @@ import re
 
 import numpy as np
 
-#: Entries a worker's cache holds before it starts anew.
-CACHE_WORDS = 400_000
+#: Entries of one of the two halves of a worker's cache.
+CACHE_WORDS = 300_000
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_PLAIN_TEXT = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
 #: Fixed: how the lower-case word vocabulary splits a word.
-_WORD_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+_WORD_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\t-\r ]+")
 #: Fixed: how the byte-level vocabulary splits a text.
 _BYTE_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+|"
                          r" ?[^\s0-9A-Za-zÀ-ÖØ-öø-ÿ]+|\s+(?!\S)|\s+")
@@ -47,38 +49,48 @@ def written_in_bytes(part: str) -> str:
     return part.encode().decode("latin-1").translate(_BYTE_CHARS)
 
 
-class WordIds(dict):
-    """Bytes of a word (no ASCII white space) -> its ids as little-endian unsigned 32-bit words."""
+class Cache(dict):
+    """What a function gave for a key. When it is full, what was not asked for since it was last full
+    goes. Keys of more than 64 characters are not kept."""
+
+    def __init__(self, function):
+        self.function, self.old = function, {}
+
+    def __missing__(self, key):
+        found = self.old.get(key)
+        if found is None:
+            found = self.function(key)
+        if len(key) <= 64:
+            if len(self) >= CACHE_WORDS:
+                self.old = dict(self)
+                self.clear()
+            self[key] = found
+        return found
+
+
+class WordIds:
+    """Ids of a text, its words (bytes, no ASCII white space) and their parts, as little-endian
+    unsigned 32-bit words."""
 
     def __init__(self, path: str):
         self.tokenizer = load(path)
         self.model = self.tokenizer.model
-        self.parts: dict[str, bytes] = {}
+        self.words, self.parts = Cache(self._word), Cache(self._part)
 
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
+    def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
         if _PLAIN.fullmatch(text) and _SPECIAL not in text:
-            out = b"".join(self.part(p) for p in _WORD_PARTS.findall(text.lower()))
-        else:
-            out = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= 64:
-            self[word] = out
-        return out
-
-    def part(self, part: str) -> bytes:
-        out = self.parts.get(part)
-        if out is None:
-            if len(self.parts) >= CACHE_WORDS:
-                self.parts.clear()
-            out = np.array([t.id for t in self.model.tokenize(written_in_bytes(part))], "<u4").tobytes()
-            self.parts[part] = out
-        return out
+            return b"".join(map(self.parts.__getitem__, _WORD_PARTS.findall(text.lower())))
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _part(self, part: str) -> bytes:
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(written_in_bytes(part))])
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text."""
-        return b"".join(map(self.__getitem__, text.encode("utf-8", "replace").split()))
+        if _SPECIAL not in text and _PLAIN_TEXT.fullmatch(text):
+            return b"".join(map(self.parts.__getitem__, _WORD_PARTS.findall(text.lower())))
+        return b"".join(map(self.words.__getitem__, text.encode("utf-8", "replace").split()))
 
 
 def byte_parts(text: str, tokenizer) -> list[str]:
