@@ -46,6 +46,10 @@ DAILY_KPI = "gold_daily_claims_kpi"
 SCORECARD = "gold_provider_scorecard"
 MEMBER_360 = "gold_member_360"
 DIAGNOSIS = "gold_diagnosis_trending"
+# Fixed values end here: what a load keeps for itself.
+DIAGNOSIS_MONTHLY = "gold_diagnosis_monthly"
+SILVER_CHANGES = "silver_changed_months"
+GOLD_LOG = "gold_refresh_log"
 GOLD_TABLES = (DAILY_KPI, SCORECARD, MEMBER_360, DIAGNOSIS)
 CHECK_LOG = "dq_run_log"
 KPI_SNAPSHOT = "kpi_snapshot"

@@ -88,7 +88,8 @@ def claims_raw(
 ) -> DataFrame:
     """One raw claim per line item, with the columns asked for."""
     wanted = set(columns)
-    df = load(spark, sf_dir, "lineitem")
+    # The given file has one row group, which one task would parse and join by itself.
+    df = load(spark, sf_dir, "lineitem").repartition(spark.sparkContext.defaultParallelism, "l_orderkey", "l_linenumber")
     if wanted & _FROM_PART:
         part = load(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
         df = df.join(part, F.col("l_partkey") == F.col("p_partkey"))
@@ -116,3 +117,19 @@ def bronze_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw claims with the columns the silver plan needs besides; one batch per month."""
     return claims_raw(spark, sf_dir, [
         *RAW_COLUMNS, "ingestion_ts", "ingestion_date", "tie_part", "tie_supplier"])
+
+
+def repaired(claims: DataFrame) -> DataFrame:
+    """The raw claims as a clean feed would send them: each field that breaks a rule gets a sound
+    value. Needs the tie columns."""
+    c = F.col
+    positive = {a: F.replace(a, F.lit("-"), F.lit("")) for a in ("billed_amount", "paid_amount")}
+    known = F.upper(F.trim("claim_status")).isin("APPROVED", "DENIED", "PENDING", "ADJUSTED", "VOIDED")
+    return claims.withColumns({
+        "claim_id": F.coalesce("claim_id", F.concat(F.lit("NEW"), c("tie_part").cast("string"), F.lit("-"), c("tie_supplier").cast("string"))),
+        "member_id": F.coalesce("member_id", F.lit("MBR-NEW")),
+        "provider_npi": F.coalesce(F.substring("provider_npi", 1, 10), F.lit("1000000000")),
+        "service_date": F.when(c("service_date") == "not-a-date", "2024-02-29").otherwise(c("service_date")),
+        "claim_status": F.when(known, c("claim_status")).otherwise(F.lit("approved")),
+        "billed_amount": positive["billed_amount"],
+        "paid_amount": F.when(c("tie_part") % 89 == 0, "0.00").otherwise(positive["paid_amount"])})

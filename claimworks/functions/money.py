@@ -1,9 +1,10 @@
 """Amount aggregates whose result does not depend on row order.
 
 Sums of doubles change with the order rows arrive in, so two runs of one job differ. Amounts are
-therefore summed as decimals with ten places. An amount of 1e18 or more has no place among these:
-its doubles lie 128 apart and more. Such amounts are summed as doubles and added at the end, so one
-absurd line in a feed neither stops a load nor gets lost.
+therefore summed as decimals with ten places. Amounts from 1e18 on, whose doubles are whole numbers
+128 and more apart, are summed as whole decimals, and those from 1e28 on, of which no decimal holds
+a sum, as doubles; the parts are added at the end. So one absurd line in a feed neither stops a load
+nor gets lost.
 """
 
 from __future__ import annotations
@@ -11,17 +12,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EXACT = "decimal(28,10)"
-_EXACT_BELOW = 1e18
+_EXACT, _WHOLE = "decimal(28,10)", "decimal(28,0)"
+_EXACT_BELOW, _WHOLE_BELOW = 1e18, 1e28
 
 
 def amount_sum(c: Column | str) -> Column:
     """Aggregate: the sum as a double, exact to ten decimals; NULL when there is no amount."""
     c = F.col(c) if isinstance(c, str) else c
-    small = F.abs(c) < _EXACT_BELOW
+    small, whole = F.abs(c) < _EXACT_BELOW, F.abs(c) < _WHOLE_BELOW
     exact = F.sum(F.when(small, c).cast(_EXACT)).cast("double")
-    large = F.sum(F.when(~small, c))
-    return F.coalesce(exact + large, exact, large)
+    large = F.sum(F.when(~small & whole, c).cast(_WHOLE)).cast("double")
+    huge = F.sum(F.when(~whole, c))
+    some = F.coalesce(exact, large, huge).isNotNull()
+    none = F.lit(0.0)
+    return F.when(some, F.coalesce(exact, none) + F.coalesce(large, none) + F.coalesce(huge, none))
+
+
+def amount_mean(c: Column | str) -> Column:
+    """Aggregate: the mean, summed as ``amount_sum`` does; NULL when there is no amount."""
+    return mean_amount(amount_sum(c), F.count(c))
 
 
 def mean_amount(total: Column, count: Column) -> Column:

@@ -110,9 +110,10 @@ def verdict(measures: DataFrame, coverage: str = "rows") -> DataFrame:
     })
 
 
-def check_rows(judged: DataFrame) -> DataFrame:
-    """The verdict as one row per check: name, value and whether it passed. Freshness and
-    orphans are reported but are no part of the verdict."""
+def check_rows(judged: DataFrame, ages: DataFrame | None = None) -> DataFrame:
+    """The verdict as one row per check: name, value and whether it passed. Orphans, and freshness by
+    the ``ages`` of tables, are reported but are no part of the verdict; a table passes if it can be
+    read and is not empty."""
     def row(name: str, value: Column, passed: Column) -> Column:
         return F.struct(F.lit(name).alias("check"), value.cast("double").alias("value"),
                         passed.alias("passed"))
@@ -124,7 +125,13 @@ def check_rows(judged: DataFrame) -> DataFrame:
         row("duplicates", c("duplicate_claim_ids"), c("duplicate_claim_ids") == 0),
         row("orphan_providers", c("orphan_provider_records"), c("orphan_provider_records") == 0),
     )
-    return judged.select(F.inline(rows))
+    checked = judged.select(F.inline(rows))
+    if ages is None:
+        return checked
+    age = F.col("age_minutes")
+    return checked.unionByName(ages.select(
+        F.concat(F.lit("freshness_"), "table_name").alias("check"), age.alias("value"),
+        ((age > AGE_UNREADABLE) & (age < AGE_EMPTY)).alias("passed")))
 
 
 def freshness(

@@ -121,9 +121,9 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
 def _align(df: DataFrame, name: str) -> DataFrame:
     """Columns in table order. New ones are added to the table; a changed type is an error."""
     spark = df.sparkSession
-    have = {f.name: f.dataType for f in spark.table(name).schema}
-    changed = [f"{f.name}: {have[f.name].simpleString()} -> {f.dataType.simpleString()}"
-               for f in df.schema if f.name in have and have[f.name] != f.dataType]
+    have = {f.name: f.dataType.simpleString() for f in spark.table(name).schema}
+    changed = [f"{f.name}: {have[f.name]} -> {f.dataType.simpleString()}"
+               for f in df.schema if f.name in have and have[f.name] != f.dataType.simpleString()]
     if changed:
         raise TypeError(f"column types of {name} may not change: {', '.join(changed)}")
     new = [f for f in df.schema if f.name not in have]
@@ -276,6 +276,11 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).format(FORMAT).load(path)
 
 
+def local_copy(df: DataFrame) -> DataFrame:
+    """The few rows of a log entry, fixed before the tables they were read from change."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema).coalesce(1)
+
+
 def release(*frames: DataFrame) -> None:
     """Remove the files behind frames that ``staged`` gave, once nothing reads them any more."""
     for df in frames:

@@ -19,6 +19,18 @@ def total(x: str) -> str:
     return f"CAST(CAST(sum(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,10))) AS VARCHAR) AS DOUBLE)"
 
 
+def big(x: str) -> str:
+    """As ``total`` where amounts from 1e18 on are added up by themselves."""
+    def part(test: str) -> str:
+        return (f"coalesce(CAST(CAST(sum(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,10))) FILTER (abs({x}) {test}) AS VARCHAR) "
+                f"AS DOUBLE), 0::DOUBLE)")
+    return f"(CASE WHEN count({x}) > 0 THEN {part('< 1e18')} + {part('>= 1e18')} END)"
+
+
+def big_mean(x: str) -> str:
+    return f"({big(x)} / nullif(count({x}), 0)::DOUBLE)"
+
+
 def mean(x: str) -> str:
     return f"(CAST(CAST(sum({x}::DECIMAL(28,10)) AS VARCHAR) AS DOUBLE) / count({x}))"
 
@@ -286,6 +298,20 @@ SELECT {SILVER_NAMES}, {FIRST} FROM checked_a a WHERE is_valid
   AND NOT EXISTS (SELECT 1 FROM checked_b b WHERE b.is_valid AND b.claim_id = a.claim_id)"""
 
 
+EXTREME = "extreme AS (SELECT * REPLACE (" + ", ".join(
+    f"CASE WHEN payer_id = 'PYR001' THEN floor({c}) * 1e16::DOUBLE ELSE {c} + 0.000004::DOUBLE END AS {c}"
+    for c in ("billed_amount", "allowed_amount", "paid_amount")) + ") FROM valid)"
+
+#: The raw claims with a sound value for each field that breaks a rule.
+REPAIRED = f"""{RAW.replace("raw AS (", "dirty AS (", 1)},
+raw AS (SELECT * REPLACE (
+    coalesce(claim_id, 'NEW' || l_partkey || '-' || l_suppkey) AS claim_id, coalesce(member_id, 'MBR-NEW') AS member_id,
+    coalesce(left(provider_npi, 10), '1000000000') AS provider_npi,
+    CASE WHEN service_date = 'not-a-date' THEN '2024-02-29' ELSE service_date END AS service_date,
+    CASE WHEN upper(trim(claim_status)) IN {STATUS_LIST} THEN claim_status ELSE 'approved' END AS claim_status,
+    replace(billed_amount, '-', '') AS billed_amount,
+    CASE WHEN l_partkey % 89 = 0 THEN '0.00' ELSE replace(paid_amount, '-', '') END AS paid_amount) FROM dirty)"""
+
 # The load nothing is dropped from, and the measures of both kinds of load.
 ALL_LOADED = ", ".join([RAW, typed("raw", "all_typed"), checked("all_typed", "loaded")])
 _DISTINCT_RAW = "count(DISTINCT claim_id) + count(*) FILTER (WHERE claim_id IS NULL)"
@@ -420,7 +446,7 @@ ORACLE: dict[str, str] = {
     "upsert_kpi_snapshot": f"""WITH {TO_VALID}, {kpi('service_date')}
       SELECT report_date AS snapshot_date, payer_id, sum(claim_count)::BIGINT AS total_claims, {total('total_billed')} AS total_billed,
         {total('total_paid')} AS total_paid, {mean('denial_rate_pct')} AS avg_denial_rate
-      FROM kpi WHERE report_date BETWEEN DATE '2024-03-01' AND DATE '2024-03-03' GROUP BY ALL""",
+      FROM kpi WHERE report_date IS NOT NULL GROUP BY ALL""",
     "upsert_kpi_all_days": f"""WITH {TO_VALID}, {kpi('service_date')}
       SELECT report_date AS snapshot_date, payer_id, sum(claim_count)::BIGINT AS total_claims, {total('total_billed')} AS total_billed,
         {total('total_paid')} AS total_paid, {mean('denial_rate_pct')} AS avg_denial_rate
@@ -455,6 +481,9 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT 'future_dates', future_dates_count::DOUBLE, future_dates_count = 0 FROM verdict
       UNION ALL SELECT 'duplicates', duplicate_claim_ids::DOUBLE, duplicate_claim_ids = 0 FROM verdict
       UNION ALL SELECT 'orphan_providers', orphan_provider_records::DOUBLE, orphan_provider_records = 0 FROM verdict""",
+    "check_gold_freshness": f"""SELECT * FROM (@ROWS@) UNION ALL
+      SELECT * FROM (VALUES ('freshness_gold_daily_claims_kpi', 30.0::DOUBLE, true), ('freshness_gold_provider_scorecard', 120.0, true),
+        ('freshness_gold_member_360', 1440.0, true), ('freshness_gold_diagnosis_trending', 0.0, true))""",
     "check_freshness": f"""SELECT event_type AS table_name,
         {rnd("(epoch_us(TIMESTAMP '2024-12-15 06:00:00') - epoch_us(max(ts)))::DOUBLE / 60000000.0", 1)} AS age_minutes
       FROM events GROUP BY 1
@@ -486,11 +515,31 @@ UNION ALL SELECT {SILVER_NAMES}, {FIRST} FROM checked_a a WHERE is_valid
   AND NOT EXISTS (SELECT 1 FROM checked_b b WHERE b.is_valid AND b.claim_id = a.claim_id)""",
     "silver_with_stream": f"""WITH {RAW}, {BOTH}, {newest("mixed")}, {typed()}, {checked()}, {VALID}
       SELECT {SILVER_NAMES}, {AS_OF} AS silver_batch_date FROM valid""",
-    "gold_extreme_amounts": f"""WITH {TO_VALID}, v AS (SELECT * REPLACE (
-        CASE WHEN payer_id = 'PYR001' THEN floor(billed_amount) * 1e12 ELSE billed_amount + 0.000004::DOUBLE END AS billed_amount,
-        CASE WHEN payer_id = 'PYR001' THEN floor(paid_amount) * 1e12 ELSE paid_amount + 0.000004::DOUBLE END AS paid_amount) FROM valid)
+    "gold_extreme_amounts": f"""WITH {TO_VALID}, {EXTREME}
       SELECT member_id, payer_id, line_of_business, count(claim_id) AS lifetime_claims,
-        {total('billed_amount')} AS lifetime_billed, {total('paid_amount')} AS lifetime_paid FROM v GROUP BY ALL""",
+        {big('billed_amount')} AS lifetime_billed, {big('paid_amount')} AS lifetime_paid FROM extreme GROUP BY ALL""",
+    "view_extreme_amounts": f"""WITH {TO_VALID}, {EXTREME}, k AS (
+        SELECT service_date AS report_date, payer_id, claim_status, line_of_business, network_flag, count(claim_id) AS claim_count,
+          count(DISTINCT member_id) AS unique_members, {big('billed_amount')} AS total_billed, {big('paid_amount')} AS total_paid,
+          {big_mean('paid_amount')} AS avg_paid_per_claim, {DENIED} AS denied_count FROM extreme GROUP BY ALL)
+      SELECT report_date, payer_id, line_of_business, sum(claim_count)::BIGINT AS total_claims,
+        sum(unique_members)::BIGINT AS unique_members, {big('total_billed')} AS total_billed, {big('total_paid')} AS total_paid,
+        {share(big('total_paid'), big('total_billed'))} AS overall_payment_rate_pct, sum(denied_count)::BIGINT AS total_denied,
+        {share('sum(denied_count)', 'sum(claim_count)')} AS overall_denial_rate_pct,
+        {big_mean('avg_paid_per_claim')} AS avg_paid_per_claim
+      FROM k GROUP BY ALL""",
+    "view_extreme_tiers": f"""WITH {TO_VALID}, {EXTREME}, t AS (SELECT * REPLACE (
+        CASE WHEN payer_id = 'PYR002' THEN 1e-9::DOUBLE ELSE billed_amount END AS billed_amount) FROM extreme), s AS (
+        SELECT *, CASE WHEN denial_rate_pct < 5 THEN 'PREFERRED' WHEN denial_rate_pct < 15 THEN 'STANDARD' ELSE 'REVIEW' END AS tier
+        FROM (SELECT provider_npi, service_year, service_month, payer_id, count(claim_id) AS total_claims,
+            count(DISTINCT member_id) AS patients_served, {big('billed_amount')} AS billed, {big('paid_amount')} AS paid,
+            {rate(DENIED, 'count(claim_id)')} AS denial_rate_pct,
+            {rate(big('paid_amount'), big('billed_amount'), 1)} AS cost_efficiency_score FROM t GROUP BY ALL))
+      SELECT provider_npi, service_year, max(tier) AS current_tier, sum(total_claims)::BIGINT AS ytd_claims,
+        sum(patients_served)::BIGINT AS ytd_patients, {big('paid')} AS ytd_paid, {mean('denial_rate_pct')} AS avg_denial_rate_pct,
+        {big_mean('cost_efficiency_score')} AS avg_cost_efficiency, count(DISTINCT payer_id) AS payer_count FROM s GROUP BY ALL""",
+    "source_files": f"""WITH {RAW} SELECT batch_date AS folder, batch_date, {_SHORT} OR {_LONG} AS is_corrupt, count(*) AS n
+      FROM (SELECT *, CASE WHEN ingestion_date <= {FIRST} THEN '1998-06-01' ELSE '2001-12-01' END AS batch_date FROM raw) GROUP BY ALL""",
     "run_log": f"""WITH {RAW} SELECT batch_date, count(*) AS records_ingested,
         count(*) FILTER (WHERE {_SHORT} OR {_LONG}) AS corrupt_records, 'SUCCESS' AS status
       FROM (SELECT *, CASE WHEN ingestion_date <= {FIRST} THEN '1998-06-01' ELSE '2001-12-01' END AS batch_date FROM raw)
@@ -514,12 +563,14 @@ newest_{x} AS (SELECT * FROM typed_{x}
 {checked(f"newest_{x}", f"checked_{x}")}, valid_{x} AS (SELECT * FROM checked_{x} WHERE is_valid)"""
 
 
-def _summary(step: int, day: str, x: str, silver: str) -> str:
+def _summary(step: int, day: str, x: str, silver: str, snapshot: bool = False) -> str:
     """The rows of one load's stages; ``silver`` has all valid claims after it."""
     groups = {"gold_daily_claims_kpi": "payer_id, claim_status, line_of_business, network_flag",
               "gold_provider_scorecard": "provider_npi, service_year, service_month, payer_id",
               "gold_member_360": "member_id, payer_id, line_of_business",
               "gold_diagnosis_trending": "icd10_code, service_year, service_month, payer_id"}
+    if snapshot and silver == "after_b":  # rows of both load days
+        groups["gold_daily_claims_kpi"] += ", load_no"
     gold = ", ".join(f"(SELECT count(*) FROM (SELECT DISTINCT {g} FROM {silver})) AS {t}" for t, g in groups.items())
     figures = f"""(SELECT *, {rate('silver_count', 'greatest(bronze_count, 1)')} AS silver_coverage_pct,
         {rate('silver_count', 'greatest(bronze_distinct, 1)')} AS distinct_coverage_pct,
@@ -542,7 +593,9 @@ def _summary(step: int, day: str, x: str, silver: str) -> str:
                                         "distinct_coverage_pct", "validity_pct")),
             ("valid_count", "valid"), ("quarantined_count", "total - valid"), ("judged_coverage_pct", "distinct_coverage_pct"),
             *((c, "0") for c in ("future_dates_count", "duplicate_claim_ids", "orphan_provider_records")),
-            ("sla_violations", broken)])]
+            ("sla_violations", broken)]),
+        *([("snapshot", "'SUCCESS'", [day_row, ("rows_affected", f"(SELECT count(DISTINCT payer_id) FROM valid_{x})")])]
+          if snapshot else [])]
     return " UNION ALL ".join(
         f"SELECT {step + i} AS step, '{stage}' AS stage, {status} AS status, '{metric}' AS metric, ({value})::VARCHAR AS value "
         f"FROM {figures}" for i, (stage, status, metrics) in enumerate(stages) for metric, value in metrics)
@@ -554,6 +607,21 @@ after_b AS (SELECT * FROM valid_b UNION ALL
   SELECT * FROM valid_a a WHERE NOT EXISTS (SELECT 1 FROM valid_b b WHERE b.claim_id = a.claim_id))
 {_summary(0, "1998-06-01", "a", "valid_a")} UNION ALL {_summary(4, "2001-12-01", "b", "after_b")}"""
 
+_TWO_RUNS = f"""{_one_load("a", f"ingestion_date <= {FIRST}")}, {_one_load("b", f"ingestion_date > {FIRST}")},
+after_b AS (SELECT *, 2 AS load_no FROM valid_b UNION ALL
+  SELECT *, 1 FROM valid_a a WHERE NOT EXISTS (SELECT 1 FROM valid_b b WHERE b.claim_id = a.claim_id))"""
+ORACLE["run_batch_passing"] = f"""WITH {REPAIRED}, {_TWO_RUNS} {_summary(0, "1998-06-01", "a", "valid_a", True)}
+UNION ALL {_summary(5, "2001-12-01", "b", "after_b", True)}"""
+ORACLE["kpi_snapshot_after_loads"] = f"WITH {REPAIRED}, {_TWO_RUNS}, " + ", ".join(
+    kpi(day, f"kpi_{x}").replace("FROM valid", f"FROM valid_{x}") for x, day in (("a", FIRST), ("b", SECOND))) + f"""
+  SELECT report_date AS snapshot_date, payer_id, sum(claim_count)::BIGINT AS total_claims, {total('total_billed')} AS total_billed,
+    {total('total_paid')} AS total_paid, {mean('denial_rate_pct')} AS avg_denial_rate
+  FROM (SELECT * FROM kpi_a UNION ALL SELECT * FROM kpi_b) GROUP BY ALL"""
+_AFTER_LOADS = f"WITH {RAW}, {_TWO_RUNS}, valid AS (SELECT * FROM after_b)"
+ORACLE["gold_incremental_scorecard"] = f"{_AFTER_LOADS}, {SCORECARD} SELECT * FROM scorecard"
+ORACLE["gold_incremental_trending"] = f"{_AFTER_LOADS}, {trending()} SELECT {_TRENDING} FROM trending"
+ORACLE["check_gold_freshness"] = ORACLE["check_gold_freshness"].replace("@ROWS@", ORACLE["check_rows"])
+
 _RULE_COLUMNS = {
     "NULL_CLAIM_ID": "claim_id",
     "NULL_MEMBER_ID": "claim_id, member_id",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
@@ -12,7 +13,7 @@ from claimworks import constants as C
 from claimworks import schemas
 from claimworks.operators import checks, tables
 from claimworks.operators.rules import NULL_SAFE, quarantine_rows, validity
-from claimworks.plans.gold import BUILDERS
+from claimworks.plans.gold import daily_kpi, diagnosis_growth, diagnosis_monthly, member_360, provider_scorecard
 from claimworks.plans.silver import silver_rows, validated_claims
 from claimworks.plans.views import refresh_kpi_snapshot
 from claimworks.sources.raw import add_provenance, bronze_union, read_batch, read_raw
@@ -20,7 +21,6 @@ from claimworks.streaming.ingest import commits_of
 
 _SILVER_PARTITIONS = ("service_year", "service_month")
 _STREAM_ONLY = ("event_time", "partition_id", "eh_offset", "event_type", "submission_ts", "micro_batch")
-_NEWEST_EVENT = ("event_time DESC NULLS LAST", "try_cast(eh_offset AS BIGINT) DESC NULLS LAST")
 _CLUSTER_BY = ("payer_id", "service_date", "claim_status", "member_id")
 
 
@@ -32,7 +32,7 @@ class BatchConfig:
     example ``"claims."`` for a database. With ``root`` tables are external, one folder each.
     ``with_stream`` adds the rows of the event table that no batch has taken yet; a batch that runs
     again takes the same rows. Loads with it run one after the other. Of the copies of a claim the last
-    loaded wins, then the newest event, then the first by ``order_by`` (SQL), then by file.
+    loaded wins, then the newest event, then the first by ``order_by``, then by file.
     ``coverage="distinct"`` judges coverage by distinct claims, so that dropped copies are no loss;
     ``"rows"`` counts them as one. Tables are compacted and silver is clustered unless ``layout``
     is off.
@@ -47,7 +47,7 @@ class BatchConfig:
     coverage: str = "distinct"
     report_date: str = "silver_updated_at"
     layout: bool = True
-    order_by: tuple[str, ...] = ()
+    order_by: tuple[Column | str, ...] = ()
     with_stream: bool = False
 
     def name(self, table: str) -> str:
@@ -97,12 +97,12 @@ def load_silver(spark: SparkSession, cfg: BatchConfig, batch_date: str) -> Stage
     upsert all read that copy.
     """
     bronze = read_batch(spark.table(cfg.name(C.BRONZE)), batch_date)
-    order = ["ingestion_ts DESC NULLS LAST", *cfg.order_by, "source_file DESC NULLS LAST"]
+    order = [F.col("ingestion_ts").desc_nulls_last(), *cfg.order_by, F.col("source_file").desc_nulls_last()]
     if cfg.with_stream:
         bronze = bronze_union(bronze, stream_rows(spark, cfg, batch_date))
-        order[1:1] = _NEWEST_EVENT
+        order[1:1] = [F.col("event_time").desc_nulls_last(), F.col("eh_offset").try_cast("bigint").desc_nulls_last()]
     checked = tables.staged(validated_claims(
-        bronze, cfg.as_of, cfg.policy, order_by=[_ordered(o) for o in order]).drop(*_STREAM_ONLY).withColumn(
+        bronze, cfg.as_of, cfg.policy, order_by=order).drop(*_STREAM_ONLY).withColumn(
             "ingestion_date", F.lit(batch_date).cast("date")))
     counts = validity(checked).first().asDict()
     status = counts.pop("status")
@@ -119,24 +119,13 @@ def load_silver(spark: SparkSession, cfg: BatchConfig, batch_date: str) -> Stage
         valid, cfg.name(C.SILVER), ["claim_id"], _SILVER_PARTITIONS, cfg.location(C.SILVER),
         newer_than="silver_batch_date", unique=True,
         stale=F.col("silver_batch_date") == F.lit(batch_date).cast("date"),
-        cluster_by=_CLUSTER_BY if cfg.layout else ())
+        cluster_by=_CLUSTER_BY if cfg.layout else (),
+        announce=lambda months: _announce(spark, cfg, batch_date, months))
     removed = bronze.count() - counts["total"]
     tables.release(checked, valid)
     return StageResult("silver", status, {"batch_date": batch_date, **counts, "dupes_removed": removed})
 
 
-def _ordered(text: str) -> Column:
-    """``expression [ASC|DESC] [NULLS FIRST|LAST]`` as a sort order."""
-    words = text.split()
-    last = words[-1].upper() if len(words) > 2 and words[-2].upper() == "NULLS" else None
-    words = words[:-2] if last else words
-    down = words[-1].upper() == "DESC"
-    c = F.expr(" ".join(words[:-1] if words[-1].upper() in ("ASC", "DESC") else words))
-    if down:
-        return c.desc_nulls_first() if last == "FIRST" else c.desc_nulls_last()
-    return c.asc_nulls_last() if last == "LAST" else c.asc_nulls_first()
-
-
 def stream_rows(spark: SparkSession, cfg: BatchConfig, batch_date: str) -> DataFrame:
     """Rows of the real-time table for this batch: of all micro-batches that no batch has taken.
 
@@ -188,17 +177,54 @@ def _committed(spark: SparkSession, cfg: BatchConfig, stream: DataFrame) -> Data
 
 
 def load_gold(spark: SparkSession, cfg: BatchConfig, batch_date: str) -> StageResult:
-    """Rebuild the aggregate tables from all valid claims."""
-    claims = spark.table(cfg.name(C.SILVER)).filter("is_valid")
-    rows = {}
-    for table, build in BUILDERS.items():
-        options = {"report_date": cfg.report_date} if table == C.DAILY_KPI else {}
-        tables.overwrite(build(claims, run_ts=cfg.run_ts, **options), cfg.name(table),
-                         cfg.location(table))
-        if cfg.layout:
-            tables.compact(spark, cfg.name(table))
-        rows[table] = spark.table(cfg.name(table)).count()
-    return StageResult("gold", "SUCCESS", {"batch_date": batch_date, **rows})
+    """Bring the aggregate tables up to date with all valid claims.
+
+    Tables by month of service are computed for the months that changed since they were last; each
+    of them from all claims of the month. Growth is worked out from the monthly table, since any
+    later month may come after a changed one. The others are rebuilt.
+    """
+    claims = _refreshed(spark, cfg.name(C.SILVER)).filter("is_valid")
+    changes = _pending_changes(spark, cfg)
+    months = [row.asDict() for row in changes.select(*_SILVER_PARTITIONS).distinct().collect()]
+    _refresh_months(spark, cfg, claims, C.SCORECARD, months, lambda df: provider_scorecard(df, run_ts=cfg.run_ts))
+    _refresh_months(spark, cfg, claims, C.DIAGNOSIS_MONTHLY, months, diagnosis_monthly)
+    monthly = _refreshed(spark, cfg.name(C.DIAGNOSIS_MONTHLY))
+    for table, rows in ((C.DIAGNOSIS, diagnosis_growth(monthly, run_ts=cfg.run_ts)),
+                        (C.DAILY_KPI, daily_kpi(claims, cfg.report_date, run_ts=cfg.run_ts)),
+                        (C.MEMBER_360, member_360(claims, run_ts=cfg.run_ts))):
+        tables.overwrite(rows.hint("rebalance"), cfg.name(table), cfg.location(table))
+    done = changes.select("change_id").distinct().withColumn("refreshed_at", F.lit(cfg.run_ts or datetime.now()))
+    tables.append(tables.local_copy(done), cfg.name(C.GOLD_LOG), location=cfg.location(C.GOLD_LOG))
+    counts = {table: spark.table(cfg.name(table)).count() for table in C.GOLD_TABLES}
+    return StageResult("gold", "SUCCESS", {"batch_date": batch_date, **counts})
+
+
+def _refresh_months(spark: SparkSession, cfg: BatchConfig, claims: DataFrame, table: str, months: list[dict], build) -> None:
+    name = cfg.name(table)
+    if not tables.table_exists(spark, name):
+        tables.create(build(claims), name, _SILVER_PARTITIONS, cfg.location(table))
+    elif months:
+        changed = build(claims.filter(tables.in_partitions(list(_SILVER_PARTITIONS), months)))
+        tables.replace_partitions(changed, name, _SILVER_PARTITIONS, rebalance=True, emptied=months)
+
+
+def _announce(spark: SparkSession, cfg: BatchConfig, batch_date: str, months: list[dict]) -> None:
+    """Write down which months are about to change, so that none is forgotten after a crash."""
+    if months:
+        change, at = uuid.uuid4().hex, cfg.run_ts or datetime.now()
+        rows = [(change, batch_date, m["service_year"], m["service_month"], at) for m in months]
+        tables.append(spark.createDataFrame(rows, schemas.SILVER_CHANGES).coalesce(1), cfg.name(C.SILVER_CHANGES),
+                      location=cfg.location(C.SILVER_CHANGES))
+
+
+def _pending_changes(spark: SparkSession, cfg: BatchConfig) -> DataFrame:
+    """Changes of the silver table that the aggregate tables have not seen."""
+    if not tables.table_exists(spark, cfg.name(C.SILVER_CHANGES)):
+        return spark.createDataFrame([], schemas.SILVER_CHANGES)
+    changes = _refreshed(spark, cfg.name(C.SILVER_CHANGES))
+    if not tables.table_exists(spark, cfg.name(C.GOLD_LOG)):
+        return changes
+    return changes.join(_refreshed(spark, cfg.name(C.GOLD_LOG)), "change_id", "left_anti")
 
 
 def batch_verdict(spark: SparkSession, cfg: BatchConfig, batch_date: str) -> DataFrame:

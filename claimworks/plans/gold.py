@@ -159,33 +159,37 @@ def risk_tier(claims_n: Column, paid: Column) -> Column:
             .when(beyond(MEDIUM_CLAIMS, MEDIUM_PAID), "MEDIUM").otherwise("LOW"))
 
 
-def diagnosis_trending(
-    claims: DataFrame, calendar: bool = False, run_ts: datetime | None = None
+def diagnosis_monthly(claims: DataFrame) -> DataFrame:
+    """Claims per diagnosis, month of service and payer. A month needs no claim of another one."""
+    monthly = claims.groupBy("icd10_code", "service_year", "service_month", "payer_id").agg(
+        F.count("claim_id").alias("claim_count"),
+        F.count_distinct("member_id").alias("patients_affected"),
+        *_sums("paid_amount"),
+        F.count("paid_amount").alias("paid_claims"),
+        _denied().alias("denied_count"),
+    )
+    return monthly.withColumnRenamed(_SUMS["paid_amount"], "total_paid")
+
+
+def diagnosis_growth(
+    monthly: DataFrame, calendar: bool = False, run_ts: datetime | None = None
 ) -> DataFrame:
-    """Claims per diagnosis, month of service and payer, with growth over the month before.
+    """Means and growth over the month before.
 
     The month before is the previous month with claims; with ``calendar`` it must be the
     calendar month before, else there is no previous value. The window runs on the aggregate,
     one row per month, so its groups stay small whatever the number of claims.
     """
-    keys = ["icd10_code", "service_year", "service_month", "payer_id"]
-    monthly = claims.groupBy(*keys).agg(
-        F.count("claim_id").alias("claim_count"),
-        F.count_distinct("member_id").alias("patients_affected"),
-        *_sums("paid_amount"),
-        F.count("paid_amount").alias("_paid_claims"),
-        _denied().alias("denied_count"),
-    )
     history = Window.partitionBy("icd10_code", "payer_id").orderBy("service_year", "service_month")
     index = F.col("service_year") * 12 + F.col("service_month")
     before = F.lag("claim_count").over(history)
     if calendar:
         before = F.when(F.lag(index).over(history) == index - 1, before)
-    paid, n, prev = F.col("_paid"), F.col("claim_count"), F.col("prev_month_claims")
+    paid, n, prev = F.col("total_paid"), F.col("claim_count"), F.col("prev_month_claims")
     return monthly.withColumn("prev_month_claims", before).select(
-        *keys, "claim_count", "patients_affected",
-        paid.alias("total_paid"),
-        mean_amount(F.col("_paid"), F.col("_paid_claims")).alias("avg_cost_per_episode"),
+        "icd10_code", "service_year", "service_month", "payer_id", "claim_count", "patients_affected",
+        "total_paid",
+        mean_amount(paid, F.col("paid_claims")).alias("avg_cost_per_episode"),
         "denied_count",
         F.round(paid / F.nullif(F.col("patients_affected"), F.lit(0)), 2).alias("cost_per_patient"),
         "prev_month_claims",
@@ -194,7 +198,14 @@ def diagnosis_trending(
     )
 
 
-#: Builder of each table, by table name.
+def diagnosis_trending(
+    claims: DataFrame, calendar: bool = False, run_ts: datetime | None = None
+) -> DataFrame:
+    """Claims per diagnosis, month of service and payer, with growth over the month before."""
+    return diagnosis_growth(diagnosis_monthly(claims), calendar, run_ts)
+
+
+#: Builder of each table, by table name. Fixed names: tables and their columns.
 BUILDERS = {
     "gold_daily_claims_kpi": daily_kpi,
     "gold_provider_scorecard": provider_scorecard,

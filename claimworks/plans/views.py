@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimworks.constants import KPI_SNAPSHOT, RISK_VIEW_MIN_CLAIMS, TOP_DIAGNOSES
-from claimworks.functions import amount_sum, share_pct
+from claimworks.functions import amount_mean, amount_sum, share_pct
 from claimworks.operators import tables
 
 
@@ -18,13 +18,6 @@ def _total(column: str) -> Column:
     return amount_sum(column)
 
 
-def _mean(column: str) -> Column:
-    """Mean of a rate or amount, summed as a decimal so that row order does not matter; these
-    aggregates run on summary rows, where that costs nothing."""
-    total = F.sum(F.col(column).cast("decimal(28,10)")).cast("double")
-    return total / F.nullif(F.count(column), F.lit(0)).cast("double")
-
-
 def exec_dashboard(kpi: DataFrame) -> DataFrame:
     """Totals per report date, payer and line of business.
 
@@ -39,7 +32,7 @@ def exec_dashboard(kpi: DataFrame) -> DataFrame:
         share_pct(_total("total_paid"), _total("total_billed")).alias("overall_payment_rate_pct"),
         F.sum("denied_count").alias("total_denied"),
         share_pct(F.sum("denied_count"), F.sum("claim_count")).alias("overall_denial_rate_pct"),
-        _mean("avg_paid_per_claim").alias("avg_paid_per_claim"),
+        amount_mean("avg_paid_per_claim").alias("avg_paid_per_claim"),
     )
 
 
@@ -62,8 +55,8 @@ def provider_tier_summary(scorecard: DataFrame) -> DataFrame:
         F.sum("total_claims").alias("ytd_claims"),
         F.sum("patients_served").alias("ytd_patients"),
         _total("total_paid").alias("ytd_paid"),
-        _mean("denial_rate_pct").alias("avg_denial_rate_pct"),
-        _mean("cost_efficiency_score").alias("avg_cost_efficiency"),
+        amount_mean("denial_rate_pct").alias("avg_denial_rate_pct"),
+        amount_mean("cost_efficiency_score").alias("avg_cost_efficiency"),
         F.count_distinct("payer_id").alias("payer_count"),
     )
 
@@ -132,7 +125,7 @@ def kpi_snapshot_rows(
             F.sum("claim_count").alias("total_claims"),
             _total("total_billed").alias("total_billed"),
             _total("total_paid").alias("total_paid"),
-            _mean("denial_rate_pct").alias("avg_denial_rate"),
+            amount_mean("denial_rate_pct").alias("avg_denial_rate"),
         ).select(
             F.col("report_date").alias("snapshot_date"), "payer_id", "total_claims", "total_billed", "total_paid",
             "avg_denial_rate",

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from claimworks import fixture as fx
 from claimworks.constants import (
-    AMOUNT_COLUMNS, BRONZE, BRONZE_LOG, BRONZE_STREAM, RAW_COLUMNS, SILVER,
+    AMOUNT_COLUMNS, BRONZE, BRONZE_LOG, BRONZE_STREAM, DIAGNOSIS, KPI_SNAPSHOT, RAW_COLUMNS, SCORECARD, SILVER,
 )
 from claimworks.operators import access, checks, rules, tables
 from claimworks.operators.cleaning import NPI_LENGTH, clean, cleaned_columns
@@ -39,6 +40,10 @@ LOAD_ORDER = ("billed_amount", "allowed_amount", "paid_amount", "service_date",
               "provider_npi", "icd10_code", "cpt_code", "payer_id", "line_of_business", "network_flag")
 
 
+def _load_order() -> tuple:
+    return tuple(F.desc_nulls_last(c) for c in LOAD_ORDER)
+
+
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
@@ -341,18 +346,36 @@ def view_exec_dashboard(spark, sf):
     return views.exec_dashboard(_kpi(spark, sf, report_date="service_date"))
 
 
-@query
-def gold_extreme_amounts(spark, sf):
-    """Lifetime amounts when one payer's are a trillion times larger and the others' have parts of
-    a millionth."""
+def _extreme(spark, sf) -> DataFrame:
+    """Valid claims of which one payer's amounts reach 1e20 and the others' have parts of a millionth."""
     valid = _valid(spark, sf)
-    for c in ("billed_amount", "paid_amount"):
-        valid = valid.withColumn(c, F.when(F.col("payer_id") == "PYR001", F.floor(c).cast("double") * 1e12)
+    for c in AMOUNT_COLUMNS:
+        valid = valid.withColumn(c, F.when(F.col("payer_id") == "PYR001", F.floor(c).cast("double") * 1e16)
                                  .otherwise(F.col(c) + 0.000004))
-    return gold.member_360(valid).select(
+    return valid
+
+
+@query
+def gold_extreme_amounts(spark, sf):
+    """Lifetime amounts when one payer's are far beyond any currency."""
+    return gold.member_360(_extreme(spark, sf)).select(
         "member_id", "payer_id", "line_of_business", "lifetime_claims", "lifetime_billed", "lifetime_paid")
 
 
+@query
+def view_extreme_amounts(spark, sf):
+    """The dashboard over such amounts."""
+    claims = tables.staged(_extreme(spark, sf).select(*gold.KPI_COLUMNS, "service_date"))
+    return views.exec_dashboard(gold.daily_kpi(claims, report_date="service_date"))
+
+
+@query
+def view_extreme_tiers(spark, sf):
+    """Provider summaries over such amounts, and over claims with next to nothing billed."""
+    tiny = F.when(F.col("payer_id") == "PYR002", F.lit(1e-9)).otherwise(F.col("billed_amount"))
+    return views.provider_tier_summary(gold.provider_scorecard(_extreme(spark, sf).withColumn("billed_amount", tiny)))
+
+
 @query
 def view_exec_exact_members(spark, sf):
     return views.exec_exact(_valid(spark, sf), "service_date")
@@ -424,11 +447,11 @@ def upsert_corrected_batch(spark, sf):
 
 @query
 def upsert_kpi_snapshot(spark, sf):
-    """Snapshots of three days of service, one of them refreshed twice."""
+    """Snapshots of all days of service, refreshed twice."""
     name, location = _table(spark, "snapshot")
     kpi = tables.staged(_kpi(spark, sf, report_date="service_date"))
-    for day in ("2024-03-01", "2024-03-02", "2024-03-03", "2024-03-01"):
-        views.refresh_kpi_snapshot(kpi, day, name, location)
+    for _ in range(2):
+        views.refresh_kpi_snapshot(kpi, None, name, location)
     return _contents(spark, name, location).drop("refreshed_at")
 
 
@@ -498,7 +521,7 @@ def compact(spark, sf):
 def sized_write(spark, sf):
     """All claims in files of at most 1,000 rows; there have to be several."""
     name, location = _table(spark, "sized")
-    tables.create(_silver_part(spark, sf).coalesce(1), name, location=location, max_records_per_file=1_000)
+    tables.create(_silver_part(spark, sf), name, location=location, max_records_per_file=1_000)
     rows = _contents(spark, name, location)
     return rows.withColumn("several_files", F.lit(len(rows.inputFiles()) > 1))
 
@@ -600,6 +623,17 @@ def check_rows(spark, sf):
     return checks.check_rows(checks.verdict(_measures(spark, sf, loaded=False)))
 
 
+@query
+def check_gold_freshness(spark, sf):
+    """All check rows of the unfiltered load, with the age of each aggregate table of all claims."""
+    claims = tables.staged(_valid(spark, sf))
+    built = {"gold_daily_claims_kpi": "2024-12-15 05:30:00", "gold_provider_scorecard": "2024-12-15 04:00:00",
+             "gold_member_360": "2024-12-14 06:00:00", "gold_diagnosis_trending": RUN_TS}
+    ages = checks.freshness(spark, {
+        name: gold.BUILDERS[name](claims, run_ts=datetime.fromisoformat(at)) for name, at in built.items()}, _run_ts())
+    return checks.check_rows(checks.verdict(_measures(spark, sf, loaded=False)), ages)
+
+
 @query
 def check_freshness(spark, sf):
     """Minutes since the last event of each kind; one table is empty and one is missing."""
@@ -807,28 +841,78 @@ def run_log(spark, sf):
     return log.drop("source_path", "logged_at")
 
 
-def _run(spark, sf) -> tuple[list[batch.StageResult], batch.BatchConfig]:
+@query
+def source_files(spark, sf):
+    """Rows of the bronze table by the folder their file lay in, after two batches were loaded."""
+    root = scratch_path(spark, "files")
+    cfg = batch.BatchConfig(raw_root=f"{root}/raw", prefix=f"files_{uuid.uuid4().hex}_", root=f"{root}/tables")
+    claims = fx.claims_raw(spark, sf, [*RAW_COLUMNS, "ingestion_date"])
+    first = F.col("ingestion_date") <= F.lit(FIRST_LOAD).cast("date")
+    for day, part in ((FIRST_LOAD, first), (SECOND_LOAD, ~first)):
+        for rows in _with_broken_lines(claims.filter(part).drop("ingestion_date")):
+            _write_csv(rows, f"{cfg.raw_root}/{day}")
+        batch.load_bronze(spark, cfg, day)
+    folder = F.regexp_extract("source_file", r"/raw/([^/]+)/[^/]+\.csv$", 1)
+    return spark.table(cfg.name(BRONZE)).groupBy(
+        folder.alias("folder"), F.date_format("ingestion_date", "yyyy-MM-dd").alias("batch_date"), "is_corrupt").agg(
+        F.count("*").alias("n"))
+
+
+def _run(spark, sf, repaired: bool = False) -> tuple[list[batch.StageResult], batch.BatchConfig]:
+    """Two whole loads. Those of the repaired claims pass their gates; they run on their batch dates."""
     root = scratch_path(spark, "load")
     cfg = batch.BatchConfig(
         raw_root=f"{root}/raw", prefix=f"load_{uuid.uuid4().hex}_", root=f"{root}/tables",
-        as_of=fx.AS_OF, order_by=tuple(f"{c} DESC" for c in LOAD_ORDER))
-    claims = fx.claims_raw(spark, sf, [*RAW_COLUMNS, "ingestion_date"])
+        as_of=fx.AS_OF, order_by=_load_order())
+    claims = fx.claims_raw(spark, sf, [*RAW_COLUMNS, "ingestion_date", "tie_part", "tie_supplier"])
+    claims = fx.repaired(claims) if repaired else claims
     cut = F.lit(FIRST_LOAD).cast("date")
     results = []
     for day, part in ((FIRST_LOAD, F.col("ingestion_date") <= cut),
                       (SECOND_LOAD, F.col("ingestion_date") > cut)):
-        _write_csv(claims.filter(part).drop("ingestion_date"), f"{cfg.raw_root}/{day}")
-        results += batch.run_batch(spark, cfg, day)
+        _write_csv(claims.filter(part).select(*RAW_COLUMNS), f"{cfg.raw_root}/{day}")
+        at = datetime.fromisoformat(f"{day} 06:00:00") if repaired else None
+        results += batch.run_batch(spark, replace(cfg, run_ts=at), day)
     return results, cfg
 
 
+@query
+def run_batch_passing(spark, sf):
+    """Two whole loads whose checks pass, files to snapshot."""
+    results, _ = _run(spark, sf, repaired=True)
+    return batch.results_frame(spark, results).filter(~F.col("metric").isin("gold_freshness_mins"))
+
+
+@query
+def kpi_snapshot_after_loads(spark, sf):
+    """The snapshots that two passing loads leave, each of the rows its load brought."""
+    _, cfg = _run(spark, sf, repaired=True)
+    return _contents(spark, cfg.name(KPI_SNAPSHOT), "").drop("refreshed_at")
+
+
+def _refreshed_gold(spark, sf, table: str) -> DataFrame:
+    """An aggregate table after two loads; the second refreshes the months that changed."""
+    _, cfg = _run(spark, sf)
+    return _contents(spark, cfg.name(table), "").drop("gold_updated_at")
+
+
+@query
+def gold_incremental_scorecard(spark, sf):
+    return _joined(_refreshed_gold(spark, sf, SCORECARD), "icd10_codes_used")
+
+
+@query
+def gold_incremental_trending(spark, sf):
+    return _refreshed_gold(spark, sf, DIAGNOSIS)
+
+
 @query
 def silver_with_stream(spark, sf):
     """Valid claims of one batch of all line items and all events, some of the same claims."""
     cfg = batch.BatchConfig(
         raw_root="", prefix=f"both_{uuid.uuid4().hex}_", root=scratch_path(spark, "both"), as_of=fx.AS_OF,
         run_ts=datetime.fromisoformat(RUN_TS), with_stream=True, layout=False,
-        order_by=("tie_part DESC", "tie_supplier DESC"))
+        order_by=(F.desc_nulls_last("tie_part"), F.desc_nulls_last("tie_supplier")))
     tables.create(_bronze(spark, sf, fx.AS_OF), cfg.name(BRONZE), ["ingestion_date"], cfg.location(BRONZE))
     events = ingest.parse_events(ev.select_envelope(_events(spark, sf, mixed=True)), datetime(2024, 12, 15, 3))
     tables.append(events, cfg.name(BRONZE_STREAM), ["ingestion_date"], cfg.location(BRONZE_STREAM))
@@ -845,7 +929,7 @@ def silver_late_stream(spark, sf):
     cfg = batch.BatchConfig(
         raw_root="", prefix=f"late_{uuid.uuid4().hex}_", root=scratch_path(spark, "late"), as_of=fx.AS_OF,
         run_ts=datetime.fromisoformat(RUN_TS), with_stream=True, layout=False,
-        order_by=("tie_part DESC", "tie_supplier DESC"))
+        order_by=(F.desc_nulls_last("tie_part"), F.desc_nulls_last("tie_supplier")))
     cut, table = F.lit(FIRST_LOAD).cast("date"), cfg.name(BRONZE_STREAM)
     day = F.when(F.col("_day") <= cut, cut).otherwise(F.lit(SECOND_LOAD).cast("date"))
     tables.create(_bronze(spark, sf, day), cfg.name(BRONZE), ["ingestion_date"], cfg.location(BRONZE))

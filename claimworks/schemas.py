@@ -22,3 +22,5 @@ INGESTION_LOG = """batch_date string, records_ingested bigint, corrupt_records b
     source_path string, status string, logged_at timestamp"""
 STREAM_LOG = "batch_date string, micro_batch string, taken_at timestamp"
 STREAM_COMMITS = "micro_batch string, first_date date, last_date date, committed_at timestamp"
+SILVER_CHANGES = "change_id string, batch_date string, service_year int, service_month int, changed_at timestamp"
+GOLD_LOG = "change_id string, refreshed_at timestamp"

@@ -215,7 +215,7 @@ def test_an_absurd_amount_harms_no_load(spark, tmp_path, new_table):
 
 
 def test_order_by_decides_between_copies(spark, tmp_path, new_table):
-    cfg = config(tmp_path, new_table, order_by=("paid_amount ASC",))
+    cfg = config(tmp_path, new_table, order_by=("paid_amount",))
     write_raw(spark, cfg, "2025-03-01", [good(1, paid_amount="70"), good(1, paid_amount="8"), good(1, paid_amount="90")])
     batch.run_batch(spark, cfg, "2025-03-01")
     assert [r["paid_amount"] for r in spark.table(cfg.name(C.SILVER)).collect()] == [8.0]
@@ -300,3 +300,54 @@ def test_a_batch_reads_only_the_load_dates_of_its_micro_batches(spark, tmp_path,
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "ingestion_date" in plan.split("PartitionFilters", 1)[1]
     assert len([f for f in rows.inputFiles() if "bronze_claims_realtime" in f]) == 1
+
+
+def test_gold_refreshes_the_months_that_changed(spark, tmp_path, new_table):
+    cfg = config(tmp_path, new_table)
+
+    def load(day, *rows):
+        write_raw(spark, cfg, day, rows)
+        results = batch.run_batch(spark, cfg, day)
+        assert all(r.status in ("SUCCESS", "PASS") for r in results), results
+        out = {}
+        for table in (C.SCORECARD, C.DIAGNOSIS, C.DIAGNOSIS_MONTHLY):
+            spark.catalog.refreshTable(cfg.name(table))
+            out[table] = spark.table(cfg.name(table))
+        return out
+
+    def months(table):
+        return sorted((r["service_month"], r["total_claims"]) for r in table.collect())
+
+    got = load("2025-03-01", good(1, service_date="2025-01-05"), good(2, service_date="2025-02-05"), good(3, service_date="2025-04-05"))
+    assert months(got[C.SCORECARD]) == [(1, 1), (2, 1), (4, 1)]
+    before = {f for f in got[C.SCORECARD].filter("service_month = 4").inputFiles()}
+    got = load("2025-03-02", good(2, service_date="2025-01-09"), good(4, service_date="2025-03-05"))
+    assert months(got[C.SCORECARD]) == [(1, 2), (3, 1), (4, 1)]  # February's only claim moved
+    assert {f for f in got[C.SCORECARD].filter("service_month = 4").inputFiles()} == before
+    growth = {r["service_month"]: r["prev_month_claims"] for r in got[C.DIAGNOSIS].collect()}
+    assert growth == {1: None, 3: 2, 4: 1}  # a later month sees the changed one before it
+    pending = batch._pending_changes(spark, cfg)
+    assert pending.isEmpty()
+
+
+def test_changes_that_gold_has_not_seen_wait(spark, tmp_path, new_table, monkeypatch):
+    cfg = config(tmp_path, new_table)
+    write_raw(spark, cfg, "2025-03-01", [good(1, service_date="2025-01-05")])
+    write_raw(spark, cfg, "2025-03-02", [good(2, service_date="2025-02-05")])
+    write_raw(spark, cfg, "2025-03-03", [good(3, service_date="2025-04-05")])
+    batch.run_batch(spark, cfg, "2025-03-01")
+    batch.load_bronze(spark, cfg, "2025-03-02")
+    batch.load_silver(spark, cfg, "2025-03-02")  # and no gold
+    batch.run_batch(spark, cfg, "2025-03-03")
+    spark.catalog.refreshTable(cfg.name(C.SCORECARD))
+    assert sorted(r["service_month"] for r in spark.table(cfg.name(C.SCORECARD)).collect()) == [1, 2, 4]
+
+
+def test_a_refresh_reads_only_its_months(spark, tmp_path, new_table):
+    from claimworks.operators import tables
+    cfg = config(tmp_path, new_table)
+    write_raw(spark, cfg, "2025-03-01", [good(i, service_date=f"2025-0{i}-05") for i in range(1, 5)])
+    batch.run_batch(spark, cfg, "2025-03-01")
+    claims = spark.table(cfg.name(C.SILVER)).filter("is_valid")
+    some = claims.filter(tables.in_partitions(["service_year", "service_month"], [{"service_year": 2025, "service_month": 2}]))
+    assert len(claims.inputFiles()) == 4 and len(some.inputFiles()) == 1

@@ -154,3 +154,23 @@ def test_views_over_catalog_tables(spark, silver, new_table):
     views.register_views(spark, f"{prefix}_")
     assert spark.table("vw_exec_claims_dashboard").count() == 2
     assert spark.table("vw_diagnosis_mom_trend").count() == 3
+
+
+def test_amounts_of_any_size_add_up_and_average(spark):
+    from claimworks.functions import amount_mean, amount_sum
+    rows = [("a", 0.1), ("a", 0.2), ("a", 1e17), ("b", 2e19), ("b", 2e19), ("b", 0.5), ("c", 1e300), ("c", 1.0), ("c", 3e25),
+            ("d", None), ("e", -2e19), ("e", 2e19), ("f", 9.999999999999999e27), ("f", 1e28)]
+    got = {r[0]: (r[1], r[2]) for r in spark.createDataFrame(rows, "k string, v double").groupBy("k").agg(
+        amount_sum("v"), amount_mean("v")).collect()}
+    assert got == {"a": (1e17 + 0.3, (1e17 + 0.3) / 3), "b": (4e19, 4e19 / 3), "c": (1e300, 1e300 / 3), "d": (None, None),
+                   "e": (0.0, 0.0), "f": (9.999999999999999e27 + 1e28, (9.999999999999999e27 + 1e28) / 2)}
+
+
+def test_monthly_trending_of_some_months_is_part_of_the_whole(spark):
+    from test_scale import claims
+
+    from claimworks.plans.gold import diagnosis_growth, diagnosis_monthly, diagnosis_trending
+    df = claims(spark, 900)
+    parts = [diagnosis_monthly(df.filter(test)) for test in ("service_month <= 3", "service_month > 3")]
+    joined = diagnosis_growth(parts[0].unionByName(parts[1])).drop("gold_updated_at")
+    assert sorted(map(str, joined.collect())) == sorted(map(str, diagnosis_trending(df).drop("gold_updated_at").collect()))
