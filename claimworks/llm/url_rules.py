@@ -34,6 +34,8 @@ LISTED = (
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 )
+#: Fixed: characters of a name that a name server can hold. A longer host is in no domain but itself.
+LONGEST_NAME = 253
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -50,8 +52,9 @@ def tokens(url) -> F.Column:
     """Distinct tokens of a url, in a fixed order."""
     h, p = host(url), path(url)
     labels = F.split(h, r"\.")
-    domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat(
+    every = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat(
         F.lit("domain:"), F.array_join(F.slice(labels, -i, i), ".")))
+    domains = F.when(F.length(h) <= LONGEST_NAME, every).otherwise(F.array(F.concat(F.lit("domain:"), h)))
     hosts = F.concat(F.transform(labels, lambda x: F.concat(F.lit("host:"), x)), domains)
     paths = F.transform(F.filter(F.split(p, "/"), lambda x: x != ""), lambda x: F.concat(F.lit("path:"), x))
     ending = F.array(F.concat(F.lit("ending:"), F.regexp_extract(p, r"\.([A-Za-z0-9]{1,8})\z", 1)))
@@ -147,7 +150,9 @@ def judge(pages: DataFrame, labels: DataFrame, key: str = "page_id", url: str =
     plain = pages.select(F.col(key), F.col(url).alias("url"))
     known = labels.select(F.col(key).alias("__key"), "blocked").filter("__key IS NOT NULL AND blocked IS NOT NULL")
     rules = mine(plain.join(known, F.col(key) == F.col("__key")).select("url", "blocked"), **fit)
-    urls = plain.select("url").filter(F.instr("url", "://") > 0).distinct()
+    # As many tasks as the session shuffles into: urls are small until their tokens are exploded.
+    tasks = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    urls = plain.select("url").filter(F.instr("url", "://") > 0).repartition(tasks, "url").distinct()
     found = matches(urls, inverted_index(rules, urls)).withColumnRenamed("url", "__url")
     h, p = host(F.col("url")), path(F.col("url"))
     verdict = F.coalesce(F.col("listed.verdict"), F.when(F.col("rule_tokens").isNotNull(), "block").otherwise("allow"))
