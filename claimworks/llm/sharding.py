@@ -8,13 +8,17 @@ them at once; only the prefixes still too large go to the next pass, with the ne
 The directory is a table of prefixes (one per shard), never a list on the driver.
 
 Bytes are added up before the shuffle, and rows of one key spread by their second word, so no hot
-key lands in one task. A single row larger than the limit has a shard of its own; ``fits`` is
+key lands in one task; prefixes too short for any shard, which hold many leaves each, are left out of
+the join that finds a leaf's shard. ``keep`` carries columns of the rows along, so that rows of equal
+keys can be told apart, and ``write_shards`` writes a folder per shard. A single row larger than the limit has a shard of its own; ``fits`` is
 false there. Defined results: a null value has no bytes; null keys share one address and are split
-by row; an empty table has no shards. Only the key and the sized columns are read.
+by row; an empty table has no shards. Only the key, the sized and the kept columns are read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,12 +32,13 @@ def _word(column) -> F.Column:
     return F.conv(F.substring(F.md5(column.cast("string").cast("binary")), 1, BITS // 4), 16, 10).cast("long")
 
 
-def addresses(rows: DataFrame, key: str, sized: list[str]) -> DataFrame:
-    """``row_id, key, n_bytes, w0, w1``: one narrow row each."""
+def addresses(rows: DataFrame, key: str, sized: list[str], keep: Sequence[str] = ()) -> DataFrame:
+    """``row_id, key, n_bytes, w0, w1`` and, in a struct, what is kept: one row each."""
     size = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)).cast("long") for c in sized), F.lit(0))
     return rows.select(F.monotonically_increasing_id().alias("row_id"), F.col(key).alias("key"),
                        size.cast("long").alias("n_bytes"),
-                       _word(F.coalesce(F.col(key).cast("string"), F.lit("null"))).alias("w0")) \
+                       _word(F.coalesce(F.col(key).cast("string"), F.lit("null"))).alias("w0"),
+                       *([F.struct(*keep).alias("kept")] if keep else [])) \
         .withColumn("w1", _word(F.col("row_id")))
 
 
@@ -56,9 +61,10 @@ def directory(addressed: DataFrame, limit: int, step: int) -> tuple[DataFrame, i
         levels = leaves.withColumn("depth", F.explode(every))
         sums = levels.groupBy("depth", F.substring("leaf", F.lit(1), F.col("depth")).alias("of")).agg(
             F.sum("bytes").alias("bytes"), F.sum("n").alias("n"))
-        fits = sums.filter((F.col("bytes") <= limit) | (F.col("n") == 1)).select("depth", "of")
-        settled = levels.select("leaf", "depth", F.substring("leaf", F.lit(1), F.col("depth")).alias("of")) \
-            .join(fits, ["depth", "of"]).groupBy("leaf").agg(F.min("depth").alias("depth"))
+        fits = written(sums.filter((F.col("bytes") <= limit) | (F.col("n") == 1)).select("depth", "of"), "fitting")
+        shortest = fits.agg(F.min("depth")).first()[0]
+        settled = levels.filter(F.col("depth") >= F.lit(depth if shortest is None else shortest)) \
+            .select("leaf", "depth", F.substring("leaf", F.lit(1), F.col("depth")).alias("of")).join(fits, ["depth", "of"]).groupBy("leaf").agg(F.min("depth").alias("depth"))
         found = written(leaves.select("leaf").join(settled, "leaf", "left"), "directory")
         open_leaves = found.filter("depth IS NULL").select("leaf")
         here = found.filter("depth IS NOT NULL").withColumn("bits", F.lit(depth))
@@ -66,12 +72,13 @@ def directory(addressed: DataFrame, limit: int, step: int) -> tuple[DataFrame, i
         if depth == 2 * BITS or open_leaves.isEmpty():
             return done.unionByName(open_leaves.select("leaf", F.lit(depth).alias("depth"),
                                                        F.lit(depth).alias("bits"))), depth
-        rest = rest.withColumn("leaf", prefix(F.lit(depth))).join(open_leaves, "leaf", "left_semi").drop("leaf")
+        rest = rest.drop("kept").withColumn("leaf", prefix(F.lit(depth))).join(open_leaves, "leaf", "left_semi").drop("leaf")
 
 
-def assign(rows: DataFrame, key: str, sized: list[str], limit: int, step: int = 20) -> DataFrame:
-    """``key, n_bytes, shard, depth, shard_bytes, fits`` per row; the shard is its prefix."""
-    addressed = written(addresses(rows, key, sized), "addresses")
+def assign(rows: DataFrame, key: str, sized: list[str], limit: int, step: int = 20, keep: Sequence[str] = ()) -> DataFrame:
+    """``key, n_bytes, shard, depth, shard_bytes, fits`` per row, and the columns to ``keep``; the shard
+    is its prefix."""
+    addressed = written(addresses(rows, key, sized, keep), "addresses")
     found, deepest = directory(addressed, limit, step)
     lengths = [*range(step, deepest, step), deepest]
     parts = []
@@ -81,8 +88,15 @@ def assign(rows: DataFrame, key: str, sized: list[str], limit: int, step: int =
     placed = parts[0]
     for p in parts[1:]:
         placed = placed.unionByName(p)
-    placed = placed.withColumn("shard", prefix(F.col("depth"))).select("key", "n_bytes", "shard", "depth")
+    kept = ["kept"] if keep else []
+    placed = placed.withColumn("shard", prefix(F.col("depth"))).select("key", "n_bytes", "shard", "depth", *kept)
     sizes = placed.groupBy("shard").agg(F.sum("n_bytes").alias("shard_bytes"))
     return (placed.join(sizes, "shard")
             .select(F.col("key").alias(key), "n_bytes", "shard", "depth", "shard_bytes",
-                    (F.col("shard_bytes") <= limit).alias("fits")))
+                    (F.col("shard_bytes") <= limit).alias("fits"), *[F.col(f"kept.`{c}`").alias(c) for c in keep]))
+
+
+def write_shards(assigned: DataFrame, path: str) -> None:
+    """A folder per shard, ``shard=<prefix>``; a shard is small enough for one file, whatever else its
+    task writes. Prefixes are text: read them back with a schema."""
+    assigned.repartition("shard").write.partitionBy("shard").parquet(path)
