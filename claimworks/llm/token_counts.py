@@ -3,9 +3,10 @@
 1. Every distinct pre-token of the corpus goes to the tokenizer once, which gives a table of
    pre-token and number of pieces, with the number of batches it was seen in.
 2. Each document is cut into pre-tokens again and their frequencies are joined with that table.
-   The pre-tokens seen most often (at most ``head`` of them, each at most ``HEAD_BYTES`` long, so
-   at most 16 MB) are added up where the document is read, and only the frequencies of the rare
-   rest are shuffled; no key of that shuffle is hot, since hot ones are in the head.
+   The pre-tokens seen most often (at most ``head`` of them; one of more than ``HEAD_BYTES`` goes by
+   the name of its digest, so at most 16 MB) are added up where the document is read, and only the
+   frequencies of the rare rest are shuffled; no key of that shuffle is hot, since hot ones are in
+   the head, a line of dashes in every document too.
 
 Defined results: a null or empty text has no bytes and no tokens; null and repeated keys give one
 row per input row; an empty table gives an empty result. Only key and text are read.
@@ -13,6 +14,7 @@ row per input row; an empty table gives an empty result. Only key and text are r
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 
 import pyarrow as pa
@@ -56,25 +58,33 @@ def pre_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     return found.groupBy("part").agg(F.sum("seen").alias("seen"))
 
 
+def name_of(part: str) -> str:
+    """A pre-token, or the name of a long one. No pre-token has letters and digits in one, as these names do."""
+    if len(part) * 4 <= HEAD_BYTES or len(raw := part.encode("utf-8", "replace")) <= HEAD_BYTES:
+        return part
+    return f"sha256:{hashlib.sha256(raw).hexdigest()}"
+
+
 def _frame(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
 def piece_table(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``part, seen, pieces``: the tokenizer's pieces per distinct pre-token."""
+    """``part, seen, pieces``: the tokenizer's pieces per name of a distinct pre-token."""
     def count(batches):
         tokenizer = tokenizer_at(path)
         special = special_strings(tokenizer)
         for batch in batches:
-            pieces = [count_pieces(p, tokenizer, special) for p in batch.column(0).to_pylist()]
-            yield _frame(part=batch.column(0), seen=batch.column(1), pieces=pa.array(pieces, pa.int64()))
+            parts = batch.column(0).to_pylist()
+            pieces = [count_pieces(p, tokenizer, special) for p in parts]
+            yield _frame(part=pa.array(map(name_of, parts), pa.string()), seen=batch.column(1), pieces=pa.array(pieces, pa.int64()))
 
     return pre_tokens(docs, path, text).mapInArrow(count, "part string, seen long, pieces long")
 
 
 def most_seen(pieces: DataFrame, head: int) -> dict[str, int]:
     """At most ``head`` pre-tokens: all those seen at least 2^b times, for the least b that fits."""
-    short = pieces.filter((F.octet_length("part") <= HEAD_BYTES) & (F.col("seen") > 1))
+    short = pieces.filter(F.col("seen") > 1)
     power = F.floor(F.log2(F.col("seen"))).cast("int").alias("b")
     least, total = None, 0
     for b, n in sorted(short.groupBy(power).count().collect(), reverse=True):
@@ -100,6 +110,7 @@ def token_counts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
             for row, doc, body in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 body, total = body or "", 0
                 for p, n in Counter(_parts(body, tokenizer)).items():
+                    p = name_of(p)
                     each = get(p)
                     if each is None:
                         owner.append(row)
