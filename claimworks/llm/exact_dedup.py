@@ -185,6 +185,9 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rows = written(digests(docs, key, text), "rows")
     found = winners(rows, earlier_half(rows)).select(
         F.col("digest").alias("__digest"), F.when(F.col("keyed") == 1, F.col("key")).alias("__key"))
-    mine = docs.withColumns({"__d": digest_of(F.col(text)), "__k": F.col(key).cast("long")})
-    return (mine.join(found, F.col("__d").eqNullSafe(F.col("__digest")) & F.col("__k").eqNullSafe(F.col("__key")))
-            .dropDuplicates(["__digest", "__key"]).select(*docs.columns))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))  # in a struct, no name of the input can clash
+    mine = docs.select(row.alias("__row"), digest_of(F.col(text)).alias("__d"), F.col(key).cast("long").alias("__k"))
+    met = mine.join(found, F.col("__d").eqNullSafe(F.col("__digest")) & F.col("__k").eqNullSafe(F.col("__key")))
+    # Of rows with equal text and key the one whose other columns hash least stays, in every run.
+    first = met.groupBy("__digest", "__key").agg(F.min_by("__row", F.xxhash64("__row")).alias("__row"))
+    return first.select("__row.*")

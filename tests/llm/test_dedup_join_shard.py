@@ -142,3 +142,19 @@ def test_sharding(edge, limit, step):
 
 def test_sharding_of_nothing(empty):
     assert sharding.assign(empty, "doc_id", ["text"], 10).count() == 0
+
+
+def test_shards_are_written_with_their_rows(edge, tmp_path):
+    keep = ["doc_id", "text", "lang", "depth_"]
+    rows = edge.withColumn("depth_", F.lit(9)).withColumn("row id", F.col("source"))
+    placed = sharding.assign(rows, "doc_id", ["text"], 3000, keep=["text", "lang", "depth_", "row id"])
+    assert Counter((r.doc_id, r.text, r.lang) for r in placed.collect()) == Counter((r[0], r[1], r[2]) for r in edge_rows())
+    path = str(tmp_path / "shards")
+    sharding.write_shards(placed, path)
+    back = edge.sparkSession.read.schema(placed.schema).parquet(path)
+    sizes = Counter()
+    for r in back.collect():
+        sizes[r.shard] += len((r.text or "").encode())
+    assert sum(sizes.values()) == sum(len((t or "").encode()) for _, t, *_ in edge_rows())
+    singles = Counter(r.shard for r in back.collect())
+    assert all(n <= 3000 or singles[s] == 1 for s, n in sizes.items()) and keep

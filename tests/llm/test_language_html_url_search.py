@@ -305,6 +305,21 @@ def test_listed_rules(llm):
     assert {r.mined for r in url_rules.judge(pages, labels.limit(0)).collect()} == {None}
 
 
+def test_long_hosts_and_paths_take_no_longer_than_their_length(llm):
+    long_host = ".".join("abcdefghij"[i % 10] for i in range(100_000))
+    rows = [(1, f"http://{long_host}/x"), (2, "http://h.org/" + "p/" * 50_000), (3, "http://h.org/?" + "a=1&" * 50_000),
+            (4, f"http://{'a.' * 120}com/fr/"), (5, f"http://{'a' * 300}.org/y")]
+    pages = llm.createDataFrame(rows, "page_id long, url string")
+    labels = llm.createDataFrame([(i, i < 3) for i in range(6)], "page_id long, blocked boolean")
+    start = time.time()
+    got = {r.page_id: r for r in url_rules.judge(pages, labels).collect()}
+    assert time.time() - start < 60 and len(got) == 5
+    assert [got[i].rule for i in range(1, 6)] == [None, "org/", "org/", "com/fr/", "org/"]
+    have = {r.page_id: r.t for r in pages.select("page_id", url_rules.tokens(F.col("url")).alias("t")).collect()}
+    assert [t for t in have[1] if t.startswith("domain:")] == [f"domain:{long_host}"]
+    assert sum(t.startswith("domain:") for t in have[4]) == 121
+
+
 def test_mined_rules_match_brute_force(llm):
     rows = [(i, f"http://s{i % 7}.net/{'win' if i % 5 == 0 else 'read'}/{'now' if i % 2 else 'old'}/{i}") for i in range(210)]
     pages = llm.createDataFrame(rows, "page_id long, url string")

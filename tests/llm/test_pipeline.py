@@ -64,3 +64,24 @@ def test_lettered_texts_in_no_language_go(llm):
     docs = llm.createDataFrame(rows + bad, DOCS)
     kept = corpus_pipeline.STAGES[0][1](llm, docs, "").collect()
     assert Counter(map(tuple, kept)) == Counter(rows)
+
+
+def test_stages_with_clashing_columns_null_and_shared_ids(llm):
+    rows = fixture_rows() + [(None, prose(3, 70), "en", "s", 0), (None, prose(3, 70), "en", "s", 1), (None, prose(4, 80), "en", None, 2),
+                             (7, prose(900, 60), "en", "s", 0), (7, prose(901, 60), "en", "s", 1), (8, prose(902, 60), "en", "z", 1),
+                             (8, prose(902, 60), "en", "y", 0)]
+    names = "__d __k __key __digest __row __kept row kept key digest owner component_id n_shingles ids start score row_id".split()
+    docs = llm.createDataFrame(rows, DOCS).repartition(4)
+    odd = docs.withColumns({n: F.concat(F.lit(n), "source") for n in names})
+    columns = odd.columns
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        docs, odd = written(stage(llm, docs, ""), name), written(stage(llm, odd, ""), name)
+        assert odd.columns == columns, name
+        assert Counter(map(tuple, odd.select("doc_id", "text").collect())) == Counter(
+            map(tuple, docs.select("doc_id", "text").collect())), name
+        assert all(r["__d"] == "__d" + r.source for r in odd.collect() if r.source)  # each row with its own columns
+    kept = docs.collect()
+    assert [r.source for r in kept if r.doc_id == 8 and r.text == prose(902, 60)] in (["z"], ["y"])  # one of them, the same in every run
+    assert sum(r.doc_id is None and r.text == prose(3, 70) for r in kept) <= 1
+    pieces = corpus_pipeline.STAGES[3][1](llm, odd, "")
+    assert pieces.filter("start = 0").count() == len(kept)

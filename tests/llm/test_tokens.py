@@ -158,3 +158,16 @@ def test_each_occurrence_is_cut_by_its_own_key():
                          for p in coder.vocabulary.parts(u.replace(" ", "\u2581"))]
                 assert len(keys[0]) == len(parts)
                 assert got == b"".join(ids_of(segment(p, rank, int(k), limit)) for p, k in zip(parts, keys[0]))
+
+
+def test_long_pre_tokens_go_by_name(llm):
+    dashes, other = "-" * 3000, "=" * 700
+    rows = [(i, f"{dashes} {'word ' * (i % 5)}{other * (i % 2)}") for i in range(60)] + [(99, "\u4e2d" * 400)]
+    docs = llm.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    library = Tokenizer.from_file(BYTE)
+    want = {d: len(library.encode(t, add_special_tokens=False).ids) for d, t in rows}
+    for head in (token_counts.HEAD, 0):
+        assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs, BYTE, head=head).collect()} == want
+    held = token_counts.most_seen(token_counts.piece_table(docs, BYTE), 1000)
+    assert token_counts.name_of(" " + dashes) not in (" " + dashes,) and all(len(k.encode()) <= 256 for k in held)
+    assert token_counts.name_of(dashes) in held
