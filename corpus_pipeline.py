@@ -27,23 +27,27 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the largest id stays."""
+    """Of equal texts the one with the largest id stays; a null id is less than any, a null text equals an
+    empty one, and of rows that share text and id one stays. No rows give no rows."""
     ready(spark)
     return exact_dedup.without_repeats(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of a group of near copies (five words, 0.8) the one with the smallest id stays. Rows that
-    share an id stay or go together; a group whose ids are all null stays whole."""
+    share an id stay or go together; a group whose ids are all null stays whole, and so do texts
+    without words. No rows give no rows."""
     ready(spark)
     found = ngram_join.ngram_join(docs)
     kept = found.filter(F.col("component_id").eqNullSafe(F.col("doc_id")) | F.col("component_id").isNull())
-    kept = kept.select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    kept = kept.select(F.col("doc_id").alias("kept")).distinct()
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))  # in a struct, no name of the input can clash
+    return rows.join(kept, F.col("row.doc_id").eqNullSafe(F.col("kept")), "left_semi").select("row.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of 2048 ids."""
+    """Pieces of sequences of 2048 ids. A null or empty text is its end id; null and shared ids are packed
+    like others; no rows give no pieces."""
     ready(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
