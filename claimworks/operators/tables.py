@@ -166,7 +166,7 @@ def upsert(
     says that no key occurs twice in the source, which is checked otherwise. ``stale`` is a test
     on target rows that must not outlive this upsert: those for which it holds and whose key the
     source lacks are removed, for example rows an earlier run of the same batch had written.
-    ``cluster_by`` sorts rows as ``cluster`` does. ``announce`` is told the partitions, those of a
+    ``cluster_by`` sorts rows as ``cluster`` does, interleaved. ``announce`` is told the partitions, those of a
     new table too, before the first one changes.
 
     Plain files have no row-level update, so partitions are rewritten, and only those that hold
@@ -183,11 +183,11 @@ def upsert(
     if not table_exists(spark, name):
         if announce and partition_by:
             announce([row.asDict() for row in source.select(*partition_by).distinct().collect()])
-        rows = _sorted(source, partition_by, cluster_by) if cluster_by else source
+        rows = _sorted(source, partition_by, cluster_by, first=interleaved(source, cluster_by)) if cluster_by else source
         create(rows, name, partition_by, location, rebalance=not cluster_by)
         return []
     spark.catalog.refreshTable(name)  # another session may have rewritten files
-    source = _align(source, name)
+    source = given = _align(source, name)
     target = spark.table(name)
     parts = partition_columns(spark, name)
 
@@ -216,7 +216,8 @@ def upsert(
         kept = kept.filter(~F.coalesce(stale, F.lit(False)))
     rows = kept.unionByName(source)
     if parts:
-        rows = _sorted(rows, parts, cluster_by) if cluster_by else rows.hint("rebalance", *parts)
+        turns = interleaved(given, cluster_by) if cluster_by else None
+        rows = _sorted(rows, parts, cluster_by, first=turns) if cluster_by else rows.hint("rebalance", *parts)
     _switch(rows, name, touched)
     release(looked_up)
     return touched
@@ -408,21 +409,50 @@ def cluster(
     by: Sequence[str],
     where: Sequence[dict] = (),
     num_ranges: int | None = None,
+    interleave: bool = False,
 ) -> None:
     """Rewrite with rows sorted by ``by``, so file and page statistics prune on those columns.
 
     Rows are ranged over the partition columns first: one hot partition is cut into many ranges
-    and a file holds few partitions. A linear sort: it helps most on the first column.
+    and a file holds few partitions. A linear sort helps most on the first column; ``interleave``
+    makes statistics prune on each of them.
     """
-    _rewrite(spark, name, where, lambda df, parts: _sorted(df, parts, by, num_ranges))
+    def arrange(df: DataFrame, parts: list[str]) -> DataFrame:
+        return _sorted(df, parts, by, num_ranges, interleaved(df, by) if interleave else None)
 
+    _rewrite(spark, name, where, arrange)
 
-def _sorted(df: DataFrame, parts: Sequence[str], by: Sequence[str], num_ranges: int | None = None) -> DataFrame:
-    order = [*parts, *[c for c in by if c not in parts]]
+
+def _sorted(df: DataFrame, parts: Sequence[str], by: Sequence[str], num_ranges: int | None = None,
+            first: Column | None = None) -> DataFrame:
+    order = [*parts, *([first] if first is not None else []), *[c for c in by if c not in parts]]
     ranged = df.repartitionByRange(num_ranges, *order) if num_ranges else df.repartitionByRange(*order)
     return ranged.sortWithinPartitions(*order)
 
 
+#: Rows a column's ranges are taken from, at any size of the table, and bits of a range's number.
+RANGE_SAMPLE, RANGE_BITS = 20_000, 4
+
+
+def interleaved(df: DataFrame, by: Sequence[str], bits: int = RANGE_BITS, sample: int = RANGE_SAMPLE) -> Column:
+    """A sort key in which the columns take turns, bit by bit.
+
+    Each column counts by the range its value falls into. Ranges hold about equally many rows and
+    are taken from a sample of bounded size, which decides on the layout and on no result.
+    """
+    rows = df.select(*by)
+    picked = rows.sample(fraction=min(1.0, 2 * sample / max(1, rows.count())), seed=7).limit(sample).collect()
+    ranks = []
+    for c in by:
+        values = sorted(row[c] for row in picked if row[c] is not None)
+        bounds = dict.fromkeys(values[len(values) * i >> bits] for i in range(1, 1 << bits)) if values else {}
+        above = [F.coalesce(F.col(c) >= F.lit(b), F.lit(False)).cast("int") for b in bounds]
+        ranks.append(sum(above[1:], above[0]) if above else F.lit(0))
+    turns = [F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)).cast("long"), bit * len(by) + len(by) - 1 - i)
+             for bit in range(bits) for i, rank in enumerate(ranks)]
+    return sum(turns[1:], turns[0])
+
+
 def _rewrite(spark: SparkSession, name: str, where: Sequence[dict], arrange) -> None:
     parts = partition_columns(spark, name)
     for partition in where:

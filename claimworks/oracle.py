@@ -420,6 +420,12 @@ ORACLE: dict[str, str] = {
     "view_exec_exact_members": f"""WITH {TO_VALID} SELECT service_date AS report_date, payer_id, line_of_business,
       count(claim_id) AS total_claims, count(DISTINCT member_id) AS unique_members_exact,
       {total('paid_amount')} / count(paid_amount) AS avg_paid_per_claim_exact FROM valid GROUP BY ALL""",
+    "view_exec_sketched": f"""WITH {TO_VALID} SELECT service_date AS report_date, payer_id, line_of_business, count(claim_id) AS total_claims,
+      count(DISTINCT member_id) AS unique_members, count(DISTINCT provider_npi) AS unique_providers,
+      true AS members_close, true AS providers_close, true AS median_close FROM valid GROUP BY ALL""",
+    "cluster_interleaved": f"WITH {TO_VALID} SELECT {_SILVER_PART} FROM valid",
+    "row_access_by_role": f"""WITH {TO_VALID}, {kpi()} SELECT 'payer' AS role, {_KPI_BY_PAYER} FROM kpi WHERE payer_id = 'PYR002'
+      UNION ALL SELECT 'admin', {_KPI_BY_PAYER} FROM kpi""",
     "view_provider_tier": f"""WITH {TO_VALID}, {SCORECARD}
       SELECT provider_npi, service_year, max(provider_tier) AS current_tier, sum(total_claims)::BIGINT AS ytd_claims,
         sum(patients_served)::BIGINT AS ytd_patients, {total('total_paid')} AS ytd_paid,

@@ -92,6 +92,21 @@ def daily_kpi(
     )
 
 
+#: Registers of a distinct-count sketch, as a power of two: its standard error is 1.04 / sqrt(2^12).
+SKETCH_BITS = 12
+
+
+def kpi_sketches(claims: DataFrame, report_date: Column | str = "silver_updated_at") -> DataFrame:
+    """The groups of the daily KPI with mergeable sketches of their members, providers and amounts paid,
+    which add up over groups as distinct counts and medians do not."""
+    day = F.to_date(F.col(report_date) if isinstance(report_date, str) else report_date)
+    return claims.groupBy(day.alias("report_date"), "payer_id", "claim_status", "line_of_business", "network_flag").agg(
+        F.count("claim_id").alias("claim_count"),
+        F.hll_sketch_agg("member_id", SKETCH_BITS).alias("members_sketch"),
+        F.hll_sketch_agg("provider_npi", SKETCH_BITS).alias("providers_sketch"),
+        F.kll_sketch_agg_double("paid_amount").alias("paid_sketch"))
+
+
 def provider_scorecard(claims: DataFrame, run_ts: datetime | None = None) -> DataFrame:
     """Claims per provider, month of service and payer, with a tier by denial rate."""
     keys = ["provider_npi", "service_year", "service_month", "payer_id"]

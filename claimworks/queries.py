@@ -381,6 +381,35 @@ def view_exec_exact_members(spark, sf):
     return views.exec_exact(_valid(spark, sf), "service_date")
 
 
+@query
+def view_exec_sketched(spark, sf):
+    """Distinct members and providers united from sketches, beside the exact ones, and whether they are
+    within four standard errors and one, and the median within three percent of the ranks."""
+    claims = tables.staged(_valid(spark, sf).select(*gold.KPI_COLUMNS, "service_date"))
+    approx = views.exec_sketched(gold.kpi_sketches(claims, "service_date"))
+    keys = ["report_date", "payer_id", "line_of_business"]
+    exact = claims.groupBy(F.col("service_date").alias("report_date"), *keys[1:]).agg(
+        F.count_distinct("member_id").alias("unique_members"), F.count_distinct("provider_npi").alias("unique_providers"),
+        F.expr("percentile_disc(0.47) WITHIN GROUP (ORDER BY paid_amount)").alias("low"),
+        F.expr("percentile_disc(0.53) WITHIN GROUP (ORDER BY paid_amount)").alias("high"))
+    off = 4 * 1.04 / 2 ** (gold.SKETCH_BITS / 2)
+
+    def close(column: str) -> F.Column:
+        return F.abs(F.col(f"{column}_approx") - F.col(column)) <= F.col(column) * off + 1
+
+    return approx.join(exact, keys).select(
+        *keys, "total_claims", "unique_members", "unique_providers",
+        close("unique_members").alias("members_close"), close("unique_providers").alias("providers_close"),
+        F.coalesce(F.col("median_paid_approx").between(F.col("low"), F.col("high")), F.col("low").isNull()).alias("median_close"))
+
+
+@query
+def cluster_interleaved(spark, sf):
+    by = ["payer_id", "service_date", "claim_status", "member_id"]
+    return _written(_silver_part(spark, sf), "interleaved", ["service_year", "service_month"],
+                    lambda name: tables.cluster(spark, name, by, interleave=True))
+
+
 @query
 def view_provider_tier(spark, sf):
     return views.provider_tier_summary(gold.provider_scorecard(_valid(spark, sf)))
@@ -672,6 +701,20 @@ def restrict_admin(spark, sf):
         "payer_id", "claim_status", "line_of_business", "network_flag", "claim_count")
 
 
+@query
+def row_access_by_role(spark, sf):
+    """What a payer, an administrator and a caller without a payer read through the row function."""
+    view, function = f"kpi_{uuid.uuid4().hex}", f"my_kpi_{uuid.uuid4().hex}"
+    tables.staged(_kpi(spark, sf)).createOrReplaceTempView(view)
+    access.row_function(spark, view, function)
+    seen = None
+    for role, payer, is_admin in (("payer", "PYR002", False), ("admin", None, True), ("nobody", None, False)):
+        access.set_caller(spark, payer, is_admin)
+        rows = spark.sql(f"SELECT '{role}' AS role, payer_id, claim_status, line_of_business, network_flag, claim_count FROM {function}()")
+        seen = rows if seen is None else seen.unionByName(rows)
+    return seen
+
+
 @query
 def mask_ids(spark, sf):
     pattern = _claims(spark, sf, "member_id", "provider_npi")

@@ -101,3 +101,27 @@ def test_masks(spark):
         access.mask_columns(df, method="hash")
     with pytest.raises(ValueError):
         access.mask_columns(df, method="none")
+
+
+def test_row_function_shows_the_callers_rows(spark):
+    spark.createDataFrame([("A", 1), ("B", 2), (None, 3)], "payer_id string, n int").createOrReplaceTempView("held_rows")
+    access.row_function(spark, "held_rows", "my_rows")
+
+    def seen(*caller, **options):
+        access.set_caller(spark, *caller, **options)
+        return sorted(r["n"] for r in spark.sql("SELECT * FROM my_rows()").collect())
+
+    assert spark.sql("SELECT * FROM my_rows()").isEmpty()
+    assert [seen("A"), seen("B"), seen("C"), seen(None)] == [[1], [2], [], []]
+    assert seen(is_admin=True) == [1, 2, 3] and seen("' OR true --") == []
+    access.row_function(spark, "held_rows", "my_rows")  # again, for the caller that is set
+    assert seen("B") == [2]
+
+
+def test_check_rows_with_freshness(spark):
+    rows = list(MEASURES.items())
+    judged = checks.verdict(spark.createDataFrame(rows, "measure string, n bigint"))
+    ages = spark.createDataFrame([("a", 12.5), ("empty", 9999.0), ("gone", -1.0)], "table_name string, age_minutes double")
+    got = {r["check"]: (r["value"], r["passed"]) for r in checks.check_rows(judged, ages).collect()}
+    assert got["freshness_a"] == (12.5, True) and got["freshness_empty"] == (9999.0, False) and got["freshness_gone"] == (-1.0, False)
+    assert len(got) == 8

@@ -251,6 +251,37 @@ def test_upsert_can_cluster_while_it_writes(spark, new_table):
     assert spark.table(name).count() == 600
 
 
+def test_interleaved_rows_are_skipped_by_each_column(spark, new_table):
+    """Files that a test on one value has to read, by the statistics of the files."""
+    import pyarrow.parquet as pq
+    i = F.col("id")
+    rows = spark.range(16_384).select((i * 7919 % 61).cast("int").alias("a"), F.concat(F.lit("s"), F.lpad((i * 104_729 % 53).cast("string"), 2, "0")).alias("b"),
+                                      F.date_add(F.lit("2025-01-01").cast("date"), (i * 31 % 47).cast("int")).alias("c"), i.alias("v"))
+
+    def read(interleave):
+        name, location = new_table()
+        tables.create(rows, name, location=location)
+        tables.cluster(spark, name, ["a", "b", "c"], num_ranges=64, interleave=interleave)
+        assert sorted(map(tuple, spark.table(name).collect())) == sorted(map(tuple, rows.collect()))
+        spans = [{c: pq.read_metadata(f.removeprefix("file://")).row_group(0).column(at).statistics for at, c in enumerate("abc")}
+                 for f in spark.table(name).inputFiles()]
+        wanted = {"a": 30, "b": "s25", "c": date(2025, 1, 24)}
+        return {c: sum(s[c].min <= v <= s[c].max for s in spans) for c, v in wanted.items()}, len(spans)
+
+    linear, files = read(False)
+    turns, _ = read(True)
+    assert linear["b"] > 0.8 * files and linear["c"] > 0.8 * files
+    assert max(turns.values()) <= 0.6 * files
+
+
+def test_interleaving_copes_with_nulls_and_constants(spark):
+    rows = spark.createDataFrame([(None, 1, "x"), (2, 1, None), (None, 1, None), (1, 1, "y")], "a int, b int, c string")
+    key = tables.interleaved(rows, ["a", "b", "c"])
+    got = rows.select("a", "b", "c", key.alias("k")).collect()
+    assert all(r["k"] is not None for r in got) and len({r["k"] for r in got}) > 1
+    assert rows.limit(0).select(tables.interleaved(rows.limit(0), ["a", "b"])).count() == 0
+
+
 def test_many_partitions_fit_one_condition(spark):
     df = spark.range(3).select(F.col("id").alias("a"), F.col("id").alias("b"), F.col("id").alias("c"))
     rows = [{"a": i, "b": None if i == 1 else i} for i in range(5000)]
