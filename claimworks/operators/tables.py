@@ -155,6 +155,7 @@ def upsert(
     stale: Column | None = None,
     cluster_by: Sequence[str] = (),
     announce: Callable[[list[dict]], None] | None = None,
+    key_buckets: int = 0,
 ) -> list[dict]:
     """Rows with a known key replace the old ones, the others are added.
 
@@ -167,7 +168,9 @@ def upsert(
     on target rows that must not outlive this upsert: those for which it holds and whose key the
     source lacks are removed, for example rows an earlier run of the same batch had written.
     ``cluster_by`` sorts rows as ``cluster`` does, interleaved. ``announce`` is told the partitions, those of a
-    new table too, before the first one changes.
+    new table too, before the first one changes. With ``key_buckets`` old copies are looked for in the
+    partitions that the key index names (``key_index_of``), and the upsert keeps the index; the table
+    must then be changed by such upserts only.
 
     Plain files have no row-level update, so partitions are rewritten, and only those that hold
     a source row or the old copy of one. Old copies are looked up once, in the key, partition and
@@ -183,6 +186,8 @@ def upsert(
     if not table_exists(spark, name):
         if announce and partition_by:
             announce([row.asDict() for row in source.select(*partition_by).distinct().collect()])
+        if key_buckets and partition_by:
+            _index_keys(source, name, keys, partition_by, key_buckets, location)
         rows = _sorted(source, partition_by, cluster_by, first=interleaved(source, cluster_by)) if cluster_by else source
         create(rows, name, partition_by, location, rebalance=not cluster_by)
         return []
@@ -192,7 +197,13 @@ def upsert(
     parts = partition_columns(spark, name)
 
     wanted = dict.fromkeys([*keys, *parts, *([newer_than] if newer_than else [])])
-    looked_up = staged(target.select(*wanted).join(source.select(*keys), keys, "left_semi"))
+    searched = target
+    if key_buckets and parts:
+        if not table_exists(spark, key_index_of(name)):
+            _index_keys(target, name, keys, parts, key_buckets, location)
+        places = indexed(source, name, keys, key_buckets).select(*parts).distinct().collect()
+        searched = target.filter(in_partitions(parts, [row.asDict() for row in places]))
+    looked_up = staged(searched.select(*wanted).join(source.select(*keys), keys, "left_semi"))
     held = looked_up
     if newer_than:
         new = source.select(*keys, F.col(newer_than).alias("_new_version"))
@@ -211,6 +222,8 @@ def upsert(
         target = target.filter(in_partitions(parts, touched))
         if announce:
             announce(touched)
+    if key_buckets and parts:  # before any row moves: an index may name too many places, never too few
+        _index_keys(source, name, keys, parts, key_buckets, location)
     kept = target.join(held.select(*keys), keys, "left_anti")
     if stale is not None:
         kept = kept.filter(~F.coalesce(stale, F.lit(False)))
@@ -223,6 +236,46 @@ def upsert(
     return touched
 
 
+def key_index_of(name: str) -> str:
+    """Name of the key index of a table: keys, the partition each may lie in, and the key's bucket, by
+    which the index is partitioned."""
+    return f"{name}_keys"
+
+
+_BUCKET = "key_bucket"
+
+
+def indexed(source: DataFrame, name: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """The index rows of the keys of ``source``. Only their buckets are read."""
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias(_BUCKET)
+    index = source.sparkSession.table(key_index_of(name))
+    touched = [row.asDict() for row in source.select(bucket).distinct().collect()]
+    return index.filter(in_partitions([_BUCKET], touched)).join(source.select(*keys), list(keys), "left_semi")
+
+
+def _index_keys(rows: DataFrame, name: str, keys: Sequence[str], parts: Sequence[str], buckets: int, location: str | None) -> None:
+    """Add where the keys of ``rows`` lie to the index. What it says already is not written again."""
+    index, spark = key_index_of(name), rows.sparkSession
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias(_BUCKET)
+    places = rows.dropna(subset=list(keys)).select(*dict.fromkeys([*keys, *parts]), bucket)
+    if table_exists(spark, index):
+        spark.catalog.refreshTable(index)
+        known = indexed(rows, name, keys, buckets).select(*[F.col(c).alias(f"_{c}") for c in places.columns])
+        same = F.lit(True)
+        for c in places.columns:
+            same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+        places = places.join(known, same, "left_anti")
+    append(places, index, [_BUCKET], f"{location}_keys" if location else None, rebalance=True)
+
+
+def rebuild_key_index(spark: SparkSession, name: str, keys: Sequence[str], buckets: int) -> None:
+    """The index from the table itself: without places that keys have left, or with other buckets."""
+    where = _folder(spark, key_index_of(name))
+    table, bucket = spark.table(name), F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias(_BUCKET)
+    places = table.dropna(subset=list(keys)).select(*dict.fromkeys([*keys, *partition_columns(spark, name)]), bucket)
+    create(places, key_index_of(name), [_BUCKET], where, mode="overwrite")
+
+
 def _reject_duplicates(source: DataFrame, keys: list[str]) -> None:
     known = source.dropna(subset=keys)
     double = known.groupBy(*keys).count().filter("count > 1").limit(1).collect()

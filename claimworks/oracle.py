@@ -447,6 +447,7 @@ ORACLE: dict[str, str] = {
           ORDER BY claim_count DESC, icd10_code, payer_id)::INT AS rank_by_volume
       FROM trending QUALIFY rank_by_volume <= 50""",
     "upsert_claims": TWO_LOADS,
+    "upsert_claims_indexed": TWO_LOADS,
     "upsert_claims_old_batch": TWO_LOADS,
     "upsert_corrected_batch": TWO_LOADS.replace("FROM checked_a a WHERE is_valid", "FROM checked_a a WHERE is_valid AND payer_id <> 'PYR003'"),
     "upsert_kpi_snapshot": f"""WITH {TO_VALID}, {kpi('service_date')}

@@ -33,7 +33,8 @@ class BatchConfig:
     ``with_stream`` adds the rows of the event table that no batch has taken yet; a batch that runs
     again takes the same rows. Loads with it run one after the other. Of the copies of a claim the last
     loaded wins, then the newest event, then the first by ``order_by``, then by file.
-    ``coverage="distinct"`` judges coverage by distinct claims, so that dropped copies are no loss;
+    ``key_buckets`` is the number of parts of the index of silver keys: one for some ten million claims;
+    0 does without and looks through the keys of all claims. ``coverage="distinct"`` judges coverage by distinct claims, so that dropped copies are no loss;
     ``"rows"`` counts them as one. Tables are compacted and silver is clustered unless ``layout``
     is off.
     """
@@ -48,6 +49,7 @@ class BatchConfig:
     report_date: str = "silver_updated_at"
     layout: bool = True
     order_by: tuple[Column | str, ...] = ()
+    key_buckets: int = 16
     with_stream: bool = False
 
     def name(self, table: str) -> str:
@@ -120,7 +122,7 @@ def load_silver(spark: SparkSession, cfg: BatchConfig, batch_date: str) -> Stage
         newer_than="silver_batch_date", unique=True,
         stale=F.col("silver_batch_date") == F.lit(batch_date).cast("date"),
         cluster_by=_CLUSTER_BY if cfg.layout else (),
-        announce=lambda months: _announce(spark, cfg, batch_date, months))
+        announce=lambda months: _announce(spark, cfg, batch_date, months), key_buckets=cfg.key_buckets)
     removed = bronze.count() - counts["total"]
     tables.release(checked, valid)
     return StageResult("silver", status, {"batch_date": batch_date, **counts, "dupes_removed": removed})

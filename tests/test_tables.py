@@ -296,3 +296,67 @@ def test_upsert_removes_stale_rows(spark, loaded):
     touched = tables.upsert(frame(spark, ("a", 7, 1, 1)), name, ["id"], stale=F.col("version") == 1)
     assert contents(spark, name) == [("a", 7, 1, 1)]
     assert len(touched) == 3
+
+
+def indexed_table(spark, new_table, **options):
+    name, location = new_table()
+    rows = [(f"k{i}", 1, i % 4, 1) for i in range(40)] + [(None, 1, 1, 1)]
+    tables.upsert(frame(spark, *rows), name, ["id"], ["part"], location, key_buckets=8, **options)
+    return name, location
+
+
+def test_upserts_with_a_key_index_give_the_same_table(spark, new_table):
+    steps = [[("k1", 2, 3, 2), ("new", 2, 7, 2), (None, 2, 1, 2)], [("k1", 3, 0, 1), ("k2", 3, 2, 3), ("new", 3, 0, 3)],
+             [("k3", 4, None, 4), ("k4", 4, 9, 4)], [("k3", 5, 1, 5), ("k4", 5, 9, 5)]]
+    plain, location = new_table()
+    rows = [(f"k{i}", 1, i % 4, 1) for i in range(40)] + [(None, 1, 1, 1)]
+    tables.upsert(frame(spark, *rows), plain, ["id"], ["part"], location)
+    name, _ = indexed_table(spark, new_table)
+    for step in steps:
+        for table, buckets in ((plain, 0), (name, 8)):
+            tables.upsert(frame(spark, *step), table, ["id"], newer_than="version", key_buckets=buckets)
+        got, want = (sorted(map(str, spark.table(t).collect())) for t in (name, plain))
+        assert got == want
+    places = {(r["id"], r["part"]) for r in spark.table(tables.key_index_of(name)).collect()}
+    assert places >= {(r["id"], r["part"]) for r in spark.table(name).collect() if r["id"]}
+    tables.rebuild_key_index(spark, name, ["id"], 4)
+    places = [(r["id"], r["part"]) for r in spark.table(tables.key_index_of(name)).collect()]
+    assert sorted(map(str, places)) == sorted(str((r["id"], r["part"])) for r in spark.table(name).collect() if r["id"])
+
+
+def test_old_copies_are_looked_up_in_touched_buckets_and_their_partitions(spark, new_table, monkeypatch):
+    name, _ = indexed_table(spark, new_table)
+    source = frame(spark, ("k5", 2, 9, 2))
+    found = tables.indexed(source, name, ["id"], 8)
+    assert [r["part"] for r in found.collect()] == [1]
+    index_files = [f for f in found.inputFiles() if "_keys" in f]
+    assert len({f.rsplit("/", 2)[1] for f in index_files}) == 1 < len({f.rsplit("/", 2)[1] for f in spark.table(tables.key_index_of(name)).inputFiles()})
+    read, staged = [], tables.staged
+    monkeypatch.setattr(tables, "staged", lambda df: read.extend(df.inputFiles()) or staged(df))
+    tables.upsert(source, name, ["id"], key_buckets=8)
+    assert {f.rsplit("/", 2)[1] for f in read if "part=" in f} == {"part=1"}
+    assert ("k5", 2, 9, 2) in {tuple(r) for r in spark.table(name).select("id", "v", "part", "version").collect()}
+
+
+def test_an_index_written_before_a_crash_names_places_enough(spark, new_table, monkeypatch):
+    name, _ = indexed_table(spark, new_table)
+    source = frame(spark, ("k5", 2, 9, 2), ("new", 2, 3, 2))
+    switch = tables._switch
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(tables, "_switch", dies)
+    with pytest.raises(RuntimeError, match="lost"):
+        tables.upsert(source, name, ["id"], key_buckets=8)
+    monkeypatch.setattr(tables, "_switch", switch)
+    for _ in range(2):
+        tables.upsert(source, name, ["id"], key_buckets=8)
+    rows = [r for r in spark.table(name).collect() if r["id"] in ("k5", "new")]
+    assert sorted((r["id"], r["part"]) for r in rows) == [("k5", 9), ("new", 3)]
+
+
+def test_a_table_without_an_index_gets_one(spark, loaded):
+    name, _ = loaded
+    tables.upsert(frame(spark, ("c", 2, 9, 2)), name, ["id"], key_buckets=4)
+    assert contents(spark, name) == [("a", 1, 1, 1), ("b", 1, 1, 1), ("c", 2, 9, 2), ("d", 1, 3, 1)]
