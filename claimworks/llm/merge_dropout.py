@@ -433,17 +433,17 @@ class Encoder:
         n = self.unit_n[numbers]
         parts, of = _runs(self.unit_at[numbers], n), np.repeat(texts, n)
         # A part's place is counted in its text, from where the chunk before left off.
-        first = np.searchsorted(of, of)
-        places = np.arange(len(of)) - first + done[of]
-        done += np.bincount(of, minlength=len(done))
+        each = np.bincount(of, minlength=len(done))
+        places = np.arange(len(of)) + (done - np.cumsum(each) + each)[of]
+        done += each
         id_at, id_n, pool = self.id_at[parts], self.id_n[parts], self.ids
         keys = self.key(starts[of], places)
         if self.limit:
             n = self.code_n[parts]
             hashes = _ragged(self.code_at[parts], n, self.codes)
             hashes ^= np.repeat(keys, n)
-            hit = np.flatnonzero(_drawn(hashes, self.limit))
-            hit = np.unique(np.searchsorted(np.cumsum(n), hit, "right"))
+            hit = np.searchsorted(np.cumsum(n), np.flatnonzero(_drawn(hashes, self.limit)), "right")
+            hit = hit[np.append(True, hit[1:] != hit[:-1])[:len(hit)]]
             ids, counts, _, _ = self._cut(self.char_at[parts[hit]], self.char_n[parts[hit]], keys[hit])
             id_at[hit], id_n[hit] = len(pool) + np.cumsum(counts) - counts, counts
             pool = np.append(pool, ids)
@@ -471,7 +471,7 @@ def _pieces(text: str) -> Iterator[str]:
 _encoders: dict[tuple, Encoder] = {}
 
 
-_vocabularies: dict[str, list[bytes]] = {}
+_pieces_at: dict[str, Pieces] = {}
 
 
 def encoder(*settings) -> Encoder:
@@ -482,10 +482,20 @@ def encoder(*settings) -> Encoder:
     return _encoders[settings]
 
 
-def text_of(ids: bytes, pieces: list[bytes]) -> str:
-    """The text of ids: the bytes of its pieces, without the space the encoder puts in front."""
-    out = b"".join(map(pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-    return (out[1:] if out[:1] == b" " else out).decode("utf-8", "replace")
+class Pieces:
+    """The bytes of all pieces of a vocabulary, one after the other."""
+
+    def __init__(self, path: str):
+        pieces = Vocabulary(path).bytes_of
+        self.n = np.array(list(map(len, pieces)), np.int64)
+        self.at, self.pool = np.cumsum(self.n) - self.n, np.frombuffer(b"".join(pieces), np.uint8)
+
+    def text_of(self, ids: bytes) -> str:
+        """The text of ids: the bytes of its pieces, without the space the encoder puts in front."""
+        numbers = np.frombuffer(ids, "<u4")
+        parts = (numbers[i:i + _CHARS] for i in range(0, len(numbers), _CHARS))
+        out = b"".join(_ragged(self.at[p], self.n[p], self.pool).tobytes() for p in parts)
+        return (out[1:] if out[:1] == b" " else out).decode("utf-8", "replace")
 
 
 def _slices(batches):
@@ -517,11 +527,11 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     schema = encoded.schema
 
     def run(batches):
-        if path not in _vocabularies:
-            _vocabularies[path] = Vocabulary(path).bytes_of
+        if path not in _pieces_at:
+            _pieces_at[path] = Pieces(path)
         at = schema.names.index(ids)
         for batch in _slices(batches):
-            texts = [None if b is None else text_of(b, _vocabularies[path]) for b in batch.column(at).to_pylist()]
+            texts = [None if b is None else _pieces_at[path].text_of(b) for b in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())],
                                              names=[*schema.names, "decoded"])
 
