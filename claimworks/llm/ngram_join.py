@@ -7,15 +7,15 @@
 2. *Order.* Shared hashes are ordered by how many sets hold them, rare ones first. Two sets of
    similarity s or more share a hash among the first (1 - s) n + 1 of each, so a set with fewer
    shared hashes than s n has no partner.
-3. *Blocks.* Sets are put into blocks of bounded size by the most held of these first hashes and by
-   size. Two blocks are compared when some first hash occurs in both and sizes can match. Thousands
+3. *Blocks.* Sets are put into blocks of bounded size (in sets, and in hashes) by the most held of
+   these first hashes and by size. Two blocks are compared when some first hash occurs in both and sizes can match. Thousands
    of near copies thus meet as a few block pairs and not as millions of rows.
 4. *Fragments.* The order is cut into fragments of equal weight. Each fragment counts the overlaps
    of a block pair by itself, and the counts are summed per pair and tested.
 5. Linked sets are joined to components; copies of a set share its row until the end.
 
-Hashes have 40 bits besides the bucket, and buckets hold about 2^18 hashes at every size of the
-input. Defined results: a null or blank text has no n-grams and no link; a text of fewer words is
+Hashes have 40 bits besides the bucket, and buckets hold about 2^18 hashes; there are 2^20 of them at
+most, so from some 1.6 TB of text on they grow with it (to about 250 MB at 100 TB). Defined results: a null or blank text has no n-grams and no link; a text of fewer words is
 one n-gram; null keys never name a component (unless it has no other); rows that share a key are
 separate documents; an empty table gives an empty result. Only key and text are read.
 """
@@ -352,14 +352,16 @@ def _summed(percent: int):
     return run
 
 
-def similar_sets(sets: DataFrame, bits: int, percent: int, fragments: int, block: int) -> DataFrame:
+def similar_sets(sets: DataFrame, bits: int, percent: int, fragments: int, block: int, block_grams: int) -> DataFrame:
     """``owner, root, links`` for the linked ones of ``sets``: owner, n, copies, held, grams, first."""
     postings = sets.select("owner", F.explode(F.slice("grams", 1, F.col("first"))).alias("gram"))
     lists = written(postings.groupBy("gram").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "lists")
     held = written(postings.join(lists, "gram"), "postings")
     hubs = held.groupBy("owner").agg(F.max(F.struct("size", "gram")).alias("hub"))
     classes = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(10000.0 / percent / 100 + 0.005))).cast("int")
-    salt = F.pmod(F.xxhash64("owner"), F.ceil(F.col("hub.size") / block))
+    # Sets of a block: fewer when they are large, so that a block holds a bounded number of hashes.
+    together = F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.lit(block_grams) / F.col("n"))))
+    salt = F.pmod(F.xxhash64("owner"), F.ceil(F.col("hub.size") / together))
     members = written(
         sets.join(hubs, "owner").withColumn("class", classes)
         .withColumn("block", F.xxhash64("hub.gram", "class", salt))
@@ -386,8 +388,8 @@ def similar_sets(sets: DataFrame, bits: int, percent: int, fragments: int, block
 
 
 def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: int = 5, percent: int = 80,
-               fragments: int = 4, block: int = 256, bucket_grams: int = 1 << 18, flush: int = 1 << 20,
-               hot: int = 64) -> DataFrame:
+               fragments: int = 4, block: int = 256, block_grams: int = 1 << 19, bucket_grams: int = 1 << 18,
+               flush: int = 1 << 20, hot: int = 64) -> DataFrame:
     """``key, n_shingles, component_id, n_links`` for each row of ``docs``."""
     plain = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     words = (plain.agg(F.sum(F.length("text"))).first()[0] or 0) // 6
@@ -404,8 +406,8 @@ def ngram_join(docs: DataFrame, key: str = "doc_id", text: str = "text", *, n: i
             .groupBy("owner", "n", "copies").agg(F.array_sort(F.collect_list(F.struct("held", "gram"))).alias("s"))
             .withColumn("first", (F.size("s") - need + 1).cast("int")).filter("first > 0")
             .select("owner", "n", "copies", F.col("s.held").alias("held"), F.col("s.gram").alias("grams"), "first"))
-    similar = similar_sets(written(sets, "prefixes"), bits, percent, fragments, block)
-    with session_conf(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="64"):
+    similar = similar_sets(written(sets, "prefixes"), bits, percent, fragments, block, block_grams)
+    with session_conf(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="16"):
         links = written(similar, "roots")  # a row holds the sets of two blocks
     groups = components(links, "owner", "root").withColumnRenamed("vertex", "owner")
     counts = links.groupBy("owner").agg(F.sum("links").alias("links"))

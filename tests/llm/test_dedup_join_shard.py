@@ -95,7 +95,7 @@ def near_rows():
     return rows + [(3000 + i, prose(1, 50)) for i in range(70)] + [(4000, "a b c"), (4001, "A b  c"), (4002, "a b")]
 
 
-@pytest.mark.parametrize("settings", [{}, {"block": 4, "hot": 3, "flush": 500, "bucket_grams": 64, "fragments": 3},
+@pytest.mark.parametrize("settings", [{}, {"block_grams": 300}, {"block": 4, "hot": 3, "flush": 500, "bucket_grams": 64, "fragments": 3},
                                       {"fragments": 1, "hot": 2}])
 @pytest.mark.parametrize("which", ["edge", "near"])
 def test_ngram_join(llm, edge, which, settings):
