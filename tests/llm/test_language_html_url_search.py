@@ -57,6 +57,94 @@ def test_trigrams_and_bundles():
     assert dict(zip(*(x.tolist() for x in whole))) == cut
 
 
+def grams_of(text):
+    """Trigrams of the words of a text, with an edge on each side, one after the other."""
+    words, now = [], []
+    for c in (text or "").lower() + " ":
+        if c.isalpha():
+            now.append(ord(c))
+        elif now:
+            words.append([0, *now, 0])
+            now = []
+    return Counter(tuple(w[i:i + 3]) for w in words for i in range(len(w) - 2))
+
+
+class PlainLanguages:
+    """Profiles, predictions and rejections from their definitions, with vectors as plain lists."""
+
+    def __init__(self, rows):
+        self.letters = {}
+        self.sums = {}
+        for text, lang in rows:
+            if text is not None and lang is not None:
+                self.sums[lang] = self.sums.get(lang, 0) + self.bundle(grams_of(text))
+        self.unit = {k: self.normed(v) for k, v in self.sums.items()}
+        shared = sum(self.unit.values()) / len(self.unit) if len(self.unit) > 1 else 0
+        self.centred = {k: self.normed(v - shared) for k, v in self.unit.items()}
+
+    def letter(self, code):
+        if code not in self.letters:
+            self.letters[code] = np.random.default_rng([language.SEED, code]).integers(0, 2, language.DIMENSIONS, np.int8).astype(float) * 2 - 1
+        return self.letters[code]
+
+    def bundle(self, grams):
+        out = np.zeros(language.DIMENSIONS)
+        for (a, b, c), n in grams.items():
+            x, y, z = self.letter(a), self.letter(b), self.letter(c)
+            out += n * np.array([x[i - 2] * y[i - 1] * z[i] for i in range(language.DIMENSIONS)])
+        return out
+
+    @staticmethod
+    def normed(v):
+        size = math.sqrt(float((v * v).sum()))
+        return v / size if size else v
+
+    def predict(self, text):
+        grams = grams_of(text)
+        if not grams or not self.centred:
+            return "und", 0.0
+        v = self.normed(self.bundle(grams))
+        score, name = max(((float(p @ v), k) for k, p in self.centred.items()), key=lambda x: (round(x[0], 12), [-ord(c) for c in x[1]]))
+        return name, (1 + score) / 2
+
+    def kept(self, rows, texts):
+        medians = {}
+        for text, lang in rows:
+            grams = grams_of(text)
+            if lang is not None and grams:
+                medians.setdefault((lang, len(grams).bit_length()), []).append(float(self.unit[lang] @ self.normed(self.bundle(grams))))
+        medians = {k: sorted(v)[-(-len(v) // 2) - 1] for k, v in medians.items() if len(v) >= language.LEAST_TEXTS}
+        out = []
+        for text in texts:
+            grams = grams_of(text)
+            v = self.normed(self.bundle(grams))
+            for lang in self.unit if grams else ():
+                sizes = [b for k, b in medians if k == lang and b <= len(grams).bit_length()]
+                if not sizes or self.unit[lang] @ v >= language.LEAST_PART * medians[lang, max(sizes)]:
+                    out.append(text)
+                    break
+        return out
+
+
+def test_language_against_a_plain_version(llm):
+    docs = labelled(llm).unionByName(llm.createDataFrame(
+        [(100, None, "en"), (101, "Ünïcode ǅ ﬁ naïve", "fr"), (102, "12 34", None), (103, prose(5, 9), None), (104, "xq zzkw jjq", "en")],
+        "doc_id long, text string, lang string"))
+    rows = [(r.text, r.lang) for r in docs.collect()]
+    plain, learned = PlainLanguages(rows), language.learn(docs)
+    assert sorted(learned) == sorted(plain.centred)
+    assert all(np.allclose(learned[k], plain.centred[k], atol=1e-9) for k in learned)
+    for r in language.predict(docs, learned).join(docs, "doc_id").collect():
+        name, score = plain.predict(r.text)
+        assert r.lang_pred == name and r.score == pytest.approx(score, abs=1e-9)
+    unit = language.learn_plain(docs)
+    texts = [*(t for t, _ in rows), "kkkkk wwwww qqqqq " * 30, "tänä aamuna naapurin kissa oli piiloutunut puutarhan " * 9, prose(77, 200)]
+    asked = llm.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    stay = language.resembling(asked, unit, language.typical(docs, unit))
+    assert Counter(r.text for r in stay.collect()) == Counter(plain.kept(rows, texts))
+    assert 0 < stay.count() < len(texts)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p><p>no";</script></head><body>
 <header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a><li><a href="/x">X</a></ul></nav>
 <div class="cookie-notice">We use cookies, many of them, on every page of this site.</div>%s
