@@ -2,7 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from claimworks import fixture as fx
 from claimworks.operators import tables
+from claimworks.queries import QUERIES
+from claimworks.session import session_conf
 
 
 def plan(df):
@@ -15,3 +18,13 @@ def test_interleaved_key_is_worked_out_once_a_row(spark):
     sorts = [line for line in plan(df).splitlines() if "Sort [" in line or "rangepartitioning(" in line]
     assert sorts and not any("shiftleft" in line for line in sorts)
     assert df.columns == rows.columns and df.exceptAll(rows).isEmpty() and df.count() == 500
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_line_items_meet_their_orders_in_the_shuffle_that_deals_them(spark):
+    with session_conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        text = plan(fx.claims_raw(spark, SF))
+    assert text.count("hashpartitioning(l_orderkey") == 1 and "hashpartitioning(l_partkey" in text
+    assert "REPARTITION_BY_NUM" not in text  # a fixed count would make partitions as large as the input
