@@ -28,3 +28,20 @@ def test_line_items_meet_their_orders_in_the_shuffle_that_deals_them(spark):
         text = plan(fx.claims_raw(spark, SF))
     assert text.count("hashpartitioning(l_orderkey") == 1 and "hashpartitioning(l_partkey" in text
     assert "REPARTITION_BY_NUM" not in text  # a fixed count would make partitions as large as the input
+
+
+def rows_of(spark, ids, version):
+    return tables.staged(spark.range(*ids).select("id", (F.col("id") % 2).alias("part"), F.lit(version).alias("version")))
+
+
+def test_a_newer_batch_is_not_compared_row_by_row(spark, new_table, monkeypatch):
+    name, location = new_table()
+    tables.upsert(rows_of(spark, (0, 20), 1), name, ["id"], ["part"], location, newer_than="version")
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_without_stale", None)  # not called: no source row is older
+        tables.upsert(rows_of(spark, (10, 30), 2), name, ["id"], ["part"], newer_than="version")
+    want = [(i, 1 if i < 10 else 2) for i in range(30)]
+    assert sorted(tuple(r) for r in spark.table(name).select("id", "version").collect()) == want
+    tables.upsert(rows_of(spark, (25, 35), 1), name, ["id"], ["part"], newer_than="version")
+    want += [(i, 1) for i in range(30, 35)]
+    assert sorted(tuple(r) for r in spark.table(name).select("id", "version").collect()) == want
