@@ -45,3 +45,14 @@ def test_a_newer_batch_is_not_compared_row_by_row(spark, new_table, monkeypatch)
     tables.upsert(rows_of(spark, (25, 35), 1), name, ["id"], ["part"], newer_than="version")
     want += [(i, 1) for i in range(30, 35)]
     assert sorted(tuple(r) for r in spark.table(name).select("id", "version").collect()) == want
+
+
+def test_large_files_are_not_merged_again(spark, new_table, monkeypatch):
+    name, location = new_table()
+    tables.create(spark.range(0, 4_000, 1, 4).withColumn("part", F.lit(0)), name, ["part"], location, rebalance=False)
+    assert tables.has_small_files(spark, name, {"part": 0})
+    monkeypatch.setattr(tables, "SMALL_FILE", 1_000)
+    assert not tables.has_small_files(spark, name, {"part": 0})
+    monkeypatch.undo()
+    tables.compact(spark, name)
+    assert not tables.has_small_files(spark, name, {"part": 0})  # one file
