@@ -56,3 +56,20 @@ def test_large_files_are_not_merged_again(spark, new_table, monkeypatch):
     monkeypatch.undo()
     tables.compact(spark, name)
     assert not tables.has_small_files(spark, name, {"part": 0})  # one file
+
+
+def test_checks_work_out_the_claims_once(spark, monkeypatch):
+    built = []
+    raw = fx.claims_raw
+    monkeypatch.setattr(fx, "claims_raw", lambda *given: built.append(given) or raw(*given))
+    for query in ("audit_log", "check_gold_freshness"):
+        QUERIES[query](spark, SF)
+        assert len(built) == 1
+        built.clear()
+
+
+def test_a_refresh_reads_a_result_that_was_written(spark, monkeypatch):
+    texts, write = [], tables.overwrite
+    monkeypatch.setattr(tables, "overwrite", lambda df, *where: texts.append(plan(df)) or write(df, *where))
+    assert QUERIES["overwrite_refresh"](spark, SF).count()
+    assert len(texts) == 2 and not any("l_orderkey" in text for text in texts)
