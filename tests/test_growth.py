@@ -1,10 +1,19 @@
 """Steps whose time, shuffles or writes once grew faster than their input."""
 
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
+from claims import AS_OF, RAW
+from claimworks import constants as C
 from claimworks import fixture as fx
+from claimworks.constants import RAW_COLUMNS
+from claimworks.functions import amount_sum, beyond_cents, cents_sum
 from claimworks.operators import tables
+from claimworks.plans import batch
 from claimworks.queries import QUERIES
+from claimworks.schemas import RAW as RAW_SCHEMA
 from claimworks.session import session_conf
 
 
@@ -73,3 +82,63 @@ def test_a_refresh_reads_a_result_that_was_written(spark, monkeypatch):
     monkeypatch.setattr(tables, "overwrite", lambda df, *where: texts.append(plan(df)) or write(df, *where))
     assert QUERIES["overwrite_refresh"](spark, SF).count()
     assert len(texts) == 2 and not any("l_orderkey" in text for text in texts)
+
+
+def sums_of(spark, amounts):
+    df = spark.createDataFrame([(i % 7, a) for i, a in enumerate(amounts)], "g int, paid double").repartition(4)
+    return df, df.groupBy("g").agg(amount_sum("paid").alias("exact"), cents_sum("paid").alias("cents"))
+
+
+def test_a_sum_of_cents_is_the_exact_sum(spark):
+    amounts = [None if i % 11 == 0 else (i * 7919 % 100_003 - 40_000) / 100 for i in range(3_000)]
+    df, sums = sums_of(spark, [*amounts, 0.0, -0.0, 999_999.99, -999_999.99])
+    assert df.filter(beyond_cents("paid")).isEmpty()
+    assert all(r["exact"] == r["cents"] for r in sums.collect())
+    nothing = sums_of(spark, [None])[1].first()
+    assert nothing["exact"] is None and nothing["cents"] is None
+    text = spark.range(95_000_000).agg(cents_sum(F.lit(999_999.99))).first()[0]  # past the whole numbers of doubles
+    assert text == 94_999_999_050_000.0
+
+
+def test_amounts_that_are_no_cents_are_found(spark):
+    odd = [0.001, 1e6, -1e18, 1e300, float("inf"), float("nan"), 12.345]
+    df, _ = sums_of(spark, [*odd, None, 1.0, 0.07, 999_999.99])
+    assert df.filter(beyond_cents("paid")).count() == len(odd)
+
+
+def gold_plans(spark, tmp_path, new_table, monkeypatch, paid):
+    """The plans of the aggregate tables of a load, and its member table."""
+    prefix, _ = new_table("cents")
+    cfg = batch.BatchConfig(raw_root=str(tmp_path / "raw"), prefix=f"{prefix}_", root=str(tmp_path / prefix), as_of=AS_OF, layout=False)
+    rows = [tuple({**dict(zip(RAW_COLUMNS, RAW[0])), "claim_id": f"C{i}", "paid_amount": paid}.values()) for i in range(30)]
+    spark.createDataFrame(rows, RAW_SCHEMA).coalesce(1).write.mode("overwrite").csv(f"{cfg.raw_root}/2025-03-01", header=True)
+    batch.load_bronze(spark, cfg, "2025-03-01")
+    batch.load_silver(spark, cfg, "2025-03-01")
+    texts, write = [], tables.create
+    with monkeypatch.context() as m:
+        m.setattr(tables, "create", lambda df, *where, **how: texts.append(plan(df)) or write(df, *where, **how))
+        batch.load_gold(spark, cfg, "2025-03-01")
+    return [t for t in texts if "Aggregate" in t], spark.table(cfg.name(C.MEMBER_360)).first()
+
+
+def test_a_load_of_cents_sums_longs(spark, tmp_path, new_table, monkeypatch):
+    texts, member = gold_plans(spark, tmp_path, new_table, monkeypatch, "1500.01")
+    assert len(texts) == 4 and not any("decimal(28,10)" in t for t in texts)
+    assert member["lifetime_paid"] == 45_000.3
+
+
+def test_a_load_with_other_amounts_sums_decimals(spark, tmp_path, new_table, monkeypatch):
+    texts, member = gold_plans(spark, tmp_path, new_table, monkeypatch, "0.001")
+    assert len(texts) == 4 and all("decimal(28,10)" in t for t in texts)
+    assert member["lifetime_paid"] == 0.03
+
+
+def test_writes_side_by_side_all_end_before_an_error_is_raised(spark):
+    ended = []
+
+    def fails():
+        raise ValueError("first")
+
+    with pytest.raises(ValueError, match="first"):
+        batch._at_once(spark, fails, lambda: time.sleep(0.2) or ended.append(1))
+    assert ended == [1]
