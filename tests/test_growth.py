@@ -133,6 +133,14 @@ def test_a_load_with_other_amounts_sums_decimals(spark, tmp_path, new_table, mon
     assert member["lifetime_paid"] == 0.03
 
 
+def test_snapshots_of_all_days_sum_longs(spark, monkeypatch):
+    texts, write = [], tables.staged
+    monkeypatch.setattr(tables, "staged", lambda df: texts.append(plan(df)) or write(df))
+    assert QUERIES["upsert_kpi_all_days"](spark, SF).count()
+    kpi = [t for t in texts if "percentile_approx" in t]
+    assert len(kpi) == 1 and "decimal(28,10)" not in kpi[0]
+
+
 def test_writes_side_by_side_all_end_before_an_error_is_raised(spark):
     ended = []
 
