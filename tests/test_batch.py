@@ -77,6 +77,30 @@ def test_error_is_recorded_and_stops_the_load(spark, tmp_path, new_table):
     assert "PATH_NOT_FOUND" in results[0].metrics["error"]
 
 
+def test_results_of_a_load_that_failed_are_no_results(spark, tmp_path, new_table):
+    results = batch.run_batch(spark, config(tmp_path, new_table), "2025-03-01")
+    with pytest.raises(batch.LoadError, match="load_bronze of 2025-03-01 failed: AnalysisException") as raised:
+        batch.completed(results)
+    assert raised.value.__cause__ is results[0].error
+    shut = [batch.StageResult("checks", "FAIL", {})]
+    assert batch.completed(shut) is shut
+
+
+@pytest.mark.parametrize("query", ["gold_incremental_scorecard", "kpi_snapshot_after_loads"])
+def test_a_query_raises_what_a_stage_of_its_second_load_raised(spark, monkeypatch, query):
+    from claimworks.queries import QUERIES, SECOND_LOAD
+
+    def load_gold(spark, cfg, batch_date):
+        if batch_date == SECOND_LOAD:
+            raise OSError("No space left on device")
+        return batch.load_gold(spark, cfg, batch_date)
+
+    monkeypatch.setattr(batch, "STAGES", tuple(
+        (load_gold if stage is batch.load_gold else stage, passing) for stage, passing in batch.STAGES))
+    with pytest.raises(batch.LoadError, match="No space left on device"):
+        QUERIES[query](spark, "/root/testdata/sf0.001")
+
+
 def test_loading_again_changes_nothing_and_old_batches_do_not_win(spark, tmp_path, new_table):
     cfg = config(tmp_path, new_table)
     write_raw(spark, cfg, "2025-03-01", [good(1), good(2), good(3, member_id=None)])
