@@ -1,5 +1,6 @@
 """Steps whose time, shuffles or writes once grew faster than their input."""
 
+import os
 import time
 
 import pytest
@@ -12,9 +13,10 @@ from claimworks.constants import RAW_COLUMNS
 from claimworks.functions import amount_sum, beyond_cents, cents_sum
 from claimworks.operators import tables
 from claimworks.plans import batch
+from claimworks import queries
 from claimworks.queries import QUERIES
 from claimworks.schemas import RAW as RAW_SCHEMA
-from claimworks.session import session_conf
+from claimworks.session import session_conf, shared_folder, shuffles_freed
 
 
 def plan(df):
@@ -150,3 +152,94 @@ def test_writes_side_by_side_all_end_before_an_error_is_raised(spark):
     with pytest.raises(ValueError, match="first"):
         batch._at_once(spark, fails, lambda: time.sleep(0.2) or ended.append(1))
     assert ended == [1]
+
+
+def shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for top in blocks.localDirsString() for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+
+
+def test_a_write_leaves_no_shuffle_files(spark, new_table):
+    rows = spark.range(2_000).select("id", (F.col("id") % 2).alias("part"), F.lit(1).alias("version"))
+    name, location = new_table()
+    before = shuffle_files(spark)
+    dealt = [tables.staged(rows.repartition(3, "id").sortWithinPartitions("id"))]
+    tables.create(rows, name, ["part"], location)
+    tables.append(rows.withColumn("id", F.col("id") + 2_000), name, rebalance=True)
+    tables.compact(spark, name)
+    until = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < until:  # they are deleted in the background
+        time.sleep(0.2)
+    assert not left and dealt[0].count() == 2_000
+    assert sorted(r["id"] for r in spark.table(name).collect()) == list(range(4_000))
+
+
+def test_the_setting_that_frees_shuffles_is_put_back(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    with shuffles_freed(spark):
+        with shuffles_freed(spark):
+            pass
+        assert spark.conf.get(key) == "true"
+    assert spark.conf.get(key, None) is None
+
+
+def scratch(spark, label):
+    folder = shared_folder(spark).removeprefix("file://").removeprefix("file:")
+    return {f"{folder}/{f}" for f in os.listdir(folder) if f.startswith(f"{label}-")} if os.path.isdir(folder) else set()
+
+
+def test_two_loads_leave_no_rows_behind(spark):
+    before = scratch(spark, "stage")
+    assert QUERIES["upsert_claims"](spark, SF).count()
+    assert scratch(spark, "stage") == before
+
+
+def test_files_of_a_load_go_when_it_is_loaded(spark, monkeypatch):
+    before, seen = scratch(spark, "load"), []
+
+    def load_bronze(spark, cfg, day):
+        seen.append(len(os.listdir(cfg.raw_root.removeprefix("file://").removeprefix("file:"))))
+        return batch.load_bronze(spark, cfg, day)
+
+    monkeypatch.setattr(batch, "STAGES", ((load_bronze, ("SUCCESS",)),))
+    results, cfg = queries._run(spark, SF)
+    assert seen == [1, 1] and sum(r.metrics["records_ingested"] for r in results) == 6_000
+    (root,) = scratch(spark, "load") - before
+    assert os.listdir(f"{root}/raw") == [] and spark.table(cfg.name(C.BRONZE)).count() == 6_000
+
+
+def test_the_scorecard_reads_claims_that_were_written(spark):
+    text = plan(QUERIES["gold_provider_scorecard"](spark, SF))
+    assert "l_orderkey" not in text and "hashpartitioning(claim_id" not in text
+
+
+@pytest.mark.parametrize("query", ["silver_with_stream", "silver_late_stream"])
+def test_a_bronze_table_of_one_or_two_days_is_not_shuffled_to_be_written(spark, monkeypatch, query):
+    class Seen(Exception):
+        pass
+
+    def create(df, name, partition_by=(), location=None, mode="errorifexists", rebalance=True, **how):
+        raise Seen(name, rebalance)
+
+    monkeypatch.setattr(tables, "create", create)
+    with pytest.raises(Seen) as seen:
+        QUERIES[query](spark, SF)
+    assert seen.value.args[0].endswith(C.BRONZE) and seen.value.args[1] is False
+
+
+def test_rows_that_an_old_batch_may_still_bring_are_joined_once(spark, new_table, monkeypatch):
+    name, location = new_table()
+    before, texts = scratch(spark, "stage"), []
+    for ids, version in (((0, 20), 1), ((10, 30), 2)):
+        rows = rows_of(spark, ids, version)
+        tables.upsert(rows, name, ["id"], ["part"], location, newer_than="version", key_buckets=2)
+        tables.release(rows)
+    index = tables._index_keys
+    monkeypatch.setattr(tables, "_index_keys", lambda rows, *given: texts.append(plan(rows)) or index(rows, *given))
+    old = rows_of(spark, (5, 35), 1)
+    tables.upsert(old, name, ["id"], ["part"], newer_than="version", key_buckets=2)
+    tables.release(old)
+    assert len(texts) == 1 and "Join" not in texts[0]
+    assert scratch(spark, "stage") == before
+    want = [(i, 2 if 10 <= i < 30 else 1) for i in range(35)]
+    assert sorted(tuple(r) for r in spark.table(name).select("id", "version").collect()) == want
